@@ -122,30 +122,43 @@ def extract_pages(
     )
 
 
-def stat_rows(
-    extracted: DataFrame, run_ts: Column, pattern: str = PROFILE_PATH
-) -> DataFrame:
-    """One row per stat. Identity comes from the seed, else the URL, else the payload."""
+def with_identity(extracted: DataFrame, pattern: str = PROFILE_PATH) -> DataFrame:
+    """One row per page with who it is about: as the seed says, else the URL, else the payload."""
     url = parse_profile_url("url", pattern)
 
     def given(name: str) -> Column:
-        known = text_or_null(F.col(name).cast("string")) if name in extracted.columns else None
-        parts = [c for c in (known, url[name]) if c is not None]
-        return F.coalesce(*parts)
+        if name in extracted.columns:
+            return F.coalesce(text_or_null(F.col(name).cast("string")), url[name])
+        return url[name]
 
     return extracted.select(
-        *[c for c in ("page_id",) if c in extracted.columns],
+        "page_id",
+        "url",
         F.coalesce(given("player_id"), text_or_null(F.col("extracted.player_id"))).alias(
             "player_id"
         ),
         F.col("extracted.player_name").alias("player_name"),
         given("player_slug").alias("player_slug"),
-        F.col("url").alias("player_url"),
         F.coalesce(given("season"), F.col("extracted.season")).alias("season"),
+        "source",
+        F.col("extracted.stats").alias("stats"),
+        "error",
+    )
+
+
+def stat_rows(extracted: DataFrame, run_ts: Column, pattern: str = PROFILE_PATH) -> DataFrame:
+    """One row per stat."""
+    return with_identity(extracted, pattern).select(
+        "page_id",
+        "player_id",
+        "player_name",
+        "player_slug",
+        F.col("url").alias("player_url"),
+        "season",
         F.col("source").alias("extraction_source"),
         F.col("url").alias("page_url"),
         run_ts.cast("timestamp").alias("extracted_at"),
-        F.posexplode("extracted.stats").alias("stat_pos", "_stat"),
+        F.posexplode("stats").alias("stat_pos", "_stat"),
     ).select(
         "*",
         "_stat.statistic_name",
