@@ -16,8 +16,15 @@ EMPTY_JSON = ["", "null", "false", "0", "0.0", "-0.0", "[]", "{}", '""']
 
 
 def is_json(c: Column | str) -> Column:
-    """Parses as JSON of any type."""
-    return F.try_parse_json(as_column(c)).isNotNull()
+    """Parses as one JSON value of any type, with nothing after it.
+
+    The parsers stop at the end of the first value. Inside ``[...]`` and ``[...,0]`` the text is
+    a whole value exactly if the lists have one and two items.
+    """
+    text = as_column(c)
+    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]")))
+    followed = F.json_array_length(F.concat(F.lit("["), text, F.lit(",0]")))
+    return F.coalesce((alone == 1) & (followed == 2), F.lit(False))
 
 
 def _bare(c: Column) -> Column:

@@ -5,14 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from statlake.functions.text import (
-    GRADE_MISSING,
-    ITEM_MISSING,
-    PERCENTILE_MISSING,
-    VALUE_MISSING,
-    as_column,
-    strip,
-)
+from statlake.functions.text import ITEM_MISSING, SPACE, as_column
 
 # Fixed value: text that stands in for a missing number in the ``value`` column.
 MISSING_NUMBER = "00000"
@@ -21,69 +14,73 @@ MISSING_NUMBER = "00000"
 GRADES = ["A+", "A", "A-", "B+", "B", "B-", "C+", "C", "C-", "D+", "D", "D-", "F"]
 
 _DIGITS = r"[0-9]+(?:_[0-9]+)*"
-_NUMBER = rf"^[+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?$"
+_NUMBER = rf"([+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?)"
 
+# The functions below name their argument as few times as they can: an argument is often itself
+# a long expression, and each mention may evaluate it once more. None of the missing markers
+# holds a digit or begins with a grade, so a pattern that fails on them needs no test for them.
 
-def parse_number(c: Column | str) -> Column:
-    """Decimal text to double, else NULL.
+
+def _number_in(c: Column | str, tail: str) -> Column:
+    """The decimal number that, with white space and ``tail`` after it, is all of the text.
 
     The pattern keeps out what a plain cast would take (``1d``, ``0x1p3``) and lets ``1_000`` in.
     ``nan`` and ``inf`` are NULL here.
     """
-    plain = strip(c)
-    return F.when(
-        plain.rlike(_NUMBER), F.regexp_replace(plain, "_", "").try_cast("double")
+    found = F.regexp_extract(
+        as_column(c).cast("string"), rf"(?U)\A{SPACE}*{_NUMBER}{SPACE}*{tail}\z", 1
     )
+    return F.replace(found, F.lit("_"), F.lit("")).try_cast("double")
+
 
+_ONE_PERCENT_SIGN = rf"%?{SPACE}*"
+_PERCENT_SIGNS = "%*"
 
-def _drop_percent(c: Column) -> Column:
-    return F.regexp_replace(c, r"%\z", "")
+
+def parse_number(c: Column | str) -> Column:
+    """Decimal text to double, else NULL."""
+    return _number_in(c, "")
 
 
 def stat_value(c: Column | str) -> Column:
     """Stat text to double: a plain number, else the first number inside the text."""
-    plain = strip(c)
-    body = _drop_percent(plain)
-    first = F.regexp_extract(body, r"(-?[0-9]+\.?[0-9]*)", 1)
-    return F.when(
-        ~plain.isin(VALUE_MISSING),
-        F.coalesce(parse_number(body), first.try_cast("double")),
-    )
+    text = as_column(c).cast("string")
+    first = F.regexp_extract(text, r"(-?[0-9]+\.?[0-9]*)", 1)
+    return F.coalesce(_number_in(text, _ONE_PERCENT_SIGN), first.try_cast("double"))
 
 
 def percentile(c: Column | str) -> Column:
     """Percentile text to 0..1: values above 1 are per cent, then clamped."""
-    plain = strip(c)
-    number = parse_number(_drop_percent(plain))
-    share = F.when(number > 1, number / 100.0).otherwise(number)
-    clamped = F.when(share.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), share)))
-    return F.when(~plain.isin(PERCENTILE_MISSING), clamped)
+    number = _number_in(c, _ONE_PERCENT_SIGN)
+    return (
+        F.when(number > 1, F.least(F.lit(1.0), number / 100.0))
+        .when(number < 0, 0.0)
+        .otherwise(number)
+    )
 
 
 def percentile_over_100(c: Column | str) -> Column:
     """Percentile text always divided by 100, not clamped (the reading used for stored rows)."""
-    text = as_column(c).cast("string")
-    number = parse_number(F.regexp_replace(text, r"%+\z", "")) / 100.0
-    return F.when(~text.isin(ITEM_MISSING), number)
+    return _number_in(c, _PERCENT_SIGNS) / 100.0
 
 
 def grade(c: Column | str) -> Column:
     """Grade text to one of the known grades by its beginning, else NULL."""
-    plain = F.upper(strip(c))
-    found = F.regexp_extract(plain, r"^([A-D][+-]?|F)", 1)
-    return F.when(~plain.isin(GRADE_MISSING) & (found != ""), found)
+    found = F.regexp_extract(
+        F.upper(as_column(c).cast("string")), rf"(?U)\A{SPACE}*([A-D][+-]?|F)", 1
+    )
+    return F.nullif(found, F.lit(""))
 
 
 def value_or_sentinel(c: Column | str) -> Column:
     """Missing value text becomes the sentinel; other text is kept."""
     text = as_column(c).cast("string")
-    return F.when(text.isNull() | text.isin(ITEM_MISSING), F.lit(MISSING_NUMBER)).otherwise(text)
+    return F.when(~text.isin(ITEM_MISSING), text).otherwise(F.lit(MISSING_NUMBER))
 
 
 def item_value_numeric(c: Column | str) -> Column:
     """Numeric reading of a raw item value; NULL where the sentinel stands in."""
-    text = as_column(c).cast("string")
-    return F.when(~text.isin(ITEM_MISSING), stat_value(text))
+    return stat_value(c)
 
 
 def is_complete(name: Column | str, stored_value: Column | str) -> Column:

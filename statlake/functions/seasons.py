@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from statlake.functions.text import as_column, strip
+from statlake.functions.text import SPACE, as_column
 
 # First month of a season, first and last start year of the profile seasons.
 FIRST_MONTH = 10
@@ -54,24 +54,31 @@ def normalize_season(c: Column | str, strict: bool = False) -> Column:
     ``strict`` keeps two odd readings of old data: ``99-00`` gives ``1999-1900``, and an end
     of three digits is kept as it is. The default gives ``1999-2000`` and NULL.
     """
-    plain = strip(c)
-    long_form = r"^([0-9]{4})-([0-9]{2,4})"
-    short_form = r"^([0-9]{2})-([0-9]{2})"
-    start4 = F.regexp_extract(plain, long_form, 1).try_cast("int")
-    end_text = F.regexp_extract(plain, long_form, 2)
-    end4 = end_text.try_cast("int")
-    start2 = F.regexp_extract(plain, short_form, 1).try_cast("int")
-    end2 = F.regexp_extract(plain, short_form, 2).try_cast("int")
+    text = as_column(c).cast("string")
+
+    def part(pattern: str) -> Column:
+        return F.regexp_extract(text, rf"(?U)\A{SPACE}*{pattern}", 1)
+
+    start4 = part("([0-9]{4})-[0-9]{2}").try_cast("int")
+    end4 = part("[0-9]{4}-([0-9]{3,4})")
+    start2 = part("([0-9]{2})-[0-9]{2}").try_cast("int")
+    end2 = part("[0-9]{2}-([0-9]{2})").try_cast("int")
     century = F.when(start2 < 50, 2000).otherwise(1900)
     end_short = century + end2
     if not strict:
         end_short = F.when(end2 < start2, century + start2 + 1).otherwise(end_short)
-    three_digits = _years(start4, end4) if strict else F.lit(None).cast("string")
-    return (
-        F.when(start4.isNotNull() & (F.length(end_text) == 2), _years(start4, start4 + 1))
-        .when(start4.isNotNull() & (F.length(end_text) == 3), three_digits)
-        .when(start4.isNotNull(), _years(start4, end4))
-        .when(start2.isNotNull(), _years(century + start2, end_short))
+    long_end = F.when(end4 == "", start4 + 1)
+    if not strict:
+        long_end = long_end.when(F.length(end4) == 3, F.lit(None))
+    long_end = long_end.otherwise(end4.try_cast("int"))
+    return F.coalesce(
+        F.concat(start4.cast("string"), F.lit("-"), long_end.cast("string")),
+        F.when(
+            start4.isNull() & start2.isNotNull(),
+            F.concat(
+                (century + start2).cast("string"), F.lit("-"), end_short.cast("string")
+            ),
+        ),
     )
 
 

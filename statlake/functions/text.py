@@ -6,9 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Text that stands for "no value", per operator.
-VALUE_MISSING = ["", "-", "—", "N/A", "null", "None"]
-GRADE_MISSING = ["", "-", "—", "N/A", "NULL", "NONE"]
-PERCENTILE_MISSING = ["", "-", "—", "N/A"]
 CELL_MISSING = ["", "-", "—", "N/A"]
 ITEM_MISSING = ["", "-"]
 NAME_MISSING = ["", "unknown", "n/a"]
@@ -24,7 +21,8 @@ CATEGORY_SPELLINGS = [
 ]
 DEFAULT_CATEGORY = "General"
 
-_SPACE = r"[\s\x1c-\x1f]"
+# White space as in Unicode, with the four separators that (?U)\s leaves out.
+SPACE = r"[\s\x1c-\x1f]"
 _CASED = r"\p{Lu}\p{Ll}\p{Lt}"
 
 
@@ -35,13 +33,13 @@ def as_column(c: Column | str) -> Column:
 def strip(c: Column | str) -> Column:
     """Strip all Unicode white space at both ends (``trim`` knows the blank only)."""
     return F.regexp_replace(
-        as_column(c).cast("string"), rf"(?U)\A{_SPACE}+|{_SPACE}+\z", ""
+        as_column(c).cast("string"), rf"(?U)\A{SPACE}+|{SPACE}+\z", ""
     )
 
 
 def squeeze(c: Column | str) -> Column:
     """Strip, and turn every run of white space into one blank."""
-    return F.regexp_replace(strip(c), rf"(?U){_SPACE}+", " ")
+    return F.regexp_replace(strip(c), rf"(?U){SPACE}+", " ")
 
 
 def title_case(c: Column | str) -> Column:
@@ -64,12 +62,13 @@ def stat_category(c: Column | str, strict: bool = False) -> Column:
 
     ``strict`` replaces only the exact case left by title-casing, so that ``3pt`` stays ``3Pt``.
     """
-    plain = squeeze(c)
-    out = title_case(plain)
-    for old, new in CATEGORY_SPELLINGS:
-        flag = "" if strict else "(?i)"
-        out = F.regexp_replace(out, rf"{flag}\Q{old}\E", new)
-    return F.when(plain.isNull() | (plain == ""), F.lit(DEFAULT_CATEGORY)).otherwise(out)
+    out = title_case(squeeze(c))
+    flag = "" if strict else "(?i)"
+    for new in dict.fromkeys(new for _, new in CATEGORY_SPELLINGS):
+        olds = "|".join(rf"\Q{old}\E" for old, to in CATEGORY_SPELLINGS if to == new)
+        out = F.regexp_replace(out, f"{flag}(?:{olds})", new)
+    filled = as_column(c).cast("string").rlike(rf"(?U)[^\s\x1c-\x1f]")
+    return F.when(filled, out).otherwise(F.lit(DEFAULT_CATEGORY))
 
 
 def cell_text(c: Column | str) -> Column:

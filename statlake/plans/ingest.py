@@ -16,7 +16,7 @@ from statlake.sinks.tables import write_bronze
 RUN_LOG_SCHEMA = "dataset string, status string, rows bigint, path string, error string"
 
 # Names of the datasets.
-GAMES, POSSESSIONS, PROFILES = "games", "pbpstats_possessions", "bball_index_profiles"
+GAMES, POSSESSIONS, PROFILES = "games", "possessions", "profiles"
 
 
 @dataclass(frozen=True)

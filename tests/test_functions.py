@@ -149,7 +149,10 @@ def test_json(spark):
         jsontext.is_filled("x"),
         [("{}", False), (" [ ] ", False), ("[1]", True), ("0", False), (None, False), ('{"a":0}', True)],
     )
-    check(spark, jsontext.is_json("x"), [("{}", True), ("{", False), ("1", True), (None, False)])
+    check(spark, jsontext.is_json("x"), [
+        ("{}", True), ("{", False), ("1", True), (None, False), ('{"a":1}}', False), ("", False),
+        ("1] [2", False), ("1,2", False), ('{"a":1,"a":2}', True), (' "x" ', True), ("1,2] x", False),
+    ])
 
 
 @pytest.mark.parametrize(
