@@ -144,9 +144,10 @@ def fold_progress(
     def last(value: Column, where: Column) -> Column:
         return F.max_by(F.struct(value.alias("v")), F.when(where, ord_))["v"]
 
-    brings_slug = F.col("player_slug").isNotNull() & (_is("started") | creates)
+    names_itself = _is("success", "failure_upsert", "state") & creates
+    brings_slug = F.col("player_slug").isNotNull() & (_is("started") | names_itself)
     brings_name = F.col("player_name").isNotNull() & _is("started", "state")
-    sets_url = _is("started", "state") | (_is("success", "failure_upsert") & creates)
+    sets_url = _is("started") | names_itself
     sets_error = _is("completed", "failed", "skipped", "failure_upsert", "reset", "state")
     clears_error = _is("completed", "reset")
     tried = _is("started", "failed", "skipped", "failure_upsert")
