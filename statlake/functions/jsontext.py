@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -27,20 +27,24 @@ def is_json(c: Column | str) -> Column:
     return F.coalesce((alone == 1) & (followed == 2), F.lit(False))
 
 
-def _bare(c: Column) -> Column:
-    return F.regexp_replace(F.trim(c), r"\A([\[{])\s+([\]}])\z", "$1$2")
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, with the value worked out once however often the body names it.
+
+    A column expression is copied into every place that names it; the argument of a lambda is not.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def is_filled(c: Column | str) -> Column:
-    """JSON text that is neither NULL nor an empty value."""
-    text = as_column(c)
-    return text.isNotNull() & ~_bare(text).isin(EMPTY_JSON)
+    """Compact JSON text, as Spark's JSON functions give it, that is not NULL or an empty value."""
+    return F.coalesce(~as_column(c).isin(EMPTY_JSON), F.lit(False))
 
 
 def json_document(c: Column | str) -> Column:
     """Body text where it is JSON and not an empty value, else NULL."""
     text = as_column(c)
-    return F.when(is_json(text) & is_filled(text), text)
+    bare = F.regexp_replace(F.trim(text), r"\A([\[{])\s+([\]}])\z", "$1$2")
+    return F.when(is_json(text) & is_filled(bare), text)
 
 
 def first_filled(choices: Sequence[Column]) -> Column:

@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from statlake.functions.jsontext import first_filled, is_filled, is_json, json_document
-from statlake.functions.text import as_column
+from statlake.functions.jsontext import bind, first_filled, is_json, json_document
+from statlake.functions.text import as_column, text_or_null
 from statlake.operators.extract.entries import stats_from_list
 from statlake.operators.extract.scripts import extraction
 from statlake.operators.ordered import first_rows_per_key
@@ -114,26 +114,28 @@ def count_stats(texts: pd.Series) -> pd.Series:
     return texts.map(count)
 
 
+_BODY = """
+    struct<stats string, playerStats string, playerId string, playerName string,
+        data struct<stats string, player struct<stats string, id string, name string>>>
+"""
+
+
 def extract_captured(body: Column | str, falsy_chain: bool = False) -> Column:
     """Extraction struct from one JSON body."""
-    text = as_column(body)
-    stats = first_filled(
-        [
-            F.get_json_object(text, path)
-            for path in ("$.stats", "$.playerStats", "$.data.stats", "$.data.player.stats")
-        ]
-    )
 
-    def field(*paths: str) -> Column:
-        values = [F.get_json_object(text, path) for path in paths]
-        return F.coalesce(*[F.when(is_filled(v), v) for v in values])
+    def from_body(b: Column) -> Column:
+        player = b["data"]["player"]
+        stats = first_filled(
+            [b["stats"], b["playerStats"], b["data"]["stats"], player["stats"]]
+        )
+        return extraction(
+            F.coalesce(text_or_null(b["playerId"]), text_or_null(player["id"])),
+            F.coalesce(text_or_null(b["playerName"]), text_or_null(player["name"])),
+            F.lit(None),
+            bind(stats, lambda found: stats_from_list(found, None, falsy_chain)),
+        )
 
-    return extraction(
-        field("$.playerId", "$.data.player.id"),
-        field("$.playerName", "$.data.player.name"),
-        F.lit(None),
-        stats_from_list(stats, None, falsy_chain),
-    )
+    return bind(F.from_json(as_column(body), _BODY), from_body)
 
 
 def best_captured(
@@ -145,13 +147,15 @@ def best_captured(
     An aggregate, so that each task sends one candidate per page and a page with very many
     responses never meets in one task as a whole.
     """
-    parsed = (
-        responses.where(is_json("body"))
-        .select(*keys, order, extract_captured("body", falsy_chain).alias("captured"))
-        .where(F.size("captured.stats") > 0)
+    parsed = responses.where(is_json("body")).select(
+        *keys, order, extract_captured("body", falsy_chain).alias("captured")
     )
-    rank = F.struct(F.size("captured.stats"), -F.col(order))
-    return parsed.groupBy(*keys).agg(F.max_by("captured", rank).alias("captured"))
+    # A response without stats has no rank and so never wins; the filter comes after the
+    # aggregate, since one before it would be pushed down and extract every body twice.
+    n = F.size("captured.stats")
+    rank = F.when(n > 0, F.struct(n, -F.col(order)))
+    best = parsed.groupBy(*keys).agg(F.max_by("captured", rank).alias("captured"))
+    return best.where(F.col("captured").isNotNull())
 
 
 def capture_summary(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from statlake.functions.text import DEFAULT_CATEGORY, text_or_null
 from statlake.functions.urls import PROFILE_PATH, parse_profile_url
 from statlake.operators.extract.captured import best_captured, count_stats
-from statlake.operators.extract.entries import no_stats
+from statlake.operators.extract.entries import explode_stats, no_stats
 from statlake.operators.extract.scripts import (
     cache_state_text,
     extract_cache_state,
@@ -148,18 +148,22 @@ def with_identity(extracted: DataFrame, pattern: str = PROFILE_PATH) -> DataFram
 
 def stat_rows(extracted: DataFrame, run_ts: Column, pattern: str = PROFILE_PATH) -> DataFrame:
     """One row per stat."""
-    return with_identity(extracted, pattern).select(
-        "page_id",
-        "player_id",
-        "player_name",
-        "player_slug",
-        F.col("url").alias("player_url"),
-        "season",
-        F.col("source").alias("extraction_source"),
-        F.col("url").alias("page_url"),
-        run_ts.cast("timestamp").alias("extracted_at"),
-        F.posexplode("stats").alias("stat_pos", "_stat"),
-    ).select(
+    rows = explode_stats(
+        with_identity(extracted, pattern),
+        [
+            "page_id",
+            "player_id",
+            "player_name",
+            "player_slug",
+            F.col("url").alias("player_url"),
+            "season",
+            F.col("source").alias("extraction_source"),
+            F.col("url").alias("page_url"),
+            run_ts.cast("timestamp").alias("extracted_at"),
+        ],
+        "stats",
+    )
+    return rows.select(
         "*",
         "_stat.statistic_name",
         "_stat.value",
@@ -252,7 +256,7 @@ def inspect_pages(pages: DataFrame) -> DataFrame:
     return (
         df.select(*kept, F.array(*reports).alias("_reports"))
         .withColumn("best_source", F.when(top["n_stats"] > 0, top["source"]))
-        .select(*kept, "best_source", F.explode("_reports").alias("_r"))
+        .select(*kept, "best_source", F.explode_outer("_reports").alias("_r"))
         .select(
             *kept,
             "_r.source",
@@ -273,7 +277,7 @@ def raw_payloads(pages: DataFrame, responses: DataFrame | None = None) -> DataFr
         F.struct(F.lit(PAGE_DATA).alias("source"), page_data_text("html").alias("payload")),
         F.struct(F.lit(CACHE_STATE).alias("source"), cache_state_text("html").alias("payload")),
     )
-    out = pages.select("page_id", F.explode(parts).alias("_p")).select("page_id", "_p.*")
+    out = pages.select("page_id", F.explode_outer(parts).alias("_p")).select("page_id", "_p.*")
     if responses is not None:
         out = out.unionByName(
             responses.select("page_id", F.lit(CAPTURED).alias("source"), F.col("body").alias("payload"))

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statlake.functions.jsontext import first_filled, is_list, list_items, text_map
+from statlake.functions.jsontext import first_filled, is_list, is_object, list_items, text_map
 from statlake.functions.text import DEFAULT_CATEGORY, cell_text, text_or_null
 
 # The field names under which a stat entry may hold each part, in order.
@@ -27,6 +27,15 @@ STAT_STRUCT = (
 STAT_ARRAY = f"array<{STAT_STRUCT}>"
 
 
+# All fields an entry is read for; others are skipped by the JSON parser.
+ENTRY_STRUCT = "struct<{}>".format(
+    ", ".join(
+        f"{f} string"
+        for f in NAME_FIELDS + VALUE_FIELDS + PERCENTILE_FIELDS + GRADE_FIELDS + CATEGORY_FIELDS
+    )
+)
+
+
 def no_stats() -> Column:
     return F.array().cast(STAT_ARRAY)
 
@@ -43,7 +52,7 @@ def _choose(entry: Column, fields: Sequence[str], falsy_chain: bool) -> Column:
 def stat_from_entry(
     entry: Column, category: Column | None = None, falsy_chain: bool = False
 ) -> Column:
-    """Stat struct from a MAP<STRING, STRING> entry; NULL for an entry without a name."""
+    """Stat struct from an entry struct; NULL for an entry without a name."""
     name = F.coalesce(*[text_or_null(entry[f]) for f in NAME_FIELDS])
     labels = [text_or_null(entry[f]) for f in CATEGORY_FIELDS]
     if category is not None:
@@ -60,13 +69,13 @@ def stat_from_entry(
     )
 
 
-def entry_maps(stats_json: Column) -> Column:
-    """JSON list to ARRAY<MAP<STRING, STRING>>; items that are no objects become NULL."""
-    return F.when(
-        is_list(stats_json),
-        F.coalesce(
-            F.from_json(stats_json, "array<map<string,string>>"),
-            F.transform(list_items(stats_json), text_map),
+def entry_structs(stats_json: Column) -> Column:
+    """JSON list to an array of entry structs; items that are no objects become NULL."""
+    return F.coalesce(
+        F.from_json(stats_json, f"array<{ENTRY_STRUCT}>"),
+        F.transform(
+            list_items(stats_json),
+            lambda item: F.when(is_object(item), F.from_json(item, ENTRY_STRUCT)),
         ),
     )
 
@@ -76,7 +85,8 @@ def stats_from_list(
 ) -> Column:
     """JSON list of entries to the stat array; entries without a name are left out."""
     stats = F.transform(
-        entry_maps(stats_json), lambda e: stat_from_entry(e, category, falsy_chain)
+        F.when(is_list(stats_json), entry_structs(stats_json)),
+        lambda e: stat_from_entry(e, category, falsy_chain),
     )
     return F.coalesce(F.filter(stats, lambda s: s.isNotNull()), no_stats())
 
@@ -112,3 +122,13 @@ def stat_from_cells(cells: Column, category: Column) -> Column:
             category.alias("statistic_category"),
         ),
     )
+
+
+def explode_stats(df: DataFrame, kept: Sequence[str | Column], stats: str) -> DataFrame:
+    """One row per stat of the array, as ``_stat``, with its place as ``stat_pos``.
+
+    The outer form with a filter after it: for the inner form Spark infers a filter on the array
+    and pushes it down to the scan, where it would extract every page a second time.
+    """
+    rows = df.select(*kept, F.posexplode_outer(stats).alias("stat_pos", "_stat"))
+    return rows.where(F.col("_stat").isNotNull())

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from statlake.functions.jsontext import (
-    first_filled,
-    is_filled,
-    is_object,
-    text_map,
-)
+from statlake.functions.jsontext import bind, first_filled, is_object, text_map
 from statlake.functions.text import as_column, text_or_null
-from statlake.operators.extract.entries import no_stats, stat_from_entry, stats_from_json
+from statlake.operators.extract.entries import (
+    ENTRY_STRUCT,
+    no_stats,
+    stat_from_entry,
+    stats_from_json,
+)
 
 # The id of the page-data script and the name the cache state is assigned to.
 PAGE_DATA_ID = "__NEXT_DATA__"
@@ -46,51 +46,45 @@ def page_data_text(html: Column | str) -> Column:
     )
 
 
-def _page_props(doc: Column) -> Column:
-    return F.from_json(doc, "struct<props:struct<pageProps:map<string,string>>>")["props"][
-        "pageProps"
-    ]
-
-
-def page_data_player(props: Column) -> Column:
-    nested = F.get_json_object(props["data"], "$.player")
-    return text_map(first_filled([props["player"], props["playerData"], nested]))
-
-
-def page_data_stats(props: Column, player: Column, falsy_chain: bool = False) -> Column:
-    found = first_filled(
-        [props["stats"], props["playerStats"], player["stats"], player["statistics"]]
-    )
-    return F.when(found.isNull(), no_stats()).otherwise(stats_from_json(found, falsy_chain))
+_PAGE_DOC = """
+    struct<props struct<pageProps struct<
+        player string, playerData string, data struct<player string>,
+        stats string, playerStats string, season string>>,
+    query struct<season string>>
+"""
+_PLAYER = """
+    struct<id string, playerId string, name string, playerName string, season string,
+        stats string, statistics string>
+"""
 
 
 def extract_page_data(doc: Column | str, falsy_chain: bool = False) -> Column:
     """Extraction struct from the text of the page-data script."""
     text = as_column(doc)
-    query_season = F.get_json_object(text, "$.query.season")
 
-    def from_props(props: Column, player: Column) -> Column:
+    def from_player(page: Column, player: Column) -> Column:
+        props = page["props"]["pageProps"]
+        stats = first_filled(
+            [props["stats"], props["playerStats"], player["stats"], player["statistics"]]
+        )
+        known = player.isNotNull()
         return extraction(
-            F.when(player.isNotNull(), F.coalesce(player["id"], player["playerId"], F.lit(""))),
-            F.when(player.isNotNull(), F.coalesce(player["name"], player["playerName"], F.lit(""))),
+            F.when(known, F.coalesce(player["id"], player["playerId"], F.lit(""))),
+            F.when(known, F.coalesce(player["name"], player["playerName"], F.lit(""))),
             F.coalesce(
-                text_or_null(props["season"]), text_or_null(player["season"]), query_season
+                text_or_null(props["season"]),
+                text_or_null(player["season"]),
+                page["query"]["season"],
             ),
-            page_data_stats(props, player, falsy_chain),
+            bind(stats, lambda found: stats_from_json(found, falsy_chain)),
         )
 
-    # Each one-item transform names a parsed map, so that it is parsed once per row and not once
-    # per use.
-    with_player = F.transform(
-        F.array(_page_props(text)),
-        lambda props: F.get(
-            F.transform(
-                F.array(page_data_player(props)), lambda player: from_props(props, player)
-            ),
-            F.lit(0),
-        ),
-    )
-    return F.when(text.isNotNull(), F.get(with_player, F.lit(0)))
+    def from_page(page: Column) -> Column:
+        props = page["props"]["pageProps"]
+        player = first_filled([props["player"], props["playerData"], props["data"]["player"]])
+        return bind(F.from_json(player, _PLAYER), lambda p: from_player(page, p))
+
+    return F.when(text.isNotNull(), bind(F.from_json(text, _PAGE_DOC), from_page))
 
 
 def cache_state_text(html: Column | str) -> Column:
@@ -107,6 +101,9 @@ def cache_state_text(html: Column | str) -> Column:
     return F.when(F.contains(page, F.lit(CACHE_NAME)), F.get(objects, F.lit(0)))
 
 
+_CACHE_ENTRY = ENTRY_STRUCT.replace("struct<", "struct<__typename string, id string, ", 1)
+
+
 def _is_player(entry: Column) -> Column:
     return F.contains(entry["key"], F.lit("Player:")) | (
         entry["fields"]["__typename"].eqNullSafe(F.lit("Player"))
@@ -123,24 +120,26 @@ def extract_cache_state(doc: Column | str, falsy_chain: bool = False) -> Column:
     text = as_column(doc)
     entries = F.transform(
         F.filter(F.map_entries(text_map(text)), lambda e: is_object(e["value"])),
-        lambda e: F.struct(e["key"].alias("key"), text_map(e["value"]).alias("fields")),
+        lambda e: F.struct(
+            e["key"].alias("key"), F.from_json(e["value"], _CACHE_ENTRY).alias("fields")
+        ),
     )
 
     def from_entries(items: Column) -> Column:
-        player = F.try_element_at(F.filter(items, _is_player), F.lit(-1))
-        parts = F.split(player["key"], ":")
         stats = F.transform(
             F.filter(items, _is_stat), lambda e: stat_from_entry(e["fields"], None, falsy_chain)
         )
-        return extraction(
-            F.coalesce(
-                F.when(is_filled(player["fields"]["id"]), player["fields"]["id"]),
-                F.try_element_at(parts, F.lit(-1)),
+        return bind(
+            F.try_element_at(F.filter(items, _is_player), F.lit(-1)),
+            lambda player: extraction(
+                F.coalesce(
+                    text_or_null(player["fields"]["id"]),
+                    F.substring_index(player["key"], ":", -1),
+                ),
+                player["fields"]["name"],
+                F.lit(None),
+                F.coalesce(F.filter(stats, lambda s: s.isNotNull()), no_stats()),
             ),
-            player["fields"]["name"],
-            F.lit(None),
-            F.coalesce(F.filter(stats, lambda s: s.isNotNull()), no_stats()),
         )
 
-    once = F.transform(F.array(entries), from_entries)
-    return F.when(text.isNotNull(), F.get(once, F.lit(0)))
+    return F.when(text.isNotNull(), bind(entries, from_entries))

@@ -1,6 +1,6 @@
 """Queries over the test tables, one or more per operator."""
 
-from statlake.queries import columns, keyed, metrics, planning, progress  # noqa: F401
+from statlake.queries import columns, extraction, keyed, metrics, planning, progress  # noqa: F401
 from statlake.queries.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

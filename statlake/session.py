@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that the operators rely on. Sizes are left to the cluster: AQE coalesces and splits
 # shuffle partitions from the real sizes, and broadcasts only what it has measured to be small.
@@ -52,3 +52,13 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; nothing is created until a job writes there."""
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """Hash rows over all cores where the input has fewer splits than cores, else nothing.
+
+    For costly row work on landed tables of few files. A large table has splits enough and is
+    left as it is, so no shuffle is added there.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *by)
