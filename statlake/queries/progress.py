@@ -68,7 +68,7 @@ FOLD_SQL = f"""
 """
 
 
-def progress_log(spark, sf):
+def log_rows(events):
     """Events as a progress log."""
     key, kind = F.col("event_id"), F.col("event_type")
     op = (
@@ -84,7 +84,7 @@ def progress_log(spark, sf):
     def tagged(tag: str, every: int):
         return F.when(key % every > 0, F.concat(F.lit(tag), key))
 
-    return table(spark, sf, "events").select(
+    return events.select(
         text("user_id").alias("player_id"),
         F.date_format("ts", "yyyy-MM-dd").alias("season"),
         op.alias("op"),
@@ -100,7 +100,7 @@ def progress_log(spark, sf):
 
 
 def folded(spark, sf):
-    return ops.fold_progress(progress_log(spark, sf), time_block("ts", QUARTER_DAY))
+    return ops.fold_progress(log_rows(table(spark, sf, "events")), time_block("ts", QUARTER_DAY))
 
 
 _TIMES = ", ".join(
