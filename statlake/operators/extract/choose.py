@@ -39,7 +39,7 @@ class PageSource:
     as ``column``.
 
     ``needed`` is false for pages an earlier source has already answered; a costly source skips
-    them. Besides ``html`` there is the column ``captured``, the page's best captured response.
+    them. Captured responses are no such source: they are joined once the HTML is gone.
     """
 
     name: str
@@ -61,10 +61,6 @@ def _read_cache_state(df: DataFrame, column: str, needed: Column, falsy: bool) -
     return df.withColumn("_text", text).withColumn(column, extract_cache_state("_text", falsy))
 
 
-def _read_captured(df: DataFrame, column: str, needed: Column, falsy: bool) -> DataFrame:
-    return df.withColumn(column, F.col("captured"))
-
-
 def _read_tables(df: DataFrame, column: str, needed: Column, falsy: bool) -> DataFrame:
     parsed = df.withColumn("_parsed", page_tables("html", needed))
     return parsed.withColumn(column, extract_tables(F.col("_parsed"))).drop("_parsed")
@@ -73,7 +69,6 @@ def _read_tables(df: DataFrame, column: str, needed: Column, falsy: bool) -> Dat
 SOURCES = {
     PAGE_DATA: PageSource(PAGE_DATA, _read_page_data),
     CACHE_STATE: PageSource(CACHE_STATE, _read_cache_state),
-    CAPTURED: PageSource(CAPTURED, _read_captured),
     TABLES: PageSource(TABLES, _read_tables),
 }
 
@@ -99,17 +94,21 @@ def extract_pages(
     """Extract every page from its first source with stats; one row per page.
 
     Adds ``source``, ``extracted`` and ``error``; a page no source can read has the source
-    ``unknown`` and an error.
+    ``unknown`` and an error. The HTML is read where it lies: what is joined with the captured
+    responses is only what was extracted. So a page they answer may have its tables read in vain,
+    which costs less than to shuffle all pages.
     """
-    df = with_captured(pages, responses, falsy_chain)
-    done = F.lit(False)
+    df = pages
+    answered = F.lit(False)
     found = []
     for i, name in enumerate(priority):
-        column = f"_x{i}"
-        df = SOURCES[name].read(df, column, ~done, falsy_chain)
+        column = "captured" if name == CAPTURED else f"_x{i}"
         hit = F.coalesce(F.size(F.col(column)["stats"]), F.lit(0)) > 0
         found.append((name, hit, F.col(column)))
-        done = done | hit
+        if name != CAPTURED:
+            df = SOURCES[name].read(df, column, ~answered, falsy_chain)
+            answered = answered | hit
+    df = with_captured(df.drop("html"), responses, falsy_chain)
     source, extracted = F.lit(UNKNOWN), empty_extraction()
     for name, hit, column in reversed(found):
         source = F.when(hit, name).otherwise(source)
@@ -118,7 +117,7 @@ def extract_pages(
         *[c for c in pages.columns if c != "html"],
         source.alias("source"),
         extracted.alias("extracted"),
-        F.when(~done, NO_SOURCE).alias("error"),
+        F.when(source == UNKNOWN, NO_SOURCE).alias("error"),
     )
 
 

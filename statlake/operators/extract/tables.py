@@ -55,48 +55,58 @@ PAGE_TYPE = T.StructType(
 
 
 class _Node:
-    __slots__ = ("tag", "classes", "class_text", "parent", "children", "order")
-
-    def __init__(self, tag, class_text, parent, order):
-        self.tag, self.class_text, self.parent, self.order = tag, class_text, parent, order
-        self.classes = class_text.split()
-        self.children = []
-
-    def below(self):
-        for child in self.children:
-            if isinstance(child, _Node):
-                yield child
-                yield from child.below()
-
-    def text(self):
-        if self.tag in SILENT_TAGS:
-            return ""
-        return "".join(c.strip() if isinstance(c, str) else c.text() for c in self.children)
-
-    def above(self):
-        node = self.parent
-        while node is not None:
-            yield node
-            node = node.parent
-
-
-class _Tree(HTMLParser):
-    """Open tags nest until closed; a closing tag without an open partner is passed over."""
+    """A tag with the stretch of later tags and of texts that lie inside it."""
+
+    __slots__ = (
+        "tag", "classes", "class_text", "at", "end", "text_at", "text_end", "sibling",
+        "last_heading", "in_body", "in_name_box", "silent",
+    )
+
+    def __init__(self, tag, class_text, parent, at, text_at):
+        self.tag, self.class_text, self.at, self.text_at = tag, class_text, at, text_at
+        self.classes = class_text.split() if class_text else ()
+        self.end = self.text_end = self.last_heading = None
+        if parent is None:
+            self.sibling, self.in_body, self.in_name_box, self.silent = None, False, False, False
+            return
+        self.sibling = parent.last_heading
+        self.in_body = parent.in_body or parent.tag == "tbody"
+        self.in_name_box = parent.in_name_box or NAME_BOX_CLASS in parent.classes
+        self.silent = parent.silent or tag in SILENT_TAGS
+        if tag in HEADINGS:
+            parent.last_heading = self
+
+
+class _Page(HTMLParser):
+    """Tags and texts of a page in document order.
+
+    Open tags nest until closed; a closing tag without an open partner is passed over.
+    """
 
     def __init__(self, html):
         super().__init__(convert_charrefs=True)
-        self.root = self.here = _Node("", "", None, 0)
-        self.count = 0
-        self.pieces = []
+        self.nodes, self.texts, self.pieces = [], [], []
+        self.open = [_Node("", "", None, -1, 0)]
         self.feed(html)
         self.close()
         self._flush()
+        self._shut(0)
 
     def _flush(self):
         if self.pieces:
-            self.here.children.append("".join(self.pieces))
+            if not self.open[-1].silent:
+                self.texts.append("".join(self.pieces).strip())
             self.pieces = []
 
+    def _shut(self, depth):
+        """Close all tags from this depth on."""
+        for node in self.open[depth:]:
+            node.end, node.text_end = len(self.nodes), len(self.texts)
+        del self.open[depth:]
+
+    def updatepos(self, i, j):
+        return j  # line numbers are not needed
+
     def handle_data(self, data):
         self.pieces.append(data)
 
@@ -105,23 +115,31 @@ class _Tree(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         self._flush()
-        self.count += 1
-        node = _Node(tag, dict(attrs).get("class") or "", self.here, self.count)
-        self.here.children.append(node)
-        if tag not in VOID_TAGS:
-            self.here = node
+        class_text = next((v for k, v in attrs if k == "class"), None) or ""
+        node = _Node(tag, class_text, self.open[-1], len(self.nodes), len(self.texts))
+        self.nodes.append(node)
+        self.open.append(node)
+        if tag in VOID_TAGS:
+            self._shut(len(self.open) - 1)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
-        self.handle_endtag(tag)
+        if tag not in VOID_TAGS:
+            self._shut(len(self.open) - 1)
 
     def handle_endtag(self, tag):
         self._flush()
-        for node in (self.here, *self.here.above()):
-            if node.tag == tag and node.parent is not None:
-                self.here = node.parent
+        for depth in range(len(self.open) - 1, 0, -1):
+            if self.open[depth].tag == tag:
+                self._shut(depth)
                 return
 
+    def inside(self, node):
+        return self.nodes[node.at + 1 : node.end]
+
+    def text(self, node):
+        return "".join(self.texts[node.text_at : node.text_end])
+
 
 def _is_section(node):
     return (
@@ -132,60 +150,45 @@ def _is_section(node):
     )
 
 
-def _sibling_heading(node):
-    heading = None
-    for other in node.parent.children:
-        if other is node:
-            break
-        if isinstance(other, _Node) and other.tag in HEADINGS:
-            heading = other
-    return heading.text() if heading else None
-
-
-def _inner_heading(node):
-    for n in node.below():
-        if n.tag in HEADINGS or INNER_HEADING_CLASS in n.classes:
-            return n.text()
-    return None
-
-
-def _in_body(row):
-    return any(n.tag == "tbody" for n in row.above())
-
-
-def _cell_rows(table):
-    rows = [n for n in table.below() if n.tag == "tr"]
-    marked = [r for r in rows if ROW_CLASS in r.classes or _in_body(r)]
-    return [[c.text() for c in r.below() if c.tag == "td"] for r in marked or rows[1:]]
+def _is_inner_heading(node):
+    return node.tag in HEADINGS or INNER_HEADING_CLASS in node.classes
 
 
 def _is_name(node):
     return node.tag == "h1" and (
-        not NAME_CLASSES.isdisjoint(node.classes)
-        or any(NAME_BOX_CLASS in n.classes for n in node.above())
+        node.in_name_box or not NAME_CLASSES.isdisjoint(node.classes)
     )
 
 
+def _cell_rows(page, table):
+    rows = [n for n in page.inside(table) if n.tag == "tr"]
+    marked = [r for r in rows if r.in_body or ROW_CLASS in r.classes]
+    return [
+        [page.text(c) for c in page.inside(r) if c.tag == "td"] for r in marked or rows[1:]
+    ]
+
+
 def read_page(html):
     """Sections, name and table counts of one page, as plain values."""
-    nodes = list(_Tree(html).root.below())
+    page = _Page(html)
     sections = []
-    for node in filter(_is_section, nodes):
-        inside = (n for n in node.below() if n.tag == "table")
-        table = node if node.tag == "table" else next(inside, None)
+    for node in filter(_is_section, page.nodes):
+        tables = [node] if node.tag == "table" else page.inside(node)
+        table = next((n for n in tables if n.tag == "table"), None)
+        inner = next(filter(_is_inner_heading, page.inside(node)), None)
         sections.append(
             {
-                "node": table.order if table else None,
-                "sibling": _sibling_heading(node),
-                "inner": _inner_heading(node),
-                "rows": _cell_rows(table) if table else [],
+                "node": table.at if table else None,
+                "sibling": page.text(node.sibling) if node.sibling else None,
+                "inner": page.text(inner) if inner else None,
+                "rows": _cell_rows(page, table) if table else [],
             }
         )
-    tables = [n for n in nodes if n.tag == "table"]
+    tables = [n for n in page.nodes if n.tag == "table"]
     return {
-        "player_name": next((n.text() for n in nodes if _is_name(n)), None),
+        "player_name": next((page.text(n) for n in page.nodes if _is_name(n)), None),
         "tables": len(tables),
-        "body_rows": sum(_in_body(n) for t in tables for n in t.below() if n.tag == "tr"),
+        "body_rows": sum(n.tag == "tr" and n.in_body for t in tables for n in page.inside(t)),
         "sections": sections,
     }
 

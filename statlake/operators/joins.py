@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from statlake.functions.seasons import FIRST_SEASON, LAST_SEASON, long_season, season_key
 from statlake.functions.urls import DEFAULT_BASE, build_profile_url
+from statlake.operators.ordered import with_keys
 from statlake.operators.progress import PROGRESS_KEY, is_completed
 
 
@@ -21,7 +22,7 @@ def skip_completed(
     them. Spark broadcasts the completed keys if it finds them small, else it joins by shuffle
     and splits hot keys (AQE).
     """
-    done = progress.where(is_completed()).select(*keys).dropna().distinct()
+    done = with_keys(progress.where(is_completed()), keys).select(*keys).distinct()
     no_key = F.lit(False)
     for k in keys:
         no_key = no_key | F.col(k).isNull() | (F.col(k).cast("string") == "")

@@ -26,6 +26,13 @@ def check_order(order_by: Sequence[str]) -> None:
         raise ValueError("order_by must name at least one column")
 
 
+def with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows with all key columns. (``dropna`` means the same but is not pushed to the scan.)"""
+    for key in keys:
+        df = df.where(F.col(key).isNotNull())
+    return df
+
+
 def order_struct(order_by: Sequence[str]) -> Column:
     """The order as one comparable value."""
     check_order(order_by)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from statlake.functions.text import iso_time
 from statlake.functions.urls import url_key
-from statlake.operators.ordered import order_struct, running
+from statlake.operators.ordered import order_struct, running, with_keys
 
 PROGRESS_KEY = ["player_id", "season"]
 
@@ -100,7 +100,7 @@ def fold_progress(
         )
     }
     log = (
-        events.dropna(subset=PROGRESS_KEY)
+        with_keys(events, PROGRESS_KEY)
         .select(*PROGRESS_KEY, "op", *order_by, *EVENT_FIELDS)
         .withColumns({**state_nulls, "_age": F.lit(1)})
     )
@@ -227,7 +227,7 @@ def item_count(stats: Column | None = None) -> Column:
 
 def is_completed(status: Column | str = "status") -> Column:
     c = F.col(status) if isinstance(status, str) else status
-    return F.coalesce(c == SUCCESS, F.lit(False))
+    return c.eqNullSafe(F.lit(SUCCESS))
 
 
 def is_pending(status: Column | str = "status", attempts: Column | str = "attempts") -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statlake.functions.text import strip
-from statlake.operators.ordered import check_order, order_struct
+from statlake.operators.ordered import check_order, order_struct, with_keys
 
 # Key and column groups of the stat table. Identity columns keep the first value
 # seen for a key, measure columns take the last one, NULL included.
@@ -93,7 +93,7 @@ def upsert_into(
 
 def upsert_stats(rows: DataFrame, order_by: Sequence[str]) -> DataFrame:
     """The stat table: one row per player, season and statistic."""
-    valid = rows.dropna(subset=STAT_KEY)
+    valid = with_keys(rows, STAT_KEY)
     return partial_upsert(valid, STAT_KEY, order_by, STAT_IDENTITY, STAT_MEASURES)
 
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statlake.functions.seasons import (
+    FIRST_MONTH,
     FIRST_SEASON,
     LAST_SEASON,
     long_season,
@@ -64,6 +67,14 @@ def seasons_between(start: Column | str, end: Column | str) -> Column:
     return F.transform(years, short_season)
 
 
+def season_list(start: str, end: str) -> list[str]:
+    """The same seasons for two given days, as literals for a filter."""
+    first, last = (
+        d.year - (d.month < FIRST_MONTH) for d in map(datetime.date.fromisoformat, (start, end))
+    )
+    return [f"{y}-{(y + 1) % 100:02d}" for y in range(first, last + 1)]
+
+
 def all_seasons(
     spark: SparkSession, first: int = FIRST_SEASON, last: int = LAST_SEASON
 ) -> DataFrame:

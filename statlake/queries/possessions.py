@@ -10,6 +10,7 @@ from statlake.operators.possessions import (
     with_previous_timeouts,
 )
 from statlake.queries.registry import query, table, text
+from statlake.session import spread
 
 
 def games(spark, sf):
@@ -45,7 +46,7 @@ def games(spark, sf):
             F.transform(upto((key + i) % 3), lambda j: event(i, j)).alias("events"),
         )
 
-    return table(spark, sf, "orders").select(
+    return spread(table(spark, sf, "orders"), "o_orderkey").select(
         key.alias("game_id"), F.transform(upto(key % 4), possession).alias("possessions")
     )
 

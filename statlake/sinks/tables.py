@@ -29,14 +29,22 @@ def write_bronze(
     A run owns its folder, so a repeated run replaces its own rows and adds none twice.
     """
     path = f"{root}/{dataset}/run_ts={run_ts}"
-    if df.isEmpty():
-        return WriteResult(dataset, path, 0, False)
     if dry_run:
         return WriteResult(dataset, path, df.count(), False)
+    # Counted while it is written: a test for emptiness first would run most of the plan twice.
     seen = Observation(f"bronze_{dataset}")
-    observed = df.observe(seen, F.count(F.lit(1)).alias("n"))
-    observed.write.mode("overwrite").parquet(path)
-    return WriteResult(dataset, path, seen.get["n"], True)
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+    rows = seen.get["n"]
+    if rows == 0:
+        _remove(df, path)
+    return WriteResult(dataset, path, rows, rows > 0)
+
+
+def _remove(df: DataFrame, path: str) -> None:
+    """Remove the folder an empty write has just left."""
+    spark = df.sparkSession
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:

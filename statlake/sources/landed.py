@@ -11,7 +11,7 @@ from statlake.operators.extract.captured import capture_json
 from statlake.operators.joins import only_listed
 from statlake.operators.possessions import POSSESSION_SCHEMA
 from statlake.operators.upsert import keep_first, lower_columns
-from statlake.plans.windows import seasons_between
+from statlake.plans.windows import season_list
 
 PAGE_SCHEMA = "page_id bigint, url string, html string"
 RESPONSE_SCHEMA = (
@@ -24,6 +24,17 @@ def read_games(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return lower_columns(spark.read.format(fmt).load(path))
 
 
+def _in_range(df: DataFrame, column: str, start: str, end: str) -> Column:
+    """The column between two days, said in its own type so that the scan can use it."""
+    kind = dict(df.dtypes)[column]
+    c, first, last = F.col(column), F.lit(start).cast("date"), F.lit(end).cast("date")
+    if kind.startswith("timestamp"):
+        return (c >= first.cast(kind)) & (c < F.date_add(last, 1).cast(kind))
+    if kind == "string":
+        return c.substr(1, 10).between(start, end)
+    return c.between(first, last)
+
+
 def games_between(
     games: DataFrame, start: str, end: str, seasons: list[str] | None = None,
     date_col: str = "game_date", season_col: str = "season",
@@ -34,13 +45,8 @@ def games_between(
     The season filter follows from the dates but Catalyst cannot know that; said here, it prunes
     the season partitions.
     """
-    date = F.col(date_col).cast("date")
-    wanted = (
-        F.col(season_col).isin(seasons)
-        if seasons is not None
-        else F.array_contains(seasons_between(F.lit(start), F.lit(end)), F.col(season_col))
-    )
-    rows = games.where(wanted & date.between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    wanted = F.col(season_col).isin(season_list(start, end) if seasons is None else seasons)
+    rows = games.where(wanted & _in_range(games, date_col, start, end))
     return keep_first(rows, ["game_id"], list(order_by)) if "game_id" in games.columns else rows
 
 
@@ -85,7 +91,3 @@ def register_reader(name: str, reader: Callable[..., DataFrame]) -> None:
 def read(spark: SparkSession, name: str, path: str, **options) -> DataFrame:
     return READERS[name](spark, path, **options)
 
-
-def season_filter(season: Column, start: Column, end: Column) -> Column:
-    """True for seasons that overlap the range."""
-    return F.array_contains(seasons_between(start, end), season)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from statlake.operators.ordered import order_struct
+from statlake.operators.ordered import order_struct, with_keys
 from statlake.streaming.deltas import BATCH, read_deltas, write_delta
 
 
@@ -47,7 +47,7 @@ def start_upserts(
     files and any split into batches give the same table."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        valid = batch.dropna(subset=list(keys))
+        valid = with_keys(batch, keys)
         write_delta(_summarize(valid, keys, order_by, first_wins, last_wins), path, batch_id)
 
     return (
