@@ -13,7 +13,17 @@ MISSING_NUMBER = "00000"
 # The known grades.
 GRADES = ["A+", "A", "A-", "B+", "B", "B-", "C+", "C", "C-", "D+", "D", "D-", "F"]
 
-_DIGITS = r"[0-9]+(?:_[0-9]+)*"
+# Possessive throughout: no backtracking over long runs of digits, and the engine loops over the
+# group instead of recursing, so that no text can make it slow or exhaust the stack.
+_DIGITS = r"[0-9]++(?:_[0-9]++)*+"
+_NUMBER = "00000"
+
+# The known grades.
+GRADES = ["A+", "A", "A-", "B+", "B", "B-", "C+", "C", "C-", "D+", "D", "D-", "F"]
+
+# The repeated group is possessive: the regex engine then loops over it instead of recursing, so
+# that very long digit texts cannot exhaust the stack.
+_DIGITS = r"[0-9]+(?:_[0-9]+)*+"
 _NUMBER = rf"([+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?)"
 
 # The functions below name their argument as few times as they can: an argument is often itself

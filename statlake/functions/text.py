@@ -32,8 +32,9 @@ def as_column(c: Column | str) -> Column:
 
 def strip(c: Column | str) -> Column:
     """Strip all Unicode white space at both ends (``trim`` knows the blank only)."""
+    # The look-behind lets a run of white space be tried from its start only.
     return F.regexp_replace(
-        as_column(c).cast("string"), rf"(?U)\A{SPACE}+|{SPACE}+\z", ""
+        as_column(c).cast("string"), rf"(?U)\A{SPACE}++|(?<!{SPACE}){SPACE}++\z", ""
     )
 
 

@@ -92,9 +92,11 @@ def order_pages(spark, sf):
     )
 
 
-def order_responses(spark, sf, every: int = 5, place: int = 2):
-    """Three captured responses for the pages at one place: no stats, two, and two again."""
-    orders = _orders(spark, sf).where(F.col("o_orderkey") % every == place)
+def order_responses(spark, sf, everywhere: bool = False):
+    """Three captured responses for each page: no stats, two, and two again. Unless
+    ``everywhere``, only the pages with ``o_orderkey % 5 = 2`` have stats in theirs."""
+    here = F.lit(everywhere) | (F.col("o_orderkey") % 5 == 2)
+    empty = F.lit('{"stats":[]}')
 
     def body(name: str) -> Column:
         return _join(
@@ -105,11 +107,11 @@ def order_responses(spark, sf, every: int = 5, place: int = 2):
 
     responses = F.array(
         *[
-            F.struct(F.lit(i + 1).alias("seq"), b.alias("body"))
-            for i, b in enumerate([F.lit('{"stats":[]}'), body("Price"), body("Late")])
+            F.struct(F.lit(i + 1).alias("seq"), F.when(here, b).otherwise(empty).alias("body"))
+            for i, b in enumerate([empty, body("Price"), body("Late")])
         ]
     )
-    return orders.select(
+    return _orders(spark, sf).select(
         F.col("o_orderkey").alias("page_id"), F.explode(responses).alias("_r")
     ).select("page_id", "_r.seq", _join("https://h/api/", F.col("page_id")).alias("url"), "_r.body")
 
@@ -188,7 +190,7 @@ def extract_cache_state_query(spark, sf):
     _stats_sql("TRUE", _CAPTURED_ROWS, "player_id, player_name, CAST(NULL AS VARCHAR) AS season"),
 )
 def extract_captured_query(spark, sf):
-    best = captured.best_captured(order_responses(spark, sf, 1, 0))
+    best = captured.best_captured(order_responses(spark, sf, everywhere=True))
     return _flat(best.withColumnRenamed("captured", "x"))
 
 
@@ -351,7 +353,7 @@ def inspect_report(spark, sf):
     SELECT o_orderkey AS page_id, 'html' AS source FROM orders
     UNION ALL SELECT o_orderkey, 'next_data' FROM orders WHERE o_orderkey % 5 = 0
     UNION ALL SELECT o_orderkey, 'apollo_state' FROM orders WHERE o_orderkey % 5 < 2
-    UNION ALL SELECT o_orderkey, 'xhr_json' FROM orders, range(3) WHERE o_orderkey % 5 = 2
+    UNION ALL SELECT o_orderkey, 'xhr_json' FROM orders, range(3)
     """,
 )
 def raw_payloads(spark, sf):

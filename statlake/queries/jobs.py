@@ -60,10 +60,12 @@ _PAGES_SQL = """
 
 
 def _crawl(spark, sf):
-    """A run over the first half of the pages, then one over all of them that skips what is done."""
+    """A run in which pages with odd keys come without their content, then one over all pages that
+    skips what is done."""
     pages, responses = order_pages(spark, sf), order_responses(spark, sf)
+    partly = F.when(F.col("page_id") % 2 == 0, F.col("html")).otherwise("<p>loading</p>")
     first = run_crawl(
-        spark, pages.where(F.col("page_id") % 2 == 0), scratch_dir(spark, "crawl1"),
+        spark, pages.withColumn("html", partly), scratch_dir(spark, "crawl1"),
         "2024-01-01 07:00:00", responses,
     )
     progress = spark.read.parquet(first.progress)
@@ -79,16 +81,16 @@ def _crawl(spark, sf):
     )
 
 
-# The state after both runs, as plain SQL. A page gives a completed event if it has stats; run one
-# takes even keys, run two the pages of player seasons that run one did not leave as success.
+# The events of both runs, as plain SQL. A page gives a completed event if it has stats; in run one
+# the odd keys have none unless they were captured; run two takes the pages of player seasons that
+# run one did not leave as success.
 _EVENTS_SQL = f"""
     p AS ({_PAGES_SQL}),
-    e1 AS (SELECT *, 1 AS run, row_number() OVER (PARTITION BY player_id, season ORDER BY k DESC) AS down
-           FROM p WHERE k % 2 = 0),
-    s1 AS (SELECT player_id, season, v < 4 AS ok FROM e1 WHERE down = 1),
+    e1 AS (SELECT * REPLACE (CASE WHEN k % 2 = 0 OR v = 2 THEN v ELSE 4 END AS v), 1 AS run FROM p),
+    s1 AS (SELECT player_id, season, max_by(v, k) < 4 AS ok FROM e1 GROUP BY 1, 2),
     e2 AS (SELECT p.*, 2 AS run FROM p WHERE NOT EXISTS (
            SELECT 1 FROM s1 WHERE ok AND s1.player_id = p.player_id AND s1.season = p.season)),
-    e AS (SELECT * EXCLUDE (down) FROM e1 UNION ALL SELECT * FROM e2)
+    e AS (SELECT * FROM e1 UNION ALL SELECT * FROM e2)
 """
 
 

@@ -55,3 +55,12 @@ def start_progress(
 def read_progress(spark: SparkSession, path: str) -> DataFrame:
     """One current row per key."""
     return _latest(read_deltas(spark, path))
+
+
+def compact_progress(spark: SparkSession, path: str, into: str) -> None:
+    """Fold all folders into one at a new path, under the last batch number.
+
+    The stream goes on from its checkpoint with the new path.
+    """
+    deltas = read_deltas(spark, path)
+    write_delta(_latest(deltas), into, deltas.agg(F.max(BATCH)).first()[0])

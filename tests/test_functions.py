@@ -62,6 +62,12 @@ def test_stat_value(spark):
     check(spark, numbers.stat_value("x"), VALUES)
 
 
+def test_long_texts(spark):
+    check(spark, numbers.stat_value("x"), [("1" + "_1" * 50_000 + "x", 1.0), ("9" * 1_000 + "z", float("inf"))])
+    check(spark, text.strip("x"), [(" " * 50_000 + "a" + " " * 50_000 + "b ", "a" + " " * 50_000 + "b")])
+    check(spark, text.player_name("x"), [("a-" * 20_000, "A-" * 20_000)])
+
+
 def test_grade(spark):
     check(spark, numbers.grade("x"), GRADES)
     known = [g for g in numbers.GRADES]

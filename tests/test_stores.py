@@ -158,13 +158,16 @@ def test_stream_progress_equals_brute_force_after_restart(spark, tmp_path):
     rows = [tuple(e.values()) for e in log]
     path, out = str(tmp_path / "in"), str(tmp_path / "out")
 
-    def run():
+    def run():  # reads the current ``out``
         stream = spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", 1).option("latestFirst", False).parquet(path)
         progress.start_progress(stream, out, str(tmp_path / "cp"), lambda: time_block("ts", 7)).awaitTermination()
 
     for part in (slice(0, 30), slice(30, 60), slice(60, 90)):
         write_files(spark, rows, EVENT_SCHEMA, path, [part])
         run()
+        compacted = f"{out}-{part.start}"
+        progress.compact_progress(spark, out, compacted)
+        out = compacted
     assert fold_rows(progress.read_progress(spark, out)) == brute_fold(log)
 
 
