@@ -6,6 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from statlake.llm.exact import exact_groups
+from statlake.llm.secrets import base_only, count_of, find_secrets, span_text
 from statlake.llm.token_counts import count_tokens
 
 QUERIES = {}
@@ -27,3 +29,32 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = count_tokens(docs, public_tokenizers.path("word_bpe_49k.json"))
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+@query
+def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the one of its equals that stays."""
+    return exact_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+ORACLES["op8_exact_dedup"] = """
+    SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+           doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+    FROM documents
+    WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+
+@query
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document."""
+    found = find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    spans = F.col("spans")
+    return found.select(
+        "doc_id",
+        count_of(spans, "assign").alias("n_assign"),
+        count_of(spans, "access").alias("n_access"),
+        count_of(spans, "hex").alias("n_hex"),
+        F.sha2(span_text(base_only(spans)), 256).alias("base_sha256"),
+        span_text(spans).alias("spans"),
+    )
