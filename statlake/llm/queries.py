@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statlake.llm.exact import exact_groups
+from statlake.llm.pieces import encode_pieces
 from statlake.llm.secrets import base_only, count_of, find_secrets, span_text
 from statlake.llm.token_counts import count_tokens
 
@@ -31,6 +32,14 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+@query
+def op7_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document, and what they decode to."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = encode_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return encoded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 @query
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the one of its equals that stays."""
