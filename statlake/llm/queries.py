@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from statlake.llm.exact import exact_groups
 from statlake.llm.pieces import encode_pieces
 from statlake.llm.secrets import base_only, count_of, find_secrets, span_text
+from statlake.llm.substrings import remove_substrings
 from statlake.llm.token_counts import count_tokens
 
 QUERIES = {}
@@ -32,6 +33,13 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+@query
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without windows of 20 words that start earlier."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_substrings(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 @query
 def op7_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every document, and what they decode to."""
