@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from statlake.llm.decontaminate import find_contamination, is_contaminated
 from statlake.llm.exact import exact_groups
 from statlake.llm.pieces import encode_pieces
 from statlake.llm.secrets import base_only, count_of, find_secrets, span_text
@@ -33,6 +34,21 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+@query
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of every document occurs in benchmark items."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_contamination(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        is_contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
+    )
+
+
 @query
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without windows of 20 words that start earlier."""
