@@ -16,6 +16,7 @@ column of their names.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -176,7 +177,7 @@ def item_blocks(items: DataFrame, item_id: str, text: str, size: int) -> list[li
     return blocks
 
 
-AUTOMATA = Cache(8)  # of this worker, by broadcast
+AUTOMATA = Cache(8)  # of this worker, by the name of the block
 
 
 def find_contamination(
@@ -190,7 +191,10 @@ def find_contamination(
 ) -> DataFrame:
     """``docs`` with n_words, n_hit, items (ids that occur, sorted) and hits (spans of words)."""
     context = docs.sparkSession.sparkContext
-    blocks = [context.broadcast(b) for b in item_blocks(items, item_id, item_text, block_words)]
+    blocks = [
+        context.broadcast((uuid.uuid4().hex, block))
+        for block in item_blocks(items, item_id, item_text, block_words)
+    ]
     names = ("n_words", "n_hit", "items", "hits")
     kind = "struct<n_words:long,n_hit:long,items:array<string>,hits:array<struct<start:int,end:int>>>"
 
@@ -198,10 +202,11 @@ def find_contamination(
     def found(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         automata = []
         for block in blocks:
-            if block.id not in AUTOMATA:
+            name, rows = block.value
+            if name not in AUTOMATA:
                 AUTOMATA.room(1)
-                AUTOMATA[block.id] = ItemAutomaton(block.value, window)
-            automata.append(AUTOMATA[block.id])
+                AUTOMATA[name] = ItemAutomaton(rows, window)
+            automata.append(AUTOMATA[name])
         for batch in batches:
             rows = []
             for value in batch.tolist():
