@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from statlake.llm.decontaminate import find_contamination, is_contaminated
 from statlake.llm.exact import exact_groups
+from statlake.llm.languages import held_out, identify, learn
 from statlake.llm.pieces import encode_pieces
 from statlake.llm.secrets import base_only, count_of, find_secrets, span_text
 from statlake.llm.substrings import remove_substrings
@@ -56,6 +57,15 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_substrings(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learnt from those that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = learn(docs.where(~held_out(F.col("doc_id"))))
+    docs = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
+    return identify(docs, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
 @query
 def op7_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every document, and what they decode to."""
