@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from statlake.llm.decontaminate import find_contamination, is_contaminated
 from statlake.llm.exact import exact_groups
 from statlake.llm.languages import held_out, identify, learn
+from statlake.llm.near import near_classes
 from statlake.llm.pieces import encode_pieces
 from statlake.llm.secrets import base_only, count_of, find_secrets, span_text
 from statlake.llm.substrings import remove_substrings
@@ -57,6 +58,12 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_substrings(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+@query
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document."""
+    return near_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learnt from those that are not held out."""

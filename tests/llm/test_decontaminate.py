@@ -1,18 +1,11 @@
 import random
-import re
 
 import pytest
 from pyspark.sql import functions as F
+from word_rule import split
 
 from statlake.llm.decontaminate import ItemAutomaton, find_contamination, without_spans, words_of
 
-WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-
-
-def split(text):
-    return WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
-
-
 def brute(text, items, window):
     words = split(text)
     hit, found = set(), set()
