@@ -6,9 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from statlake.llm import licenses, lines
 from statlake.llm.decontaminate import find_contamination, is_contaminated
 from statlake.llm.exact import exact_groups
 from statlake.llm.languages import held_out, identify, learn
+from statlake.llm.licenses import find_licenses
+from statlake.llm.lines import drop_boilerplate
 from statlake.llm.near import near_classes
 from statlake.llm.pieces import encode_pieces
 from statlake.llm.secrets import base_only, count_of, find_secrets, span_text
@@ -58,6 +61,17 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_substrings(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+@query
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page without the lines that its host repeats."""
+    kept = drop_boilerplate(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    digest = F.sha2(F.array_join("lines", "\n"), 256).alias("kept_sha256")
+    return kept.select("page_id", "host", "n_lines", "n_dropped", digest)
+
+
+ORACLES["op4_line_dedup"] = lines.oracle_sql()
+
+
 @query
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate class of every document."""
@@ -108,3 +122,19 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(span_text(base_only(spans)), 256).alias("base_sha256"),
         span_text(spans).alias("spans"),
     )
+
+
+@query
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences that every document names or holds."""
+    found = find_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    names = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["name"])))
+    return found.select(
+        "doc_id",
+        F.size("matches").cast("long").alias("n_matches"),
+        F.round(F.coalesce(F.array_max("matches")["score"], F.lit(0.0)), 6).alias("best_score"),
+        F.array_join(names, ",").alias("licenses"),
+    )
+
+
+ORACLES["op10_license_scan"] = licenses.oracle_sql()
