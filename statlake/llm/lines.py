@@ -8,7 +8,8 @@ average), so it is joined to the pages by host as one value, and Spark splits a
 Cases: a NULL URL or one without a host has the host ''; a NULL or empty page has no lines. A line that
 a page repeats counts once for it and is dropped at all its places. Pages of hosts with fewer than
 ``min_pages`` pages with a line keep it. Rows are pages, so repeated rows count as pages. An empty table
-gives an empty result. Other columns are kept; columns named host or lines are replaced.
+gives an empty result. Other columns are kept; columns named host, lines, n_lines or n_dropped are
+replaced, and one named common goes.
 """
 
 from __future__ import annotations
@@ -59,10 +60,10 @@ def drop_boilerplate(
 ) -> DataFrame:
     """``pages`` without the HTML, with host, n_lines, lines (those kept) and n_dropped."""
     parsed = pages.withColumn("host", host_of(F.col(url))).withColumn("lines", lines_of(F.col(html)))
-    parsed = parsed.drop(html)
+    parsed = parsed.drop(html, "common", "n_lines", "n_dropped")
     common = boilerplate(parsed.select("host", "lines"), ratio, min_pages)
     kept = F.filter("lines", lambda line: ~F.array_contains(F.col("common"), line))
-    joined = parsed.drop("common").join(common, "host", "left")
+    joined = parsed.join(common, "host", "left").select(*parsed.columns, "common")
     return (
         joined.withColumn("n_lines", F.size("lines").cast("long"))
         .withColumn("lines", F.when(F.col("common").isNull(), F.col("lines")).otherwise(kept))

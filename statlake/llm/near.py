@@ -4,7 +4,9 @@
    the number of texts with each shingle is counted over the whole corpus.
 2. What a bucket knows goes to groups of texts: the shingles that several texts have, with their
    frequencies; of all others, which cannot be shared, only the number. A shingle weighs its number in
-   the text times ln((1 + N) / (1 + df)) + 1, with df to the nearest eighth of a power of two.
+   the text times 1 + ``IDF_SHARE`` * ln((1 + N) / (1 + df)) / ln(2 + N), with df to the nearest eighth of
+   a power of two. The weights of rare and frequent shingles are thus within a factor of 1.5: with more,
+   the texts of a large group of near copies would lose similarity by the group's own size.
 3. A text can be as similar as ``threshold`` to another only if shared shingles have that part of its
    weight; the others are done. For the rest, improved consistent weighted samples are drawn, with all
    shingles of its own as one element (the chance to be drawn is the same), and banded.
@@ -50,6 +52,7 @@ from statlake.llm.window_exchange import bucket_count, bucket_of, equal_runs, pa
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 20, 5
+IDF_SHARE = 0.5
 KEPT_BYTES = 8  # 32 bits of the hash, and how often the text has the shingle
 PAIR_BYTES = 6  # of a shingle's hash, to compare two texts by
 NO_ID = np.iinfo(np.int64).min
@@ -83,7 +86,8 @@ def frequency_codes(df: np.ndarray) -> np.ndarray:
 
 
 def weights_of_codes(texts: int) -> np.ndarray:
-    return np.log((1 + texts) / (1 + 2 ** (np.arange(256) / 8))).clip(0) + 1
+    idf = np.log((1 + texts) / (1 + 2 ** (np.arange(256) / 8))) / np.log(2 + texts)
+    return 1 + IDF_SHARE * idf.clip(0)
 
 
 def count_texts(groups: int):

@@ -22,8 +22,9 @@ def brute_links(rows, threshold=0.8):
             last = max(len(words) - 4, 1)
             sets[i] = Counter(tuple(words[k : k + 5]) for k in range(last))
     df = Counter(s for own in sets.values() for s in own)
-    idf = {n: math.log((1 + len(rows)) / (1 + 2 ** (round(8 * math.log2(n)) / 8))) for n in set(df.values())}
-    weight = {i: {s: n * (max(idf[df[s]], 0) + 1) for s, n in own.items()} for i, own in sets.items()}
+    near = {n: 2 ** (round(8 * math.log2(n)) / 8) for n in set(df.values())}
+    idf = {n: math.log((1 + len(rows)) / (1 + x)) / math.log(2 + len(rows)) for n, x in near.items()}
+    weight = {i: {s: n * (1 + max(idf[df[s]], 0) / 2) for s, n in own.items()} for i, own in sets.items()}
     total = {i: sum(w.values()) for i, w in weight.items()}
     holders = defaultdict(list)
     for i, own in sets.items():
