@@ -11,8 +11,10 @@
    weight; the others are done. For the rest, improved consistent weighted samples are drawn, with all
    shingles of its own as one element (the chance to be drawn is the same), and banded.
 4. In each band, every text is compared with one text of those of equal value, chosen by a hash of band
-   and text. Texts that turn out not to be similar to it go on among themselves, until none are left. So
-   a group of n copies takes n comparisons in a band, and a hot group is split over tasks.
+   and text. Texts that turn out not to be similar to it go on among themselves, with more texts to compare
+   with in each round, until none are left. So a group of n copies takes n comparisons in a band, and a hot
+   group is split over tasks. A pair whose 100 samples agree too seldom (``SLACK`` below the threshold, more
+   than three deviations) is passed over; all others are compared shingle by shingle.
 5. Verified links are joined into classes.
 
 At similarity 0.8 a pair shares none of the 20 bands of 5 samples with probability 0.0004; then it is
@@ -30,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from statlake.llm.components import components
@@ -53,6 +55,8 @@ from statlake.llm.window_exchange import bucket_count, bucket_of, equal_runs, pa
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 20, 5
 IDF_SHARE = 0.5
+SLACK = 0.15
+FEW_HEADS, MORE_HEADS = 16, 4  # texts to compare with in the second round, and their growth
 KEPT_BYTES = 8  # 32 bits of the hash, and how often the text has the shingle
 PAIR_BYTES = 6  # of a shingle's hash, to compare two texts by
 NO_ID = np.iinfo(np.int64).min
@@ -185,15 +189,17 @@ def sample_texts(n_texts: int, threshold: float):
             keys = np.insert(key, ends[own], mixed(mixed(texts[chosen[own]].view(np.uint64)) + np.uint64(1)))
             weights = np.insert(weight, ends[own], alone[chosen[own]])
             more = np.cumsum(np.r_[0, (alone[chosen] > 0)[:-1]]).astype(np.int64)
-            bands = band_values(samples(keys, weights, starts + more, BANDS * ROWS), ROWS)
+            drawn = samples(keys, weights, starts + more, BANDS * ROWS)
         else:
-            bands = np.zeros((0, BANDS), np.int64)
+            drawn = np.zeros((0, BANDS * ROWS), np.uint64)
+        bands = band_values(drawn, ROWS)
         return pa.table(
             {
                 "id": pa.array(texts[chosen], pa.int64()),
                 "bands": pa.FixedSizeListArray.from_arrays(pa.array(bands.ravel()), BANDS).cast(
                     pa.list_(pa.int64())
                 ),
+                "signature": pa.array([row.tobytes() for row in drawn.astype(np.uint8)], pa.binary()),
                 "weight": pa.array(total, pa.float64()),
                 "packed": pa.array(packed, pa.binary()),
             }
@@ -240,32 +246,43 @@ def verified(pairs: DataFrame, sampled: DataFrame, n_texts: int) -> DataFrame:
     return both.select("a", "b", compare("pa", "wa", "pb", "wb").alias("similarity"))
 
 
+def promising(pairs: DataFrame, sampled: DataFrame, least: float) -> DataFrame:
+    """The pairs of ids whose samples agree in the part ``least`` or more."""
+
+    @F.pandas_udf("boolean")
+    def agree(a: pd.Series, b: pd.Series) -> pd.Series:
+        x, y = (np.frombuffer(b"".join(c), np.uint8).reshape(len(c), -1) for c in (a, b))
+        return pd.Series((x == y).mean(axis=1) >= least) if len(a) else pd.Series([], dtype=bool)
+
+    of = lambda x: sampled.select(F.col("id").alias(x), F.col("signature").alias(f"s{x}"))
+    both = pairs.join(of("b"), "b").join(of("a"), "a")
+    return both.where(agree("sa", "sb")).select("a", "b")
+
+
 def links_of(sampled: DataFrame, n_texts: int, threshold: float) -> DataFrame:
     """(a, b) of the texts found similar, a < b."""
     members = sampled.select(F.explode("bands").alias("value"), "id")
-    found, tested = None, None
+    links, n_heads = None, 1
+    order = Window.partitionBy("value").orderBy(F.xxhash64("value", "id"), "id")
     while True:
-        first = F.min(F.struct(F.xxhash64("value", "id").alias("order"), F.col("id").alias("id")))
-        heads = members.groupBy("value").agg(first["id"].alias("head"), F.count("*").alias("n"))
-        heads = heads.where("n > 1").select("value", "head")
-        compared = scratch_table(
-            members.join(heads, "value")
-            .where("id <> head")
-            .select("value", "id", F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")),
-            "compared",
+        heads = members.withColumn("place", F.row_number().over(order)).where(F.col("place") <= n_heads)
+        heads = scratch_table(heads.select("value", F.col("id").alias("head")), "heads")
+        compared = members.join(heads, "value").where("id <> head")
+        compared = compared.select(
+            "value", "id", F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")
         )
         pairs = compared.select("a", "b").distinct()
-        if tested is not None:
-            pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        new = scratch_table(verified(pairs, sampled, n_texts), "verified")
-        tested = new if tested is None else tested.unionByName(new)
-        linked = tested.where(F.col("similarity") >= threshold).select("a", "b")
-        found = linked
-        members = scratch_table(
-            compared.join(linked, ["a", "b"], "left_anti").select("value", "id"), "members"
-        )
+        if links is not None:
+            pairs = pairs.join(links, ["a", "b"], "left_anti")
+        rated = verified(promising(pairs, sampled, threshold - SLACK), sampled, n_texts)
+        new = scratch_table(rated.where(F.col("similarity") >= threshold).select("a", "b"), "near-links")
+        links = new if links is None else links.unionByName(new)
+        done = compared.join(links, ["a", "b"], "left_semi").select("value", "id")
+        done = done.unionByName(heads.withColumnRenamed("head", "id"))
+        members = scratch_table(members.join(done, ["value", "id"], "left_anti"), "members")
         if members.isEmpty():
-            return found
+            return links
+        n_heads = FEW_HEADS if n_heads == 1 else n_heads * MORE_HEADS
 
 
 def near_classes(
@@ -279,10 +296,10 @@ def near_classes(
         count_texts(buckets), "texts int, bucket int, packed binary"
     )
     sampled = counted.groupBy("texts").applyInArrow(
-        sample_texts(n_texts, threshold), "id long, bands array<long>, weight double, packed binary"
+        sample_texts(n_texts, threshold), "id long, bands array<long>, signature binary, weight double, packed binary"
     )
     sampled = scratch_table(sampled, "sampled")
-    links = scratch_table(links_of(sampled, n_texts, threshold), "near-links")
+    links = links_of(sampled, n_texts, threshold)
     labels = components(links)
     ends = links.select(F.explode(F.array("a", "b")).alias("id"))
     n_links = ends.groupBy("id").agg(F.count("*").alias("n_links"))
