@@ -3,7 +3,9 @@
 A page's lines are its text between block tags. For each host and line the pages that have the line are
 counted, with map-side partials, and divided by the host's pages. A host's boilerplate is a short list
 (of lines beyond ``ratio`` there are at most 1 / ratio times as many as a page of the host has on
-average), so it is joined to the pages by host as one value, and Spark splits a hot host.
+average) and is joined to the pages by host as one value. All lists together are measured: up to
+``SENT_BYTES`` they go to every task and the pages stay where they are; beyond that both sides meet by
+host and one of ``SALTS`` parts, so that a hot host is spread.
 
 Cases: a NULL URL or one without a host has the host ''; a NULL or empty page has no lines. A line that
 a page repeats counts once for it and is dropped at all its places. Pages of hosts with fewer than
@@ -17,7 +19,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-RATIO, MIN_PAGES = 0.2, 3
+from statlake.llm.scratch import scratch_table
+
+RATIO, MIN_PAGES = 0.1, 3
+SENT_BYTES, SALTS = 8 << 20, 64
 
 # Linear patterns that Java and RE2 read alike.
 HOST = "^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
@@ -55,15 +60,30 @@ def boilerplate(pages: DataFrame, ratio: float, min_pages: int) -> DataFrame:
     return many.groupBy("host").agg(F.collect_list("line").alias("common"))
 
 
+def with_common(pages: DataFrame, common: DataFrame, sent_bytes: int) -> DataFrame:
+    """``pages`` with the list of their host, NULL where it has none."""
+    size = common.agg(F.sum(F.octet_length("host") + F.octet_length(F.array_join("common", "\n")))).first()[0]
+    if (size or 0) <= sent_bytes:
+        return pages.join(F.broadcast(common), "host", "left")
+    salts = F.array(*map(F.lit, range(SALTS)))
+    salted = pages.withColumn("_salt", F.pmod(F.xxhash64("lines"), F.lit(SALTS)).cast("int"))
+    return salted.join(common.withColumn("_salt", F.explode(salts)), ["host", "_salt"], "left").drop("_salt")
+
+
 def drop_boilerplate(
-    pages: DataFrame, url: str = "url", html: str = "html", ratio: float = RATIO, min_pages: int = MIN_PAGES
+    pages: DataFrame,
+    url: str = "url",
+    html: str = "html",
+    ratio: float = RATIO,
+    min_pages: int = MIN_PAGES,
+    sent_bytes: int = SENT_BYTES,
 ) -> DataFrame:
     """``pages`` without the HTML, with host, n_lines, lines (those kept) and n_dropped."""
     parsed = pages.withColumn("host", host_of(F.col(url))).withColumn("lines", lines_of(F.col(html)))
     parsed = parsed.drop(html, "common", "n_lines", "n_dropped")
-    common = boilerplate(parsed.select("host", "lines"), ratio, min_pages)
+    common = scratch_table(boilerplate(parsed.select("host", "lines"), ratio, min_pages), "boilerplate")
     kept = F.filter("lines", lambda line: ~F.array_contains(F.col("common"), line))
-    joined = parsed.join(common, "host", "left").select(*parsed.columns, "common")
+    joined = with_common(parsed, common, sent_bytes).select(*parsed.columns, "common")
     return (
         joined.withColumn("n_lines", F.size("lines").cast("long"))
         .withColumn("lines", F.when(F.col("common").isNull(), F.col("lines")).otherwise(kept))

@@ -38,10 +38,11 @@ def test_against_brute_force(spark):
         "page_id long, url string, html string, common string",
     )
     rows.append((903, "http://one.example/", []))
-    got = drop_boilerplate(frame)
-    assert got.columns == ["page_id", "url", "host", "lines", "n_lines", "n_dropped"]
     want = {i: (host, n, kept) for i, host, n, kept in brute(rows, 0.2, 3)}
-    assert {r.page_id: (r.host, r.n_lines, r.lines) for r in got.collect()} == want
+    for size in (1 << 20, 0):
+        got = drop_boilerplate(frame, ratio=0.2, sent_bytes=size)
+        assert got.columns == ["page_id", "url", "host", "lines", "n_lines", "n_dropped"]
+        assert {r.page_id: (r.host, r.n_lines, r.lines) for r in got.collect()} == want
     assert drop_boilerplate(frame.limit(0)).count() == 0
 
 
