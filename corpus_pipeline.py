@@ -28,12 +28,17 @@ from statlake.session import scratch_dir
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def carried(docs: DataFrame) -> DataFrame:
+    """The text beside the whole document, whose columns may have any name."""
+    return docs.select(F.struct("*").alias("document"), "text")
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with letters of a language that is known."""
     model = learn(docs.where(~held_out(F.col("doc_id"))))
-    judged = identify(docs.select("*", F.col("text").alias("_text")), model, "_text")
+    judged = identify(carried(docs), model)
     kept = judged.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") > 0))
-    return kept.select(*docs.columns)
+    return kept.select("document.*")
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,8 +53,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated by ``benchmark``."""
-    found = find_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return found.where(~is_contaminated(F.col("n_hit"), F.col("n_words"))).select(*docs.columns)
+    found = find_contamination(carried(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.where(~is_contaminated(F.col("n_hit"), F.col("n_words"))).select("document.*")
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
