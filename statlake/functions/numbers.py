@@ -16,15 +16,7 @@ GRADES = ["A+", "A", "A-", "B+", "B", "B-", "C+", "C", "C-", "D+", "D", "D-", "F
 # Possessive throughout: no backtracking over long runs of digits, and the engine loops over the
 # group instead of recursing, so that no text can make it slow or exhaust the stack.
 _DIGITS = r"[0-9]++(?:_[0-9]++)*+"
-_NUMBER = "00000"
-
-# The known grades.
-GRADES = ["A+", "A", "A-", "B+", "B", "B-", "C+", "C", "C-", "D+", "D", "D-", "F"]
-
-# The repeated group is possessive: the regex engine then loops over it instead of recursing, so
-# that very long digit texts cannot exhaust the stack.
-_DIGITS = r"[0-9]+(?:_[0-9]+)*+"
-_NUMBER = rf"([+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?)"
+_NUMBER = rf"([+-]?(?:{_DIGITS}\.?+(?:{_DIGITS})?+|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?+)"
 
 # The functions below name their argument as few times as they can: an argument is often itself
 # a long expression, and each mention may evaluate it once more. None of the missing markers
@@ -55,7 +47,7 @@ def parse_number(c: Column | str) -> Column:
 def stat_value(c: Column | str) -> Column:
     """Stat text to double: a plain number, else the first number inside the text."""
     text = as_column(c).cast("string")
-    first = F.regexp_extract(text, r"(-?[0-9]+\.?[0-9]*)", 1)
+    first = F.regexp_extract(text, r"(-?[0-9]++\.?+[0-9]*+)", 1)
     return F.coalesce(_number_in(text, _ONE_PERCENT_SIGN), first.try_cast("double"))
 
 
@@ -76,8 +68,9 @@ def percentile_over_100(c: Column | str) -> Column:
 
 def grade(c: Column | str) -> Column:
     """Grade text to one of the known grades by its beginning, else NULL."""
+    known = "|".join(g.replace("+", r"\+") for g in sorted(GRADES, key=len, reverse=True))
     found = F.regexp_extract(
-        F.upper(as_column(c).cast("string")), rf"(?U)\A{SPACE}*([A-D][+-]?|F)", 1
+        F.upper(as_column(c).cast("string")), rf"(?U)\A{SPACE}*({known})", 1
     )
     return F.nullif(found, F.lit(""))
 

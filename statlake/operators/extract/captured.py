@@ -15,11 +15,11 @@ from statlake.operators.extract.entries import stats_from_list
 from statlake.operators.extract.scripts import extraction
 from statlake.operators.ordered import first_rows_per_key
 
-# URL parts and content types of responses worth keeping, and how many are kept.
+# URL parts and content types of responses worth keeping.
 CAPTURE_URL_PARTS = ["/api/", "/graphql", "/_next/data/", "/player", "/stats"]
 CAPTURE_CONTENT_TYPES = ["json", "application/javascript"]
 GRAPHQL_PART = "/graphql"
-KEEP_RESPONSES = 100
+KEEP_RESPONSES = 100  # of a page, where only the last are to be kept or listed
 
 
 def _contains_any(c: Column, parts: Sequence[str]) -> Column:
@@ -48,8 +48,12 @@ def json_responses(responses: DataFrame) -> DataFrame:
     return responses.where(json_document("body").isNotNull())
 
 
+def is_graphql(url: Column | str) -> Column:
+    return F.contains(as_column(url), F.lit(GRAPHQL_PART))
+
+
 def graphql_responses(responses: DataFrame) -> DataFrame:
-    return responses.where(F.contains("url", F.lit(GRAPHQL_PART)) & is_json("body"))
+    return responses.where(is_graphql("url") & is_json("body"))
 
 
 def stats_responses(responses: DataFrame) -> DataFrame:
@@ -65,53 +69,69 @@ def keep_last_responses(
     return first_rows_per_key(responses, keys, [order], keep, descending=True)
 
 
-# Keys that mark a stats-like object, and limits of the search.
+# Keys that mark a stats-like object.
 LIKELY_KEYS = ["stats", "statistics", "playerStats", "metrics", "grades"]
 VALUE_KEYS = ["value", "percentile", "grade", "rank"]
 COUNTED_KEYS = ["value", "percentile", "grade", "stat", "score"]
-HAS_DEPTH, HAS_ITEMS = 5, 10
-COUNT_DEPTH, COUNT_ITEMS = 10, 100
 
 
-def _levels(text, max_depth, max_items):
-    """All JSON objects down to ``max_depth``, looking at the first items of each list."""
+def _objects(text, max_depth, max_items):
+    """All JSON objects of a text; with limits, down to a depth and among the first items of lists.
+
+    Text that is not JSON, or nested deeper than the parser goes, holds none.
+    """
     import json
 
     try:
-        level = [json.loads(text)]
-    except (TypeError, ValueError):
+        todo = [(json.loads(text), 0)]
+    except (TypeError, ValueError, RecursionError):
         return
-    for _ in range(max_depth + 1):
-        below = []
-        for node in level:
-            if isinstance(node, dict):
-                yield node
-                below.extend(node.values())
-            elif isinstance(node, list):
-                below.extend(node[:max_items])
-        level = below
-
-
-@F.pandas_udf(T.BooleanType())
-def has_stats(texts: pd.Series) -> pd.Series:
+    while todo:
+        node, depth = todo.pop()
+        if isinstance(node, dict):
+            yield node
+            below = node.values()
+        elif isinstance(node, list):
+            below = node if max_items is None else node[:max_items]
+        else:
+            continue
+        if max_depth is None or depth < max_depth:
+            todo.extend((x, depth + 1) for x in below if isinstance(x, (dict, list)))
+
+
+def has_stats(
+    text: Column | str, max_depth: int | None = None, max_items: int | None = None
+) -> Column:
     """JSON text holds a stats-like object. Depth has no fixed schema, hence no built-in."""
 
-    def likely(node):
-        return any(k in node for k in LIKELY_KEYS) or sum(k in node for k in VALUE_KEYS) >= 2
+    @F.pandas_udf(T.BooleanType())
+    def found(texts: pd.Series) -> pd.Series:
+        likely, values = frozenset(LIKELY_KEYS), frozenset(VALUE_KEYS)
+
+        def marked(keys):
+            return not likely.isdisjoint(keys) or len(values.intersection(keys)) > 1
 
-    return texts.map(lambda t: any(likely(n) for n in _levels(t, HAS_DEPTH, HAS_ITEMS)))
+        return texts.map(lambda t: any(marked(n.keys()) for n in _objects(t, max_depth, max_items)))
 
+    return found(as_column(text))
 
-@F.pandas_udf(T.LongType())
-def count_stats(texts: pd.Series) -> pd.Series:
+
+def count_stats(
+    text: Column | str, max_depth: int | None = None, max_items: int | None = None
+) -> Column:
     """Number of stat-like objects in JSON text."""
-    wanted = set(COUNTED_KEYS)
 
-    def count(text):
-        nodes = _levels(text, COUNT_DEPTH, COUNT_ITEMS)
-        return sum(1 for n in nodes if wanted.intersection(k.lower() for k in n))
+    @F.pandas_udf(T.LongType())
+    def counted(texts: pd.Series) -> pd.Series:
+        wanted = frozenset(COUNTED_KEYS)
 
-    return texts.map(count)
+        def count(t):
+            nodes = _objects(t, max_depth, max_items)
+            return sum(1 for n in nodes if any(k.lower() in wanted for k in n))
+
+        return texts.map(count)
+
+    return counted(as_column(text))
 
 
 _BODY = """
@@ -160,25 +180,22 @@ def best_captured(
 
 def capture_summary(
     responses: DataFrame, keys: Sequence[str] = ("page_id",), order: str = "seq",
-    keep: int = KEEP_RESPONSES,
+    listed: int = KEEP_RESPONSES,
 ) -> DataFrame:
-    """Counts of kept responses by kind and their URLs in order.
-
-    Only the last ``keep`` responses of a page are kept, which also bounds the URL list.
-    """
-    kept = keep_last_responses(responses, keys, order, keep).withColumns(
-        {"_json": is_json("body"), "_stats": has_stats(json_document("body"))}
+    """Counts of all responses by kind, and the last ``listed`` URLs in order."""
+    counts = (
+        responses.withColumns({"_json": is_json("body"), "_stats": has_stats(json_document("body"))})
+        .groupBy(*keys)
+        .agg(
+            F.count("*").alias("total_responses"),
+            F.count_if("_json").alias("json_responses"),
+            F.count_if("_stats").alias("stats_responses"),
+            F.count_if(is_graphql("url") & F.col("_json")).alias("graphql_responses"),
+        )
     )
+    last = keep_last_responses(responses.select(*keys, order, "url"), keys, order, listed)
     urls = F.transform(
         F.array_sort(F.collect_list(F.struct(F.col(order).alias("seq"), "url"))),
         lambda u: u["url"],
     )
-    return kept.groupBy(*keys).agg(
-        F.count("*").alias("total_responses"),
-        F.count_if("_json").alias("json_responses"),
-        F.count_if("_stats").alias("stats_responses"),
-        F.count_if(F.contains("url", F.lit(GRAPHQL_PART)) & F.col("_json")).alias(
-            "graphql_responses"
-        ),
-        urls.alias("urls"),
-    )
+    return counts.join(last.groupBy(*keys).agg(urls.alias("urls")), list(keys))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from statlake.functions.seasons import long_season
 from statlake.functions.text import iso_time
 from statlake.functions.urls import build_profile_url
+from statlake.functions.jsontext import json_document
 from statlake.operators.extract import captured, choose
 from statlake.operators.extract.entries import explode_stats
 from statlake.operators.extract.scripts import (
@@ -398,47 +399,54 @@ _CAPTURED_SQL = """
     """,
 )
 def capture_filter(spark, sf):
-    kept = captured.capture_json(event_responses(spark, sf)).select("page_id", "seq", "url", "body")
-
-    def flag(df, name):
-        return df.select("seq", F.lit(True).alias(name))
-
-    return (
-        kept.select("page_id", "seq")
-        .join(flag(captured.json_responses(kept), "has_json"), "seq", "left")
-        .join(flag(captured.graphql_responses(kept), "is_graphql"), "seq", "left")
-        .join(flag(captured.stats_responses(kept), "has_stats"), "seq", "left")
-        .na.fill(False)
+    kept = captured.capture_json(event_responses(spark, sf))
+    document = json_document("body")
+    return kept.select(
+        "page_id",
+        "seq",
+        document.isNotNull().alias("has_json"),
+        captured.is_graphql("url").alias("is_graphql"),
+        captured.has_stats(document).alias("has_stats"),
     )
 
 
 @query(
     "capture_summary",
     f"""
-    WITH k AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY seq DESC) AS rn FROM ({_CAPTURED_SQL}))
+    WITH k AS (SELECT page_id % 7 AS page_id, seq, u, b FROM ({_CAPTURED_SQL})),
+    l AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY seq DESC) AS rn FROM k)
     SELECT page_id, count(*) AS total_responses, count(*) AS json_responses,
            count(*) FILTER (WHERE b IN (1, 2)) AS stats_responses, count(*) FILTER (WHERE u = 1) AS graphql_responses,
            string_agg(CASE u WHEN 0 THEN 'https://h/api/v1' WHEN 1 THEN 'https://h/graphql?q=1' WHEN 2 THEN
-                      'https://h/_next/data/x' WHEN 4 THEN 'https://h/stats' ELSE 'https://h/player/1' END, ' ' ORDER BY seq) AS urls
-    FROM k WHERE rn <= 100 GROUP BY page_id
+                      'https://h/_next/data/x' WHEN 4 THEN 'https://h/stats' ELSE 'https://h/player/1' END, ' ' ORDER BY seq)
+               FILTER (WHERE rn <= 100) AS urls
+    FROM l GROUP BY page_id
     """,
 )
 def capture_summary(spark, sf):
-    kept = captured.capture_json(event_responses(spark, sf))
+    """Seven pages with hundreds of responses each; the last hundred URLs are listed."""
+    kept = captured.capture_json(event_responses(spark, sf)).withColumn("page_id", F.col("page_id") % 7)
     return captured.capture_summary(kept).withColumn("urls", F.array_join("urls", " "))
 
 
 @query(
     "count_stat_entries",
     """
-    SELECT event_id, CAST(CASE event_id % 5 WHEN 2 THEN 1 ELSE 0 END AS BIGINT) AS n_entries,
-           event_id % 5 IN (1, 2) AS has_stats FROM events
+    SELECT event_id, CAST(CASE event_id % 5 WHEN 0 THEN event_id % 401 WHEN 1 THEN event_id % 13 WHEN 2 THEN 1
+                          ELSE 0 END AS BIGINT) AS n_entries,
+           (event_id % 5 = 1 AND event_id % 13 > 0) OR event_id % 5 = 2 AS has_stats FROM events
     """,
 )
 def count_stat_entries(spark, sf):
-    rows = event_responses(spark, sf)
-    return rows.select(
-        F.col("seq").alias("event_id"),
+    """Lists of up to 400 stats, and stats up to 12 levels down."""
+    key = F.col("event_id")
+    listed = F.concat(F.lit("["), F.array_join(F.array_repeat(F.lit('{"score":1}'), (key % 401).cast("int")), ","), F.lit("]"))
+    depth = (key % 13).cast("int")
+    nested = F.concat(F.repeat(F.lit('{"rank":1,"grade":'), depth), F.lit("0"), F.repeat(F.lit("}"), depth))
+    rows = event_responses(spark, sf).withColumnRenamed("seq", "event_id")
+    body = pick(key % 5, [listed, nested, F.col("body"), F.col("body"), F.col("body")])
+    return rows.withColumn("body", body).select(
+        "event_id",
         captured.count_stats("body").alias("n_entries"),
         captured.has_stats("body").alias("has_stats"),
     )

@@ -165,8 +165,10 @@ def test_count_and_has_stats(spark):
         ('{"a":{"Value":1},"b":[{"grade":"A"},{"x":1}]}', 2, False),
         ('{"a":[{"rank":1,"grade":2}]}', 1, True),
         ('{"a":{"metrics":1}}', 0, True),
-        (deep, 11, False),
-        (json.dumps([{"score": 1}] * 150), 100, False),
+        (deep, 12, False),
+        *((json.dumps([{"score": 1}] * n), n, False) for n in (11, 150, 400)),
+        (json.dumps([1] * 30 + [[[[[[{"stats": []}]]]]]]), 0, True),
+        ('{"value":' * 100_000 + "1" + "}" * 100_000, 0, False),
         ("{", 0, False),
         (None, 0, False),
     ]
@@ -175,6 +177,8 @@ def test_count_and_has_stats(spark):
         "i", captured.count_stats("t").alias("c"), captured.has_stats("t").alias("h")
     ).orderBy("i").collect()
     assert [(r["c"], r["h"]) for r in rows] == [(t[1], t[2]) for t in texts]
+    cut = df.where("i = 5").select(captured.count_stats("t", max_items=100).alias("c"))
+    assert cut.first()["c"] == 100
 
 
 def test_capture_filter_and_summary(spark):
@@ -191,6 +195,9 @@ def test_capture_filter_and_summary(spark):
     assert sorted(r["seq"] for r in kept.collect()) == [0, 1]
     summary = captured.capture_summary(kept).first()
     assert tuple(summary) == (1, 2, 2, 1, 1, ["h/api/x", "h/graphql"])
+    many = kept.withColumn("seq", F.explode(F.sequence(F.lit(0), F.lit(149))))
+    full = captured.capture_summary(many, listed=3).first()
+    assert tuple(full)[:5] == (1, 300, 300, 150, 150) and len(full["urls"]) == 3
     assert captured.json_responses(df).count() == 1
     assert captured.graphql_responses(df).count() == 1
     assert captured.stats_responses(df).count() == 1

@@ -1,5 +1,6 @@
 """Golden vectors of the column functions."""
 
+import time
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,6 +65,11 @@ def test_stat_value(spark):
 
 def test_long_texts(spark):
     check(spark, numbers.stat_value("x"), [("1" + "_1" * 50_000 + "x", 1.0), ("9" * 1_000 + "z", float("inf"))])
+    started = time.perf_counter()
+    for long in ("9" * 100_000 + "z", "1." + "9" * 100_000 + "z", "1e" + "9" * 100_000 + "z", "9_" * 50_000):
+        for read in (numbers.parse_number, numbers.percentile, numbers.percentile_over_100):
+            check(spark, read("x"), [(long, None)])
+    assert time.perf_counter() - started < 30  # twelve jobs; quadratic reading takes minutes for one row
     check(spark, text.strip("x"), [(" " * 50_000 + "a" + " " * 50_000 + "b ", "a" + " " * 50_000 + "b")])
     check(spark, text.player_name("x"), [("a-" * 20_000, "A-" * 20_000)])
 
