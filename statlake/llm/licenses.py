@@ -4,8 +4,10 @@ The passages of a text are its lines, its paragraphs (between blank lines) and i
 passage is normalised (lower case, words of letters and digits, one spelling of "license"), and its set
 of word bigrams is compared to those of the templates. A coefficient of ``threshold`` needs the smaller
 set to be threshold / (2 - threshold) of the larger at least, so a passage is compared only to templates
-within these bounds of its size, and passages outside the bounds of all of them are not cut into bigrams
-at all. SQL functions only; nothing moves.
+within these bounds of its size. It also needs that part of the template's bigrams, so each template has
+a few long words, covering more than the rest of its bigrams, of which one must be in the passage; texts
+and passages with none of these words are not cut into bigrams at all. Both prune exactly. SQL functions
+only; nothing moves.
 
 Cases: a NULL or empty text has no passages and no licence. Passages of fewer than two words have no
 bigrams. Equal passages of a text count once. Between equal scores the first template decides. Repeated
@@ -15,6 +17,8 @@ and replaces a column of the name of its own.
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,10 +36,35 @@ def bigrams_of(text: str) -> list[str]:
     return list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:], strict=False)))
 
 
-def passages(text: Column) -> Column:
-    """The distinct normalised passages of a text, words one space apart."""
-    lower = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "licence", "license")
-    plain = F.regexp_replace(lower, NOT_WORDS, " ")
+def needed_words(templates: list[tuple[str, str]], threshold: float) -> list[str]:
+    """Words of which every passage that reaches the threshold with some template has at least one.
+
+    Such a passage has threshold / (2 - threshold) of the template's bigrams, so words that are in
+    more bigrams than may be missing cannot all be absent. The longest words are taken, and of equally
+    long ones those of the fewest templates.
+    """
+    found: dict[str, None] = {}
+    spread = Counter(w for _, text in templates for w in {w for b in bigrams_of(text) for w in b.split()})
+    for _, text in templates:
+        left = bigrams_of(text)
+        missing = len(left) * (1 - threshold / (2 - threshold)) + 1e-9
+        size = len(left)
+        for word in sorted({w for b in left for w in b.split()}, key=lambda w: (-len(w), spread[w], w)):
+            if size - len(left) > missing:
+                break
+            left = [b for b in left if word not in b.split()]
+            found[word] = None
+    return list(found)
+
+
+def plain_text(text: Column) -> Column:
+    """A text in lower case, with one space or more for what is neither letter, digit nor line end."""
+    lower = F.replace(F.lower(F.coalesce(text, F.lit(""))), F.lit("licence"), F.lit("license"))
+    return F.regexp_replace(lower, NOT_WORDS, " ")
+
+
+def passages(plain: Column) -> Column:
+    """The distinct passages of a plain text, words one space apart."""
     lines = F.split(plain, "\n")
     paragraphs = F.transform(F.split(plain, "\n[ \n]*\n"), lambda p: F.replace(p, F.lit("\n"), F.lit(" ")))
     whole = F.array(F.replace(plain, F.lit("\n"), F.lit(" ")))
@@ -74,24 +103,23 @@ def template_column(templates: list[tuple[str, str]]) -> Column:
     return F.array(*rows)
 
 
-def matches(
-    text: Column, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD
-) -> Column:
-    """Array of (score, place, name): the best template of each passage that reaches the threshold."""
+def best_matches(found: Column, templates: list[tuple[str, str]], threshold: float) -> Column:
+    """Of passages the (score, place, name) of the best template, for those that reach the threshold."""
     sizes = [len(bigrams_of(t)) for _, t in templates]
     least = threshold / (2 - threshold)
     smallest, largest = min(sizes) * least, max(sizes) / least
     known = template_column(templates)
+    needed = F.array(*map(F.lit, needed_words(templates, threshold)))
 
-    def scores(found: Column) -> Column:
-        size = F.size(found)
+    def scores(own: Column) -> Column:
+        size = F.size(own)
         near = F.filter(
             known, lambda t: (t["size"] >= size * least - 1e-9) & (size >= t["size"] * least - 1e-9)
         )
         rated = F.transform(
             near,
             lambda t: F.struct(
-                (F.size(F.array_intersect(found, t["bigrams"])) * 2 / (size + t["size"])).alias("score"),
+                (F.size(F.array_intersect(own, t["bigrams"])) * 2 / (size + t["size"])).alias("score"),
                 (-t["place"]).alias("place"),
                 t["name"].alias("name"),
             ),
@@ -99,14 +127,25 @@ def matches(
         return F.array_max(F.filter(rated, lambda r: r["score"] >= threshold))
 
     # A passage may repeat its bigrams, so its words only bound their number from above.
-    long = F.filter(passages(text), lambda p: (word_count(p) >= 2) & (word_count(p) - 1 >= smallest))
-    sets = F.filter(F.transform(long, bigrams), lambda s: F.size(s) <= largest)
+    long = F.filter(found, lambda p: (word_count(p) >= 2) & (word_count(p) - 1 >= smallest))
+    long = F.filter(long, lambda p: F.arrays_overlap(F.split(p, " "), needed))
+    sets = F.filter(F.transform(long, bigrams), lambda own: F.size(own) <= largest)
     return F.filter(F.transform(sets, scores), lambda r: r.isNotNull())
 
 
-def find_licenses(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def find_licenses(
+    docs: DataFrame,
+    text: str = "text",
+    templates: list[tuple[str, str]] = TEMPLATES,
+    threshold: float = THRESHOLD,
+) -> DataFrame:
     """``docs`` with ``matches``: array of (score, place, name), place as minus the template's number."""
-    return docs.withColumn("matches", matches(F.col(text), threshold=threshold))
+    plain = docs.withColumn("_plain", plain_text(F.col(text)))
+    words = F.split(F.replace("_plain", F.lit("\n"), F.lit(" ")), " ")
+    some = F.arrays_overlap(words, F.array(*map(F.lit, needed_words(templates, threshold))))
+    found = plain.withColumn("_passages", F.when(some, passages(F.col("_plain"))).otherwise(F.array()))
+    made = found.withColumn("matches", best_matches(F.col("_passages"), templates, threshold))
+    return made.drop("_plain", "_passages")
 
 
 def oracle_sql(templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> str:
