@@ -10,11 +10,12 @@
 3. A text can be as similar as ``threshold`` to another only if shared shingles have that part of its
    weight; the others are done. For the rest, improved consistent weighted samples are drawn, with all
    shingles of its own as one element (the chance to be drawn is the same), and banded.
-4. In each band, every text is compared with one text of those of equal value, chosen by a hash of band
-   and text. Texts that turn out not to be similar to it go on among themselves, with more texts to compare
-   with in each round, until none are left. So a group of n copies takes n comparisons in a band, and a hot
-   group is split over tasks. A pair whose 100 samples agree too seldom (``SLACK`` below the threshold, more
-   than three deviations) is passed over; all others are compared shingle by shingle.
+4. In each band, every text is compared with one text of those of equal value, the one that shares values
+   with most texts. So a group of n copies takes n comparisons in a band, and a hot group is split over
+   tasks. Texts that turn out not to be similar to it are compared among themselves by their samples, in
+   blocks of bounded size, and only pairs that agree often enough come out. A pair whose 100 samples agree
+   too seldom (``SLACK`` below the threshold, three deviations) is passed over; all others are compared
+   shingle by shingle.
 5. Verified links are joined into classes.
 
 At similarity 0.8 a pair shares none of the 20 bands of 5 samples with probability 0.0004; then it is
@@ -32,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statlake.llm.components import components
@@ -55,8 +56,8 @@ from statlake.llm.window_exchange import bucket_count, bucket_of, equal_runs, pa
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 20, 5
 IDF_SHARE = 0.5
-SLACK = 0.15
-FEW_HEADS, MORE_HEADS = 16, 4  # texts to compare with in the second round, and their growth
+SLACK = 0.12
+BLOCK_TEXTS = 1024  # of those with equal value in a band that are compared in one task at a time
 KEPT_BYTES = 8  # 32 bits of the hash, and how often the text has the shingle
 PAIR_BYTES = 6  # of a shingle's hash, to compare two texts by
 NO_ID = np.iinfo(np.int64).min
@@ -259,30 +260,111 @@ def promising(pairs: DataFrame, sampled: DataFrame, least: float) -> DataFrame:
     return both.where(agree("sa", "sb")).select("a", "b")
 
 
+def agreeing(left: np.ndarray, right: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """The places of the pairs of rows that agree in the part ``least`` or more, some rows at a time."""
+    rows, columns = [], []
+    for at in range(0, len(left), 64):
+        same = (left[at : at + 64, None, :] == right[None, :, :]).sum(axis=2)
+        i, j = np.nonzero(same >= least * left.shape[1])
+        rows.append(i + at)
+        columns.append(j)
+    return np.concatenate(rows), np.concatenate(columns)
+
+
+def pairs_of_blocks(least: float):
+    """Of rows (value, i, j, block, id, signature), sorted by the first three, the agreeing pairs."""
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def compared(table: pa.Table) -> pa.RecordBatch:
+            keys = [table.column(c).to_numpy() for c in ("value", "i", "j")]
+            block, ids = table.column("block").to_numpy(), table.column("id").to_numpy()
+            raw = b"".join(table.column("signature").to_pylist())
+            own = np.frombuffer(raw, np.uint8).reshape(len(ids), BANDS * ROWS)
+            change = np.zeros(len(ids) - 1, bool)
+            for key in keys:
+                change |= key[1:] != key[:-1]
+            cuts = np.r_[0, np.flatnonzero(change) + 1, len(ids)]
+            a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for start, end in zip(cuts, cuts[1:], strict=False):
+                if end - start < 2:
+                    continue
+                i, j = keys[1][start], keys[2][start]
+                left = start + np.flatnonzero(block[start:end] == i)
+                right = start + np.flatnonzero(block[start:end] == j)
+                if not len(left) or not len(right):
+                    continue
+                x, y = agreeing(own[left], own[right], least)
+                x, y = ids[left[x]], ids[right[y]]
+                keep = x < y if i == j else x != y
+                a.append(np.minimum(x, y)[keep])
+                b.append(np.maximum(x, y)[keep])
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(a), pa.int64()), pa.array(np.concatenate(b), pa.int64())], ["a", "b"]
+            )
+
+        held: pa.Table | None = None
+        for batch in batches:
+            if not len(batch):
+                continue
+            table = pa.Table.from_batches([batch])
+            table = table if held is None else pa.concat_tables([held, table])
+            # The last group may go on in the next batch.
+            keys = [table.column(c).to_numpy() for c in ("value", "i", "j")]
+            last = len(table) - 1
+            inside = np.ones(len(table), bool)
+            for key in keys:
+                inside &= key == key[last]
+            start = int(np.argmax(inside))
+            if start:
+                yield compared(table.slice(0, start))
+            held = table.slice(start).combine_chunks()
+        if held is not None:
+            yield compared(held)
+
+    return pairs
+
+
+def pairs_among(members: DataFrame, sampled: DataFrame, least: float) -> DataFrame:
+    """(a, b) of the members (value, id) of equal value whose samples agree often enough."""
+    sizes = members.groupBy("value").agg(F.count("*").alias("n")).where("n > 1")
+    parts = F.ceil(F.col("n") / BLOCK_TEXTS).cast("int")
+    placed = members.join(sizes, "value").select("value", "id", parts.alias("parts"))
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    placed = placed.join(sampled.select("id", "signature"), "id")
+    both = placed.select(
+        "value", "block", "id", "signature", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
+    ).select(
+        "value", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "signature"
+    )
+    keys = ["value", "i", "j"]
+    rows = both.repartition(*keys).sortWithinPartitions(*keys)
+    return rows.mapInArrow(pairs_of_blocks(least), "a long, b long").distinct()
+
+
 def links_of(sampled: DataFrame, n_texts: int, threshold: float) -> DataFrame:
     """(a, b) of the texts found similar, a < b."""
     members = sampled.select(F.explode("bands").alias("value"), "id")
-    links, n_heads = None, 1
-    order = Window.partitionBy("value").orderBy(F.xxhash64("value", "id"), "id")
-    while True:
-        heads = members.withColumn("place", F.row_number().over(order)).where(F.col("place") <= n_heads)
-        heads = scratch_table(heads.select("value", F.col("id").alias("head")), "heads")
-        compared = members.join(heads, "value").where("id <> head")
-        compared = compared.select(
-            "value", "id", F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")
-        )
-        pairs = compared.select("a", "b").distinct()
-        if links is not None:
-            pairs = pairs.join(links, ["a", "b"], "left_anti")
-        rated = verified(promising(pairs, sampled, threshold - SLACK), sampled, n_texts)
-        new = scratch_table(rated.where(F.col("similarity") >= threshold).select("a", "b"), "near-links")
-        links = new if links is None else links.unionByName(new)
-        done = compared.join(links, ["a", "b"], "left_semi").select("value", "id")
-        done = done.unionByName(heads.withColumnRenamed("head", "id"))
-        members = scratch_table(members.join(done, ["value", "id"], "left_anti"), "members")
-        if members.isEmpty():
-            return links
-        n_heads = FEW_HEADS if n_heads == 1 else n_heads * MORE_HEADS
+    sizes = members.groupBy("value").agg(F.count("*").alias("n")).where("n > 1")
+    members = scratch_table(members.join(sizes, "value").select("value", "id", "n"), "members")
+    met = members.groupBy("id").agg(F.sum("n").alias("met"))
+    central = F.max(F.struct("met", F.xxhash64("id").alias("order"), F.col("id").alias("id")))
+    heads = members.join(met, "id").groupBy("value").agg(central["id"].alias("head"))
+    compared = scratch_table(
+        members.join(heads, "value")
+        .where("id <> head")
+        .select("value", "id", F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")),
+        "compared",
+    )
+    pairs = compared.select("a", "b").distinct()
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        rated = verified(pairs, sampled, n_texts)
+        return scratch_table(rated.where(F.col("similarity") >= threshold).select("a", "b"), "near-links")
+
+    first = linked(promising(pairs, sampled, threshold - SLACK))
+    left = scratch_table(compared.join(first, ["a", "b"], "left_anti").select("value", "id"), "left")
+    others = pairs_among(left, sampled, threshold - SLACK)
+    return first.unionByName(linked(others.join(first, ["a", "b"], "left_anti")))
 
 
 def near_classes(

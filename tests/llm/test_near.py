@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from word_rule import split
 
+from statlake.llm import near
 from statlake.llm.near import drop_near_copies, near_classes
 from statlake.llm.weighted_samples import band_values, samples
 
@@ -92,6 +93,26 @@ def test_classes_of_the_documents(spark):
     assert len(want) > 50 and len(wrong) <= len(want) // 100
 
 
+def test_blocks_give_the_pairs_of_all(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 256, 100, dtype=np.uint8)
+    rows = []
+    for i in range(150):
+        own = base.copy()
+        own[rng.choice(100, rng.integers(0, 40), replace=False)] += 1
+        rows.append((i, bytearray(own.tobytes())))
+    want = set()
+    for i in range(150):
+        for j in range(i):
+            if np.mean(np.frombuffer(rows[i][1], np.uint8) == np.frombuffer(rows[j][1], np.uint8)) >= 0.7:
+                want.add((j, i))
+    sampled = spark.createDataFrame(rows, "id long, signature binary")
+    members = sampled.select(F.explode(F.array(F.lit(7).cast("long"), F.lit(9).cast("long"), "id")).alias("value"), "id")
+    for size in (1024, 40, 1):
+        monkeypatch.setattr(near, "BLOCK_TEXTS", size)
+        assert {tuple(r) for r in near.pairs_among(members, sampled, 0.7).collect()} == want
+
+
 def test_hot_group_nulls_short_texts_repeated_rows_and_clashing_names(spark):
     base = " ".join(f"w{k}" for k in range(60))
     rows = [(i, f"{base} own{i}", "x") for i in range(300)]
