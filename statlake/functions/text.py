@@ -80,7 +80,8 @@ def cell_text(c: Column | str) -> Column:
 
 def text_or_null(c: Column | str) -> Column:
     """Empty text to NULL."""
-    return F.nullif(as_column(c), F.lit(""))
+    # The array holds the value, which may be a long expression, once; nullif would name it twice.
+    return F.get(F.filter(F.array(as_column(c)), lambda x: x != ""), F.lit(0))
 
 
 def setting_int(c: Column | str, default: int) -> Column:

@@ -72,20 +72,29 @@ def normalize_stats(rows: DataFrame, run_ts: Column | None = None) -> DataFrame:
     return rows.withColumns(columns)
 
 
-def normalize_profiles(profiles: DataFrame) -> DataFrame:
-    """The same cleaning inside the ``stats`` array of profile rows."""
+def normalize_profiles(profiles: DataFrame, run_ts: Column | None = None) -> DataFrame:
+    """The same cleaning inside the ``stats`` array of profile rows; all other fields stay.
+
+    ``raw_data`` that is set stays. ``extracted_at`` of the profile is filled from ``run_ts``.
+    """
+    given = profiles.schema["stats"].dataType.elementType.fieldNames()
 
     def clean(s: Column) -> Column:
         value, percentile, raw_grade = (s[c].cast("string") for c in ("value", "percentile", "grade"))
         fields = _clean(s["statistic_name"], value, percentile, raw_grade)
+        raw = _raw(value, percentile, raw_grade)
+        fields["raw_data"] = F.coalesce(s["raw_data"], raw) if "raw_data" in given else raw
         return F.struct(
-            s["statistic_name"].alias("statistic_name"),
-            s["statistic_category"].alias("statistic_category"),
-            *[c.alias(n) for n, c in fields.items()],
-            _raw(value, percentile, raw_grade).alias("raw_data"),
+            *[(fields[n] if n in fields else s[n]).alias(n) for n in given],
+            *[c.alias(n) for n, c in fields.items() if n not in given],
         )
 
-    return profiles.withColumn("stats", F.transform("stats", clean))
+    out = profiles.withColumn("stats", F.transform("stats", clean))
+    if run_ts is not None:
+        stamp = run_ts.cast("timestamp")
+        known = "extracted_at" in profiles.columns
+        out = out.withColumn("extracted_at", F.coalesce("extracted_at", stamp) if known else stamp)
+    return out
 
 
 def explode_profiles(profiles: DataFrame) -> DataFrame:
@@ -95,7 +104,10 @@ def explode_profiles(profiles: DataFrame) -> DataFrame:
     """
     stat_fields = profiles.schema["stats"].dataType.elementType.fieldNames()
     parents = [c for c in profiles.columns if c != "stats"]
-    rows = profiles.select(*parents, F.explode("stats").alias("_stat"))
+    # The outer form with a filter behind it: a plain explode has Spark test the array's size at
+    # the scan, and with it work out the whole array once more.
+    rows = profiles.select(*parents, F.explode_outer("stats").alias("_stat"))
+    rows = rows.where(F.col("_stat").isNotNull())
     own = {f: F.col("_stat")[f] for f in stat_fields}
     return rows.select(
         *[F.coalesce(own[c], F.col(c)).alias(c) if c in own else F.col(c) for c in parents],

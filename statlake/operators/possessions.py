@@ -97,7 +97,9 @@ def flatten_possessions(games: DataFrame) -> DataFrame:
         "start_score": event(1, "score"),
         "end_score": event(-1, "score"),
     }
-    rows = games.select("game_id", F.posexplode("possessions").alias("_pos", "_p"))
+    # Outer, with a filter behind it: see explode_profiles.
+    rows = games.select("game_id", F.posexplode_outer("possessions").alias("_pos", "_p"))
+    rows = rows.where(F.col("_p").isNotNull())
     flat = rows.select(*[special.get(c, field(c)).alias(c) for c in FLAT_COLUMNS])
     return cast_numbers(flat, NUMBER_COLUMNS)
 

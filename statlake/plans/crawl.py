@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from statlake.functions.text import text_or_null
 from statlake.functions.urls import PROFILE_PATH
 from statlake.operators.extract.choose import PRIORITY, extract_pages, stat_rows, with_identity
 from statlake.operators.joins import skip_completed
@@ -22,10 +23,12 @@ from statlake.operators.upsert import (
     upsert_into,
     upsert_stats,
 )
-from statlake.session import scratch_dir
+from statlake.session import remove_path, scratch_dir
 from statlake.sinks.tables import write_jsonl, write_silver
 
 NO_STATS = "No stats found"
+NO_KEY, NO_SEED = "No player, season or statistic", "No seed names this page"
+MANY_SEASONS = 1_000  # beyond so many the seasons are joined instead of named in the plan
 ARRIVAL = ["extracted_at", "page_id", "stat_pos"]
 EXPORT_COLUMNS = [
     "player_id",
@@ -50,20 +53,44 @@ EXPORT_COLUMNS = [
 
 @dataclass(frozen=True)
 class CrawlOutput:
-    """Where the job has written: JSON lines, the stat table, progress."""
+    """Where the job has written: JSON lines, the stat table, progress, and what was rejected."""
 
     export: str
     stats: str
     progress: str
+    rejected: str
 
 
-def pages_to_do(
-    pages: DataFrame, seeds: DataFrame, progress: DataFrame | None = None
-) -> DataFrame:
-    """Pages of seeds that are not completed, with the identity the seed gives."""
-    todo = seeds if progress is None else skip_completed(seeds, progress)
-    identity = ["player_id", "player_slug", "season"]
-    return pages.join(keep_first(todo.select("url", *identity), ["url"], identity), "url")
+IDENTITY = ["player_id", "player_slug", "season"]
+# Bits of the filter that keeps pages nobody asks for from being read; 1 MB for any number of URLs.
+FILTER_BITS = 1 << 23
+
+
+def seeds_to_do(seeds: DataFrame, progress: DataFrame | None = None) -> DataFrame:
+    """One row per URL, of several the one with most of its identity filled, if it is not completed."""
+    missing = sum((text_or_null(F.col(c)).isNull().cast("int") for c in IDENTITY), F.lit(0))
+    ranked = seeds.select("url", *IDENTITY).withColumn("_missing", missing)
+    known = keep_first(ranked, ["url"], ["_missing", *IDENTITY]).drop("_missing")
+    return known if progress is None else skip_completed(known, progress)
+
+
+def likely_pages(pages: DataFrame, seeds: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """The pages whose URL may be among the seeds', without moving a page.
+
+    The URLs' hashes are put into bitmaps of a size that is fixed whatever the number of seeds, and
+    these are sent to the pages. Few pages pass without being asked for; more do so when the bitmaps
+    are full, which costs time and changes nothing.
+    """
+    place = lambda url: F.pmod(F.xxhash64(url), F.lit(bits))
+    maps = seeds.groupBy(F.bitmap_bucket_number(place(F.col("url"))).alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place(F.col("url")))).alias("_bits")
+    )
+    asked = pages.withColumn("_place", place(F.col("url")))
+    asked = asked.withColumn("_bucket", F.bitmap_bucket_number("_place"))
+    asked = asked.join(F.broadcast(maps), "_bucket").withColumn("_bit", F.bitmap_bit_position("_place"))
+    byte = F.expr("conv(hex(substring(_bits, cast(_bit div 8 as int) + 1, 1)), 16, 10)").cast("int")
+    hit = asked.withColumn("_byte", byte).where("shiftright(_byte, cast(_bit % 8 as int)) & 1 = 1")
+    return hit.select(*pages.columns)
 
 
 def progress_events(
@@ -106,7 +133,7 @@ def progress_events(
             F.col("_e.n").alias("n"),
             F.col("_e.error").alias("error"),
         )
-        .where(F.col("player_id").isNotNull() & F.col("season").isNotNull())
+        .where(text_or_null(F.col("player_id")).isNotNull() & text_or_null(F.col("season")).isNotNull())
     )
 
 
@@ -122,34 +149,71 @@ def clean_rows(
 def run_crawl(
     spark: SparkSession, pages: DataFrame, out: str, run_ts: str,
     responses: DataFrame | None = None, seeds: DataFrame | None = None,
-    progress: DataFrame | None = None, stats: DataFrame | None = None,
+    progress: DataFrame | None = None, stats: DataFrame | str | None = None,
     pattern: str = PROFILE_PATH, priority: list[str] | None = None,
 ) -> CrawlOutput:
     """Extract, clean and store landed pages.
 
     ``progress`` and ``stats`` are the tables of the run before; the new ones go to ``out``,
-    which must be a new place. What was extracted is written once to the shared folder, and the
+    which must be a new place. With ``stats`` as a path that table is brought up to date where it is,
+    season by season. What was extracted is written once to the shared folder, and the
     three outputs are made from that table: a lost executor costs a stage and not the extraction.
     """
     stamp = F.lit(run_ts).cast("timestamp")
-    todo = pages if seeds is None else pages_to_do(pages, seeds, progress)
+    todo = None if seeds is None else seeds_to_do(seeds, progress)
+    read = pages if todo is None else likely_pages(pages, todo)
+    found = extract_pages(read, responses, priority or PRIORITY)
+    if todo is not None:
+        # Joined after the HTML has been read where it lies, so that no page moves.
+        found = found.join(todo, "url")
     staged = scratch_dir(spark, "extracted")
-    extract_pages(todo, responses, priority or PRIORITY).write.parquet(staged)
+    found.write.parquet(staged)
     extracted = spark.read.parquet(staged)
 
     rows = normalize_stats(stat_rows(extracted, stamp, pattern))
-    result = CrawlOutput(f"{out}/export", f"{out}/stats", f"{out}/progress")
+    place = stats if isinstance(stats, str) else f"{out}/stats"
+    result = CrawlOutput(f"{out}/export", place, f"{out}/progress", f"{out}/rejected")
     write_jsonl(rows.select(*EXPORT_COLUMNS), result.export)
 
-    valid, _ = split_by_key(rows, STAT_KEY)
-    if stats is None:
-        merged = upsert_stats(valid, ARRIVAL)
-    else:
-        merged = upsert_into(stats, valid, STAT_KEY, ARRIVAL, STAT_IDENTITY, STAT_MEASURES)
-    write_silver(merged, result.stats)
+    valid, invalid = split_by_key(rows, STAT_KEY)
+    rejected = invalid.select("page_id", F.col("page_url").alias("url"), F.lit(NO_KEY).alias("reason"))
+    if seeds is not None:
+        unnamed = pages.select("page_id", "url").join(seeds.select("url"), "url", "left_anti")
+        rejected = rejected.unionByName(unnamed.withColumn("reason", F.lit(NO_SEED)))
+    write_jsonl(rejected, result.rejected)
+
+    write_stats(valid, stats, place)
 
     events = progress_events(extracted, stamp, pattern)
     fold_progress(events, number_block("seq", 1 << 20), ["ts", "seq"], progress).write.parquet(
         result.progress
     )
+    remove_path(spark, staged)
     return result
+
+
+def write_stats(valid: DataFrame, stats: DataFrame | str | None, place: str) -> None:
+    """Merge rows into the stat table at ``place``.
+
+    With the path of a table only the seasons that ``valid`` has rows for are read and replaced.
+    The merged rows are written to the shared folder first, since a table cannot be read while
+    it is replaced; a run that breaks in between can be repeated.
+    """
+    spark = valid.sparkSession
+    if stats is None:
+        write_silver(upsert_stats(valid, ARRIVAL), place)
+        return
+    if isinstance(stats, DataFrame):
+        write_silver(upsert_into(stats, valid, STAT_KEY, ARRIVAL, STAT_IDENTITY, STAT_MEASURES), place)
+        return
+    touched = valid.select("season").distinct()
+    few = [r["season"] for r in touched.limit(MANY_SEASONS + 1).collect()]
+    old = spark.read.parquet(stats).withColumn("season", F.col("season").cast("string"))
+    if len(few) <= MANY_SEASONS:
+        old = old.where(F.col("season").isin(few))
+    else:
+        old = old.join(touched, "season", "left_semi")
+    staged = scratch_dir(spark, "stats")
+    upsert_into(old, valid, STAT_KEY, ARRIVAL, STAT_IDENTITY, STAT_MEASURES).write.parquet(staged)
+    write_silver(spark.read.parquet(staged), place, only_touched=True)
+    remove_path(spark, staged)

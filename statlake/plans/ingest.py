@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 from statlake.operators.joins import only_listed
 from statlake.operators.possessions import flatten_possessions
 from statlake.operators.upsert import clean_ids
-from statlake.sinks.tables import write_bronze
+from statlake.plans.windows import WINDOW_DAYS, resume_windows
+from statlake.sinks.tables import write_bronze, write_state
+from statlake.sources.landed import games_between
+from statlake.sources.state import read_state, source_progress, state_rows, state_document
 
 RUN_LOG_SCHEMA = "dataset string, status string, rows bigint, path string, error string"
 
@@ -59,11 +62,66 @@ def run_ingest(
     root: str, run_ts: str, profiles: Callable[[], DataFrame] | None = None,
     dry_run: bool = False,
 ) -> DataFrame:
-    """Games, the possessions of those games, and profiles if given."""
+    """Games, the possessions of the games this run has written, and profiles if given."""
+
+    def written_games() -> DataFrame:
+        # A source read once more might give other games; a dry run has written none.
+        path = f"{root}/{GAMES}/run_ts={run_ts}"
+        return games() if dry_run else spark.read.parquet(path)
+
     stages = [
         Stage(GAMES, games),
-        Stage(POSSESSIONS, lambda: listed_possessions(possessions(), games())),
+        Stage(POSSESSIONS, lambda: listed_possessions(possessions(), written_games())),
     ]
     if profiles is not None:
         stages.append(Stage(PROFILES, profiles))
     return run_stages(spark, stages, root, run_ts, dry_run)
+
+
+RESULT_SCHEMA = "source string, processed_to string, run_ts string, error string"
+
+
+def run_resumed(
+    spark: SparkSession, state_path: str, games: dict[str, Callable[[], DataFrame]],
+    possessions: Callable[[], DataFrame], root: str, run_ts: str, target: str | None = None,
+    days: int = WINDOW_DAYS,
+) -> DataFrame:
+    """Load what the state says is missing, window by window, and save the state.
+
+    ``games`` gives the frame of each source. A source whose window fails goes no further in this
+    run, keeps what it had before, and counts an error; sources are independent of each other. The
+    windows of all sources are a short list on the driver. Gives the results by source.
+    """
+    rows = state_rows(read_state(spark, state_path))
+    end = None if target is None else F.lit(target)
+    windows: dict[str, list[tuple[str, str]]] = {}
+    planned = resume_windows(rows, end, days).where(F.col("source").isin(list(games)))
+    for w in planned.orderBy("source", "window_start").collect():
+        windows.setdefault(w["source"], []).append((str(w["window_start"]), str(w["window_end"])))
+    results = []
+    for source, todo in windows.items():
+        done, error = None, None
+        try:
+            frame = games[source]()
+            for start, stop in todo:
+                part = f"{run_ts}_{source_key(source)}_{start}"
+                own = games_between(frame, start, stop).withColumn("source", F.lit(source))
+                if write_bronze(own, root, GAMES, part).written:
+                    ids = spark.read.parquet(f"{root}/{GAMES}/run_ts={part}")
+                    flat = listed_possessions(possessions(), ids).withColumn("source", F.lit(source))
+                    write_bronze(flat, root, POSSESSIONS, part)
+                done = stop
+        except Exception as exc:
+            error = str(exc).splitlines()[0]
+        results.append((source, done, run_ts, error))
+    outcome = spark.createDataFrame(results, RESULT_SCHEMA)
+    # A document of a few rows, which must be read to its end before it is replaced.
+    after = source_progress(rows, outcome)
+    kept = spark.createDataFrame(after.collect(), after.schema)
+    write_state(state_document(kept), state_path)
+    return outcome
+
+
+def source_key(source: str) -> str:
+    """A source's name as part of a path."""
+    return "".join(c if c.isalnum() else "-" for c in source)

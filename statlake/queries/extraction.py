@@ -23,12 +23,11 @@ from statlake.operators.extract.scripts import (
 )
 from statlake.operators.extract.tables import extract_tables, page_tables
 from statlake.operators.normalize import explode_profiles, normalize_profiles, normalize_stats
-from statlake.queries.registry import cents, pick, query, table, text
-from statlake.session import spread
+from statlake.queries.registry import PARTS, cents, pick, query, table, text
 
 
 def _orders(spark, sf):
-    return spread(table(spark, sf, "orders"), "o_orderkey")
+    return table(spark, sf, "orders").repartition(PARTS, "o_orderkey")
 
 
 def _join(*parts: Column | str) -> Column:
@@ -226,7 +225,7 @@ def extract_tables_query(spark, sf):
             _join("<h1>none</h1>", size, brand),
         ],
     )
-    pages = spread(table(spark, sf, "part"), "p_partkey").select(
+    pages = table(spark, sf, "part").repartition(PARTS, "p_partkey").select(
         F.col("p_partkey").alias("page_id"),
         _join("<div class='player-header'><h1>Part ", F.col("p_partkey"), "</h1></div>", body).alias("html"),
     )
@@ -249,7 +248,7 @@ def extract_tables_web(spark, sf):
         "<section><h2>Web stats</h2><table><tbody><tr><td>Length</td><td>", F.col("page_id") % 1000,
         "</td></tr></tbody></table></section>",
     )
-    pages = spread(table(spark, sf, "pages"), "page_id").select("page_id", F.concat("html", added).alias("html"))
+    pages = table(spark, sf, "pages").repartition(PARTS, "page_id").select("page_id", F.concat("html", added).alias("html"))
     parsed = pages.select("page_id", page_tables("html").alias("p"))
     return _flat(parsed.select("page_id", extract_tables(F.col("p")).alias("x"))).drop(
         "player_id", "player_name", "season", "percentile", "grade"

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from statlake.functions.seasons import season_of
 from statlake.functions.text import iso_time
 from statlake.plans.crawl import run_crawl
-from statlake.plans.ingest import run_ingest
+from statlake.plans.ingest import run_ingest, run_resumed
 from statlake.queries.extraction import order_pages, order_responses
 from statlake.queries.possessions import games as nested_games
 from statlake.queries.registry import query, table, text
 from statlake.session import scratch_dir
+from statlake.sinks.tables import write_state
 from statlake.sources.landed import read_games
+from statlake.sources.state import read_state, state_document, state_rows
 
 
 @query(
@@ -75,9 +78,14 @@ def _crawl(spark, sf):
         F.regexp_extract("url", "/([0-9]+)$", 1).alias("player_id"),
         F.regexp_extract("url", "/([0-9]{4}-[0-9]{4})/", 1).alias("season"),
     ).distinct()
+    # A second seed for each URL, which does not know the player; and pages of no seed.
+    seeds = seeds.unionByName(seeds.withColumn("player_id", F.lit(None).cast("string")))
+    strange = pages.where("page_id % 7 = 0").withColumns(
+        {"page_id": -F.col("page_id"), "url": F.concat("url", F.lit("/extra"))}
+    )
     return run_crawl(
-        spark, pages, scratch_dir(spark, "crawl2"), "2024-01-02 07:00:00", responses, seeds,
-        progress, spark.read.parquet(first.stats),
+        spark, pages.unionByName(strange), scratch_dir(spark, "crawl2"), "2024-01-02 07:00:00",
+        responses, seeds, progress, first.stats,
     )
 
 
@@ -162,3 +170,97 @@ def crawl_job_export(spark, sf):
     return rows.groupBy("extraction_source").agg(
         F.count("*").alias("n"), F.sum(days).cast("bigint").alias("day_sum")
     )
+
+
+@query(
+    "crawl_job_rejected",
+    """
+    SELECT 'No seed names this page' AS reason, count(*) AS n, CAST(sum(-o_orderkey) AS BIGINT) AS id_sum
+    FROM orders WHERE o_orderkey % 7 = 0
+    """,
+)
+def crawl_job_rejected(spark, sf):
+    path = _crawl(spark, sf).rejected
+    rows = spark.read.schema("page_id bigint, url string, reason string").json(path)
+    return rows.groupBy("reason").agg(F.count("*").alias("n"), F.sum("page_id").alias("id_sum"))
+
+
+_DAY = "yyyy-MM-dd"
+
+
+@query(
+    "ingest_resume",
+    """
+    WITH s AS (
+        SELECT o_orderpriority AS source, substr(o_orderpriority, 1, 1) AS d,
+               min(CAST(o_orderdate AS DATE)) AS a, max(CAST(o_orderdate AS DATE)) AS b FROM orders GROUP BY 1),
+    f AS (SELECT *, CASE d WHEN '2' THEN DATE '1997-01-01' WHEN '3' THEN b ELSE a END AS from_date FROM s),
+    g AS (SELECT f.source, count(*) AS games, CAST(sum(o_orderkey % 4) AS BIGINT) AS possessions
+          FROM orders JOIN f ON f.source = o_orderpriority
+          WHERE CAST(o_orderdate AS DATE) >= from_date AND d IN ('1', '2') GROUP BY 1)
+    SELECT f.source, strftime(CASE d WHEN '4' THEN NULL WHEN '5' THEN NULL ELSE b END, '%Y-%m-%d') AS last_processed_date,
+           CASE d WHEN '5' THEN 'pending' WHEN '4' THEN 'in_progress' ELSE 'complete' END AS status,
+           CAST(CASE d WHEN '4' THEN 1 ELSE 0 END AS BIGINT) AS error_count,
+           CASE d WHEN '4' THEN 'no games today' END AS last_error,
+           coalesce(g.games, 0) AS games, coalesce(g.possessions, 0) AS possessions
+    FROM f LEFT JOIN g ON g.source = f.source
+    """,
+)
+def ingest_resume(spark, sf):
+    """Of five sources one is fresh, one goes on, one is complete, one fails, and one is not there."""
+    root, state = scratch_dir(spark, "bronze"), f"{scratch_dir(spark, 'state')}/run"
+    orders = table(spark, sf, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
+    rows = (
+        orders.groupBy(F.col("o_orderpriority").alias("source"))
+        .agg(
+            F.date_format(F.min("o_orderdate"), _DAY).alias("initial_start_date"),
+            F.date_format(F.max("o_orderdate"), _DAY).alias("initial_end_date"),
+        )
+        .withColumn("_d", F.substring("source", 1, 1))
+    )
+    last = F.when(F.col("_d") == "2", "1997-01-01").when(F.col("_d") == "3", F.col("initial_end_date"))
+    rows = rows.withColumns(
+        {
+            "last_processed_date": last,
+            "status": F.when(F.col("_d") == "2", "in_progress").when(F.col("_d") == "3", "complete").otherwise("pending"),
+            "last_run_ts": F.lit(None).cast("string"),
+            "error_count": F.lit(0),
+            "last_error": F.lit(None).cast("string"),
+            "initial_ingestion_complete": F.lit(False),
+            "last_successful_run": F.lit(None).cast("string"),
+        }
+    ).drop("_d")
+    write_state(state_document(rows), state)
+    games = orders.select(
+        text("o_orderkey").alias("game_id"), F.col("o_orderdate").alias("game_date"), "o_orderpriority",
+        season_of("o_orderdate").alias("season"),
+    )
+
+    def games_of(source):
+        def load():
+            if source.startswith("4"):
+                raise ValueError("no games today")
+            return games.where(F.col("o_orderpriority") == source).drop("o_orderpriority")
+
+        return load
+
+    sources = [r["source"] for r in rows.collect() if not r["source"].startswith("5")]
+    run_resumed(
+        spark, state, {s: games_of(s) for s in sources}, lambda: nested_games(spark, sf), root,
+        "20240101_070000", days=400,
+    )
+    after = state_rows(read_state(spark, state))
+
+    def counted(dataset):
+        n = spark.read.schema("game_id string, source string").parquet(f"{root}/{dataset}")
+        return n.groupBy("source").agg(F.count("*").alias(dataset))
+
+    return (
+        after.join(counted("games"), "source", "left")
+        .join(counted("possessions"), "source", "left")
+        .select(
+            "source", "last_processed_date", "status", F.col("error_count").cast("bigint").alias("error_count"),
+            "last_error", F.coalesce("games", F.lit(0)).alias("games"),
+            F.coalesce("possessions", F.lit(0)).alias("possessions"),
+        )
+    )

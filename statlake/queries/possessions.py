@@ -9,8 +9,7 @@ from statlake.operators.possessions import (
     seconds_per_possession,
     with_previous_timeouts,
 )
-from statlake.queries.registry import query, table, text
-from statlake.session import spread
+from statlake.queries.registry import PARTS, query, table, text
 
 
 def games(spark, sf):
@@ -46,7 +45,7 @@ def games(spark, sf):
             F.transform(upto((key + i) % 3), lambda j: event(i, j)).alias("events"),
         )
 
-    return spread(table(spark, sf, "orders"), "o_orderkey").select(
+    return table(spark, sf, "orders").repartition(PARTS, "o_orderkey").select(
         key.alias("game_id"), F.transform(upto(key % 4), possession).alias("possessions")
     )
 

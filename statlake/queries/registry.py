@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+PARTS = 64  # tasks for costly row work, since a test table is one file
+
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 

@@ -208,7 +208,7 @@ def pages_and_responses(spark, sf):
     """,
 )
 def seed_scan(spark, sf):
-    """Seeds as URL lines, JSON lines, comments and blanks; and a place without seeds."""
+    """Seeds as URL lines, quoted and JSON lines, comments, blanks, and an array; and a place without."""
     path = scratch_dir(spark, "seeds")
     key = F.col("s_suppkey")
     profile = F.concat(
@@ -218,11 +218,17 @@ def seed_scan(spark, sf):
     as_json = F.to_json(
         F.struct(other.alias("url"), text(key).alias("player_id"), F.col("s_name").alias("player_slug"))
     )
-    line = pick(key % 4, [profile, F.concat(F.lit("  "), profile, F.lit(" ")), as_json, other])
-    lines = table(spark, sf, "supplier").select(
+    quoted = F.concat(F.lit(' "'), profile, F.lit('" '))
+    line = pick(key % 4, [profile, quoted, as_json, other])
+    suppliers = table(spark, sf, "supplier")
+    lines = suppliers.where(key % 3 > 0).select(
         F.explode(F.array(line, F.lit(""), F.concat(F.lit("# "), "s_name"))).alias("value")
     )
     lines.write.text(path)
+    # One file more, a JSON array of URLs and objects.
+    entry = F.when(as_json == line, as_json).otherwise(F.concat(F.lit('"'), F.trim(F.replace(line, F.lit('"'))), F.lit('"')))
+    entries = suppliers.where(key % 3 == 0).agg(F.array_join(F.collect_list(entry), ",\n").alias("value"))
+    entries.select(F.concat(F.lit("[\n"), "value", F.lit("]"))).write.mode("append").text(path)
     missing = read_seeds(spark, f"{path}-missing")
     return read_seeds(spark, path).unionByName(missing)
 

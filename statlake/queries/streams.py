@@ -8,7 +8,7 @@ from statlake.functions.text import iso_time
 from statlake.operators.ordered import time_block
 from statlake.operators.progress import as_text_times
 from statlake.queries.progress import _TIMES, FOLD_SQL, QUARTER_DAY, log_rows
-from statlake.queries.registry import query
+from statlake.queries.registry import query, table
 from statlake.session import scratch_dir
 from statlake.streaming import metrics, progress, upserts
 
@@ -17,12 +17,19 @@ EVENT_SCHEMA = (
 )
 
 
-def event_stream(spark, sf):
-    return (
-        spark.readStream.schema(EVENT_SCHEMA)
-        .option("maxFilesPerTrigger", 1)
-        .parquet(f"{sf}/events*.parquet")
-    )
+def event_stream(spark, sf, in_order=False):
+    """The events in five files, one micro-batch each; the files go by time or are of all times."""
+    path = scratch_dir(spark, "events")
+    events = table(spark, sf, "events")
+    if in_order:
+        first, last = events.agg(F.min("ts"), F.max("ts")).first()
+        place = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.lit(first).cast("timestamp"))) * 5
+                        / (int((last - first).total_seconds() * 1e6) + 1))
+        for k in range(5):  # one after the other: a stream takes files by their age
+            events.where(place == k).coalesce(1).write.mode("append").parquet(path)
+    else:
+        events.repartition(5, F.col("event_id") % 997).write.parquet(path)
+    return spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", 1).parquet(path)
 
 
 @query(
@@ -65,8 +72,9 @@ def stream_upsert(spark, sf):
 )
 def stream_progress(spark, sf):
     root = scratch_dir(spark, "progress")
+    # Each event acts on what the ones before it left, so a log is landed in its order.
     progress.start_progress(
-        log_rows(event_stream(spark, sf)), f"{root}/deltas", f"{root}/checkpoint",
+        log_rows(event_stream(spark, sf, in_order=True)), f"{root}/deltas", f"{root}/checkpoint",
         lambda: time_block("ts", QUARTER_DAY),
     ).awaitTermination()
     return as_text_times(progress.read_progress(spark, f"{root}/deltas"))
@@ -82,16 +90,23 @@ def stream_progress(spark, sf):
 def stream_metrics(spark, sf):
     root = scratch_dir(spark, "metrics")
     stream = event_stream(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
-    counts = metrics.window_counts(stream, kind="event_type")
-    metrics.start_window_counts(counts, f"{root}/deltas", f"{root}/checkpoint").awaitTermination()
+    metrics.start_window_counts(
+        stream, f"{root}/deltas", f"{root}/checkpoint", kind="event_type"
+    ).awaitTermination()
     out = metrics.read_window_counts(spark, f"{root}/deltas", kind="event_type")
     return out.withColumn("window_start", iso_time("window_start"))
 
 
-@query("stream_dedup", "SELECT DISTINCT user_id, event_type FROM events")
+@query(
+    "stream_dedup",
+    "SELECT user_id, event_type, min_by(event_id, (ts, event_id)) AS event_id FROM events GROUP BY 1, 2",
+)
 def stream_dedup(spark, sf):
+    """The first event of each user and type; all later ones count as replays."""
     root = scratch_dir(spark, "dedup")
-    stream = event_stream(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
-    once = metrics.without_replays(stream, ["user_id", "event_type"], lateness="3650 days")
-    metrics.start_append(once, f"{root}/table", f"{root}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{root}/table").select("user_id", "event_type")
+    stream = event_stream(spark, sf).select("user_id", "event_type", "ts", "event_id")
+    keys, order = ["user_id", "event_type"], ["ts", "event_id"]
+    metrics.start_without_replays(
+        stream, f"{root}/deltas", f"{root}/checkpoint", keys, order
+    ).awaitTermination()
+    return metrics.read_without_replays(spark, f"{root}/deltas", keys, order).drop("ts")

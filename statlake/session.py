@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings that the operators rely on. Sizes are left to the cluster: AQE coalesces and splits
 # shuffle partitions from the real sizes, and broadcasts only what it has measured to be small.
@@ -36,14 +37,17 @@ def local_session(cores: int | str = 8, app: str = "statlake", **conf: str) -> S
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder all executors can reach: ``spark.checkpoint.dir``, or a new local one if unset.
+    """The folder all executors can reach: ``spark.checkpoint.dir``.
 
-    The local fallback serves single-machine runs (tests); a cluster names the shared folder.
+    Where it is unset, a run on one machine (tests) gets a new local folder. On a cluster executors
+    would each write to their own disk there, so that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="statlake-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
@@ -54,11 +58,14 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame, *by: str) -> DataFrame:
-    """Hash rows over all cores where the input has fewer splits than cores, else nothing.
+def path_exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether anything matches a path, which may hold wildcards, in its own file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return found is not None and len(found) > 0
 
-    For costly row work on landed tables of few files. A large table has splits enough and is
-    left as it is, so no shuffle is added there.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *by)
+
+def remove_path(spark: SparkSession, name: str) -> None:
+    """Remove a folder with all that is in it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -38,16 +38,21 @@ def _in_range(df: DataFrame, column: str, start: str, end: str) -> Column:
 def games_between(
     games: DataFrame, start: str, end: str, seasons: list[str] | None = None,
     date_col: str = "game_date", season_col: str = "season",
-    order_by: tuple[str, ...] = ("game_date",),
+    order_by: tuple[str, ...] | None = None,
 ) -> DataFrame:
     """Games in a range of dates, the first row of each ``game_id``.
 
+    Without ``order_by`` that is the first by date and then by all other columns in turn.
+
     The season filter follows from the dates but Catalyst cannot know that; said here, it prunes
     the season partitions.
     """
     wanted = F.col(season_col).isin(season_list(start, end) if seasons is None else seasons)
     rows = games.where(wanted & _in_range(games, date_col, start, end))
-    return keep_first(rows, ["game_id"], list(order_by)) if "game_id" in games.columns else rows
+    if "game_id" not in games.columns:
+        return rows
+    order = order_by or (date_col, *(c for c in games.columns if c not in ("game_id", date_col)))
+    return keep_first(rows, ["game_id"], list(order))
 
 
 def box_scores_for(scores: DataFrame, game_ids: DataFrame) -> DataFrame:

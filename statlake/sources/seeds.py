@@ -2,58 +2,70 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
-from statlake.functions.jsontext import is_json, is_object
+from statlake.functions.jsontext import bind, is_json, is_object
 from statlake.functions.text import strip
 from statlake.functions.urls import PROFILE_PATH, parse_profile_url
+from statlake.session import path_exists
 
 SEED_SCHEMA = "url string, player_id string, player_slug string, season string"
 
 
-def parse_seed_lines(lines: DataFrame, column: str = "value", pattern: str = PROFILE_PATH) -> DataFrame:
-    """JSON objects or plain URLs, one per line; blank lines and ``#`` comments are passed over.
+def _seeds(line: Column, pattern: str) -> Column:
+    """A seed from a JSON object, a JSON string or a plain URL.
 
-    A plain URL of a profile page also gives the id, slug and season.
+    A URL of a profile page also gives the id, slug and season.
     """
-    line = strip(column)
-    text = lines.select(line.alias("_line")).where(~F.col("_line").rlike(r"^(#.*)?$"))
-    url = F.col("_line")
-    as_object = F.when(is_object(url) & is_json(url), F.from_json(url, SEED_SCHEMA))
-    info = parse_profile_url(url, pattern)
-    return (
-        text.select(url, as_object.alias("_o"), info.alias("_u"))
-        .withColumn("_json", F.col("_o").isNotNull())
-        .select(
-            F.when(F.col("_json"), F.col("_o.url")).otherwise(url).alias("url"),
-            *[
-                F.when(F.col("_json"), F.col(f"_o.{c}")).otherwise(F.col(f"_u.{c}")).alias(c)
-                for c in ("player_id", "player_slug", "season")
-            ],
-        )
-    )
 
+    def seed(text: Column) -> Column:
+        as_object = F.from_json(F.when(is_object(text) & is_json(text), text), SEED_SCHEMA)
+        quoted = F.get(F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>"), F.lit(0))
+        url = F.when(text.startswith('"'), strip(F.coalesce(quoted, text))).otherwise(text)
+
+        def from_url(u: Column) -> Column:
+            info = parse_profile_url(u, pattern)
+            return bind(
+                info,
+                lambda i: F.struct(
+                    u.alias("url"), *[i[c].alias(c) for c in ("player_id", "player_slug", "season")]
+                ),
+            )
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.text(path)
-        return True
-    except AnalysisException:
-        return False
+        return bind(as_object, lambda o: F.when(o.isNotNull(), o).otherwise(bind(url, from_url)))
+
+    return bind(line, seed)
+
+
+def parse_seed_lines(lines: DataFrame, column: str = "value", pattern: str = PROFILE_PATH) -> DataFrame:
+    """JSON objects, quoted or plain URLs, one per line; blank lines and ``#`` comments are passed over."""
+    text = lines.select(strip(column).alias("_line")).where(~F.col("_line").rlike(r"^(#.*)?$"))
+    return text.select(_seeds(F.col("_line"), pattern).alias("_s")).select("_s.*")
 
 
 def read_seeds(spark: SparkSession, path: str, pattern: str = PROFILE_PATH) -> DataFrame:
-    """A seed list: one JSON array, JSON lines or URL lines. No file gives no seeds.
+    """Seed lists: each file is one JSON array of objects or URLs, or JSON and URL lines.
 
-    Lines are read in parallel. A JSON array is read by Spark's multi-line JSON reader, file by
-    file, so long lists should be landed as lines.
+    No file gives no seeds. Lines are read in parallel. A JSON array is read whole, file by file, so
+    long lists should be landed as lines.
     """
-    if not _exists(spark, path):
+    if not path_exists(spark, path):
         return spark.createDataFrame([], SEED_SCHEMA)
-    lines = spark.read.text(path)
-    head = lines.where(~F.col("value").rlike(r"^\s*(#.*)?$")).limit(1).collect()
-    if head and head[0]["value"].lstrip().startswith("["):
-        return spark.read.schema(SEED_SCHEMA).option("multiLine", True).json(path)
-    return parse_seed_lines(lines, "value", pattern)
+    lines = spark.read.text(path).withColumn("_file", F.input_file_name())
+    told = lines.where(~F.col("value").rlike(r"^\s*(#.*)?$"))
+    # The first line with content says what a file holds; a line's place is its task and order.
+    first = told.withColumn("_at", F.monotonically_increasing_id()).groupBy("_file").agg(
+        F.min_by("value", "_at").alias("_head")
+    )
+    arrays = [r["_file"] for r in first.where(F.ltrim("_head").startswith("[")).collect()]
+    if not arrays:
+        return parse_seed_lines(lines, "value", pattern)
+    plain = parse_seed_lines(lines.where(~F.col("_file").isin(arrays)), "value", pattern)
+    whole = spark.read.text(arrays, wholetext=True)
+    array = F.regexp_replace("value", r"\A(?:\s*#[^\n]*+\n)++", "")
+    entries = whole.select(F.explode(F.from_json(array, "array<string>")).alias("value"))
+    listed = entries.where(strip("value") != "")
+    return plain.unionByName(
+        listed.select(_seeds(strip("value"), pattern).alias("_s")).select("_s.*")
+    )

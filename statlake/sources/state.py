@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from statlake.session import path_exists
+
 SOURCE_STRUCT = (
     "struct<initial_start_date string, initial_end_date string, last_processed_date string, "
     "status string, last_run_ts string, error_count int, last_error string>"
@@ -36,10 +37,9 @@ def empty_state(spark: SparkSession) -> DataFrame:
 
 def read_state(spark: SparkSession, path: str) -> DataFrame:
     """The state document; the empty state where there is none."""
-    try:
-        return spark.read.schema(STATE_SCHEMA).option("multiLine", True).json(path)
-    except AnalysisException:
+    if not path_exists(spark, path):
         return empty_state(spark)
+    return spark.read.schema(STATE_SCHEMA).option("multiLine", True).json(path)
 
 
 def state_rows(document: DataFrame) -> DataFrame:

@@ -6,10 +6,11 @@ nothing twice. Readers fold the folders; ``compact`` folds them into a new table
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from statlake.session import path_exists
+
 BATCH = "batch_id"
 
 
@@ -20,10 +21,15 @@ def write_delta(df: DataFrame, path: str, batch_id: int) -> None:
 def read_deltas(
     spark: SparkSession, path: str, before: int | None = None, schema=None
 ) -> DataFrame | None:
-    """All folders, or those before a batch; NULL-free None where there are none yet."""
+    """All folders, or those before a batch; None where there are none because none can be yet.
+
+    A stream past its first batch whose earlier folders are gone would forget what they hold.
+    """
+    folders = f"{path}/{BATCH}=*"
+    if not path_exists(spark, folders):
+        if before == 0:
+            return None
+        raise FileNotFoundError(f"no folder of earlier batches: {folders}")
     reader = spark.read if schema is None else spark.read.schema(schema)
-    try:
-        df = reader.option("basePath", path).parquet(f"{path}/{BATCH}=*")
-    except AnalysisException:
-        return None
+    df = reader.option("basePath", path).parquet(folders)
     return df if before is None else df.where(F.col(BATCH) < before)

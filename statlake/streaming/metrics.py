@@ -2,53 +2,73 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from statlake.operators.upsert import keep_first
 from statlake.streaming.deltas import BATCH, read_deltas, write_delta
 
 
 def window_counts(
-    stream: DataFrame, ts: str = "ts", kind: str = "kind", interval: str = "60 seconds",
-    lateness: str = "10 minutes",
+    entries: DataFrame, ts: str = "ts", kind: str = "kind", interval: str = "60 seconds"
 ) -> DataFrame:
-    """Entries by tumbling window and kind. ``ts`` must be a TIMESTAMP.
-
-    In append mode a window comes out once the watermark has passed it.
-    """
+    """Entries by tumbling window and kind. ``ts`` must be a TIMESTAMP."""
     return (
-        stream.withWatermark(ts, lateness)
-        .groupBy(F.window(ts, interval), kind)
+        entries.groupBy(F.window(ts, interval), kind)
         .agg(F.count("*").alias("n"))
         .select(F.col("window.start").alias("window_start"), kind, "n")
     )
 
 
-def start_window_counts(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Write changed windows of each micro-batch, so that the open ones are there too."""
-    return (
-        counts.writeStream.outputMode("update")
-        .foreachBatch(lambda batch, batch_id: write_delta(batch, path, batch_id))
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+def start_window_counts(
+    stream: DataFrame, path: str, checkpoint: str, ts: str = "ts", kind: str = "kind",
+    interval: str = "60 seconds",
+) -> StreamingQuery:
+    """Write the counts of each micro-batch. They add up on reading, so rows may be as late as they
+    like, and nothing is kept between batches."""
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        write_delta(window_counts(batch, ts, kind, interval), path, batch_id)
+
+    return _run(stream, each, checkpoint)
 
 
 def read_window_counts(spark: SparkSession, path: str, kind: str = "kind") -> DataFrame:
-    """The latest count of each window."""
-    deltas = read_deltas(spark, path)
-    return deltas.groupBy("window_start", kind).agg(F.max_by("n", BATCH).alias("n"))
+    """The count of each window over all micro-batches."""
+    return read_deltas(spark, path).groupBy("window_start", kind).agg(F.sum("n").alias("n"))
+
+
+def start_without_replays(
+    stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], order_by: Sequence[str]
+) -> StreamingQuery:
+    """Write each micro-batch with the first row of each key in the order.
 
+    A replay of a key is dropped on reading, however late it comes; no state grows with the keys.
+    """
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        write_delta(keep_first(batch, keys, order_by), path, batch_id)
+
+    return _run(stream, each, checkpoint)
 
-def without_replays(
-    stream: DataFrame, keys: Sequence[str], ts: str = "ts", lateness: str = "7 days"
+
+def read_without_replays(
+    spark: SparkSession, path: str, keys: Sequence[str], order_by: Sequence[str]
 ) -> DataFrame:
-    """Each key once, where its replays come within the lateness."""
-    return stream.withWatermark(ts, lateness).dropDuplicatesWithinWatermark(list(keys))
+    """Each key once: its first row in the order over all micro-batches."""
+    return keep_first(read_deltas(spark, path).drop(BATCH), keys, order_by)
+
+
+def _run(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+    return (
+        stream.writeStream.foreachBatch(each)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
 
 
 def start_append(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

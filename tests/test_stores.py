@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_operators import EVENT_SCHEMA, brute_fold, fold_rows, random_log
 
+from statlake.operators.normalize import explode_profiles, normalize_profiles
 from statlake.operators.ordered import time_block
 from statlake.operators.possessions import flatten_possessions, seconds_per_possession
 from statlake.plans import ingest
@@ -13,7 +14,7 @@ from statlake.sinks import tables as sinks
 from statlake.sources import landed
 from statlake.sources import state as states
 from statlake.sources.seeds import read_seeds
-from statlake.streaming import metrics, progress, upserts
+from statlake.streaming import deltas, metrics, progress, upserts
 
 
 def test_bronze(spark, tmp_path):
@@ -70,6 +71,13 @@ def test_seeds(spark, tmp_path):
     (tmp_path / "lines.txt").write_text(f'# c\n\n  {url}\n{{"url":"u","player_id":"1"}}\nplain\n{{broken\n')
     rows = {tuple(r) for r in read_seeds(spark, str(tmp_path / "lines.txt")).collect()}
     assert rows == {(url, "7", "a-b", "2024-2025"), ("u", "1", None, None), ("plain", None, None, None), ("{broken", None, None, None)}
+    mixed = tmp_path / "mixed"
+    mixed.mkdir()
+    (mixed / "a.json").write_text(f'# c\n["{url}", {{"url": "x", "player_id": "3"}}, "p", ""]')
+    (mixed / "b.txt").write_text('"q"\nr\n')
+    rows = {tuple(r) for r in read_seeds(spark, str(mixed)).collect()}
+    none = (None, None, None)
+    assert rows == {(url, "7", "a-b", "2024-2025"), ("x", "3", None, None), ("p", *none), ("q", *none), ("r", *none)}
     (tmp_path / "list.json").write_text(json.dumps([{"url": "x", "season": "s"}, {"url": "y"}], indent=1))
     assert {tuple(r) for r in read_seeds(spark, str(tmp_path / "list.json")).collect()} == {("x", None, None, "s"), ("y", None, None, None)}
 
@@ -179,16 +187,19 @@ def test_stream_counts_and_replays(spark, tmp_path):
         F.timestamp_seconds(F.col("id") * 7).alias("ts"),
         F.when(F.col("id") % 2 == 0, "item").otherwise("page").alias("kind"),
     )
-    df.coalesce(1).write.parquet(path)
-    stream = spark.readStream.schema(schema).parquet(path)
-    counts = metrics.window_counts(stream)
-    metrics.start_window_counts(counts, str(tmp_path / "c"), str(tmp_path / "cp")).awaitTermination()
+    # The oldest rows last, and some once more.
+    write_files(spark, df.collect(), schema, path, [slice(60, 100), slice(30, 60), slice(0, 30)])
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    metrics.start_window_counts(stream, str(tmp_path / "c"), str(tmp_path / "cp")).awaitTermination()
     got = {(r["window_start"], r["kind"]): r["n"] for r in metrics.read_window_counts(spark, str(tmp_path / "c")).collect()}
     want = {(r[0], r[1]): r[2] for r in df.groupBy(F.window("ts", "60 seconds")["start"], "kind").count().collect()}
     assert got == want
-    once = metrics.without_replays(stream, ["id"])
-    metrics.start_append(once, str(tmp_path / "o"), str(tmp_path / "cp2")).awaitTermination()
-    assert sorted(r["id"] for r in spark.read.parquet(str(tmp_path / "o")).collect()) == list(range(40))
+    out = str(tmp_path / "o")
+    metrics.start_without_replays(stream, out, str(tmp_path / "cp2"), ["id"], ["ts"]).awaitTermination()
+    once = {r["id"]: r["ts"] for r in metrics.read_without_replays(spark, out, ["id"], ["ts"]).collect()}
+    assert once == {r["id"]: r["ts"] for r in df.groupBy("id").agg(F.min("ts").alias("ts")).collect()}
+    metrics.start_append(stream, str(tmp_path / "p"), str(tmp_path / "cp3")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "p")).count() == 100
 
 
 def test_shared_root_follows_the_session(spark):
@@ -198,6 +209,44 @@ def test_shared_root_follows_the_session(spark):
     assert spark.conf.get("spark.checkpoint.dir") == shared_root(spark)
 
 
+def test_no_local_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from statlake.session import shared_root
+
+    unset = SimpleNamespace(get=lambda *_: None)
+    for master in ("spark://h:7077", "yarn", "local-cluster[2,1,512]"):
+        context = SimpleNamespace(master=master, getConf=lambda: unset)
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_root(SimpleNamespace(conf=unset, sparkContext=context))
+
+
+def test_missing_and_broken_are_kept_apart(spark, tmp_path):
+    assert deltas.read_deltas(spark, str(tmp_path / "none"), 0) is None
+    with pytest.raises(FileNotFoundError):
+        deltas.read_deltas(spark, str(tmp_path / "none"), 3)
+    with pytest.raises(FileNotFoundError):
+        deltas.read_deltas(spark, str(tmp_path / "none"))
+    (tmp_path / "state").write_text("x")
+    assert states.read_state(spark, str(tmp_path / "none")).first()["sources"] == {}
+    broken = tmp_path / f"table/{deltas.BATCH}=0"
+    broken.mkdir(parents=True)
+    (broken / "part.parquet").write_text("no parquet")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        deltas.read_deltas(spark, str(tmp_path / "table"), 1).count()
+
+
+def test_profiles_keep_all_their_fields(spark):
+    rows = [("p", [("s", "c", "5", None, "B", "old", "more")])]
+    kind = "array<struct<statistic_name:string,statistic_category:string,value:string,percentile:string,grade:string,raw_data:string,note:string>>"
+    df = spark.createDataFrame(rows, f"player_id string, stats {kind}").withColumn(
+        "stats", F.transform("stats", lambda s: s.withField("raw_data", F.struct(s["raw_data"].alias("value"), F.lit("x").alias("percentile"), F.lit("y").alias("grade"))))
+    )
+    out = explode_profiles(normalize_profiles(df, F.lit("2024-01-02 07:00:00"))).first()
+    assert (out["note"], tuple(out["raw_data"]), out["value_numeric"]) == ("more", ("old", "x", "y"), 5.0)
+    assert str(out["extracted_at"]) == "2024-01-02 07:00:00"
+
+
 def test_games_between(spark):
     for kind in ("date", "timestamp", "string"):
         df = spark.createDataFrame(
