@@ -32,8 +32,8 @@ from sentencepiece import sentencepiece_model_pb2
 from statlake.llm.blocks import Cache, text_blocks
 
 SPACE = "▁"
-CACHED_WORDS, CACHED_RUNS, CACHED_LETTERS = 400_000, 250_000, 48
-CACHED_PAIRS = 500_000
+CACHED_WORDS, CACHED_RUNS, CACHED_LETTERS = 200_000, 120_000, 48
+CACHED_PAIRS = 300_000
 WORD = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n")
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6  # types of pieces in a model file
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from statlake.llm.text_arrays import from_planes, planes
 
 BLOCK_BYTES = 2 << 20
-BUCKET_BYTES = 16 << 20  # of text, about three million windows
+BUCKET_BYTES = 8 << 20  # of text, about a million and a half windows
 FEWEST_BUCKETS = 32
 
 # Of the texts of a block: for each window its text, its start, and two numbers: one that places it in a
