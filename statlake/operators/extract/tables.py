@@ -7,6 +7,7 @@ texts. What the cells and headings mean is decided in Spark expressions.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -39,6 +40,7 @@ SILENT_TAGS = {"script", "style", "template"}
 _SECTION = T.StructType(
     [
         T.StructField("node", T.IntegerType()),
+        T.StructField("repeat", T.BooleanType()),
         T.StructField("sibling", T.StringType()),
         T.StructField("inner", T.StringType()),
         T.StructField("rows", T.ArrayType(T.ArrayType(T.StringType()))),
@@ -87,6 +89,7 @@ class _Page(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.nodes, self.texts, self.pieces = [], [], []
         self.open = [_Node("", "", None, -1, 0)]
+        self.depths = {}  # of each tag, where it is open
         self.feed(html)
         self.close()
         self._flush()
@@ -102,6 +105,8 @@ class _Page(HTMLParser):
         """Close all tags from this depth on."""
         for node in self.open[depth:]:
             node.end, node.text_end = len(self.nodes), len(self.texts)
+            if node.at >= 0:
+                self.depths[node.tag].pop()
         del self.open[depth:]
 
     def updatepos(self, i, j):
@@ -118,6 +123,7 @@ class _Page(HTMLParser):
         class_text = next((v for k, v in attrs if k == "class"), None) or ""
         node = _Node(tag, class_text, self.open[-1], len(self.nodes), len(self.texts))
         self.nodes.append(node)
+        self.depths.setdefault(tag, []).append(len(self.open))
         self.open.append(node)
         if tag in VOID_TAGS:
             self._shut(len(self.open) - 1)
@@ -129,18 +135,32 @@ class _Page(HTMLParser):
 
     def handle_endtag(self, tag):
         self._flush()
-        for depth in range(len(self.open) - 1, 0, -1):
-            if self.open[depth].tag == tag:
-                self._shut(depth)
-                return
-
-    def inside(self, node):
-        return self.nodes[node.at + 1 : node.end]
+        if self.depths.get(tag):
+            self._shut(self.depths[tag][-1])
 
     def text(self, node):
         return "".join(self.texts[node.text_at : node.text_end])
 
 
+class _Kind:
+    """The nodes of a page for which a test holds, to be found by the node they are in."""
+
+    def __init__(self, page, test):
+        self.nodes = [n for n in page.nodes if test(n)]
+        self.places = [n.at for n in self.nodes]
+
+    def span(self, node):
+        return bisect_right(self.places, node.at), bisect_left(self.places, node.end)
+
+    def inside(self, node):
+        start, end = self.span(node)
+        return self.nodes[start:end]
+
+    def first(self, node):
+        start, end = self.span(node)
+        return self.nodes[start] if start < end else None
+
+
 def _is_section(node):
     return (
         node.tag == "table"
@@ -160,35 +180,39 @@ def _is_name(node):
     )
 
 
-def _cell_rows(page, table):
-    rows = [n for n in page.inside(table) if n.tag == "tr"]
+def _cell_rows(page, rows, cells):
     marked = [r for r in rows if r.in_body or ROW_CLASS in r.classes]
-    return [
-        [page.text(c) for c in page.inside(r) if c.tag == "td"] for r in marked or rows[1:]
-    ]
+    return [[page.text(c) for c in cells.inside(r)] for r in marked or rows[1:]]
 
 
 def read_page(html):
     """Sections, name and table counts of one page, as plain values."""
     page = _Page(html)
-    sections = []
+    tables = _Kind(page, lambda n: n.tag == "table")
+    rows = _Kind(page, lambda n: n.tag == "tr")
+    body_rows = _Kind(page, lambda n: n.tag == "tr" and n.in_body)
+    cells = _Kind(page, lambda n: n.tag == "td")
+    headings = _Kind(page, _is_inner_heading)
+    sections, seen = [], set()
     for node in filter(_is_section, page.nodes):
-        tables = [node] if node.tag == "table" else page.inside(node)
-        table = next((n for n in tables if n.tag == "table"), None)
-        inner = next(filter(_is_inner_heading, page.inside(node)), None)
+        table = node if node.tag == "table" else tables.first(node)
+        inner = headings.first(node)
+        place = table.at if table else None
         sections.append(
             {
-                "node": table.at if table else None,
+                "node": place,
+                "repeat": place in seen,
                 "sibling": page.text(node.sibling) if node.sibling else None,
                 "inner": page.text(inner) if inner else None,
-                "rows": _cell_rows(page, table) if table else [],
+                "rows": _cell_rows(page, rows.inside(table), cells) if table else [],
             }
         )
-    tables = [n for n in page.nodes if n.tag == "table"]
+        seen.add(place)
+    spans = [body_rows.span(t) for t in tables.nodes]
     return {
         "player_name": next((page.text(n) for n in page.nodes if _is_name(n)), None),
-        "tables": len(tables),
-        "body_rows": sum(n.tag == "tr" and n.in_body for t in tables for n in page.inside(t)),
+        "tables": len(tables.nodes),
+        "body_rows": sum(end - start for start, end in spans),
         "sections": sections,
     }
 
@@ -244,10 +268,7 @@ def extract_tables(parsed: Column, repeats: bool = False) -> Column:
 
     labelled = F.zip_with(sections, categories, lambda s, c: F.struct(s.alias("s"), c.alias("c")))
     if not repeats:
-        nodes = F.transform(sections, lambda s: s["node"])
-        labelled = F.filter(
-            labelled, lambda x, i: F.array_position(nodes, x["s"]["node"]) == i + 1
-        )
+        labelled = F.filter(labelled, lambda x: x["s"]["node"].isNotNull() & ~x["s"]["repeat"])
     stats = F.flatten(F.transform(labelled, lambda x: rows_of(x["s"], x["c"])))
     return F.when(
         parsed.isNotNull(),

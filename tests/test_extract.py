@@ -1,6 +1,7 @@
 """Extraction against hand-derived pages."""
 
 import json
+import time
 
 from pyspark.sql import functions as F
 
@@ -142,6 +143,14 @@ def test_read_page_counts():
     assert (page["tables"], page["body_rows"]) == (2, 1)
 
 
+def test_reading_is_linear_in_the_tags():
+    started = time.perf_counter()
+    page = read_page("<table>" * 20_000 + "x" + "</table>" * 20_000)
+    assert page["tables"] == 20_000
+    read_page("<p>" * 20_000 + "</i>" * 20_000 + "<table></table>")
+    assert time.perf_counter() - started < 10
+
+
 def test_best_captured(spark):
     def body(n):
         return json.dumps({"stats": [{"name": f"s{i}", "value": i} for i in range(n)], "playerId": n})
