@@ -54,7 +54,10 @@ def lines_of(html: Column) -> Column:
 def boilerplate(pages: DataFrame, ratio: float, min_pages: int) -> DataFrame:
     """(host, common): for each host that has any, the lines that go. ``pages`` has host and lines."""
     totals = pages.groupBy("host").agg(F.count("*").alias("pages"))
-    own = pages.select("host", F.explode(F.array_distinct("lines")).alias("line"))
+    # Outer, with a filter behind it: a plain explode has Spark test the array's size at the scan, and
+    # with it parse every page once more.
+    own = pages.select("host", F.explode_outer(F.array_distinct("lines")).alias("line"))
+    own = own.where(F.col("line").isNotNull())
     counts = own.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
     many = counts.join(totals, "host").where(F.col("n") > ratio * F.col("pages"))
     return many.groupBy("host").agg(F.collect_list("line").alias("common"))
