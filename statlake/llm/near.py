@@ -12,10 +12,11 @@
    shingles of its own as one element (the chance to be drawn is the same), and banded.
 4. In each band, every text is compared with one text of those of equal value, the one that shares values
    with most texts. So a group of n copies takes n comparisons in a band, and a hot group is split over
-   tasks. Texts that turn out not to be similar to it are compared among themselves by their samples, in
-   blocks of bounded size, and only pairs that agree often enough come out. A pair whose 100 samples agree
-   too seldom (``SLACK`` below the threshold, three deviations) is passed over; all others are compared
-   shingle by shingle.
+   tasks. The classes of the links so far are joined. Then, within each value, texts of unlike classes meet by
+   their samples, also those that were linked with those that were not, in blocks of bounded size: first the
+   pair of each text that agrees most, then the next in two rounds, until all pairs that agree often
+   enough have been compared or are in one class. A pair whose 100 samples agree too seldom (``SLACK`` below the
+   threshold, three deviations) is passed over; all others are compared shingle by shingle.
 5. Verified links are joined into classes.
 
 At similarity 0.8 a pair shares none of the 20 bands of 5 samples with probability 0.0004; then it is
@@ -59,6 +60,9 @@ IDF_SHARE = 0.5
 SLACK = 0.12
 BLOCK_TEXTS = 1024  # of those with equal value in a band that are compared in one task at a time
 KEPT_BYTES = 8  # 32 bits of the hash, and how often the text has the shingle
+# The pairs of a text within two blocks in order of agreement, (from, below, only the best of all blocks); in the
+# end all pairs of unlike classes have been compared.
+ROUNDS = ((0, 1, True), (0, 8, False), (8, None, False))
 PAIR_BYTES = 6  # of a shingle's hash, to compare two texts by
 NO_ID = np.iinfo(np.int64).min
 FOLD = np.frombuffer(LOWER, np.uint8)
@@ -260,46 +264,62 @@ def promising(pairs: DataFrame, sampled: DataFrame, least: float) -> DataFrame:
     return both.where(agree("sa", "sb")).select("a", "b")
 
 
-def agreeing(left: np.ndarray, right: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """The places of the pairs of rows that agree in the part ``least`` or more, some rows at a time."""
-    rows, columns = [], []
+def agreeing(left: np.ndarray, right: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The places and the agreement of the pairs of rows that agree in the part ``least`` or more."""
+    rows, columns, counts = ([np.zeros(0, np.int64)] for _ in range(3))
     for at in range(0, len(left), 64):
         same = (left[at : at + 64, None, :] == right[None, :, :]).sum(axis=2)
         i, j = np.nonzero(same >= least * left.shape[1])
         rows.append(i + at)
         columns.append(j)
-    return np.concatenate(rows), np.concatenate(columns)
+        counts.append(same[i, j])
+    return np.concatenate(rows), np.concatenate(columns), np.concatenate(counts)
 
 
-def pairs_of_blocks(least: float):
-    """Of rows (value, i, j, block, id, signature), sorted by the first three, the agreeing pairs."""
+def pairs_of_blocks(least: float, low: int, high: int | None):
+    """Of rows sorted by value, i and j: the agreeing pairs of blocks i and j of unlike ``before`` and ``now``.
+
+    Of each text of block i, those that come from ``low`` to below ``high`` in the order of agreement, which
+    does not depend on ``now``.
+    """
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def compared(table: pa.Table) -> pa.RecordBatch:
             keys = [table.column(c).to_numpy() for c in ("value", "i", "j")]
-            block, ids = table.column("block").to_numpy(), table.column("id").to_numpy()
+            block, ids, before, now = (table.column(c).to_numpy() for c in ("block", "id", "before", "now"))
             raw = b"".join(table.column("signature").to_pylist())
             own = np.frombuffer(raw, np.uint8).reshape(len(ids), BANDS * ROWS)
             change = np.zeros(len(ids) - 1, bool)
             for key in keys:
                 change |= key[1:] != key[:-1]
             cuts = np.r_[0, np.flatnonzero(change) + 1, len(ids)]
-            a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            made = [[np.zeros(0, np.int64)] for _ in range(3)]
             for start, end in zip(cuts, cuts[1:], strict=False):
-                if end - start < 2:
-                    continue
                 i, j = keys[1][start], keys[2][start]
                 left = start + np.flatnonzero(block[start:end] == i)
                 right = start + np.flatnonzero(block[start:end] == j)
                 if not len(left) or not len(right):
                     continue
-                x, y = agreeing(own[left], own[right], least)
-                x, y = ids[left[x]], ids[right[y]]
-                keep = x < y if i == j else x != y
-                a.append(np.minimum(x, y)[keep])
-                b.append(np.maximum(x, y)[keep])
+                if (now[right] == now[right[0]]).all():
+                    left = left[now[left] != now[right[0]]]
+                x, y, same = agreeing(own[left], own[right], least)
+                x, y = left[x], right[y]
+                keep = before[x] != before[y]
+                keep &= ids[x] < ids[y] if i == j else ids[x] != ids[y]
+                x, y, same = x[keep], y[keep], same[keep]
+                order = np.lexsort((ids[y], -same, x))
+                x, y, same = x[order], y[order], same[order]
+                first = equal_runs(x) if len(x) else np.zeros(0, int)
+                rank = np.arange(len(x)) - np.repeat(first, np.diff(np.r_[first, len(x)]))
+                keep = (now[x] != now[y]) & (rank >= low)
+                if high is not None:
+                    keep &= rank < high
+                for column, part in zip(made, (ids[x], ids[y], same), strict=True):
+                    column.append(part[keep])
+            text, other, same = (np.concatenate(column) for column in made)
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(a), pa.int64()), pa.array(np.concatenate(b), pa.int64())], ["a", "b"]
+                [pa.array(c, pa.int64()) for c in (text, np.minimum(text, other), np.maximum(text, other), same)],
+                ["text", "a", "b", "same"],
             )
 
         held: pa.Table | None = None
@@ -324,25 +344,65 @@ def pairs_of_blocks(least: float):
     return pairs
 
 
-def pairs_among(members: DataFrame, sampled: DataFrame, least: float) -> DataFrame:
-    """(a, b) of the members (value, id) of equal value whose samples agree often enough."""
-    sizes = members.groupBy("value").agg(F.count("*").alias("n")).where("n > 1")
-    parts = F.ceil(F.col("n") / BLOCK_TEXTS).cast("int")
-    placed = members.join(sizes, "value").select("value", "id", parts.alias("parts"))
-    placed = placed.withColumn("block", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    placed = placed.join(sampled.select("id", "signature"), "id")
-    both = placed.select(
-        "value", "block", "id", "signature", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
-    ).select(
-        "value", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "signature"
+def pairs_among(
+    members: DataFrame, sampled: DataFrame, least: float, ranks: tuple[int, int | None] = (0, None), best: bool = False
+) -> DataFrame:
+    """(a, b) of the members (value, id) of equal value whose samples agree often enough.
+
+    With columns ``before`` and ``now``, the classes of the members at the first and at this round, only
+    pairs of unlike classes. Those outside the largest class of a value meet all others of the value; those
+    of the largest do not meet each other. ``best``: only the pair of each text that agrees most.
+    """
+    if "now" not in members.columns:
+        members = members.withColumn("before", F.col("id")).withColumn("now", F.col("id"))
+    counts = members.groupBy("value", "before").agg(
+        F.count("*").alias("n"), F.min("now").alias("least"), F.max("now").alias("most")
+    )
+    sizes = counts.groupBy("value").agg(
+        F.sum("n").alias("n"), F.max(F.struct("n", "before")).alias("main"), F.min("least").alias("x"), F.max("most").alias("y")
     )
+    parts = lambda n: F.ceil(n / BLOCK_TEXTS).cast("int")
+    sizes = sizes.where("n > main.n AND x <> y").select(
+        "value",
+        F.col("main.before").alias("main"),
+        parts(F.col("n") - F.col("main.n")).alias("few"),
+        parts(F.col("main.n")).alias("many"),
+    )
+    inner = F.col("before") == F.col("main")
+    slot = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    placed = (
+        members.join(sizes, "value")
+        .withColumn("block", F.when(inner, F.col("few") + slot("many")).otherwise(slot("few")))
+        .withColumn("last", F.col("few") - 1 + F.when(inner, 0).otherwise(F.col("many")))
+        .select("value", "id", "before", "now", "block", "last")
+        .join(sampled.select("id", "signature"), "id")
+    )
+    columns = ["block", "id", "before", "now", "signature"]
+    both = placed.select("value", *columns, F.explode(F.sequence(F.lit(0), "last")).alias("other"))
     keys = ["value", "i", "j"]
+    both = both.select("value", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), *columns)
     rows = both.repartition(*keys).sortWithinPartitions(*keys)
-    return rows.mapInArrow(pairs_of_blocks(least), "a long, b long").distinct()
-
-
-def links_of(sampled: DataFrame, n_texts: int, threshold: float) -> DataFrame:
-    """(a, b) of the texts found similar, a < b."""
+    found = rows.mapInArrow(pairs_of_blocks(least, *ranks), "text long, a long, b long, same long")
+    if best:
+        top = F.max(F.struct("same", "a", "b"))
+        found = found.groupBy("text").agg(top.alias("top")).select("top.a", "top.b")
+    return found.select("a", "b").distinct()
+
+
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (id, label) after more links (a, b); ids without a label are classes of their own."""
+    ends = links.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    known = labels.unionByName(ends.join(labels, "id", "left_anti").withColumn("label", F.col("id")))
+    known = scratch_table(known, "labels")
+    of = lambda x: known.select(F.col("id").alias(x), F.col("label").alias(f"l{x}"))
+    between = links.join(of("a"), "a").join(of("b"), "b").select(F.col("la").alias("a"), F.col("lb").alias("b"))
+    joined = components(between).select(F.col("id").alias("label"), F.col("label").alias("next"))
+    moved = known.join(joined, "label", "left").select("id", F.coalesce("next", "label").alias("label"))
+    return scratch_table(moved, "labels")
+
+
+def classes_of(sampled: DataFrame, n_texts: int, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(a, b) of the texts found similar, a < b; and (id, label) of their classes by the least id."""
     members = sampled.select(F.explode("bands").alias("value"), "id")
     sizes = members.groupBy("value").agg(F.count("*").alias("n")).where("n > 1")
     members = scratch_table(members.join(sizes, "value").select("value", "id", "n"), "members")
@@ -352,19 +412,40 @@ def links_of(sampled: DataFrame, n_texts: int, threshold: float) -> DataFrame:
     compared = scratch_table(
         members.join(heads, "value")
         .where("id <> head")
-        .select("value", "id", F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")),
+        .select("value", "id", "n", F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")),
         "compared",
     )
+
+    def rated(pairs: DataFrame) -> DataFrame:
+        return scratch_table(verified(pairs, sampled, n_texts), "near-pairs")
+
+    least = threshold - SLACK
     pairs = compared.select("a", "b").distinct()
+    tested = rated(promising(pairs, sampled, least))
+    links = tested.where(F.col("similarity") >= threshold).select("a", "b")
+    labels = components(links)
+    # The head has met all of its value; what is left to meet are the others that are in unlike classes.
+    named = compared.where("n > 2").join(labels, "id", "left")
+    named = named.select("value", "id", F.coalesce("label", "id").alias("before"))
+    apart = named.groupBy("value").agg(F.min("before").alias("x"), F.max("before").alias("y")).where("x <> y")
+    left = scratch_table(named.join(apart.select("value"), "value", "left_semi"), "left")
+    for low, high, best in ROUNDS:
+        now = left.join(labels, "id", "left").select(
+            "value", "id", "before", F.coalesce("label", "id").alias("now")
+        )
+        others = pairs_among(now, sampled, least, (low, high), best)
+        found = rated(others.join(tested, ["a", "b"], "left_anti"))
+        tested = tested.unionByName(found)
+        more = found.where(F.col("similarity") >= threshold).select("a", "b")
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            labels = merged(labels, more)
+    return links, labels
 
-    def linked(pairs: DataFrame) -> DataFrame:
-        rated = verified(pairs, sampled, n_texts)
-        return scratch_table(rated.where(F.col("similarity") >= threshold).select("a", "b"), "near-links")
 
-    first = linked(promising(pairs, sampled, threshold - SLACK))
-    left = scratch_table(compared.join(first, ["a", "b"], "left_anti").select("value", "id"), "left")
-    others = pairs_among(left, sampled, threshold - SLACK)
-    return first.unionByName(linked(others.join(first, ["a", "b"], "left_anti")))
+def links_of(sampled: DataFrame, n_texts: int, threshold: float) -> DataFrame:
+    """(a, b) of the texts found similar, a < b."""
+    return classes_of(sampled, n_texts, threshold)[0]
 
 
 def near_classes(
@@ -381,8 +462,7 @@ def near_classes(
         sample_texts(n_texts, threshold), "id long, bands array<long>, signature binary, weight double, packed binary"
     )
     sampled = scratch_table(sampled, "sampled")
-    links = links_of(sampled, n_texts, threshold)
-    labels = components(links)
+    links, labels = classes_of(sampled, n_texts, threshold)
     ends = links.select(F.explode(F.array("a", "b")).alias("id"))
     n_links = ends.groupBy("id").agg(F.count("*").alias("n_links"))
     ids = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("id")).distinct()

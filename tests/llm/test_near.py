@@ -9,6 +9,7 @@ from word_rule import split
 
 from statlake.llm import near
 from statlake.llm.near import drop_near_copies, near_classes
+from statlake.llm.text_arrays import planes
 from statlake.llm.weighted_samples import band_values, samples
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -136,3 +137,35 @@ def test_very_long_texts(spark):
     got = near_classes(spark.createDataFrame(rows, "doc_id long, text string"))
     assert {r.doc_id: r.class_id for r in got.collect()} == {1: 1, 2: 1, 3: 3}
     assert got.agg(F.sum("n_links")).first()[0] == 2
+
+
+def sampled_texts(spark, sets, bands):
+    """Texts by their shingles, as ``sample_texts`` gives them, all of weight one."""
+    rows = []
+    for i, own in sets.items():
+        keys = np.array(sorted(own), np.uint64)
+        packed = np.array([len(keys)], np.uint32).tobytes() + planes(keys, near.PAIR_BYTES)
+        packed += planes(np.ones(len(keys), np.uint32)) + bytes(np.full(len(keys), 255, np.uint8))
+        # A sample per shingle number below 100, so agreement follows the sets.
+        signature = bytes(1 if k in own else (i % 200) + 2 for k in range(100))
+        rows.append((i, bands[i], signature, float(len(keys)), packed))
+    return spark.createDataFrame(
+        rows, "id long, bands array<long>, signature binary, weight double, packed binary"
+    )
+
+
+def test_copies_of_copies_behind_one_head(spark, monkeypatch):
+    # The head 0 meets most texts. Texts 1..50 are like it; of each k in 51..100, only text k - 50 is like it.
+    sets, bands = {0: set(range(100))}, {0: [7, 8]}
+    for k in range(1, 51):
+        sets[k] = set(range(100)) - set(range(k, k + 10))
+        sets[k + 50] = set(range(100)) - set(range(k, k + 24))
+        bands[k], bands[k + 50] = [7], [7]
+    sets[200], bands[200] = set(range(100)) - set(range(80)), [8]
+    sampled = sampled_texts(spark, sets, bands)
+    want = {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    assert not [p for p in want if p[0] == 0 and 50 < p[1]]
+    for size in (1024, 7):
+        monkeypatch.setattr(near, "BLOCK_TEXTS", size)
+        links = {tuple(r) for r in near.links_of(sampled, 101, 0.8).collect()}
+        assert links <= want and classes(links) == classes(want)
