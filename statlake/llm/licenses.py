@@ -9,6 +9,11 @@ a few long words, covering more than the rest of its bigrams, of which one must
 and passages with none of these words are not cut into bigrams at all. Both prune exactly. SQL functions
 only; nothing moves.
 
+Notices of several paragraphs lie inside longer texts, so runs of consecutive lines (blank ones left out;
+paragraphs are such runs) are compared as well, if their words are within the size bounds of a template of
+which the whole text has enough bigrams. A run begins and ends at lines that share bigrams with such a
+template. Of runs that overlap, the best counts, and only where no passage that it overlaps scores as high.
+
 Cases: a NULL or empty text has no passages and no licence. Passages of fewer than two words have no
 bigrams. Equal passages of a text count once. Between equal scores the first template decides. Repeated
 rows give repeated rows; an empty table gives an empty result. ``find_licenses`` keeps the other columns
@@ -133,6 +138,141 @@ def best_matches(found: Column, templates: list[tuple[str, str]], threshold: flo
     return F.filter(F.transform(sets, scores), lambda r: r.isNotNull())
 
 
+def held_templates(plain: Column, templates: list[tuple[str, str]], threshold: float) -> Column:
+    """The templates of which a plain text has so many bigrams that a run of its lines can reach the threshold."""
+    least = threshold / (2 - threshold)
+    whole = F.trim(F.regexp_replace(plain, "[ \n]+", " "))
+    held = bind(
+        bigrams(whole),
+        lambda own: F.filter(
+            template_column(templates),
+            lambda t: F.size(F.array_intersect(own, t["bigrams"])) >= t["size"] * least - 1e-9,
+        ),
+    )
+    return F.when(word_count(whole) >= 2, held)
+
+
+def run_matches(plain: Column, found: Column, held: Column, threshold: float) -> Column:
+    """(score, place, name) of runs of lines by the templates ``held``, besides the passages ``found``."""
+    least = threshold / (2 - threshold)
+
+    def rated(text: Column, start: Column, end: Column) -> Column:
+        best = bind(
+            bigrams(text),
+            lambda own: F.array_max(
+                F.transform(
+                    held,
+                    lambda t: F.struct(
+                        (F.size(F.array_intersect(own, t["bigrams"])) * 2 / (F.size(own) + t["size"])).alias("score"),
+                        (-t["place"]).alias("place"),
+                        t["name"].alias("name"),
+                    ),
+                )
+            ),
+        )
+        base = F.array_contains(found, text)
+        # In this order the best comes first: passages before runs, then shorter and earlier ones.
+        return bind(
+            best,
+            lambda m: F.struct(
+                m["score"].alias("score"),
+                base.alias("base"),
+                (start - end).alias("length"),
+                (-start).alias("at"),
+                m["place"].alias("place"),
+                m["name"].alias("name"),
+                end.alias("end"),
+                text.alias("text"),
+            ),
+        )
+
+    lines = F.filter(
+        F.transform(F.split(plain, "\n"), lambda p: F.trim(F.regexp_replace(p, " +", " "))), lambda p: F.length(p) > 0
+    )
+    some = F.array_distinct(F.flatten(F.transform(held, lambda t: t["bigrams"])))
+    fewest, most = F.array_min(F.transform(held, lambda t: t["size"])), F.array_max(F.transform(held, lambda t: t["size"]))
+
+    def hits(all_lines: Column, i: Column, known: Column) -> Column:
+        """Bigrams of templates that begin in line i."""
+        text = F.concat_ws(" ", F.get(all_lines, i), F.get(F.split(F.get(all_lines, i + 1), " "), F.lit(0)))
+        own = bind(
+            F.split(text, " "),
+            lambda w: F.transform(
+                F.sequence(F.lit(0), F.size(w) - 2), lambda k: F.concat(F.get(w, k), F.lit(" "), F.get(w, k + 1))
+            ),
+        )
+        return F.when(word_count(text) < 2, 0).otherwise(F.size(F.filter(own, lambda g: F.array_contains(known, g))))
+
+    def runs(all_lines: Column, hit: Column) -> Column:
+        low, high = F.ceil(fewest * least - 1e-9), F.floor(most / least + 1e-9) + 1
+        last = F.size(all_lines) - 1
+
+        def of(i: Column) -> Column:
+            ends = F.aggregate(
+                F.sequence(i, F.least(last, (i + high).cast("int"))),
+                F.struct(F.lit(0).alias("words"), F.lit(0).alias("hits"), F.array().cast("array<int>").alias("ends")),
+                lambda held_so_far, j: bind(
+                    F.struct(
+                        (held_so_far["words"] + word_count(F.get(all_lines, j))).alias("words"),
+                        (held_so_far["hits"] + F.get(hit, j)).alias("hits"),
+                    ),
+                    lambda sums: F.struct(
+                        sums["words"].alias("words"),
+                        sums["hits"].alias("hits"),
+                        F.when(
+                            (sums["words"] <= high)
+                            & (sums["hits"] >= low)
+                            & ((F.get(hit, j) > 0) | (F.coalesce(F.get(hit, F.greatest(j - 1, F.lit(0))), F.lit(0)) > 0)),
+                            F.concat(held_so_far["ends"], F.array(j)),
+                        )
+                        .otherwise(held_so_far["ends"])
+                        .alias("ends"),
+                    ),
+                ),
+            )["ends"]
+            return F.transform(
+                F.filter(ends, lambda j: (j > i) | (word_count(F.get(all_lines, i)) >= 2)),
+                lambda j: bind(F.array_join(F.slice(all_lines, i + 1, j - i + 1), " "), lambda t: rated(t, i, j)),
+            )
+
+        starts = F.filter(F.sequence(F.lit(0), last), lambda i: F.get(hit, i) > 0)
+        return F.filter(F.flatten(F.transform(starts, of)), lambda r: r["score"] >= threshold)
+
+    numbered = bind(
+        lines,
+        lambda ls: bind(
+            some,
+            lambda known: bind(
+                F.transform(F.sequence(F.lit(0), F.size(ls) - 1), lambda i: hits(ls, i, known)), lambda hit: runs(ls, hit)
+            ),
+        ),
+    )
+    # Passages may have more words than runs, so those are also held against the text of runs.
+    wide = F.filter(
+        F.transform(F.filter(found, lambda p: word_count(p) >= 2), lambda p: rated(p, F.lit(0), F.lit(0))),
+        lambda r: r["score"] >= threshold,
+    )
+
+    def chosen(rated_runs: Column, passages_matched: Column) -> Column:
+        kept = F.aggregate(
+            F.reverse(F.array_sort(rated_runs)),
+            F.slice(rated_runs, 1, 0),
+            lambda taken, r: F.when(
+                F.exists(taken, lambda t: (-t["at"] <= r["end"]) & (-r["at"] <= t["end"])) & ~r["base"], taken
+            ).otherwise(F.concat(taken, F.array(r))),
+        )
+        free = lambda r: ~F.exists(
+            passages_matched, lambda p: (p["score"] >= r["score"]) & F.contains(p["text"], r["text"])
+        )
+        kept = F.filter(kept, lambda r: ~r["base"] & free(r))
+        by_text = F.filter(
+            kept, lambda r: ~F.exists(kept, lambda q: (q["text"] == r["text"]) & (q["at"] > r["at"]))
+        )
+        return F.transform(by_text, lambda r: F.struct(r["score"], r["place"], r["name"]))
+
+    return bind(numbered, lambda r: bind(wide, lambda w: chosen(r, w)))
+
+
 def find_licenses(
     docs: DataFrame,
     text: str = "text",
@@ -144,8 +284,16 @@ def find_licenses(
     words = F.split(F.replace("_plain", F.lit("\n"), F.lit(" ")), " ")
     some = F.arrays_overlap(words, F.array(*map(F.lit, needed_words(templates, threshold))))
     found = plain.withColumn("_passages", F.when(some, passages(F.col("_plain"))).otherwise(F.array()))
+    several = F.col("_plain").rlike("[^ \n][ ]*\n[ \n]*[^ \n]")
+    held = held_templates(F.col("_plain"), templates, threshold)
+    found = found.withColumn("_held", F.when((F.size("_passages") > 0) & several, held))
     made = found.withColumn("matches", best_matches(F.col("_passages"), templates, threshold))
-    return made.drop("_plain", "_passages")
+    more = run_matches(F.col("_plain"), F.col("_passages"), F.col("_held"), threshold)
+    more = F.when(F.size("_held") > 0, more)
+    made = made.withColumn(
+        "matches", F.when(F.size("_held") > 0, F.concat("matches", more)).otherwise(F.col("matches"))
+    )
+    return made.drop("_plain", "_passages", "_held")
 
 
 def oracle_sql(templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> str:

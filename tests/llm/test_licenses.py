@@ -52,3 +52,33 @@ def test_every_template_is_found_alone(texts):
     for name, template in TEMPLATES:
         found = brute(template)
         assert found[-1][0] == 1 and found[-1][2] == name
+
+
+def published(template, *cuts):
+    """A template in paragraphs that begin with the given words, in lines of ten words."""
+    text = " ".join(template.split())
+    for cut in cuts:
+        assert cut in text
+        text = text.replace(cut, "\n\n" + cut, 1)
+    paragraphs = [p.split() for p in text.split("\n\n")]
+    return "\n\n".join(
+        "\n".join(" ".join(p[i : i + 10]) for i in range(0, len(p), 10)) for p in paragraphs
+    )
+
+
+def test_published_layouts_inside_longer_texts(spark):
+    of = lambda name, least: next(t for n, t in TEMPLATES if n == name and len(t) > least)
+    notices = [
+        ("MIT", published(of("MIT", 500), "The above copyright", "THE SOFTWARE IS PROVIDED")),
+        ("Apache-2.0", published(of("Apache-2.0", 300), "You may obtain", "Unless required")),
+        ("GPL-3.0", published(of("GPL-3.0", 300), "This program is distributed", "You should have")),
+        ("BSD-2-Clause", published(of("BSD-2-Clause", 300), "1. Redis", "2. Redis", "THIS SOFTWARE IS")),
+    ]
+    other = [f"Section {k} says how the tool number {k} is called and what it gives back." for k in range(120)]
+    rows = []
+    for name, notice in notices:
+        for sep in ("\n", "\n\n"):
+            rows.append((name, sep.join([*other[:60], notice, *other[60:]])))
+    frame = spark.createDataFrame(rows, "want string, text string")
+    for r in find_licenses(frame).collect():
+        assert [(m.score, m.name) for m in r.matches if m.score > 0.9] == [(1.0, r.want)]
