@@ -1,5 +1,18 @@
 """Licence templates: (licence, text). Notices and short licences as their publishers word them."""
 
+GNU_SITE = "If not, see <https://www.gnu.org/licenses/>."
+GNU_STREET = """if not, write to the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA
+    02110-1301 USA"""
+
+
+def gnu_notice(work: str, name: str, version: str, end: str) -> str:
+    return f"""This {work} is free software: you can redistribute it and/or modify it under the terms of the GNU
+    {name} as published by the Free Software Foundation, either version {version} of the License, or (at your
+    option) any later version. This {work} is distributed in the hope that it will be useful, but WITHOUT ANY
+    WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the
+    GNU {name} for more details. You should have received a copy of the GNU {name} along with this {work}. {end}"""
+
+
 # The wordings that a text is compared to. Names are SPDX identifiers.
 TEMPLATES: list[tuple[str, str]] = [
     ("MIT", "Released under the MIT License."),
@@ -93,4 +106,30 @@ TEMPLATES: list[tuple[str, str]] = [
         "CC-BY-NC-4.0",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     ),
+    ("GPL-2.0", gnu_notice("program", "General Public License", "2", GNU_STREET)),
+    ("GPL-2.0", gnu_notice("program", "General Public License", "2", GNU_SITE)),
+    ("LGPL-2.1", gnu_notice("library", "Lesser General Public License", "2.1", GNU_STREET)),
+    ("LGPL-2.1", gnu_notice("library", "Lesser General Public License", "2.1", GNU_SITE)),
+    ("LGPL-2.1", gnu_notice("program", "Lesser General Public License", "2.1", GNU_STREET)),
+    ("LGPL-2.1", gnu_notice("program", "Lesser General Public License", "2.1", GNU_SITE)),
+    ("LGPL-3.0", gnu_notice("program", "Lesser General Public License", "3", GNU_SITE)),
+    ("LGPL-3.0", gnu_notice("library", "Lesser General Public License", "3", GNU_SITE)),
+    ("AGPL-3.0", gnu_notice("program", "Affero General Public License", "3", GNU_SITE)),
+    (
+        "BSD-3-Clause",
+        """Redistribution and use in source and binary forms, with or without modification, are permitted
+        provided that the following conditions are met: 1. Redistributions of source code must retain the
+        above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions
+        in binary form must reproduce the above copyright notice, this list of conditions and the following
+        disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither
+        the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+        products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED
+        WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS
+        FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE
+        LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES
+        (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR
+        PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN
+        CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF
+        THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    ),
 ]

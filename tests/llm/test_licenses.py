@@ -82,3 +82,18 @@ def test_published_layouts_inside_longer_texts(spark):
     frame = spark.createDataFrame(rows, "want string, text string")
     for r in find_licenses(frame).collect():
         assert [(m.score, m.name) for m in r.matches if m.score > 0.9] == [(1.0, r.want)]
+
+
+def test_notices_of_like_licences_keep_their_names():
+    of = lambda name: next(t for n, t in TEMPLATES if n == name and len(t) > 300)
+    gpl = " ".join(of("GPL-3.0").split())
+    lesser, affero = (gpl.replace("General Public", f"{kind} General Public") for kind in ("Lesser", "Affero"))
+    neither = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse "
+    neither += "or promote products derived from this software without specific prior written permission. THIS SOFTWARE"
+    third = " ".join(of("BSD-2-Clause").split()).replace("THIS SOFTWARE", neither, 1)
+    cases = [("GPL-3.0", gpl), ("GPL-2.0", gpl.replace("version 3", "version 2")), ("LGPL-3.0", lesser)]
+    cases += [("LGPL-2.1", lesser.replace("version 3", "version 2.1")), ("AGPL-3.0", affero), ("BSD-3-Clause", third)]
+    street = "if not, write to the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA"
+    cases.append(("GPL-2.0", gpl.replace("version 3", "version 2").replace("If not, see <https://www.gnu.org/licenses/>.", street)))
+    for name, text in cases:
+        assert [m[2] for m in brute(text)] == [name]
