@@ -166,9 +166,14 @@ def confirmed_spans(data: bytes) -> list[tuple[int, int, int]]:
     """(start, kind, end) of signed tokens and encoded keys, in bytes."""
     found = []
     for start, end in runs(data, PACKED_MARKS, 20):
-        for m in TOKEN.finditer(data, start, end):
+        at = start
+        while m := TOKEN.search(data, at, end):
             if is_signed_token(m[0]):
                 found.append((m.start(), 3, m.end()))
+                at = m.end()
+            else:
+                # What was taken for the payload may be the header.
+                at = data.index(b".", m.start()) + 1
         for m in PACKED.finditer(data, start, end):
             text = m[0]
             if is_key(unpacked(text)):

@@ -79,3 +79,9 @@ def test_table(spark):
     assert all(r.s == want[r.doc_id] for r in got) and [r.n for r in got] == [0, 0, 1, 1, 1]
     assert got[2].b == want[3].split(",")[0]
     assert find_secrets(frame.limit(0)).count() == 0
+
+
+def test_token_behind_a_dotted_prefix():
+    for prefix in ("session_token.", "authorization.", "first_part.second_part.third_part."):
+        found = [s for s in spans_of(f"{prefix}{JWT} end") if s["kind"] == "jwt"]
+        assert found == [{"kind": "jwt", "start": len(prefix), "end": len(prefix) + len(JWT)}]
