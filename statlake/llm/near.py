@@ -16,11 +16,12 @@
    their samples, also those that were linked with those that were not, in blocks of bounded size: first the
    pair of each text that agrees most, then the next in two rounds, until all pairs that agree often
    enough have been compared or are in one class. A pair whose 100 samples agree too seldom (``SLACK`` below the
-   threshold, three deviations) is passed over; all others are compared shingle by shingle.
+   threshold, nearly four deviations) is passed over; all others are compared shingle by shingle.
 5. Verified links are joined into classes.
 
-At similarity 0.8 a pair shares none of the 20 bands of 5 samples with probability 0.0004; then it is
-still found over third texts.
+At similarity 0.8 a pair shares none of the 20 bands of 5 samples with probability 0.00036, and its samples
+agree too seldom with probability 0.00015; one or the other, 0.00049. Such a pair is still found over third
+texts, if there are any.
 
 Cases: a text of fewer than five words has one shingle, all its words; a text without words is alone, as
 are NULL and empty ones. Rows with the same id are one document whose shingles add up. A NULL id is the
@@ -57,7 +58,7 @@ from statlake.llm.window_exchange import bucket_count, bucket_of, equal_runs, pa
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 20, 5
 IDF_SHARE = 0.5
-SLACK = 0.12
+SLACK = 0.15
 BLOCK_TEXTS = 1024  # of those with equal value in a band that are compared in one task at a time
 KEPT_BYTES = 8  # 32 bits of the hash, and how often the text has the shingle
 # The pairs of a text within two blocks in order of agreement, (from, below, only the best of all blocks); in the

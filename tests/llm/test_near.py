@@ -169,3 +169,11 @@ def test_copies_of_copies_behind_one_head(spark, monkeypatch):
         monkeypatch.setattr(near, "BLOCK_TEXTS", size)
         links = {tuple(r) for r in near.links_of(sampled, 101, 0.8).collect()}
         assert links <= want and classes(links) == classes(want)
+
+
+def test_few_pairs_at_the_threshold_are_passed_over():
+    n, p = near.BANDS * near.ROWS, near.THRESHOLD
+    fewest = math.ceil((p - near.SLACK) * n - 1e-9)
+    seldom = sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(fewest))
+    no_band = (1 - p**near.ROWS) ** near.BANDS
+    assert seldom < no_band and seldom + no_band < 0.00051
