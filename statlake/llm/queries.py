@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statlake.llm import licenses, lines
+from statlake.llm import clusters, licenses, lines
+from statlake.llm.clusters import cluster_vectors
 from statlake.llm.decontaminate import find_contamination, is_contaminated
 from statlake.llm.exact import exact_groups
 from statlake.llm.languages import held_out, identify, learn
@@ -138,3 +139,12 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op10_license_scan"] = licenses.oracle_sql()
+
+
+@query
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cluster of every whole vector after three rounds."""
+    return cluster_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+ORACLES["op12_centroid_clusters"] = clusters.oracle_sql()
