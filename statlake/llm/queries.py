@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statlake.llm import clusters, licenses, lines
+from statlake.llm import clusters, licenses, lines, ranked
 from statlake.llm.clusters import cluster_vectors
 from statlake.llm.decontaminate import find_contamination, is_contaminated
 from statlake.llm.exact import exact_groups
@@ -15,6 +15,7 @@ from statlake.llm.licenses import find_licenses
 from statlake.llm.lines import drop_boilerplate
 from statlake.llm.near import near_classes
 from statlake.llm.pieces import encode_pieces
+from statlake.llm.ranked import rank_documents
 from statlake.llm.secrets import base_only, count_of, find_secrets, span_text
 from statlake.llm.substrings import remove_substrings
 from statlake.llm.token_counts import count_tokens
@@ -148,3 +149,13 @@ def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op12_centroid_clusters"] = clusters.oracle_sql()
+
+
+@query
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten highest-scoring documents of every benchmark item."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return rank_documents(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+ORACLES["op13_ranked_search"] = ranked.oracle_sql()
