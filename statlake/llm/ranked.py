@@ -14,8 +14,8 @@ score sums w ((10^9 tf) div (1000 tf + 8 m)) over the item's terms, repeats incl
 
 Items are worked on in blocks of at most ``BLOCK_TERMS`` different terms (an item with more is a block of its
 own); only a block's terms and limits are sent to the tasks. Document frequencies are counted for all
-documents, of the terms whose bit is set in a bitmap of fixed size made from the items' terms. Terms are told
-apart by 64 bits of hash.
+documents, of the terms whose bit is set in a bitmap of fixed size made from the items' terms. The documents
+to score are picked by a bitmap of fixed size too, so no text is shuffled. Terms are told apart by 64 bits of hash.
 
 Cases: NULL and empty texts have no terms; such documents are not found and such items find nothing. Each row
 is a document, repeated ones too; equal scores rank by id, a NULL id last. An item in several rows is
@@ -42,8 +42,9 @@ FIRST_SCORED = 32  # documents of the greatest bounds that are scored to get a l
 BLOCK_TERMS = 4096
 BITMAP_BITS = 1 << 20
 KEY_BITS, HASHES = 10, 3  # bits of a signature for each key of its document, and how many a key sets
-BLOCK_DOCS, SLICE_BITS = 1024, 1 << 25
-PIECE = 1 << 21
+BLOCK_DOCS, SLICE_BITS = 512, 1 << 23
+PIECE = 1 << 20
+FILTER_BITS = 1 << 22
 CHUNK_DOCS = 512
 NO_ID = np.iinfo(np.int64).min
 
@@ -267,7 +268,7 @@ def bounds_of(block: ItemBlock, bits: int, raw: bytes, lengths: np.ndarray, meas
     worth = np.zeros((len(block.terms), docs), dtype=np.int64)
     alive, held = np.arange(len(block.terms)), None
     level = 0
-    while len(alive):
+    while len(alive) and 1 << level <= lengths.max():
         first, *others = key_places(level_keys(block.terms[alive], level), bits)
         maybe = slices[first]
         for place in others:
@@ -283,6 +284,23 @@ def bounds_of(block: ItemBlock, bits: int, raw: bytes, lengths: np.ndarray, meas
     return block.sums(worth)
 
 
+def likely(docs: DataFrame, keys: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """The documents whose key may be among some, without moving a text.
+
+    The keys become bitmaps of a size that is fixed whatever their number; these are sent to the documents.
+    A document that passes without being asked for is scored needlessly and changes nothing.
+    """
+    place = F.pmod(F.xxhash64("key"), F.lit(bits))
+    maps = keys.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bitmap")
+    )
+    asked = docs.select("key", "text", place.alias("place")).withColumn("bucket", F.bitmap_bucket_number("place"))
+    asked = asked.join(F.broadcast(maps), "bucket").withColumn("bit", F.bitmap_bit_position("place"))
+    byte = F.expr("cast(conv(hex(substring(bitmap, cast(bit div 8 as int) + 1, 1)), 16, 10) as int)")
+    hit = asked.withColumn("byte", byte).where("shiftright(byte, cast(bit % 8 as int)) & 1 = 1")
+    return hit.select("key", "text")
+
+
 def best_rows(scores: np.ndarray, ids: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
     """Of scores and ids by item, the highest, smaller ids first among equals."""
     if scores.shape[1] > 4 * top:
@@ -353,7 +371,7 @@ class Search:
 
         start = lambda: BestSoFar(len(block.items), FIRST_SCORED)
         found = self.over_blocks(block, each, lambda best: [best.batch(block.items)], start, FOUND)
-        return ranked(found, FIRST_SCORED).select("key").distinct()
+        return ranked(found, FIRST_SCORED).select("key")
 
     def not_excluded(self, block: ItemBlock, limits: np.ndarray) -> DataFrame:
         """The documents whose bound reaches the limit of some item."""
@@ -362,8 +380,7 @@ class Search:
             keys = ids[(bounds >= np.maximum(limits, 1)[:, None]).any(0)]
             return [pa.RecordBatch.from_arrays([pa.array(keys)], ["key"])]
 
-        found = self.over_blocks(block, each, lambda _: [], lambda: None, "key long")
-        return found.distinct()
+        return self.over_blocks(block, each, lambda _: [], lambda: None, "key long")
 
     def scored(self, block: ItemBlock, keys: DataFrame, top: int) -> DataFrame:
         """The best documents of each item among some, scored from their texts."""
@@ -389,8 +406,7 @@ class Search:
             keys = pa.compute.if_else(last, pa.scalar(NO_ID, pa.int64()), out.column(1))
             yield out.set_column(1, "key", keys)
 
-        texts = self.docs.join(keys, "key", "left_semi")
-        return ranked(texts.mapInArrow(score, FOUND), top)
+        return ranked(likely(self.docs, keys).mapInArrow(score, FOUND), top)
 
     def limits(self, block: ItemBlock, top: int) -> np.ndarray:
         """A score that the last of each item's best documents reaches."""
