@@ -14,6 +14,7 @@ from statlake.llm.languages import held_out, identify, learn
 from statlake.llm.licenses import find_licenses
 from statlake.llm.lines import drop_boilerplate
 from statlake.llm.near import near_classes
+from statlake.llm.neighbours import NeighbourIndex
 from statlake.llm.pieces import encode_pieces
 from statlake.llm.ranked import rank_documents
 from statlake.llm.secrets import base_only, count_of, find_secrets, span_text
@@ -159,3 +160,10 @@ def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op13_ranked_search"] = ranked.oracle_sql()
+
+
+@query
+def op11_neighbour_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found for every vector whose id is divisible by 20."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return NeighbourIndex(vectors).search(vectors.where("vec_id % 20 = 0"))
