@@ -31,10 +31,10 @@ from statlake.llm.scratch import scratch_table
 from statlake.session import remove_path, scratch_dir
 
 DEGREE = 24  # neighbours of a node
-PART_NODES = 4_000
+PART_NODES = 5_000
 PART_BITS = 14  # a part has fewer than 2^14 nodes: the low bits of a node's number are its place
 MEETING = 2 * DEGREE
-CENTRES_AT_ONCE = 512
+CENTRES_AT_ONCE = 128
 CURVES, CURVE_SIZE, CURVE_BITS = 3, 8, 8
 MOST_ROUNDS = 10
 LITTLE = 0.03  # of all list places: fewer changes end the building
@@ -166,8 +166,8 @@ def nearest_new(
     _, first = np.unique(one * len(number) + other, return_index=True)
     one, other, near = one[first], other[first], near[first]
     known = one == other
-    for a in range(0, len(one), 1 << 17):
-        some = slice(a, a + (1 << 17))
+    for a in range(0, len(one), 1 << 14):
+        some = slice(a, a + (1 << 14))
         known[some] |= (lists[one[some]] == number[other[some]][:, None]).any(1)
     one, other, near = one[~known], other[~known], near[~known]
     order = np.lexsort((-near, one))

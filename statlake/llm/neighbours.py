@@ -43,10 +43,10 @@ from statlake.operators.ordered import first_rows_per_key
 from statlake.session import remove_path, scratch_dir
 
 NEAREST = 20
-WIDTH = 256  # nodes a query keeps and goes on from
+WIDTH = 192  # nodes a query keeps and goes on from
 STEP = 24  # of them, how many it goes on from at once
 ENTRIES, OTHER_PARTS = 48, 2
-QUERIES_PER_BLOCK = 256
+QUERIES_PER_BLOCK = 64
 ASKED_PER_TASK = 100_000
 MOST_ROUNDS = 40
 
