@@ -31,8 +31,8 @@ from statlake.llm.scratch import scratch_table
 from statlake.session import remove_path, scratch_dir
 
 DEGREE = 24  # neighbours of a node
-PART_NODES = 5_000
-PART_BITS = 14  # a part has fewer than 2^14 nodes: the low bits of a node's number are its place
+PART_BITS = 12  # a part has 2^12 nodes: the low bits of a node's number are its place
+PART_NODES = 1 << PART_BITS
 MEETING = 2 * DEGREE
 CENTRES_AT_ONCE = 128
 CURVES, CURVE_SIZE, CURVE_BITS = 3, 8, 8
@@ -255,7 +255,8 @@ def unit_vectors(vectors: np.ndarray, norm: float) -> np.ndarray:
 
 
 def number_nodes(vectors: DataFrame, length: int, norm: float, count: int) -> DataFrame:
-    """(number, key, vector, members) for rows of (vector, members): numbered along the first curve."""
+    """(number, key, vector, members) for rows of (vector, members): numbered along the first curve, no number
+    left out, so parts are full whatever the number of tasks."""
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -265,16 +266,24 @@ def number_nodes(vectors: DataFrame, length: int, norm: float, count: int) -> Da
                 yield batch.append_column("key", pa.array(keys, pa.binary()))
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = TaskContext.get().partitionId() << 32
+        task, at = TaskContext.get().partitionId(), 0
         for batch in batches:
-            yield batch.append_column("number", pa.array(np.arange(at, at + len(batch))))
+            tasks = pa.array([task] * len(batch), pa.int32())
+            yield batch.append_column("task", tasks).append_column("place", pa.array(np.arange(at, at + len(batch))))
             at += len(batch)
 
     shape = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in vectors.schema)
     along = vectors.mapInArrow(keyed, f"{shape}, key binary")
     dealt = along.repartitionByRange(max(1, -(-count // PART_NODES)), "key", F.element_at("members", 1))
     ordered = dealt.sortWithinPartitions("key", F.element_at("members", 1), "vector")
-    return scratch_table(ordered.mapInArrow(number, f"{shape}, key binary, number long"), "graph-numbers")
+    placed = scratch_table(ordered.mapInArrow(number, f"{shape}, key binary, task int, place long"), "graph-numbers")
+    first, at = [], 0
+    for row in placed.groupBy("task").count().orderBy("task").collect():  # a row per task
+        first.append((row["task"], at))
+        at += row["count"]
+    starts = vectors.sparkSession.createDataFrame(first, "task int, first long")
+    numbered = placed.join(starts, "task").withColumn("number", F.col("first") + F.col("place"))
+    return numbered.drop("task", "place", "first")
 
 
 def part_of(number: Column | str) -> Column:

@@ -3,7 +3,7 @@ import math
 import numpy as np
 import pytest
 
-from statlake.llm import neighbour_graph, neighbours
+from statlake.llm import neighbour_graph
 from statlake.llm.neighbour_graph import PART_BITS, Part
 from statlake.llm.neighbours import NeighbourIndex, search_part
 
@@ -40,8 +40,7 @@ def recall(got, true):
 
 
 @pytest.mark.parametrize("grown", [False, True])
-def test_recall_over_several_parts(spark, grown, monkeypatch):
-    monkeypatch.setattr(neighbour_graph, "PART_NODES", 120)
+def test_recall(spark, grown):
     rng = np.random.default_rng(5)
     x = rng.standard_normal((700, 12)) + 2 * rng.standard_normal((7, 12))[rng.integers(0, 7, 700)]
     if grown:  # norms differ, so the nearest by angle are not the nearest by inner product
@@ -55,6 +54,20 @@ def test_recall_over_several_parts(spark, grown, monkeypatch):
     assert all(scores[q, i] == s for q, _, i, s in got)
 
 
+def test_recall_over_several_parts(spark):
+    """Vectors without groups, the worst case, in more nodes than one part has."""
+    x = np.random.default_rng(8).standard_normal((9000, 8))
+    x /= np.sqrt((x * x).sum(1, keepdims=True))
+    given = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], SCHEMA)
+    index = NeighbourIndex(given)
+    assert len(index.parts) == -(-9000 // neighbour_graph.PART_NODES) == 3
+    got = index.search(given.where("vec_id % 450 = 0")).collect()
+    asked = range(0, 9000, 450)
+    true = {q: set(np.argsort(-(x[q] @ x.T))[1:21].tolist()) for q in asked}
+    assert len(got) == 20 * len(asked)
+    assert sum(r["vec_id"] in true[r["query_id"]] for r in got) / len(got) >= 0.95
+
+
 def test_copies_ties_and_rows_that_take_no_part(spark):
     nan, inf = float("nan"), float("inf")
     rng = np.random.default_rng(1)
@@ -78,10 +91,8 @@ def test_empty_and_small_tables(spark):
     assert run(spark, two, [(9, [2.0, 0.0])]) == [(9, 1, 1, 2.0), (9, 2, 2, 1.0)]
 
 
-def test_far_apart_groups_still_give_whole_answers(spark, monkeypatch):
+def test_far_apart_groups_still_give_whole_answers(spark):
     """Groups smaller than an answer: what the graph does not reach is found by the exact way."""
-    monkeypatch.setattr(neighbour_graph, "PART_NODES", 8)
-    monkeypatch.setattr(neighbours, "OTHER_PARTS", 0)
     rng = np.random.default_rng(2)
     centres = np.eye(10) * 50
     rows = [(i, (centres[i % 10] + rng.standard_normal(10) * 0.01).tolist()) for i in range(60)]
