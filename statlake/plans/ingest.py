@@ -2,21 +2,39 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statlake.operators.joins import only_listed
 from statlake.operators.possessions import flatten_possessions
 from statlake.operators.upsert import clean_ids
+from statlake.plans.ledger import (
+    FAILED,
+    STARTED,
+    WRITTEN,
+    append_event,
+    fold_ledger,
+    orphans,
+    path_key,
+    read_ledger,
+    written_through,
+)
 from statlake.plans.windows import WINDOW_DAYS, resume_windows
+from statlake.session import remove_path
 from statlake.sinks.tables import write_bronze, write_state
 from statlake.sources.landed import games_between
-from statlake.sources.state import read_state, source_progress, state_rows, state_document
+from statlake.sources.state import read_state, state_document, state_rows
 
-RUN_LOG_SCHEMA = "dataset string, status string, rows bigint, path string, error string"
+RUN_LOG_SCHEMA = (
+    "dataset string, status string, rows bigint, path string, error string, error_class string"
+)
 
 # Names of the datasets.
 GAMES, POSSESSIONS, PROFILES = "games", "possessions", "profiles"
@@ -39,9 +57,10 @@ def run_stages(
         try:
             done = write_bronze(stage.build(), root, stage.dataset, run_ts, dry_run)
             status = "written" if done.written else ("dry_run" if done.rows else "empty")
-            log.append((stage.dataset, status, done.rows, done.path, None))
+            log.append((stage.dataset, status, done.rows, done.path, None, None))
         except Exception as exc:
-            log.append((stage.dataset, "failed", 0, None, str(exc).splitlines()[0]))
+            said = (str(exc).splitlines() or [""])[0]
+            log.append((stage.dataset, "failed", 0, None, said, type(exc).__name__))
     return spark.createDataFrame(log, RUN_LOG_SCHEMA)
 
 
@@ -78,50 +97,82 @@ def run_ingest(
     return run_stages(spark, stages, root, run_ts, dry_run)
 
 
-RESULT_SCHEMA = "source string, processed_to string, run_ts string, error string"
+RESULT_SCHEMA = "source string, processed_to string, run_ts string, error string, error_class string"
+SOURCES_AT_ONCE = 8
+
+
+def load_window(
+    spark: SparkSession, frame: DataFrame, possessions: Callable[[], DataFrame], root: str,
+    source: str, window: tuple[datetime.date, datetime.date], part: str,
+) -> int:
+    """Games and possessions of one window of one source into its part; how many games."""
+    own = games_between(frame, str(window[0]), str(window[1])).withColumn("source", F.lit(source))
+    games = write_bronze(own, root, GAMES, part)
+    if games.written:
+        ids = spark.read.parquet(games.path)
+        flat = listed_possessions(possessions(), ids).withColumn("source", F.lit(source))
+        write_bronze(flat, root, POSSESSIONS, part)
+    return games.rows
+
+
+def remove_orphans(spark: SparkSession, ledger: DataFrame, root: str) -> None:
+    """Remove the rows of windows that a lost or failed run has left unfinished: a few parts."""
+    for row in orphans(ledger).collect():
+        for dataset in (GAMES, POSSESSIONS):
+            remove_path(spark, f"{root}/{dataset}/run_ts={row['part']}")
+
+
+def save_state(spark: SparkSession, state_path: str, ledger_path: str) -> DataFrame:
+    """Fold the ledger into the state document; gives the state rows."""
+    rows = fold_ledger(state_rows(read_state(spark, state_path)), read_ledger(spark, ledger_path))
+    # A document of a few rows, which must be read to its end before it is replaced.
+    kept = spark.createDataFrame(rows.collect(), rows.schema)
+    write_state(state_document(kept), state_path)
+    return kept
 
 
 def run_resumed(
     spark: SparkSession, state_path: str, games: dict[str, Callable[[], DataFrame]],
     possessions: Callable[[], DataFrame], root: str, run_ts: str, target: str | None = None,
-    days: int = WINDOW_DAYS,
+    days: int = WINDOW_DAYS, ledger_path: str | None = None,
 ) -> DataFrame:
-    """Load what the state says is missing, window by window, and save the state.
-
-    ``games`` gives the frame of each source. A source whose window fails goes no further in this
-    run, keeps what it had before, and counts an error; sources are independent of each other. The
-    windows of all sources are a short list on the driver. Gives the results by source.
+    """Load what state and ledger leave, window by window, and save the state.
+
+    ``games`` gives the frame of each source. A window that is written is entered in the ledger at
+    once and never written again, whatever becomes of the windows behind it, of other sources or of
+    the driver; what a window left unfinished is removed before it is repeated. A source whose
+    window fails goes no further in this run and counts an error. Sources are independent of each
+    other and their jobs run side by side. The windows are a short list on the driver. Gives the
+    results by source.
     """
-    rows = state_rows(read_state(spark, state_path))
+    ledger_path = ledger_path or f"{state_path}.ledger"
+    ledger = read_ledger(spark, ledger_path)
+    remove_orphans(spark, ledger, root)
+    rows = save_state(spark, state_path, ledger_path)
     end = None if target is None else F.lit(target)
-    windows: dict[str, list[tuple[str, str]]] = {}
-    planned = resume_windows(rows, end, days).where(F.col("source").isin(list(games)))
-    for w in planned.orderBy("source", "window_start").collect():
-        windows.setdefault(w["source"], []).append((str(w["window_start"]), str(w["window_end"])))
-    results = []
-    for source, todo in windows.items():
-        done, error = None, None
-        try:
-            frame = games[source]()
-            for start, stop in todo:
-                part = f"{run_ts}_{source_key(source)}_{start}"
-                own = games_between(frame, start, stop).withColumn("source", F.lit(source))
-                if write_bronze(own, root, GAMES, part).written:
-                    ids = spark.read.parquet(f"{root}/{GAMES}/run_ts={part}")
-                    flat = listed_possessions(possessions(), ids).withColumn("source", F.lit(source))
-                    write_bronze(flat, root, POSSESSIONS, part)
-                done = stop
-        except Exception as exc:
-            error = str(exc).splitlines()[0]
-        results.append((source, done, run_ts, error))
-    outcome = spark.createDataFrame(results, RESULT_SCHEMA)
-    # A document of a few rows, which must be read to its end before it is replaced.
-    after = source_progress(rows, outcome)
-    kept = spark.createDataFrame(after.collect(), after.schema)
-    write_state(state_document(kept), state_path)
-    return outcome
-
-
-def source_key(source: str) -> str:
-    """A source's name as part of a path."""
-    return "".join(c if c.isalnum() else "-" for c in source)
+    planned = resume_windows(rows, end, days, written=written_through(ledger))
+    windows: dict[str, list[tuple[datetime.date, datetime.date]]] = {}
+    for w in planned.where(F.col("source").isin(list(games))).orderBy("source", "window_start").collect():
+        windows.setdefault(w["source"], []).append((w["window_start"], w["window_end"]))
+
+    def load(source: str) -> tuple:
+        frame, done = None, None
+        for window in windows[source]:
+            part = f"{run_ts}_{path_key(source)}_{window[0]}"
+            note = partial(append_event, spark, ledger_path, source, window, run_ts)
+            try:
+                note(STARTED, part)
+                frame = games[source]() if frame is None else frame
+                n = load_window(spark, frame, possessions, root, source, window, part)
+            except Exception as exc:
+                note(FAILED, part, error=exc)
+                return source, done, run_ts, (str(exc).splitlines() or [""])[0], type(exc).__name__
+            note(WRITTEN, part, n)
+            done = str(window[1])
+        return source, done, run_ts, None, None
+
+    with ThreadPoolExecutor(SOURCES_AT_ONCE) as pool:
+        jobs = [pool.submit(inheritable_thread_target(spark)(partial(load, s))) for s in windows]
+        results = [job.result() for job in jobs]
+    save_state(spark, state_path, ledger_path)
+    return spark.createDataFrame(results, RESULT_SCHEMA)

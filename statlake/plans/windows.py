@@ -87,16 +87,21 @@ def all_seasons(
 
 def resume_windows(
     state: DataFrame, target: Column | None = None, days: int = WINDOW_DAYS,
-    inclusive: bool = True,
+    inclusive: bool = True, written: DataFrame | None = None,
 ) -> DataFrame:
     """Windows still to load for each source: from the last processed date, else the initial
-    start, to the target, else the initial end. Complete sources need none."""
+    start, to the target, else the initial end. Complete sources need none.
+
+    The last processed date itself is loaded again, as it may have been going on. ``written`` has
+    ``source`` and ``written_to``, up to which windows are whole; those days are not loaded again.
+    """
     last = F.col("initial_end_date") if target is None else target
-    todo = state.where(F.col("status") != "complete").select(
-        "source",
-        F.coalesce("last_processed_date", "initial_start_date").cast("date").alias("from_date"),
-        last.cast("date").alias("to_date"),
-    )
+    todo = state.where(F.col("status") != "complete")
+    start = F.coalesce("last_processed_date", "initial_start_date").cast("date")
+    if written is not None:
+        todo = todo.join(written.select("source", "written_to"), "source", "left")
+        start = F.greatest(start, F.date_add("written_to", 1))
+    todo = todo.select("source", start.alias("from_date"), last.cast("date").alias("to_date"))
     return explode_windows(todo, "from_date", "to_date", days, inclusive)
 
 

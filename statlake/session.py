@@ -69,3 +69,31 @@ def remove_path(spark: SparkSession, name: str) -> None:
     """Remove a folder with all that is in it."""
     path = spark._jvm.org.apache.hadoop.fs.Path(name)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def move_path(spark: SparkSession, name: str, to: str) -> None:
+    """Put a folder in the place of another, which is removed."""
+    remove_path(spark, to)
+    old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (name, to))
+    if not old.getFileSystem(spark._jsc.hadoopConfiguration()).rename(old, new):
+        raise OSError(f"could not rename {name} to {to}")
+
+
+def write_text(spark: SparkSession, folder: str, name: str, text: str) -> None:
+    """A small file, whole or not at all: it gets its name when all of it is written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    new, final = path(f"{folder}/_{name}"), path(f"{folder}/{name}")
+    files = final.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = files.create(new, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    files.delete(final, False)
+    if not files.rename(new, final):
+        raise OSError(f"could not rename {new} to {final}")
+
+
+def next_state(path: str) -> str:
+    """Where a state document is written before it takes its place."""
+    return f"{path.rstrip('/')}.next"

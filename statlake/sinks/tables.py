@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from statlake.session import move_path, next_state, remove_path
+
 # Target size of silver files, and their partition column.
 SILVER_FILE_BYTES = 512 * 1024 * 1024
 SILVER_PARTITION = "season"
@@ -36,17 +38,10 @@ def write_bronze(
     df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
     rows = seen.get["n"]
     if rows == 0:
-        _remove(df, path)
+        remove_path(df.sparkSession, path)
     return WriteResult(dataset, path, rows, rows > 0)
 
 
-def _remove(df: DataFrame, path: str) -> None:
-    """Remove the folder an empty write has just left."""
-    spark = df.sparkSession
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """One JSON object per row; NULL fields are kept, text is written as it is."""
     df.write.mode(mode).option("ignoreNullFields", "false").json(path)
@@ -81,8 +76,14 @@ def write_silver(
 
 
 def write_state(document: DataFrame, path: str) -> None:
-    """The one-row state document as JSON."""
-    document.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    """The one-row state document as JSON.
+
+    It is written whole beside the old one and then takes its place, so a driver that is lost on the
+    way leaves one of them, which ``read_state`` finds.
+    """
+    spark, new = document.sparkSession, next_state(path)
+    document.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(new)
+    move_path(spark, new, path)
 
 
 def write_payloads(payloads: DataFrame, path: str) -> None:

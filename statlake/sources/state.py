@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statlake.session import path_exists
+from statlake.session import next_state, path_exists
 
 SOURCE_STRUCT = (
     "struct<initial_start_date string, initial_end_date string, last_processed_date string, "
@@ -36,9 +36,14 @@ def empty_state(spark: SparkSession) -> DataFrame:
 
 
 def read_state(spark: SparkSession, path: str) -> DataFrame:
-    """The state document; the empty state where there is none."""
+    """The state document; the empty state where there is none.
+
+    A writer that was lost just before the new document took the old one's place has left it beside.
+    """
     if not path_exists(spark, path):
-        return empty_state(spark)
+        path = next_state(path)
+        if not path_exists(spark, f"{path}/_SUCCESS"):
+            return empty_state(spark)
     return spark.read.schema(STATE_SCHEMA).option("multiLine", True).json(path)
 
 

@@ -1,5 +1,6 @@
 """Sources, sinks, state, streams and jobs on small files."""
 
+import datetime
 import json
 
 import pytest
@@ -9,7 +10,7 @@ from test_operators import EVENT_SCHEMA, brute_fold, fold_rows, random_log
 from statlake.operators.normalize import explode_profiles, normalize_profiles
 from statlake.operators.ordered import time_block
 from statlake.operators.possessions import flatten_possessions, seconds_per_possession
-from statlake.plans import ingest
+from statlake.plans import ingest, ledger
 from statlake.sinks import tables as sinks
 from statlake.sources import landed
 from statlake.sources import state as states
@@ -255,3 +256,102 @@ def test_games_between(spark):
         ).withColumn("game_date", F.col("game_date").cast(kind))
         rows = landed.games_between(df, "2024-01-30", "2024-01-31").collect()
         assert [(r["game_id"], str(r["game_date"])[:10]) for r in rows] == [("1", "2024-01-30")]
+
+
+GAME = "game_id string, game_date date, season string"
+
+
+def _resume(spark, root, state, games, run_ts, **options):
+    nested = spark.createDataFrame([], "game_id string, possessions array<string>")
+    return ingest.run_resumed(spark, state, games, lambda: nested, root, run_ts, days=10, **options)
+
+
+def _games(spark, n=30):
+    days = [datetime.date(2024, 1, 1) + datetime.timedelta(i) for i in range(n)]
+    return spark.createDataFrame([(str(i), d, "2023-24") for i, d in enumerate(days)], GAME)
+
+
+def _new_state(spark, path, sources, end="2024-01-30"):
+    doc = {"sources": {s: {"initial_start_date": "2024-01-01", "initial_end_date": end} for s in sources}}
+    spark.createDataFrame([(json.dumps(doc),)], "value string").write.text(path)
+
+
+@pytest.fixture
+def no_possessions(monkeypatch):
+    monkeypatch.setattr(ingest, "listed_possessions", lambda nested, ids: ids.select("game_id").limit(0))
+
+
+def _ids(spark, root):
+    return sorted(r["game_id"] for r in spark.read.parquet(f"{root}/games").collect())
+
+
+def test_no_window_is_written_twice_after_a_failure(spark, tmp_path, no_possessions):
+    root, state = str(tmp_path / "lake"), str(tmp_path / "state")
+    _new_state(spark, state, ["a", "b c"])
+    late = F.when(F.col("game_date") >= "2024-01-11", F.raise_error(F.lit("not yet"))).cast("string")
+    bad = lambda: _games(spark).withColumn("note", late)
+    results = _resume(spark, root, state, {"a": bad, "b c": lambda: _games(spark)}, "r1").orderBy("source").collect()
+    assert [(r["source"], r["processed_to"], bool(r["error"])) for r in results] == [("a", "2024-01-10", True), ("b c", "2024-01-30", False)]
+    kept = {r["source"]: r for r in states.state_rows(states.read_state(spark, state)).collect()}
+    assert (kept["a"]["status"], kept["a"]["last_processed_date"], kept["a"]["error_count"]) == ("in_progress", "2024-01-10", 1)
+    assert "not yet" in kept["a"]["last_error"] and kept["b c"]["status"] == "complete"
+    good = {s: lambda: _games(spark) for s in ("a", "b c")}
+    _resume(spark, root, state, good, "r2")
+    _resume(spark, root, state, good, "r3")
+    assert _ids(spark, root) == sorted(2 * [str(i) for i in range(30)])
+    kept = {r["source"]: r for r in states.state_rows(states.read_state(spark, state)).collect()}
+    assert [(r["status"], r["error_count"], r["last_error"]) for r in kept.values()] == [("complete", 1, None), ("complete", 0, None)]
+
+
+@pytest.mark.parametrize("event", ["written", "started"])
+def test_a_lost_driver_forgets_no_window(spark, tmp_path, monkeypatch, no_possessions, event):
+    """The driver is lost in the second window: after its rows are there, or before."""
+    root, state = str(tmp_path / "lake"), str(tmp_path / "state")
+    _new_state(spark, state, ["a"])
+    real, seen = ingest.append_event, []
+
+    class Lost(BaseException):
+        pass
+
+    def append(*args, **options):
+        seen.append(args[5])
+        if args[5] == event and seen.count(event) == 2:
+            raise Lost
+        real(*args, **options)
+
+    monkeypatch.setattr(ingest, "append_event", append)
+    with pytest.raises(Lost):
+        _resume(spark, root, state, {"a": lambda: _games(spark)}, "r1")
+    monkeypatch.setattr(ingest, "append_event", real)
+    assert states.state_rows(states.read_state(spark, state)).first()["last_processed_date"] is None
+    # The same run started again, then another: the first window is kept, the second is loaded once.
+    folder = tmp_path / "lake" / "games" / "run_ts=r1_a_2024-01-01"
+    before = sorted(p.name for p in folder.iterdir())
+    _resume(spark, root, state, {"a": lambda: _games(spark)}, "r2", target="2024-01-25")
+    assert sorted(p.name for p in folder.iterdir()) == before
+    assert _ids(spark, root) == sorted(str(i) for i in range(25))
+    _resume(spark, root, state, {"a": lambda: _games(spark)}, "r3")
+    assert _ids(spark, root) == sorted(str(i) for i in range(30))
+    assert states.state_rows(states.read_state(spark, state)).first()["status"] == "complete"
+
+
+def test_state_is_found_when_its_writer_was_lost(spark, tmp_path):
+    path = str(tmp_path / "state")
+    _new_state(spark, path, ["a"])
+    rows = states.state_rows(states.read_state(spark, path))
+    sinks.write_state(states.state_document(rows), str(tmp_path / "other"))
+    (tmp_path / "other").rename(tmp_path / "state.next")
+    assert states.read_state(spark, path).first()["last_successful_run"] is None
+    for f in sorted((tmp_path / "state").iterdir()):
+        f.rename(tmp_path / f"gone-{f.name}")
+    (tmp_path / "state").rmdir()
+    assert states.state_rows(states.read_state(spark, path)).first()["source"] == "a"
+
+
+def test_written_windows_count_up_to_the_first_gap(spark):
+    d = lambda n: datetime.date(2024, 1, n)
+    events = [("a", d(1), d(5)), ("a", d(6), d(9)), ("a", d(12), d(20)), ("b", d(3), d(4)), ("b", d(3), d(4)), ("b", d(2), d(8))]
+    rows = [(s, x, y, "r", ledger.WRITTEN, "p", 1, None, None) for s, x, y in events]
+    rows += [("c", d(1), d(2), "r", ledger.FAILED, "p", 0, "no", "E")]
+    got = ledger.written_through(spark.createDataFrame(rows, ledger.EVENT_SCHEMA)).collect()
+    assert {r["source"]: r["written_to"].day for r in got} == {"a": 9, "b": 8}
