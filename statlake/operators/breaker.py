@@ -7,11 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from statlake.operators.ordered import BLOCK, block_window, blocks_window, order_struct
+from statlake.operators.ordered import (
+    BLOCK,
+    block_window,
+    blocks_window,
+    order_struct,
+    with_blocks,
+)
 
 
 def rows_before_stop(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], block: Column,
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], block: Column | int,
     status: str = "status", max_failures: int = 5,
     ok: str = "ok", fail: str = "fail",
 ) -> DataFrame:
@@ -29,7 +35,8 @@ def rows_before_stop(
         Window.unboundedPreceding, Window.currentRow
     )
     d = (
-        df.withColumns({BLOCK: block, "_ok": is_ok, "_fail": is_fail})
+        with_blocks(df, keys, order_by, block)
+        .withColumns({"_ok": is_ok, "_fail": is_fail})
         .withColumns({"_oks": F.sum("_ok").over(inside), "_fails": F.sum("_fail").over(inside)})
         .withColumn(
             "_run",

@@ -3,8 +3,8 @@
 A plain window over a key puts every row of that key in one task. Here the rows of a key are
 split into *blocks*, stretches of the order that follow one another: windows run inside a block,
 one summary row per block carries what earlier blocks leave behind, and the summary is joined
-back. The blocks are a column that never falls as the order rises, so each retry of a task
-computes the same ones.
+back. A block is given as a number of rows it is to hold (``row_blocks``), or as a column that
+never falls as the order rises, so each retry of a task computes the same ones.
 
 ``order_by`` is always a total order within a key, all ascending. Keys must not be NULL.
 """
@@ -17,8 +17,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statlake.functions.text import as_column
+from statlake.session import scratch_dir
 
 BLOCK = "_block"
+DRAWN = 64  # rows drawn for each half block, from which bounds are taken
 
 
 def check_order(order_by: Sequence[str]) -> None:
@@ -49,19 +51,44 @@ def number_block(n: Column | str, width: int) -> Column:
     return F.floor(as_column(n) / F.lit(width))
 
 
-def even_blocks(df: DataFrame, column: str, blocks: int = 128) -> Column:
-    """Blocks with about the same number of rows, for orders that are dense in some places.
+def row_blocks(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], rows: int) -> DataFrame:
+    """Add ``_block``: stretches of a key's order, none with more than about ``rows`` rows.
 
-    Runs one aggregate over ``column`` now; only its ``blocks`` bounds come to the driver and
-    become literals, so that all uses and retries agree on them.
+    Only keys with more rows than that are split. Of these a share of the rows, drawn by a hash, is
+    sorted, and every so many drawn rows begin a block; they are as far apart as half of ``rows``, so
+    the chance of a block beyond it is negligible however the order is spread. The bounds are written
+    below the shared folder, a row for each split key, so that every use and retry sees the same;
+    Spark broadcasts them if they are small.
     """
-    shares = [i / blocks for i in range(1, blocks)]
-    value = F.col(column)
-    if dict(df.dtypes)[column].startswith("timestamp"):
-        value = F.unix_micros(value.cast("timestamp"))
-    bounds = df.agg(F.percentile_approx(value, shares, 10_000)).first()[0] or []
-    literals = F.array(*[F.lit(b) for b in sorted(set(bounds))])
-    return F.size(F.filter(literals, lambda b: b <= value)) if bounds else F.lit(0)
+    if rows < 1:
+        raise ValueError("a block must hold at least one row")
+    large = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > rows).select(*keys)
+    if large.isEmpty():
+        return df.withColumn(BLOCK, F.lit(0).cast("long"))
+    every = max(1, rows // (2 * DRAWN))
+    drawn = df.where(F.pmod(F.xxhash64(*keys, *order_by), F.lit(every)) == 0)
+    step = max(1, rows // (2 * every))
+    places = F.sequence(F.lit(step), F.size("_drawn"), F.lit(step))
+    begin = F.when(F.size("_drawn") >= step, F.transform(places, lambda i: F.element_at("_drawn", i)))
+    bounds = drawn.join(large, list(keys), "left_semi").groupBy(*keys).agg(
+        F.sort_array(F.collect_list(order_struct(order_by))).alias("_drawn")
+    )
+    path = scratch_dir(df.sparkSession, "block-bounds")
+    bounds.select(*keys, begin.alias("_begin")).write.parquet(path)
+    known = df.sparkSession.read.parquet(path)
+    place = F.size(F.filter("_begin", lambda b: b <= order_struct(order_by))).cast("long")
+    return df.join(known, list(keys), "left").select(
+        *df.columns, F.when(F.col("_begin").isNull(), 0).otherwise(place).alias(BLOCK)
+    )
+
+
+def with_blocks(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], block: Column | int
+) -> DataFrame:
+    """Add ``_block``, from a column or as stretches of so many rows."""
+    if isinstance(block, int):
+        return row_blocks(df, keys, order_by, block)
+    return df.withColumn(BLOCK, block)
 
 
 def block_window(keys: Sequence[str], order_by: Sequence[str]):
@@ -79,7 +106,7 @@ def running(
     df: DataFrame,
     keys: Sequence[str],
     order_by: Sequence[str],
-    block: Column,
+    block: Column | int,
     sums: Mapping[str, Column] | None = None,
     lasts: Mapping[str, Column] | None = None,
     before: bool = False,
@@ -89,7 +116,7 @@ def running(
     With ``before`` the current row itself is left out.
     """
     sums, lasts = dict(sums or {}), dict(lasts or {})
-    d = df.withColumn(BLOCK, block)
+    d = with_blocks(df, keys, order_by, block)
     start = Window.unboundedPreceding
     inside = block_window(keys, order_by).rowsBetween(start, -1 if before else Window.currentRow)
     earlier = blocks_window(keys).rowsBetween(start, -1)
@@ -123,7 +150,7 @@ def running(
 
 
 def carry_forward(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], block: Column, column: str,
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], block: Column | int, column: str,
     default: str | None = None,
 ) -> DataFrame:
     """Fill NULLs of ``column`` with the last earlier value of the key, else the default."""
@@ -132,7 +159,7 @@ def carry_forward(
 
 
 def with_previous(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], block: Column,
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], block: Column | int,
     columns: Mapping[str, str],
 ) -> DataFrame:
     """Add, under new names, column values of the row before (NULL values included)."""

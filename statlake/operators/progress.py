@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from statlake.functions.text import iso_time
 from statlake.functions.urls import url_key
-from statlake.operators.ordered import order_struct, running, with_keys
+from statlake.operators.ordered import BLOCK, order_struct, with_blocks, with_keys
 
 PROGRESS_KEY = ["player_id", "season"]
+BLOCK_EVENTS = 100_000  # of a key, put together in one task
 
 # Statuses, the events that change them, and the number of tries.
 PENDING, IN_PROGRESS, SUCCESS, FAILED, SKIPPED = (
@@ -72,8 +74,60 @@ def _is(*ops: str) -> Column:
     return F.col("op").isin(list(ops))
 
 
+# What a stretch of the log does, whatever came before it, as far as a reset and a count depend on
+# order: its tries; the last event that sets the error (``errs``: whether there is one, whether it
+# fails, its error, the tries up to it, whether a reset follows it before the next status, whether
+# one still may); the last event that sets the status (``sets``: whether it fails, whether a reset
+# follows); a reset before the first status; the last count that was set, and what was added since.
+# A stretch has this twice: as ``whole`` for a key that has a row before it, and as ``made`` for one
+# that has none, where only what comes from the first creating event on has an effect.
+_ADDS = {"tries": "a.tries + b.tries", "errs": "a.errs or b.errs", "sets": "a.sets or b.sets", "counts": "a.counts or b.counts"}
+# What two stretches a and b do one after the other, by field: b's where b has such an event, else this.
+_ELSE = {
+    "errs": {
+        "err_fails": "a.err_fails", "error": "a.error", "err_reset": "a.err_reset or (a.err_open and b.reset_first)",
+        "err_open": "a.err_open and not b.sets",
+    },
+    "sets": {"fails": "a.fails", "was_reset": "a.was_reset or b.reset_first"},
+    "counts": {"count": "a.count", "added": "a.added + b.added"},
+}
+_AFTER = {
+    **_ADDS,
+    **{f: f"if(b.{has}, b.{f}, {other})" for has, fields in _ELSE.items() for f, other in fields.items()},
+    "err_tries": "if(b.errs, a.tries + b.err_tries, a.err_tries)",
+    "reset_first": "a.reset_first or (not a.sets and b.reset_first)",
+}
+# What one event x does by itself, and what none does.
+_ONE = {
+    "tries": "x.tries", "errs": "x.errs", "err_fails": "x.fails", "error": "x.error", "err_tries": "x.tries",
+    "err_reset": "false", "err_open": "x.errs", "sets": "x.sets", "fails": "x.fails", "was_reset": "false",
+    "reset_first": "x.reset", "counts": "x.counts", "count": "x.n", "added": "x.added",
+}
+_KINDS = {"tries": "0L", "err_tries": "0L", "added": "0L", "count": "cast(null as bigint)", "error": "cast(null as string)"}
+
+
+def _struct(fields: dict[str, str]) -> str:
+    return "named_struct(" + ", ".join(f"'{f}', {fields[f]}" for f in _ONE) + ")"
+
+
+def _stretch(whole: str, made: str, creates: str) -> str:
+    return f"named_struct('whole', {whole}, 'made', {made}, 'creates', {creates})"
+
+
+def _put_together() -> str:
+    """Two stretches p and q as one. It does not matter how a log is cut into stretches."""
+    after = _struct(_AFTER)
+    whole, made = (re.sub(r"\b([ab])\.", lambda m: {"a": f"p.{side}.", "b": "q.whole."}[m[1]], after) for side in ("whole", "made"))
+    return _stretch(whole, f"if(p.creates, {made}, q.made)", "p.creates or q.creates")
+
+
+_NONE = _struct({f: _KINDS.get(f, "false") for f in _ONE})
+_STRETCH_OF = _stretch(_struct(_ONE), f"if(x.creates, {_struct(_ONE)}, {_NONE})", "x.creates")
+_FOLD = f"aggregate({{0}}, {_stretch(_NONE, _NONE, 'false')}, (p, q) -> {_put_together()})"
+
+
 def fold_progress(
-    events: DataFrame, block: Column, order_by: Sequence[str] = ("ts", "seq"),
+    events: DataFrame, block: Column | int = BLOCK_EVENTS, order_by: Sequence[str] = ("ts", "seq"),
     current: DataFrame | None = None, max_attempts: int = MAX_ATTEMPTS,
 ) -> DataFrame:
     """Replay an event log into one current row per key.
@@ -88,9 +142,11 @@ def fold_progress(
     * skipped: makes or updates the row
     * reset: a failed row with fewer than ``max_attempts`` tries becomes pending, error cleared
 
-    All but the reset depend only on the first or last event of some kind, or on sums; those are
-    plain aggregates. A reset also depends on status and tries at its place in the log, which
-    ``running`` works out block by block. ``block`` must not fall as ``order_by`` rises.
+    Two groupings do all of it. The first, by key and block, makes one row of a block: for fields
+    that only the last event of some kind sets, that event; for what depends on the order, the
+    block's effect on whatever it meets. The second puts the blocks of a key together, in their
+    order. ``block`` is the number of events a block is to hold, or a column that does not fall as
+    ``order_by`` rises.
     """
     order_by = list(order_by)
     state_nulls = {
@@ -104,75 +160,95 @@ def fold_progress(
         .select(*PROGRESS_KEY, "op", *order_by, *EVENT_FIELDS)
         .withColumns({**state_nulls, "_age": F.lit(1)})
     )
-    log = log.withColumn("_block0", block)
+    log = with_blocks(log, PROGRESS_KEY, order_by, block)
     if current is not None:
         old = _as_events(current, order_by, events).withColumn(
-            "_block0", F.lit(None).cast(log.schema["_block0"].dataType)
+            BLOCK, F.lit(None).cast(log.schema[BLOCK].dataType)
         )
         log = log.unionByName(old.select(*log.columns))
-    # NULL sorts first, so the earlier rows take the first block and the first place in it.
-    full_order = ["_age", *order_by]
-    status_after = F.col("status")
-    for op, status in STATUS_AFTER.items():
-        status_after = F.when(F.col("op") == op, status).otherwise(status_after)
-    log = log.withColumn("_after", F.when(~_is("reset"), status_after))
+
+    # NULL sorts first, so the earlier rows take the first place.
+    ord_ = order_struct(["_age", *order_by])
+    status = F.col("status")
+    for op, then in STATUS_AFTER.items():
+        status = F.when(F.col("op") == op, then).otherwise(status)
     count = F.coalesce(F.col("n"), F.lit(0)).cast("bigint")
-    seen = running(
-        log,
-        PROGRESS_KEY,
-        full_order,
-        F.coalesce(F.col("_block0").cast("bigint"), F.lit(-(2**62))),
-        sums={
-            "_made": _is(*CREATING).cast("bigint"),
-            "_tries": F.when(_is("started", "failure_upsert"), F.lit(1))
-            .when(_is("state"), F.col("attempts"))
-            .otherwise(0)
-            .cast("bigint"),
-            "_added": F.when(_is("success"), count).otherwise(0),
-        },
-        lasts={"_status": F.col("_after")},
+    creates, sets = _is(*CREATING), _is("state", *STATUS_AFTER)
+    tries = F.when(_is("started", "failure_upsert"), 1).when(_is("state"), F.col("attempts")).otherwise(0)
+    errs = _is("completed", "failed", "skipped", "failure_upsert", "state")
+    step = F.struct(
+        ord_.alias("place"),
+        F.coalesce(tries, F.lit(0)).cast("bigint").alias("tries"),
+        errs.alias("errs"),
+        (sets & F.coalesce(status == FAILED, F.lit(False))).alias("fails"),
+        F.when(errs & ~_is("completed"), F.col("error")).alias("error"),
+        sets.alias("sets"),
+        _is("reset").alias("reset"),
+        creates.alias("creates"),
+        _is("completed", "state").alias("counts"),
+        count.alias("n"),
+        F.when(_is("success"), count).otherwise(0).alias("added"),
     )
-    resets = (
-        _is("reset") & (F.col("_status") == FAILED) & (F.col("_tries") < max_attempts)
+    ts, slug, url = F.col("ts").cast("timestamp"), F.col("player_slug"), F.col("url")
+
+    # (field, its value, the events that set it): the last one counts, if it is not before the row is made.
+    fields = [
+        ("started_slug", slug, _is("started") & slug.isNotNull()),
+        ("player_name", F.col("player_name"), _is("started", "state") & F.col("player_name").isNotNull()),
+        ("started_url", url, _is("started")),
+        ("status", status, sets),
+        ("extraction_source", F.col("source"), _is("success", "completed", "state")),
+        ("last_attempt", F.when(_is("state"), F.col("last_attempt")).otherwise(ts), _is("started", "failed", "skipped", "failure_upsert", "state")),
+        ("completed_at", F.when(_is("state"), F.col("completed_at")).otherwise(ts), _is("success", "completed", "state")),
+    ]
+    first = F.struct(
+        "op", slug.alias("slug"), url.alias("url"),
+        F.when(_is("state"), F.col("created_at")).otherwise(ts).alias("created_at"),
+    )
+
+    def last(name: str, value: Column, place: Column) -> Column:
+        """The later of some (place, value), which partial aggregates also make of their rows."""
+        return F.max_by(value, place).alias(name)
+
+    known = sets | _is("reset")  # other events do nothing
+    blocks = log.where(known).withColumn("_step", step).groupBy(*PROGRESS_KEY, BLOCK).agg(
+        F.expr(_FOLD.format(f"transform(sort_array(collect_list(_step)), x -> {_STRETCH_OF})")).alias("_stretch"),
+        F.min(ord_).alias("_begin"),
+        F.min_by(F.struct(ord_.alias("place"), first.alias("v")), F.when(creates, ord_)).alias("_first"),
+        *[
+            last(f"_{name}", F.struct(ord_.alias("place"), value.alias("v")), F.when(where, ord_))
+            for name, value, where in fields
+        ],
     )
-    applied = seen.where((F.col("_made") > 0) & (~_is("reset") | resets))
-
-    ord_ = order_struct(full_order)
-    creates = _is(*CREATING) & (F.col("_made") == 1)
-    ts = F.col("ts").cast("timestamp")
-
-    def last(value: Column, where: Column) -> Column:
-        return F.max_by(F.struct(value.alias("v")), F.when(where, ord_))["v"]
-
-    names_itself = _is("success", "failure_upsert", "state") & creates
-    brings_slug = F.col("player_slug").isNotNull() & (_is("started") | names_itself)
-    brings_name = F.col("player_name").isNotNull() & _is("started", "state")
-    sets_url = _is("started") | names_itself
-    sets_error = _is("completed", "failed", "skipped", "failure_upsert", "reset", "state")
-    clears_error = _is("completed", "reset")
-    tried = _is("started", "failed", "skipped", "failure_upsert")
-    done = _is("success", "completed")
-    folded = applied.groupBy(*PROGRESS_KEY).agg(
-        last(F.col("player_slug"), brings_slug).alias("player_slug"),
-        last(F.col("player_name"), brings_name).alias("player_name"),
-        last(F.when(_is("reset"), F.lit(PENDING)).otherwise(F.col("_after")), F.lit(True)).alias(
-            "status"
-        ),
-        last(F.col("url"), sets_url).alias("url"),
-        last(F.col("source"), done | _is("state")).alias("extraction_source"),
-        (
-            F.max("_added")
-            + F.coalesce(last(count - F.col("_added"), _is("completed", "state")), F.lit(0))
-        ).alias("stat_count"),
-        last(F.when(~clears_error, F.col("error")), sets_error).alias("error"),
-        F.max("_tries").alias("attempts"),
-        last(F.when(_is("state"), F.col("last_attempt")).otherwise(ts), tried | _is("state")).alias(
-            "last_attempt"
-        ),
-        last(F.when(_is("state"), F.col("completed_at")).otherwise(ts), done | _is("state")).alias(
-            "completed_at"
-        ),
-        last(F.when(_is("state"), F.col("created_at")).otherwise(ts), creates).alias("created_at"),
+    stretches = "sort_array(collect_list(struct(_begin, _stretch)))._stretch"
+    rows = blocks.groupBy(*PROGRESS_KEY).agg(
+        F.expr(_FOLD.format(stretches)).alias("_all"),
+        F.min_by("_first", F.col("_first.place")).alias("_first"),
+        *[last(f"_{name}", F.col(f"_{name}"), F.col(f"_{name}.place")) for name, _, _ in fields],
+    )
+    made, begin = F.col("_all.made"), F.col("_first.v")
+
+    def value(name: str) -> Column:
+        return F.when(F.col(f"_{name}.place") >= F.col("_first.place"), F.col(f"_{name}.v"))
+
+    # The event that makes the row names it; a later start may name it anew.
+    own = F.when(begin["op"].isin("success", "failure_upsert", "state"), begin["slug"])
+    own_url = F.when(begin["op"].isin("success", "failure_upsert", "state"), begin["url"])
+    tries_left = made["tries"] < max_attempts
+    cleared = made["err_fails"] & made["err_reset"] & (made["err_tries"] < max_attempts)
+    folded = rows.where("_all.creates").select(
+        *PROGRESS_KEY,
+        F.coalesce(value("started_slug"), own).alias("player_slug"),
+        value("player_name").alias("player_name"),
+        F.when(made["fails"] & made["was_reset"] & tries_left, PENDING).otherwise(value("status")).alias("status"),
+        F.when(F.col("_started_url").isNull(), own_url).otherwise(value("started_url")).alias("url"),
+        value("extraction_source").alias("extraction_source"),
+        (F.when(made["counts"], made["count"]).otherwise(0) + made["added"]).alias("stat_count"),
+        F.when(made["errs"] & ~cleared, made["error"]).alias("error"),
+        made["tries"].alias("attempts"),
+        value("last_attempt").alias("last_attempt"),
+        value("completed_at").alias("completed_at"),
+        begin["created_at"].alias("created_at"),
     )
     return folded.select(*PROGRESS_COLUMNS)
 
@@ -262,18 +338,23 @@ def pending_queue(
 
 def reset_failed(
     progress: DataFrame, max_attempts: int = MAX_ATTEMPTS
-) -> tuple[DataFrame, DataFrame]:
-    """Failed rows with tries left back to pending, and a one-row count of them."""
+) -> tuple[DataFrame, Observation]:
+    """Failed rows with tries left back to pending, and how many they are (``affected``).
+
+    They are counted by the pass that writes the rows; the count is there when it is done.
+    """
     hit = F.coalesce(
         (F.col("status") == FAILED) & (F.col("attempts") < max_attempts), F.lit(False)
     )
-    after = progress.withColumns(
+    seen = Observation("reset_failed")
+    counted = progress.observe(seen, F.count_if(hit).alias("affected"))
+    after = counted.withColumns(
         {
             "error": F.when(~hit, F.col("error")),
             "status": F.when(hit, F.lit(PENDING)).otherwise(F.col("status")),
         }
     )
-    return after, progress.agg(F.count_if(hit).alias("affected"))
+    return after, seen
 
 
 def status_counts(progress: DataFrame) -> DataFrame:

@@ -12,7 +12,6 @@ from statlake.functions.urls import PROFILE_PATH
 from statlake.operators.extract.choose import PRIORITY, extract_pages, stat_rows, with_identity
 from statlake.operators.joins import skip_completed
 from statlake.operators.normalize import normalize_stats
-from statlake.operators.ordered import number_block
 from statlake.operators.progress import fold_progress
 from statlake.operators.upsert import (
     STAT_IDENTITY,
@@ -185,9 +184,8 @@ def run_crawl(
     write_stats(valid, stats, place)
 
     events = progress_events(extracted, stamp, pattern)
-    fold_progress(events, number_block("seq", 1 << 20), ["ts", "seq"], progress).write.parquet(
-        result.progress
-    )
+    folded = fold_progress(events, order_by=["ts", "seq"], current=progress)
+    folded.write.parquet(result.progress)
     remove_path(spark, staged)
     return result
 

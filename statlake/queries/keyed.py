@@ -10,13 +10,11 @@ from statlake.operators.breaker import rows_before_stop
 from statlake.operators.ordered import (
     carry_forward,
     first_rows_per_key,
-    number_block,
-    time_block,
     with_previous,
 )
 from statlake.queries.registry import cents, pick, query, season_sql, table, text
 
-DAY = 86_400
+BLOCK_ROWS = 25  # so that the users of a test table have several blocks
 
 
 @query(
@@ -278,7 +276,7 @@ def failure_breaker(spark, sf):
     )
     rows = table(spark, sf, "events").select("user_id", "event_id", "ts", status.alias("status"))
     kept = rows_before_stop(
-        rows, ["user_id"], ["ts", "event_id"], time_block("ts", DAY), max_failures=3
+        rows, ["user_id"], ["ts", "event_id"], BLOCK_ROWS, max_failures=3
     )
     return kept.select("user_id", "event_id")
 
@@ -311,7 +309,7 @@ def category_carry_forward(spark, sf):
         F.when(F.col("event_type") == "signup", F.col("props")).alias("category"),
     )
     filled = carry_forward(
-        rows, ["user_id"], ["ts", "event_id"], time_block("ts", DAY), "category", "General"
+        rows, ["user_id"], ["ts", "event_id"], BLOCK_ROWS, "category", "General"
     )
     return filled.select("event_id", "category")
 
@@ -331,7 +329,7 @@ def previous_row(spark, sf):
         F.when(F.col("event_type") != "view", F.col("event_type")).alias("kind"),
     )
     out = with_previous(
-        rows, ["user_id"], ["event_id"], number_block("event_id", 1000),
+        rows, ["user_id"], ["event_id"], BLOCK_ROWS,
         {"previous_type": "kind", "previous_value": "value"},
     )
     return out.select("event_id", "previous_type", "previous_value")

@@ -6,10 +6,8 @@ from pyspark.sql import functions as F
 
 from statlake.functions.text import iso_time
 from statlake.operators import progress as ops
-from statlake.operators.ordered import time_block
 from statlake.queries.registry import query, table, text
-
-QUARTER_DAY = 21_600
+from statlake.session import scratch_dir
 
 EVENTS_SQL = """
     SELECT CAST(user_id AS VARCHAR) AS player_id, strftime(ts, '%Y-%m-%d') AS season, ts, event_id,
@@ -100,7 +98,7 @@ def log_rows(events):
 
 
 def folded(spark, sf):
-    return ops.fold_progress(log_rows(table(spark, sf, "events")), time_block("ts", QUARTER_DAY))
+    return ops.fold_progress(log_rows(table(spark, sf, "events")))
 
 
 _TIMES = ", ".join(
@@ -155,9 +153,10 @@ def pending_queue(spark, sf):
     """,
 )
 def reset_failed(spark, sf):
-    after, affected = ops.reset_failed(folded(spark, sf))
-    count = affected.select("affected").scalar()
-    return after.select("player_id", "season", "status", "error", count.alias("affected"))
+    after, seen = ops.reset_failed(folded(spark, sf))
+    path = scratch_dir(spark, "reset")
+    after.select("player_id", "season", "status", "error").write.parquet(path)
+    return spark.read.parquet(path).withColumn("affected", F.lit(seen.get["affected"]))
 
 
 @query(

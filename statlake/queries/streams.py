@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from statlake.functions.text import iso_time
-from statlake.operators.ordered import time_block
 from statlake.operators.progress import as_text_times
-from statlake.queries.progress import _TIMES, FOLD_SQL, QUARTER_DAY, log_rows
+from statlake.queries.progress import _TIMES, FOLD_SQL, log_rows
 from statlake.queries.registry import query, table
 from statlake.session import scratch_dir
 from statlake.streaming import metrics, progress, upserts
@@ -75,7 +74,6 @@ def stream_progress(spark, sf):
     # Each event acts on what the ones before it left, so a log is landed in its order.
     progress.start_progress(
         log_rows(event_stream(spark, sf, in_order=True)), f"{root}/deltas", f"{root}/checkpoint",
-        lambda: time_block("ts", QUARTER_DAY),
     ).awaitTermination()
     return as_text_times(progress.read_progress(spark, f"{root}/deltas"))
 

@@ -8,7 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from statlake.operators.progress import PROGRESS_COLUMNS, PROGRESS_KEY, fold_progress
+from statlake.operators.progress import (
+    BLOCK_EVENTS,
+    PROGRESS_COLUMNS,
+    PROGRESS_KEY,
+    fold_progress,
+)
 from statlake.streaming.deltas import BATCH, read_deltas, write_delta
 
 PROGRESS_SCHEMA = (
@@ -25,7 +30,7 @@ def _latest(deltas: DataFrame) -> DataFrame:
 
 
 def start_progress(
-    stream: DataFrame, path: str, checkpoint: str, block: Callable[[], Column],
+    stream: DataFrame, path: str, checkpoint: str, block: Callable[[], Column] | int = BLOCK_EVENTS,
     order_by: tuple[str, ...] = ("ts", "seq"),
 ) -> StreamingQuery:
     """Fold each micro-batch onto the rows of earlier ones, and write the keys it touched.
@@ -42,7 +47,8 @@ def start_progress(
         if earlier is not None:
             touched = batch.select(*PROGRESS_KEY).distinct()
             current = _latest(earlier.join(touched, PROGRESS_KEY, "left_semi"))
-        write_delta(fold_progress(batch, block(), order_by, current), path, batch_id)
+        blocks = block if isinstance(block, int) else block()
+        write_delta(fold_progress(batch, blocks, order_by, current), path, batch_id)
 
     return (
         stream.writeStream.foreachBatch(each)

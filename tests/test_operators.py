@@ -15,9 +15,9 @@ from statlake.operators.joins import skip_completed
 from statlake.operators.normalize import is_valid_stat, normalize_stats
 from statlake.operators.ordered import (
     carry_forward,
-    even_blocks,
     first_rows_per_key,
     number_block,
+    row_blocks,
     running,
     with_previous,
 )
@@ -206,7 +206,7 @@ def test_running_over_blocks(spark):
     rng = random.Random(5)
     rows = [(k, i, rng.choice([None, 1, 2]), rng.choice([None, "x", "y"])) for k in "ab" for i in range(30)]
     df = spark.createDataFrame(rows, "k string, i int, v int, c string")
-    for block in (number_block("i", 4), even_blocks(df, "i", 7), F.lit(0)):
+    for block in (number_block("i", 4), 5, 1, 1000, F.lit(0)):
         out = running(df, ["k"], ["i"], block, {"total": F.col("v")}, {"carried": F.col("c")}).collect()
         assert len(out) == len(rows)
         for r in out:
@@ -313,6 +313,36 @@ def test_progress_fold_equals_brute_force(spark, seed):
     assert {**untouched, **fold_rows(second)} == want
 
 
+@pytest.mark.parametrize("block", [1, 3, 40, 10_000])
+def test_progress_fold_does_not_depend_on_its_blocks(spark, block):
+    log = random_log(7, keys=3, size=400)
+    df = spark.createDataFrame([tuple(e.values()) for e in log], EVENT_SCHEMA)
+    assert fold_rows(progress.fold_progress(df, block)) == brute_fold(log)
+    none = spark.createDataFrame([], EVENT_SCHEMA)
+    assert fold_rows(progress.fold_progress(none, block)) == {}
+
+
+def test_progress_fold_groups_twice(spark):
+    df = spark.createDataFrame([tuple(e.values()) for e in random_log(3)], EVENT_SCHEMA)
+    plan = progress.fold_progress(df, F.lit(0))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "Window" not in plan and "Join" not in plan
+
+
+def test_row_blocks_of_a_hot_key(spark):
+    """One key has most rows, many of them at one place of the first order column."""
+    spread = F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id") % 1000)
+    df = spark.range(60_000).select(
+        F.when(F.col("id") % 3 > 0, "hot").otherwise((F.col("id") % 900).cast("string")).alias("k"), spread.alias("a"), "id"
+    )
+    blocks = row_blocks(df, ["k"], ["a", "id"], 2000)
+    sizes = blocks.groupBy("k", "_block").agg(F.count("*").alias("n"), F.min(F.struct("a", "id")).alias("lo"), F.max(F.struct("a", "id")).alias("hi"))
+    rows = sizes.orderBy("k", "_block").collect()
+    assert sum(r["n"] for r in rows) == 60_000 and max(r["n"] for r in rows) <= 2000
+    hot = [r for r in rows if r["k"] == "hot"]
+    assert 20 <= len(hot) <= 80 and all(x["hi"] < y["lo"] for x, y in zip(hot, hot[1:], strict=False))
+    assert all(r["_block"] == 0 for r in rows if r["k"] != "hot")
+
+
 def test_status_queue_and_flags(spark):
     df = spark.createDataFrame(
         [("1", "s", "success", 1, "2024-01-03"), ("2", "s", "failed", 3, "2024-01-01"), ("3", "s", "failed", 1, "2024-01-04"),
@@ -326,8 +356,8 @@ def test_status_queue_and_flags(spark):
     flags = {r["player_id"]: r["p"] for r in df.select("player_id", progress.is_pending().alias("p")).collect()}
     assert flags == {"1": False, "2": True, "3": True, "4": True, "5": True, "6": False}
     after, affected = progress.reset_failed(df)
-    assert affected.first()[0] == 1
     assert {(r["player_id"], r["error"]) for r in after.where("status = 'pending'").collect()} == {("3", None), ("4", "e")}
+    assert affected.get["affected"] == 1
     assert {r["key"] for r in progress.completed_keys(df).collect()} == {"1_s", "6_s"}
     assert df.select(url_key("player_id", "season").alias("k")).first()["k"] == "1_s"
 
