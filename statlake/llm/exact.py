@@ -9,14 +9,14 @@ identifiers move, about 20 bytes for each chunk, never the texts.
 
 Groups are counted with map-side partials and joined back by recipe, where Spark splits a hot one.
 
-Cases: a NULL text is an empty one. Rows with the same id and text are one document, returned once and
-counted as often as they come. A NULL id is less than any other. An empty table gives an empty result.
-Columns other than id and text are not read.
+Cases: a NULL text is an empty one. Repeated rows are counted and returned as often as they come; of rows
+with the same id and text one is kept, and different texts of one id are different documents. A NULL id is
+less than any other. An empty table gives an empty result. Columns other than id and text are not read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CHUNK_MIN, CHUNK_MAX = 256, 8192
@@ -50,15 +50,15 @@ def recipe_of(chunks: Column, ambiguous: list[int] | None) -> Column:
     )
 
 
-def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """A row per document: id, keep_id (largest id with this text), group_size, kept, text_sha256."""
+def recipe_groups(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Rows of the same id and text as one, with their number (``times``) and their group."""
     few = ambiguous_hashes(docs, text).limit(NAMED_HASHES + 1).collect()
     ambiguous = [r["hash"] for r in few] if len(few) <= NAMED_HASHES else None
     recipes = (
         docs.select(
             F.col(doc_id).alias("doc_id"),
             recipe_of(chunks_of(F.col(text)), ambiguous).alias("recipe"),
-            F.sha2(F.coalesce(F.col(text), F.lit("")), 256).alias("text_sha256"),
+            digest_of(F.col(text)).alias("text_sha256"),
         )
         .groupBy("recipe", "doc_id", "text_sha256")
         .agg(F.count("*").alias("times"))
@@ -66,16 +66,43 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     groups = recipes.groupBy("recipe").agg(
         F.max("doc_id").alias("keep_id"), F.sum("times").alias("group_size")
     )
-    return recipes.join(groups, "recipe").select(
+    return recipes.join(groups, "recipe")
+
+
+def digest_of(text: Column) -> Column:
+    return F.sha2(F.coalesce(text, F.lit("")), 256)
+
+
+def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """A row per row of ``docs``: id, keep_id (largest id with this text), group_size, kept, text_sha256."""
+    copies = F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy")
+    return recipe_groups(docs, doc_id, text).select("*", copies).select(
         F.col("doc_id").alias(doc_id),
         "keep_id",
         "group_size",
-        F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
+        (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"),
         "text_sha256",
     )
 
 
 def drop_exact_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with the row of the largest id of each text, all its columns unchanged."""
-    kept = exact_groups(docs, doc_id, text).where("kept").select(F.col(doc_id).alias("kept_id"))
-    return docs.join(kept, docs[doc_id].eqNullSafe(kept["kept_id"]), "left_semi")
+    """``docs`` with one row of each text, of the largest id, all its columns unchanged."""
+    kept = recipe_groups(docs, doc_id, text).where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    kept = kept.select(F.col("doc_id").alias("keep_id"), F.col("text_sha256").alias("keep_text"))
+    given = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"),
+        F.col(doc_id).alias("doc_id"),
+        digest_of(F.col(text)).alias("text_sha256"),
+    )
+    found = given.join(
+        kept, given["text_sha256"].eqNullSafe(kept["keep_text"]) & given["doc_id"].eqNullSafe(kept["keep_id"]), "left_semi"
+    )
+    # Rows of one id and text are the only ones left that are equal; the join has put them side by side.
+    same = Window.partitionBy("text_sha256", "doc_id").orderBy(F.xxhash64(*_hashed(docs)))
+    return found.withColumn("place", F.row_number().over(same)).where("place = 1").select("document.*")
+
+
+def _hashed(docs: DataFrame) -> list[Column]:
+    """The columns that a row's place among rows of one id and text goes by."""
+    plain = [f.name for f in docs.schema if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    return [F.col(f"document.`{c}`") for c in plain] or [F.lit(0)]

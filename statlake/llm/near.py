@@ -35,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from statlake.llm.components import components
@@ -479,7 +479,18 @@ def near_classes(
 def drop_near_copies(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD
 ) -> DataFrame:
-    """``docs`` with the row of the least id of each class, all its columns unchanged."""
+    """``docs`` with the row of the least id of each class, all its columns unchanged.
+
+    Of rows with the same id and text one stays; rows with the same id and other texts are not told apart
+    by classes and stay.
+    """
     gone = near_classes(docs, doc_id, text, threshold).where("NOT kept").select(F.col(doc_id).alias("gone"))
-    key = F.coalesce(docs[doc_id].cast("long"), F.lit(NO_ID))
-    return docs.join(gone, key == gone["gone"], "left_anti")
+    given = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"),
+        F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("id"),
+        F.sha2(F.coalesce(F.col(text), F.lit("")), 256).alias("digest"),
+    )
+    left = given.join(gone, given["id"] == gone["gone"], "left_anti")
+    # The join has put rows of one id side by side.
+    same = Window.partitionBy("id", "digest").orderBy(F.lit(0))
+    return left.withColumn("place", F.row_number().over(same)).where("place = 1").select("document.*")

@@ -14,8 +14,9 @@ def brute(rows):
     out = {}
     for text, ids in groups.items():
         keep = max((i for i in ids if i is not None), default=None)
-        for i in set(ids):
-            out[i, text] = (keep, len(ids), i == keep, hashlib.sha256(text.encode()).hexdigest())
+        for i, times in Counter(ids).items():
+            digest = hashlib.sha256(text.encode()).hexdigest()
+            out[i, text] = [(keep, len(ids), i == keep and not k, digest) for k in range(times)]
     return out
 
 
@@ -33,7 +34,7 @@ def test_against_brute_force(spark):
     rows = exact_groups(frame).collect()
     want = brute(table())
     assert Counter((r.doc_id, r.keep_id, r.group_size, r.kept, r.text_sha256) for r in rows) == Counter(
-        (i, *rest) for (i, _), rest in want.items()
+        (i, *row) for (i, _), rows in want.items() for row in rows
     )
     kept = drop_exact_copies(frame)
     assert kept.columns == frame.columns
@@ -60,3 +61,16 @@ def test_ambiguous_hashes_go_by_their_content(spark, monkeypatch):
     monkeypatch.setattr(exact.F, "xxhash64", lambda *c: same)
     assert ambiguous_hashes(frame, "text").count() == 1
     assert exact_groups(frame.withColumn("doc_id", F.length("text"))).count() == 2
+
+
+def test_one_row_of_each_text_is_kept(spark):
+    rows = [(1, "a"), (1, "a"), (5, "x"), (5, "q"), (9, "x"), (None, "n"), (None, "n"), (None, "x"), (7, None), (8, "")]
+    frame = spark.createDataFrame([(*r, k, {"k": k}) for k, r in enumerate(rows)], "doc_id long, text string, place int, more map<string,int>")
+    kept = drop_exact_copies(frame.repartition(4))
+    assert kept.columns == frame.columns
+    found = [(r.doc_id, r.text) for r in kept.collect()]
+    assert Counter(found) == Counter([(1, "a"), (5, "q"), (9, "x"), (None, "n"), (8, "")])
+    assert all(rows[r.place] == (r.doc_id, r.text) and r.more == {"k": r.place} for r in kept.collect())
+    groups = exact_groups(frame).collect()
+    assert len(groups) == len(rows) and sum(r.kept for r in groups) == 5
+    assert drop_exact_copies(frame.limit(0)).count() == 0

@@ -44,6 +44,17 @@ def test_each_stage_drops_what_it_should(spark, folder):
     assert {r.doc_id for r in corpus_pipeline.run(spark, path).collect()} == stay
 
 
+def test_repeated_rows_and_ids(spark, folder):
+    """Of rows with the same id and text one stays; other texts of an id are other documents."""
+    docs = spark.read.parquet(f"{folder[0]}/documents.parquet").where("doc_id < 6")
+    other = docs.where("doc_id in (0, 1)").withColumn("text", F.reverse("text"))
+    docs = docs.unionByName(docs).unionByName(docs.where("doc_id = 3")).unionByName(other)
+    want = [0, 0, 1, 1, 2, 3, 4, 5]
+    for name, stage in STAGES[1:3]:
+        docs = stage(spark, docs, folder[0])
+        assert sorted(r.doc_id for r in docs.select("doc_id").collect()) == want, name
+
+
 def test_empty_table(spark, folder):
     docs = spark.read.parquet(f"{folder[0]}/documents.parquet").limit(0)
     for _, stage in STAGES:
