@@ -44,9 +44,9 @@ def append_event(
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """All events; none where there is no ledger yet."""
-    if not path_exists(spark, f"{path}/*/*.json"):
+    if not path_exists(spark, f"{path}/*/[0-9]*.json"):
         return spark.createDataFrame([], EVENT_SCHEMA)
-    return spark.read.schema(EVENT_SCHEMA).json(f"{path}/*/*.json")
+    return spark.read.schema(EVENT_SCHEMA).json(f"{path}/*/[0-9]*.json")
 
 
 def orphans(ledger: DataFrame) -> DataFrame:

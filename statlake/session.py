@@ -65,6 +65,18 @@ def path_exists(spark: SparkSession, pattern: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def list_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that match, which may be none."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return [status.getPath().toString() for status in found or []]
+
+
+def read_text(spark: SparkSession, name: str) -> str:
+    """All of a small file."""
+    return spark.read.text(name, wholetext=True).first()[0]
+
+
 def remove_path(spark: SparkSession, name: str) -> None:
     """Remove a folder with all that is in it."""
     path = spark._jvm.org.apache.hadoop.fs.Path(name)

@@ -31,14 +31,19 @@ def start_window_counts(
     like, and nothing is kept between batches."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        write_delta(window_counts(batch, ts, kind, interval), path, batch_id)
+        counts = window_counts(batch, ts, kind, interval)
+        write_delta(counts, path, batch_id, ["window_start", kind], lambda df: _summed(df, kind))
 
     return _run(stream, each, checkpoint)
 
 
 def read_window_counts(spark: SparkSession, path: str, kind: str = "kind") -> DataFrame:
     """The count of each window over all micro-batches."""
-    return read_deltas(spark, path).groupBy("window_start", kind).agg(F.sum("n").alias("n"))
+    return _summed(read_deltas(spark, path), kind)
+
+
+def _summed(counts: DataFrame, kind: str) -> DataFrame:
+    return counts.groupBy("window_start", kind).agg(F.sum("n").alias("n"))
 
 
 def start_without_replays(
@@ -50,7 +55,8 @@ def start_without_replays(
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        write_delta(keep_first(batch, keys, order_by), path, batch_id)
+        first = lambda df: keep_first(df.drop(BATCH), keys, order_by)
+        write_delta(first(batch), path, batch_id, keys, first)
 
     return _run(stream, each, checkpoint)
 

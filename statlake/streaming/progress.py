@@ -14,15 +14,16 @@ from statlake.operators.progress import (
     PROGRESS_KEY,
     fold_progress,
 )
-from statlake.streaming.deltas import BATCH, read_deltas, write_delta
-
-PROGRESS_SCHEMA = (
-    "player_id string, season string, player_slug string, player_name string, status string, "
-    "url string, extraction_source string, stat_count bigint, error string, attempts bigint, "
-    "last_attempt timestamp, completed_at timestamp, created_at timestamp"
+from statlake.streaming.deltas import (
+    BATCH,
+    BUCKET,
+    bucket_of,
+    last_batch,
+    read_deltas,
+    write_base,
+    write_delta,
 )
 
-
 def _latest(deltas: DataFrame) -> DataFrame:
     rest = [c for c in PROGRESS_COLUMNS if c not in PROGRESS_KEY]
     newest = deltas.groupBy(*PROGRESS_KEY).agg(F.max_by(F.struct(*rest), BATCH).alias("_r"))
@@ -36,19 +37,20 @@ def start_progress(
     """Fold each micro-batch onto the rows of earlier ones, and write the keys it touched.
 
     A state store per key would see all events of a key in one task; the batch fold splits them.
-    Only folders before this batch are read, so a replay gives the same rows.
+    Only folders before this batch are read, of the buckets it has keys in, so a replay gives the same
+    rows.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        earlier = read_deltas(
-            batch.sparkSession, path, batch_id, f"{PROGRESS_SCHEMA}, {BATCH} bigint"
-        )
-        current = None
-        if earlier is not None:
+        spark, current = batch.sparkSession, None
+        if batch_id > 0:
             touched = batch.select(*PROGRESS_KEY).distinct()
+            own = touched.select(bucket_of(PROGRESS_KEY).alias(BUCKET)).distinct().collect()
+            earlier = read_deltas(spark, path, batch_id, [r[BUCKET] for r in own])
             current = _latest(earlier.join(touched, PROGRESS_KEY, "left_semi"))
         blocks = block if isinstance(block, int) else block()
-        write_delta(fold_progress(batch, blocks, order_by, current), path, batch_id)
+        folded = fold_progress(batch, blocks, order_by, current)
+        write_delta(folded, path, batch_id, PROGRESS_KEY, _latest)
 
     return (
         stream.writeStream.foreachBatch(each)
@@ -68,5 +70,4 @@ def compact_progress(spark: SparkSession, path: str, into: str) -> None:
 
     The stream goes on from its checkpoint with the new path.
     """
-    deltas = read_deltas(spark, path)
-    write_delta(_latest(deltas), into, deltas.agg(F.max(BATCH)).first()[0])
+    write_base(_latest(read_deltas(spark, path)), into, last_batch(spark, path), PROGRESS_KEY)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from statlake.operators.ordered import order_struct, with_keys
-from statlake.streaming.deltas import BATCH, read_deltas, write_delta
+from statlake.streaming.deltas import last_batch, read_deltas, write_base, write_delta
 
 
 def _merge(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -47,8 +47,8 @@ def start_upserts(
     files and any split into batches give the same table."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        valid = with_keys(batch, keys)
-        write_delta(_summarize(valid, keys, order_by, first_wins, last_wins), path, batch_id)
+        rows = _summarize(with_keys(batch, keys), keys, order_by, first_wins, last_wins)
+        write_delta(rows, path, batch_id, keys, lambda df: _merge(df, keys))
 
     return (
         stream.writeStream.foreachBatch(each)
@@ -65,7 +65,8 @@ def read_upserts(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFra
 
 
 def compact_upserts(spark: SparkSession, path: str, into: str, keys: Sequence[str]) -> None:
-    """Fold all folders into one at a new path, under the last batch number."""
-    deltas = read_deltas(spark, path)
-    last = deltas.agg(F.max(BATCH)).first()[0]
-    write_delta(_merge(deltas, keys), into, last)
+    """Fold all folders into one at a new path, under the last batch number.
+
+    The stream goes on from its checkpoint with the new path.
+    """
+    write_base(_merge(read_deltas(spark, path), keys), into, last_batch(spark, path), keys)

@@ -230,11 +230,72 @@ def test_missing_and_broken_are_kept_apart(spark, tmp_path):
         deltas.read_deltas(spark, str(tmp_path / "none"))
     (tmp_path / "state").write_text("x")
     assert states.read_state(spark, str(tmp_path / "none")).first()["sources"] == {}
-    broken = tmp_path / f"table/{deltas.BATCH}=0"
+    table = str(tmp_path / "table")
+    deltas.write_delta(spark.range(3), table, 0, ["id"], lambda df: df)
+    with pytest.raises(FileNotFoundError, match="batch 1"):
+        deltas.read_deltas(spark, table, 3)
+    broken = tmp_path / f"table/{deltas.LEVEL}=0/{deltas.BATCH}=1/{deltas.BUCKET}=0"
     broken.mkdir(parents=True)
     (broken / "part.parquet").write_text("no parquet")
+    assert deltas.read_deltas(spark, table).count() == 3  # a folder that is not whole does not count
+    (broken.parent / "_SUCCESS").write_text("")
     with pytest.raises(Exception, match="(?i)parquet"):
-        deltas.read_deltas(spark, str(tmp_path / "table"), 1).count()
+        deltas.read_deltas(spark, table).count()
+
+
+def test_folders_cover_each_batch_once():
+    for before in range(1, 300):
+        have = {(level, n) for level in range(5) for n in range(before) if (n + 1) % deltas.FAN**level == 0}
+        cover = deltas.covering(have, before)
+        held = [b for f in cover for b in range(deltas.first_batch(f), f[1] + 1)]
+        assert held == list(range(before))
+        assert len(cover) <= (deltas.FAN - 1) * 5
+        base = before // 3
+        cover = deltas.covering({f for f in have if f[1] > base} | {(deltas.BASE, base)}, before)
+        assert cover[0] == (deltas.BASE, base) and [f[1] for f in cover] == sorted(f[1] for f in cover)
+        held = [b for f in cover[1:] for b in range(max(base + 1, deltas.first_batch(f)), f[1] + 1)]
+        assert held == list(range(base + 1, before))
+
+
+def test_deltas_fold_and_forget_what_is_folded(spark, tmp_path):
+    table, most = str(tmp_path / "t"), 0
+
+    def merge(df):
+        return df.groupBy("k").agg(F.sum("n").alias("n"))
+
+    def batch(i):
+        return spark.createDataFrame([(i % 3, 1), (7, 1)], "k long, n long")
+
+    for i in range(21):
+        for _ in range(1 + (i in (3, 7, 15, 16))):  # some are replayed, also those that end a fold
+            deltas.write_delta(batch(i), table, i, ["k"], merge)
+        have = deltas.whole_folders(spark, table)
+        most = max(most, len(have))
+        if i in (2, 3, 4, 15, 16, 20):
+            got = {r["k"]: r["n"] for r in merge(deltas.read_deltas(spark, table)).collect()}
+            assert got == {**{k: sum(b % 3 == k for b in range(i + 1)) for k in range(min(3, i + 1))}, 7: i + 1}
+            before = {r["k"]: r["n"] for r in merge(deltas.read_deltas(spark, table, i)).collect()}
+            assert before[7] == i
+    assert deltas.covering(have, 21) == [(2, 15), (1, 19), (0, 20)]
+    assert most <= 12
+    bucket = spark.createDataFrame([(7,)], "k long").select(deltas.bucket_of(["k"])).first()[0]
+    only = deltas.read_deltas(spark, table, None, [bucket])
+    assert 7 in {r["k"] for r in only.collect()} and "PartitionFilters: [isnotnull(bucket" in only._jdf.queryExecution().toString()
+
+
+def test_twenty_files_out_of_order(spark, tmp_path):
+    schema = "k string, ord int, a string, b string"
+    rows = [(f"k{i % 5}", (i * 37) % 101, f"a{i}", None if i % 4 == 0 else f"b{i}") for i in range(100)]
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    write_files(spark, rows, schema, path, [slice(i, i + 5) for i in range(0, 100, 5)])
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    upserts.start_upserts(stream, out, str(tmp_path / "cp"), ["k"], ["ord"], ["a"], ["b"]).awaitTermination()
+    want = {}
+    for k in {r[0] for r in rows}:
+        own = sorted((r for r in rows if r[0] == k), key=lambda r: r[1])
+        want[k] = (own[0][2], own[-1][3])
+    assert {r["k"]: (r["a"], r["b"]) for r in upserts.read_upserts(spark, out, ["k"]).collect()} == want
+    assert len(deltas.covering(deltas.whole_folders(spark, out), 20)) == 2
 
 
 def test_profiles_keep_all_their_fields(spark):
