@@ -281,6 +281,41 @@ def extract_priority(spark, sf):
     )
 
 
+def _read_attribute(df, column, needed, falsy):
+    """The stats that a page has as JSON in an attribute."""
+    found = F.when(needed, F.nullif(F.regexp_extract("html", "data-stats='([^']*)'", 1), F.lit("")))
+    return df.withColumn(column, captured.extract_captured(found, falsy))
+
+
+@query(
+    "extract_own_source",
+    """
+    SELECT o_orderkey AS page_id,
+           CASE WHEN o_orderkey % 3 = 0 THEN 'attribute' WHEN o_orderkey % 3 = 1 THEN 'next_data' ELSE 'unknown' END AS source,
+           CAST(CASE o_orderkey % 3 WHEN 0 THEN 1 WHEN 1 THEN 3 ELSE 0 END AS BIGINT) AS n_stats,
+           CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_custkey AS VARCHAR) END AS first_value
+    FROM orders
+    """,
+)
+def extract_own_source(spark, sf):
+    """A source that a user registers and names before a built-in one."""
+    choose.register_source(choose.PageSource("attribute", _read_attribute))
+    own = _join("<div data-stats='", '{"stats":[{"name":"Customer","value":"', F.col("o_custkey"), '"}]}', "'></div>")
+    html = F.when(F.col("o_orderkey") % 3 == 0, F.concat(own, _page_data())).when(
+        F.col("o_orderkey") % 3 == 1, _page_data()
+    )
+    pages = _orders(spark, sf).select(
+        F.col("o_orderkey").alias("page_id"), F.lit("https://h/x").alias("url"),
+        F.coalesce(html, F.lit("<div data-stats=''></div>")).alias("html"),
+    )
+    out = choose.extract_pages(pages, priority=["attribute", choose.PAGE_DATA])
+    first = F.get("extracted.stats", F.lit(0))["value"]
+    return out.select(
+        "page_id", "source", F.coalesce(F.size("extracted.stats"), F.lit(0)).cast("bigint").alias("n_stats"),
+        F.when(F.col("source") == "attribute", first).alias("first_value"),
+    )
+
+
 @query(
     "crawl_rows",
     " UNION ALL ".join(
@@ -374,7 +409,7 @@ def event_responses(spark, sf):
         key % 5,
         [props, _join('{"data":{"stats":', props, "}}"), _join('[{"rank":1,"value":', key, "}]"), "{}", "<p>"],
     )
-    return table(spark, sf, "events").select(
+    return table(spark, sf, "events").repartition(PARTS, "event_id").select(
         F.col("user_id").alias("page_id"),
         key.alias("seq"),
         url.alias("url"),
@@ -516,3 +551,30 @@ def profile_normalize(spark, sf):
         F.get("stats", F.lit(0))["value_numeric"].alias("first_number"),
         F.size(F.filter("stats", lambda s: s["is_complete"])).cast("bigint").alias("n_complete"),
     )
+
+
+@query(
+    "run_stamp",
+    """
+    SELECT o_orderkey, CAST(o_custkey AS DOUBLE) AS value_numeric,
+           strftime(CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_orderdate AS TIMESTAMP) ELSE TIMESTAMP '2024-01-02 03:04:05' END,
+                    '%Y-%m-%dT%H:%M:%S.%f') AS row_stamp,
+           '2024-01-02T03:04:05.000000' AS profile_stamp
+    FROM orders
+    """,
+)
+def run_stamp(spark, sf):
+    """Rows and profiles get the time of the run where they have none."""
+    run_ts = F.lit("2024-01-02 03:04:05")
+    known = F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderdate").cast("timestamp"))
+    rows = _orders(spark, sf).select(
+        "o_orderkey", F.lit("s").alias("statistic_name"), text("o_custkey").alias("value"),
+        F.lit("5%").alias("percentile"), F.lit("b").alias("grade"), known.alias("extracted_at"),
+    )
+    stamped = normalize_stats(rows, run_ts).withColumnRenamed("extracted_at", "row_stamp")
+    stat = F.struct("statistic_name", "value", "percentile", "grade")
+    profiles = normalize_profiles(stamped.select("o_orderkey", "row_stamp", "value_numeric", F.array(stat).alias("stats")), run_ts)
+    return profiles.select(
+        "o_orderkey", "value_numeric", iso_time("row_stamp").alias("row_stamp"),
+        iso_time("extracted_at").alias("profile_stamp"),
+    )

@@ -22,7 +22,7 @@ from pyspark.sql.types import StructType
 from statlake.session import list_paths, path_exists, read_text, remove_path, write_text
 
 LEVEL, BATCH, BUCKET = "level", "batch_id", "bucket"
-FAN, BUCKETS = 4, 8
+FAN, BUCKETS = 4, 4
 BASE = 63  # the level of a folder that holds all batches up to its own
 SCHEMA_FILE = "schema.json"
 

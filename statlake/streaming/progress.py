@@ -43,6 +43,7 @@ def start_progress(
 
     def each(batch: DataFrame, batch_id: int) -> None:
         spark, current = batch.sparkSession, None
+        batch = batch.persist()  # its keys, their blocks and the fold read it
         if batch_id > 0:
             touched = batch.select(*PROGRESS_KEY).distinct()
             own = touched.select(bucket_of(PROGRESS_KEY).alias(BUCKET)).distinct().collect()
@@ -51,6 +52,7 @@ def start_progress(
         blocks = block if isinstance(block, int) else block()
         folded = fold_progress(batch, blocks, order_by, current)
         write_delta(folded, path, batch_id, PROGRESS_KEY, _latest)
+        batch.unpersist()
 
     return (
         stream.writeStream.foreachBatch(each)
