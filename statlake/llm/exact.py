@@ -88,17 +88,16 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 def drop_exact_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each text, of the largest id, all its columns unchanged."""
     kept = recipe_groups(docs, doc_id, text).where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
-    kept = kept.select(F.col("doc_id").alias("keep_id"), F.col("text_sha256").alias("keep_text"))
+    # One key that is never NULL, so that the window below finds the rows dealt as it needs them.
+    key = F.concat("text_sha256", F.coalesce(F.concat(F.lit(":"), F.col("doc_id").cast("string")), F.lit("")))
     given = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"),
         F.col(doc_id).alias("doc_id"),
         digest_of(F.col(text)).alias("text_sha256"),
     )
-    found = given.join(
-        kept, given["text_sha256"].eqNullSafe(kept["keep_text"]) & given["doc_id"].eqNullSafe(kept["keep_id"]), "left_semi"
-    )
+    found = given.select("document", key.alias("key")).join(kept.select(key.alias("key")), "key", "left_semi")
     # Rows of one id and text are the only ones left that are equal; the join has put them side by side.
-    same = Window.partitionBy("text_sha256", "doc_id").orderBy(F.xxhash64(*_hashed(docs)))
+    same = Window.partitionBy("key").orderBy(F.xxhash64(*_hashed(docs)))
     return found.withColumn("place", F.row_number().over(same)).where("place = 1").select("document.*")
 
 
