@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from statlake.functions.jsontext import bind, first_filled, is_json, json_document
 from statlake.functions.text import as_column, text_or_null
 from statlake.operators.extract.entries import stats_from_list
+from statlake.operators.extract.objects import count_named, has_named
 from statlake.operators.extract.scripts import extraction
 from statlake.operators.ordered import first_rows_per_key
 
@@ -76,7 +77,7 @@ COUNTED_KEYS = ["value", "percentile", "grade", "stat", "score"]
 
 
 def _objects(text, max_depth, max_items):
-    """All JSON objects of a text; with limits, down to a depth and among the first items of lists.
+    """JSON objects of a text, down to a depth and among the first items of lists.
 
     Text that is not JSON, or nested deeper than the parser goes, holds none.
     """
@@ -102,7 +103,9 @@ def _objects(text, max_depth, max_items):
 def has_stats(
     text: Column | str, max_depth: int | None = None, max_items: int | None = None
 ) -> Column:
-    """JSON text holds a stats-like object. Depth has no fixed schema, hence no built-in."""
+    """JSON text holds a stats-like object; Python is used only where limits are given."""
+    if max_depth is None and max_items is None:
+        return has_named(as_column(text), LIKELY_KEYS, VALUE_KEYS)
 
     @F.pandas_udf(T.BooleanType())
     def found(texts: pd.Series) -> pd.Series:
@@ -119,7 +122,9 @@ def has_stats(
 def count_stats(
     text: Column | str, max_depth: int | None = None, max_items: int | None = None
 ) -> Column:
-    """Number of stat-like objects in JSON text."""
+    """Number of stat-like objects in JSON text; Python is used only where limits are given."""
+    if max_depth is None and max_items is None:
+        return count_named(as_column(text), COUNTED_KEYS)
 
     @F.pandas_udf(T.LongType())
     def counted(texts: pd.Series) -> pd.Series:

@@ -1,8 +1,9 @@
 """Stats from HTML tables.
 
 HTML nesting needs a real parser, so a small helper on the standard library's ``html.parser``
-runs in Arrow batches and reports, per page, the matched sections with their headings and cell
-texts. What the cells and headings mean is decided in Spark expressions.
+runs in Arrow batches and reports, per page, the matched sections with their category and cell
+texts. One sweep over the sections carries the category on, and the rows of a table stand at its first
+section only, so what a page gives grows with its length. What cells mean is decided in Spark expressions.
 """
 
 from __future__ import annotations
@@ -40,9 +41,8 @@ SILENT_TAGS = {"script", "style", "template"}
 _SECTION = T.StructType(
     [
         T.StructField("node", T.IntegerType()),
-        T.StructField("repeat", T.BooleanType()),
-        T.StructField("sibling", T.StringType()),
-        T.StructField("inner", T.StringType()),
+        T.StructField("first", T.IntegerType()),
+        T.StructField("category", T.StringType()),
         T.StructField("rows", T.ArrayType(T.ArrayType(T.StringType()))),
     ]
 )
@@ -180,6 +180,12 @@ def _is_name(node):
     )
 
 
+def _heading(page, node):
+    """A heading's text, unless it is empty or the label of a column."""
+    text = page.text(node) if node else ""
+    return None if text.upper() in LABEL_HEADINGS else text
+
+
 def _cell_rows(page, rows, cells):
     marked = [r for r in rows if r.in_body or ROW_CLASS in r.classes]
     return [[page.text(c) for c in cells.inside(r)] for r in marked or rows[1:]]
@@ -193,21 +199,20 @@ def read_page(html):
     body_rows = _Kind(page, lambda n: n.tag == "tr" and n.in_body)
     cells = _Kind(page, lambda n: n.tag == "td")
     headings = _Kind(page, _is_inner_heading)
-    sections, seen = [], set()
+    sections, first, category = [], {}, None
     for node in filter(_is_section, page.nodes):
         table = node if node.tag == "table" else tables.first(node)
-        inner = headings.first(node)
+        category = _heading(page, headings.first(node)) or _heading(page, node.sibling) or category
         place = table.at if table else None
+        read = table is None or place in first
         sections.append(
             {
                 "node": place,
-                "repeat": place in seen,
-                "sibling": page.text(node.sibling) if node.sibling else None,
-                "inner": page.text(inner) if inner else None,
-                "rows": _cell_rows(page, rows.inside(table), cells) if table else [],
+                "first": first.setdefault(place, len(sections)),
+                "category": category,
+                "rows": [] if read else _cell_rows(page, rows.inside(table), cells),
             }
         )
-        seen.add(place)
     spans = [body_rows.span(t) for t in tables.nodes]
     return {
         "player_name": next((page.text(n) for n in page.nodes if _is_name(n)), None),
@@ -235,10 +240,6 @@ def page_tables(html: Column | str, needed: Column | None = None) -> Column:
     return parse_tables(F.when(wanted, page))
 
 
-def _category(heading: Column) -> Column:
-    return F.when((heading != "") & ~F.upper(heading).isin(LABEL_HEADINGS), heading)
-
-
 def extract_tables(parsed: Column, repeats: bool = False) -> Column:
     """Extraction struct from parsed table sections.
 
@@ -247,29 +248,15 @@ def extract_tables(parsed: Column, repeats: bool = False) -> Column:
     ``repeats`` asks for every match.
     """
     sections = parsed["sections"]
-    start = F.struct(
-        F.lit(DEFAULT_CATEGORY).alias("category"),
-        F.array().cast("array<string>").alias("all"),
-    )
-
-    def step(acc: Column, section: Column) -> Column:
-        category = F.coalesce(
-            _category(section["inner"]), _category(section["sibling"]), acc["category"]
-        )
-        return F.struct(
-            category.alias("category"), F.concat(acc["all"], F.array(category)).alias("all")
-        )
-
-    categories = F.aggregate(sections, start, step, lambda acc: acc["all"])
+    read = F.filter(sections, lambda s, i: s["node"].isNotNull() & (F.lit(repeats) | (s["first"] == i)))
 
-    def rows_of(section: Column, category: Column) -> Column:
-        stats = F.transform(section["rows"], lambda cells: stat_from_cells(cells, category))
+    def stats_of(section: Column) -> Column:
+        rows = F.get(sections, section["first"])["rows"] if repeats else section["rows"]
+        category = F.coalesce(section["category"], F.lit(DEFAULT_CATEGORY))
+        stats = F.transform(rows, lambda cells: stat_from_cells(cells, category))
         return F.filter(stats, lambda s: s.isNotNull())
 
-    labelled = F.zip_with(sections, categories, lambda s, c: F.struct(s.alias("s"), c.alias("c")))
-    if not repeats:
-        labelled = F.filter(labelled, lambda x: x["s"]["node"].isNotNull() & ~x["s"]["repeat"])
-    stats = F.flatten(F.transform(labelled, lambda x: rows_of(x["s"], x["c"])))
+    stats = F.flatten(F.transform(read, stats_of))
     return F.when(
         parsed.isNotNull(),
         extraction(F.lit(None), parsed["player_name"], F.lit(None), F.coalesce(stats, no_stats())),

@@ -1,6 +1,7 @@
 """Extraction against hand-derived pages."""
 
 import json
+import random
 import time
 
 from pyspark.sql import functions as F
@@ -151,6 +152,22 @@ def test_reading_is_linear_in_the_tags():
     assert time.perf_counter() - started < 10
 
 
+def test_many_sections(spark):
+    """Wrappers around one table, and many tables: linear, and the category is carried."""
+    deep = "<div class='stat-section'>" * 5_000 + "<h3>Deep</h3><table><tr><th>a<tr><td>s</td><td>1</td></table>"
+    flat = "<h2>Flat</h2>" + "<table><tr><th>a<tr><td>s</td><td>1</td></tr></table>" * 20_000
+    started = time.perf_counter()
+    page = read_page(deep)
+    assert [bool(s["rows"]) for s in page["sections"][:3]] == [True, False, False]
+    assert {(s["first"], s["category"]) for s in page["sections"]} == {(0, "Deep")}
+    df = spark.createDataFrame([(flat,)], "html string").select(page_tables("html").alias("p"))
+    got = df.select(extract_tables(F.col("p")).alias("x")).selectExpr(
+        "size(x.stats) AS n", "array_distinct(transform(x.stats, s -> s.statistic_category)) AS c"
+    )
+    assert tuple(got.first()) == (20_000, ["Flat"])
+    assert time.perf_counter() - started < 20
+
+
 def test_best_captured(spark):
     def body(n):
         return json.dumps({"stats": [{"name": f"s{i}", "value": i} for i in range(n)], "playerId": n})
@@ -177,8 +194,14 @@ def test_count_and_has_stats(spark):
         (deep, 12, False),
         *((json.dumps([{"score": 1}] * n), n, False) for n in (11, 150, 400)),
         (json.dumps([1] * 30 + [[[[[[{"stats": []}]]]]]]), 0, True),
-        ('{"value":' * 100_000 + "1" + "}" * 100_000, 0, False),
+        ('{"value":' * 100_000 + "1" + "}" * 100_000, 100_000, False),
+        ('{"rank":{"x":' * 30_000 + "1" + "}" * 30_000 + ',"grade":1}' * 30_000, 30_000, True),
+        ('{"value":' * 2_000 + "1" + "}" * 1_999, 0, False),
+        ('{"value":{"x":{"grade":1},"rank":{}},"y":"{\\"rank\\":1}"}', 2, False),
+        ('{"rank":{"x":{"y":[1,{}]}},"grade":{}}', 1, True),
+        (r'{"\u0067rade":1,"r\u0061nk":"grade\":{"}', 1, True),
         ("{", 0, False),
+        ("", 0, False),
         (None, 0, False),
     ]
     df = spark.createDataFrame([(i, t[0]) for i, t in enumerate(texts)], "i int, t string")
@@ -190,6 +213,30 @@ def test_count_and_has_stats(spark):
     assert cut.first()["c"] == 100
 
 
+def test_objects_against_a_walk(spark):
+    """Generated nestings, against the walk of the parsed text that limits use."""
+    rng = random.Random(5)
+    names = ["value", "Grade", "grade", "rank", "percentile", "stats", "x", "y", "score"]
+
+    def value(depth):
+        kind = rng.random()
+        if depth > 30 or kind < 0.15:
+            return rng.choice([1, None, "{", '"}', "rank", "a\\", "'"])
+        if kind < 0.3:
+            return [value(depth + 1) for _ in range(rng.randrange(3))]
+        return {k: value(depth + 1) for k in rng.sample(names, rng.randrange(3))}
+
+    texts = [json.dumps(value(0), indent=rng.choice([None, 1])) for _ in range(500)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    wide = 10**6
+    rows = df.select(
+        captured.count_stats("t"), captured.count_stats("t", wide, wide),
+        captured.has_stats("t"), captured.has_stats("t", wide, wide),
+    ).collect()
+    assert all(r[0] == r[1] and r[2] == r[3] for r in rows)
+    assert len({r[0] for r in rows}) > 4 and len({r[2] for r in rows}) == 2
+
+
 def test_capture_filter_and_summary(spark):
     rows = [
         (1, i, u, "Application/JSON; x", b)
