@@ -30,29 +30,35 @@ _STRING = r""""[^"\\]*+(?:\\.[^"\\]*+)*+"|'[^'\\]*+(?:\\.[^'\\]*+)*+'"""
 
 def _letter(letter: str, any_case: bool) -> str:
     forms = {letter.lower(), letter.upper()} if any_case else {letter}
-    return "(?:" + "|".join(f"{x}|\\\\u00(?i:{ord(x):02x})" for x in sorted(forms)) + ")"
+    return "(?:" + "|".join([*sorted(forms), *(f"\\\\u00(?i:{ord(x):02x})" for x in sorted(forms))]) + ")"
 
 
-def _names(names: Sequence[str], any_case: bool) -> str:
-    """A pattern of quoted names."""
+def _names(names: Sequence[str], any_case: bool, escaped: bool) -> str:
+    """A pattern of quoted names, whose letters may be escaped."""
+    if not escaped:
+        return f"[\"'](?{'i' if any_case else ''}:{'|'.join(names)})[\"']"
     words = "|".join("".join(_letter(x, any_case) for x in name) for name in names)
     return f"[\"'](?:{words})[\"']"
 
 
 def coded_objects(text: Column, codes: Mapping[str, Sequence[str]], any_case: bool) -> Column:
     """Braces and the letters of the names that ``codes`` lists, of text that is JSON."""
-    wanted = "|".join(_names(names, any_case) for names in codes.values())
-    coded = F.regexp_replace(
-        text, f"(?s)([{{}}])|({wanted})\\s*+:|{_STRING}|[^\"'{{}}]++", "$1$2"
-    )
-    for code, names in codes.items():
-        coded = F.regexp_replace(coded, _names(names, any_case), code)
-    return coded
+
+    def coded(escaped: bool) -> Column:
+        wanted = "|".join(_names(names, any_case, escaped) for names in codes.values())
+        kept = F.regexp_replace(
+            text, f"(?s)[^\"'{{}}]*+(?:([{{}}]++)|({wanted})\\s*+:|{_STRING}|\\z)", "$1$2"
+        )
+        for code, names in codes.items():
+            kept = F.regexp_replace(kept, _names(names, any_case, escaped), code)
+        return kept
+
+    return F.when(F.contains(text, F.lit("\\u00")), coded(True)).otherwise(coded(False))
 
 
 def is_deep_json(text: Column) -> Column:
     """Brackets all close and nest as deep as Spark's parser cannot read."""
-    brackets = F.regexp_replace(text, f"(?s)([\\[\\]{{}}])|{_STRING}|[^\"'\\[\\]{{}}]++", "$1")
+    brackets = F.regexp_replace(text, f"(?s)[^\"'\\[\\]{{}}]*+(?:([\\[\\]{{}}]++)|{_STRING}|\\z)", "$1")
 
     def step(acc: Column, bracket: Column) -> Column:
         depth = acc["depth"] + F.when(bracket.isin("{", "["), 1).otherwise(-1)
