@@ -2,10 +2,11 @@ import base64
 import json
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
-from statlake.llm.secrets import KINDS, base_only, count_of, find_secrets, span_text, spans_of
+from statlake.llm.secrets import KINDS, TOKEN, base_only, count_of, find_secrets, span_text, spans_of
 
 LETTER = lambda word: "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
 WORDS = "|".join(LETTER(w) for w in ("password", "passwd", "secret", "token"))
@@ -85,3 +86,29 @@ def test_token_behind_a_dotted_prefix():
     for prefix in ("session_token.", "authorization.", "first_part.second_part.third_part."):
         found = [s for s in spans_of(f"{prefix}{JWT} end") if s["kind"] == "jwt"]
         assert found == [{"kind": "jwt", "start": len(prefix), "end": len(prefix) + len(JWT)}]
+
+
+def test_long_runs_take_linear_time():
+    token = ".".join([packed({"alg": "HS256"}), packed({"sub": "x"}), "c2ln"])
+    run = "Ab1_" * (1 << 18)
+    for text in (run, run + ".", run + "." + run, "abcdefgh." * (1 << 17), "." * (1 << 20), run + " " + token):
+        started = time.perf_counter()
+        kinds = [s["kind"] for s in spans_of(text)]
+        assert time.perf_counter() - started < 2
+        assert kinds == (["jwt"] if text.endswith(token) else [])
+
+
+def test_tokens_as_by_trying_every_place():
+    """The signed tokens of runs put together from parts, against a search that may start anywhere."""
+    plain = re.compile(rb"[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]*")
+    rng = random.Random(8)
+    parts = [".", "..", "short", "longenough", "a+b", "=", "/", packed({"alg": "none"}), packed({"sub": "someone"}), "_-"]
+    for _ in range(4000):
+        data = "".join(rng.choices(parts, k=rng.randrange(1, 14))).encode()
+        at = 0
+        while True:
+            want, got = plain.search(data, at), TOKEN.search(data, at)
+            assert (want and want.span()) == (got and got.span())
+            if not want:
+                break
+            at = data.index(b".", want.start()) + 1 if rng.random() < 0.7 else want.end()
