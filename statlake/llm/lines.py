@@ -16,17 +16,23 @@ replaced, and one named common goes.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from statlake.functions.jsontext import bind
 from statlake.llm.scratch import scratch_table
 
 RATIO, MIN_PAGES = 0.1, 3
 SENT_BYTES, SALTS = 8 << 20, 64
 
-# Linear patterns that Java and RE2 read alike.
+# Patterns that Java and RE2 read alike. Java needs time with the square of openings that nothing closes,
+# so these are kept from it (``closed_only``, ``unclosed_marked``).
 HOST = "^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 UNSHOWN = "(?is)<script[ \t\r\n>].*?</script[^>]*>|<style[ \t\r\n>].*?</style[^>]*>|<!--.*?-->"
+UNSHOWN_ENDS = (("script[ \t\r\n>]", "</script"), ("style[ \t\r\n>]", "</style"), ("!--", "-->"))
+MARK = "\ufdd0\u0001\ufdd1"  # noncharacters
 BLOCK_TAGS = (
     "p|div|li|ul|ol|dl|dt|dd|h[1-6]|table|tr|td|th|br|hr|article|section|aside|nav|header|footer|main|"
     "title|head|body|html|form|blockquote|pre|address|figure|figcaption|option|select|button"
@@ -41,10 +47,45 @@ def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, HOST, 1), F.lit("")))
 
 
+def split_at(text: Column, last: str, body: Callable[[Column, Column], Column]) -> Column:
+    """``body`` of a text up to its last match of a pattern, and of the rest."""
+    return bind(
+        F.regexp_extract(text, f"(?is)\\A.*{last}", 0),
+        lambda front: body(front, F.substr(text, F.length(front) + 1)),
+    )
+
+
+def closed_only(text: Column, replaced: Callable[[Column], Column]) -> Column:
+    """Replaces matches that all end with ``>``: behind the last one there is nothing to try."""
+    return bind(
+        text, lambda t: split_at(t, ">", lambda front, rest: F.concat(replaced(front), rest))
+    )
+
+
+def unclosed_marked(text: Column, opening: str, closing: str) -> Column:
+    """Openings that nothing behind them closes get ``MARK`` after their ``<``."""
+
+    def marked(front: Column, rest: Column) -> Column:
+        return F.concat(front, F.regexp_replace(rest, f"(?i)<({opening})", f"<{MARK}$1"))
+
+    return bind(text, lambda t: split_at(t, closing, marked))
+
+
+def without_unshown(text: Column) -> Column:
+    """A text without scripts, styles and comments; one that holds ``MARK`` is read as it is."""
+    plain = F.regexp_replace(text, UNSHOWN, " ")
+    marked = text
+    for opening, closing in UNSHOWN_ENDS:
+        marked = unclosed_marked(marked, opening, closing)
+    shown = F.replace(F.regexp_replace(marked, UNSHOWN, " "), F.lit(f"<{MARK}"), F.lit("<"))
+    return F.when(F.contains(text, F.lit(MARK)), plain).otherwise(shown)
+
+
 def lines_of(html: Column) -> Column:
     """The lines of a page that are not blank, spaces collapsed."""
-    text = F.regexp_replace(F.coalesce(html, F.lit("")), UNSHOWN, " ")
-    text = F.regexp_replace(F.regexp_replace(text, BLOCK, "\n"), TAG, "")
+    text = closed_only(F.coalesce(html, F.lit("")), without_unshown)
+    text = closed_only(text, lambda t: F.regexp_replace(t, BLOCK, "\n"))
+    text = closed_only(text, lambda t: F.regexp_replace(t, TAG, ""))
     for entity, letter in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(letter))
     lines = F.split(F.regexp_replace(text, SPACES, " "), "\n")

@@ -1,9 +1,11 @@
+import random
 import re
+import time
 from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
-from statlake.llm.lines import drop_boilerplate
+from statlake.llm.lines import BLOCK, TAG, UNSHOWN, drop_boilerplate, lines_of
 
 
 def page(*lines):
@@ -52,3 +54,26 @@ def test_entities_spaces_long_and_repeated_pages(spark):
     got = drop_boilerplate(frame, min_pages=5).first()
     assert got.lines[:3] == ["a &lt; b c", "d e", "x"] and got.n_lines == 100_002
     assert drop_boilerplate(frame).agg(F.sum("n_dropped")).first()[0] == 4 * 100_002
+
+
+def test_openings_that_nothing_closes(spark):
+    """The patterns as they stand, on pages put together from their parts; and 1 MB of each opening."""
+    rng = random.Random(3)
+    parts = ["<", ">", "<!--", "-->", "<!-->", "<script>", "<SCRIPT ", "</script", "</Script >", "<style\n", "</style>",
+             "<p", "<p ", "</div>", "a", " b ", "\n", "\U0001f600", "\ufdd0\u0001\ufdd1"]
+    pages = ["".join(rng.choices(parts, k=rng.randrange(40))) for _ in range(3000)]
+
+    def brute_lines(html):
+        text = re.sub(TAG, "", re.sub(BLOCK, "\n", re.sub(UNSHOWN, " ", html)))
+        lines = (re.sub("[ \t\r\f ]+", " ", line).strip(" ") for line in text.split("\n"))
+        return [line for line in lines if line]
+
+    frame = spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "i int, html string")
+    got = frame.select("i", lines_of(F.col("html")).alias("lines")).collect()
+    assert all(r.lines == brute_lines(pages[r.i]) for r in got)
+    openings = ["<", "<!--", "<script>", "<style >", "<p ", "</div ", "<!-->", "</script", "<script>" * 9 + "</script"]
+    many = [x * ((1 << 20) // len(x)) for x in openings]
+    long = spark.createDataFrame([(x + end,) for x in many for end in ("", "-->", "</script", ">")], "html string")
+    started = time.perf_counter()
+    assert long.repartition(8).select(F.sum(F.size(lines_of(F.col("html"))))).first()[0] > 0
+    assert time.perf_counter() - started < 2 * long.count()
