@@ -2,7 +2,7 @@
 
 Every window of ``size`` words of every text is hashed. The hashes go packed to buckets of hashes
 (``window_exchange``), where those of several places are found; of each, all places but the first (by id,
-then start) are sent back to their texts and merge into maximal intervals of words to remove. Windows are
+then start) are sent back to their texts in rounds and merge into maximal intervals of words to remove. Windows are
 judged on the input, so the order of removing does not matter. A bucket is placed by one 64-bit hash and
 its windows are told apart by 56 bits of another.
 
@@ -14,7 +14,7 @@ less than any other. An empty table gives an empty result. Columns other than id
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +31,16 @@ from statlake.llm.text_arrays import (
     word_spans,
     words_per_text,
 )
-from statlake.llm.window_exchange import bucket_count, equal_runs, packed_windows, unpack_group
+from statlake.llm.window_exchange import (
+    FAN,
+    SENT_ON,
+    bucket_count,
+    equal_runs,
+    packed_windows,
+    places_by_id,
+    sent_on,
+    unpack_group,
+)
 
 WINDOW = 20
 KEPT_BYTES = 7
@@ -50,41 +59,41 @@ def hashed_windows(size: int):
     return windows
 
 
-def later_places(table: pa.Table) -> pa.Table:
-    """The places of a bucket's repeated windows but the first of each: a row per id, starts packed."""
-    ids, starts, rest = unpack_group(table, True, KEPT_BYTES)
-    order = np.argsort(rest)
-    runs = equal_runs(rest[order])
-    sizes = np.diff(np.r_[runs, len(order)])
-    several = np.repeat(sizes > 1, sizes)
-    order, rank = order[several], np.repeat(np.arange(len(runs)), sizes)[several]
-    ids, starts = ids[order], starts[order]
-    order = np.lexsort((starts, ids, rank))
-    ids, starts, rank = ids[order], starts[order], rank[order]
-    firsts = np.flatnonzero(np.r_[True, rank[1:] != rank[:-1]]) if len(rank) else np.zeros(0, int)
-    sizes = np.diff(np.r_[firsts, len(rank)])
-    later = (ids != np.repeat(ids[firsts], sizes)) | (starts != np.repeat(starts[firsts], sizes))
-    ids, starts = ids[later], starts[later]
-    order = np.argsort(ids, kind="stable")
-    ids, starts = ids[order], starts[order].astype("<u4")
-    cuts = equal_runs(ids) if len(ids) else np.zeros(0, int)
-    ends = np.r_[cuts[1:], len(ids)] if len(cuts) else cuts
-    raw = [starts[a:b].tobytes() for a, b in zip(cuts, ends, strict=True)]
-    return pa.table({"id": pa.array(ids[cuts], pa.int64()), "starts": pa.array(raw, pa.binary())})
-
-
-def repeated_windows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = WINDOW) -> DataFrame:
+def later_places(buckets: int, fan: int) -> Callable[[pa.Table], pa.Table]:
+    """The places of a bucket's repeated windows but the first of each, sent on to their ids."""
+
+    def later(table: pa.Table) -> pa.Table:
+        ids, starts, rest = unpack_group(table, True, KEPT_BYTES)
+        order = np.argsort(rest)
+        runs = equal_runs(rest[order])
+        sizes = np.diff(np.r_[runs, len(order)])
+        several = np.repeat(sizes > 1, sizes)
+        order, rank = order[several], np.repeat(np.arange(len(runs)), sizes)[several]
+        ids, starts = ids[order], starts[order]
+        order = np.lexsort((starts, ids, rank))
+        ids, starts, rank = ids[order], starts[order], rank[order]
+        firsts = np.flatnonzero(np.r_[True, rank[1:] != rank[:-1]]) if len(rank) else np.zeros(0, int)
+        sizes = np.diff(np.r_[firsts, len(rank)])
+        again = (ids != np.repeat(ids[firsts], sizes)) | (starts != np.repeat(starts[firsts], sizes))
+        return sent_on(table.column("bucket")[0].as_py(), ids[again], starts[again], buckets, 1, fan)
+
+    return later
+
+
+def repeated_windows(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = WINDOW, fan: int = FAN
+) -> DataFrame:
     """(id, starts) of the windows that occur earlier; starts as packed 32-bit word indices."""
     buckets = bucket_count(docs, text)
     sent = packed_windows(docs, doc_id, text, hashed_windows(size), buckets, KEPT_BYTES, True)
-    later = sent.groupBy("bucket").applyInArrow(later_places, "id long, starts binary")
-    return later.groupBy("id").agg(F.collect_list("starts").alias("starts"))
+    later = sent.groupBy("bucket").applyInArrow(later_places(buckets, fan), SENT_ON)
+    return places_by_id(later, buckets, fan)
 
 
-def covered(starts: list[bytes] | None, words: int, size: int) -> np.ndarray:
+def covered(starts: bytes, words: int, size: int) -> np.ndarray:
     """Which of a text's words lie in one of its windows that start at ``starts``."""
     steps = np.zeros(words + 1, dtype=np.int32)
-    at = np.frombuffer(b"".join(starts or []), "<u4").astype(np.int64)
+    at = np.frombuffer(starts, "<u4").astype(np.int64)
     at = np.unique(at[at + size <= words])
     np.add.at(steps, at, 1)
     np.add.at(steps, at + size, -1)

@@ -4,10 +4,16 @@ A row of plain (hash, id, start) takes 30 bytes or more on its way; here a task
 texts has for a bucket into one value: ids and starts as differences, hashes without the bits that the
 bucket stands for. A bucket is a range of hashes, so equal windows of the whole corpus meet in one, and
 its size follows from the number of buckets, which grows with the words of the corpus.
+
+What buckets find goes back to the texts' ids in the same way: ids are spread over as many groups as there
+are buckets, and places travel from buckets to groups in rounds, each of which sends a task's places to
+``FAN`` others at most. So the values on their way are ``FAN`` for each bucket and round, whatever the
+number of documents, and rounds grow with its logarithm.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -15,11 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statlake.llm.text_arrays import from_planes, planes
+from statlake.llm.text_arrays import from_planes, mixed, planes
 
 BLOCK_BYTES = 2 << 20
 BUCKET_BYTES = 8 << 20  # of text, about a million and a half windows
 FEWEST_BUCKETS = 32
+FAN = 64
 
 # Of the texts of a block: for each window its text, its start, and two numbers: one that places it in a
 # bucket, and one whose low bytes tell it from others there.
@@ -127,3 +134,54 @@ def unpack_group(table: pa.Table, with_starts: bool, kept: int) -> tuple[np.ndar
 def equal_runs(order_key: np.ndarray) -> np.ndarray:
     """The starts of runs of equal numbers in a sorted array."""
     return np.flatnonzero(np.r_[True, order_key[1:] != order_key[:-1]])
+
+
+def rounds_of(buckets: int, fan: int) -> int:
+    """Rounds in which ``fan`` ways at each reach as many groups as there are buckets."""
+    rounds = 1
+    while fan**rounds < buckets:
+        rounds += 1
+    return rounds
+
+
+def sent_on(
+    near: int, ids: np.ndarray, starts: np.ndarray, buckets: int, step: int, fan: int
+) -> pa.Table:
+    """Places packed for the next round: (near, far, packed), where buckets meet and groups part."""
+    left = fan ** (rounds_of(buckets, fan) - step)
+    far = bucket_of(mixed(ids.view(np.uint64)), buckets).astype(np.int64) // left
+    order = np.lexsort((starts, ids, far))
+    ids, starts, far = ids[order], starts[order], far[order]
+    cuts = equal_runs(far) if len(far) else np.zeros(0, np.int64)
+    packed = []
+    for a, b in itertools.pairwise([*cuts, len(far)]):
+        own, text = np.unique(ids[a:b], return_inverse=True)
+        packed.append(pack(own, text, starts[a:b], np.zeros(b - a, np.uint64), 1))
+    nears = np.full(len(cuts), near // fan, np.int64)
+    return pa.table({"near": nears, "far": far[cuts], "packed": pa.array(packed, pa.binary())})
+
+
+SENT_ON = "near long, far long, packed binary"
+
+
+def places_by_id(sent: DataFrame, buckets: int, fan: int) -> DataFrame:
+    """(id, starts) from what buckets sent in the first round: a row per id, starts packed in 32 bits."""
+    def onward(step: int) -> Callable[[pa.Table], pa.Table]:
+        def send(table: pa.Table) -> pa.Table:
+            ids, starts, _ = unpack_group(table, True, 1)
+            return sent_on(table.column("near")[0].as_py(), ids, starts, buckets, step, fan)
+
+        return send
+
+    for step in range(2, rounds_of(buckets, fan) + 1):
+        sent = sent.groupBy("near", "far").applyInArrow(onward(step), SENT_ON)
+
+    def opened(table: pa.Table) -> pa.Table:
+        ids, starts, _ = unpack_group(table, True, 1)
+        order = np.argsort(ids, kind="stable")
+        ids, starts = ids[order], starts[order].astype("<u4")
+        cuts = equal_runs(ids)
+        raw = [starts[a:b].tobytes() for a, b in itertools.pairwise([*cuts, len(ids)])]
+        return pa.table({"id": pa.array(ids[cuts], pa.int64()), "starts": pa.array(raw, pa.binary())})
+
+    return sent.groupBy("far").applyInArrow(opened, "id long, starts binary")

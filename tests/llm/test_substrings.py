@@ -2,7 +2,7 @@ import hashlib
 import random
 import re
 
-from statlake.llm.substrings import remove_substrings
+from statlake.llm.substrings import remove_substrings, repeated_windows
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -65,3 +65,14 @@ def test_very_long_text(spark):
     text = " ".join(str(k % 5003) for k in range(600_000))
     got = run(spark, [(1, text)], 20)
     assert got[1][:2] == (600_000, 600_000 - 5003 - 19 + 19)
+
+
+def test_rounds_bring_the_same_places(spark):
+    rng = random.Random(9)
+    rows = [(i * 37 - 500, " ".join(rng.choice("abc") for _ in range(rng.randrange(60)))) for i in range(120)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [
+        {r.id: bytes(r.starts) for r in repeated_windows(frame, size=5, fan=fan).collect()} for fan in (64, 6, 2)
+    ]
+    assert len(found[0]) > 90 and found[0].keys() == found[1].keys() == found[2].keys()
+    assert all({*memoryview(f[i]).cast("I")} == {*memoryview(found[0][i]).cast("I")} for f in found for i in f)
