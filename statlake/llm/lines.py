@@ -28,7 +28,7 @@ RATIO, MIN_PAGES = 0.1, 3
 SENT_BYTES, SALTS = 8 << 20, 64
 
 # Patterns that Java and RE2 read alike. Java needs time with the square of openings that nothing closes,
-# so these are kept from it (``closed_only``, ``unclosed_marked``).
+# so these are kept from it (``without_unshown``, ``blocks_split``).
 HOST = "^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 UNSHOWN = "(?is)<script[ \t\r\n>].*?</script[^>]*>|<style[ \t\r\n>].*?</style[^>]*>|<!--.*?-->"
 UNSHOWN_ENDS = (("script[ \t\r\n>]", "</script"), ("style[ \t\r\n>]", "</style"), ("!--", "-->"))
@@ -39,6 +39,7 @@ BLOCK_TAGS = (
 )
 BLOCK = f"(?i)</?(?:{BLOCK_TAGS})(?:[ \t\r\n/][^>]*)?>"
 TAG = "<[^>]*>"
+OPEN_TAG = "<[^>]*+\\z"  # stays; taken as one so that nothing within it is tried
 SPACES = "[ \t\r\f ]+"
 ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
 
@@ -55,11 +56,9 @@ def split_at(text: Column, last: str, body: Callable[[Column, Column], Column])
     )
 
 
-def closed_only(text: Column, replaced: Callable[[Column], Column]) -> Column:
-    """Replaces matches that all end with ``>``: behind the last one there is nothing to try."""
-    return bind(
-        text, lambda t: split_at(t, ">", lambda front, rest: F.concat(replaced(front), rest))
-    )
+def behind(text: Column, last: str) -> Column:
+    """A text behind the last place of a word, or the whole one without it."""
+    return F.substring_index(text, last, -1)
 
 
 def unclosed_marked(text: Column, opening: str, closing: str) -> Column:
@@ -72,20 +71,45 @@ def unclosed_marked(text: Column, opening: str, closing: str) -> Column:
 
 
 def without_unshown(text: Column) -> Column:
-    """A text without scripts, styles and comments; one that holds ``MARK`` is read as it is."""
+    """A text without scripts, styles and comments.
+
+    Where something may be open to the end, the patterns see what lies before the last ``>``, with open
+    ones marked; both ways give the same. A text that holds ``MARK`` itself is not marked.
+    """
     plain = F.regexp_replace(text, UNSHOWN, " ")
-    marked = text
-    for opening, closing in UNSHOWN_ENDS:
-        marked = unclosed_marked(marked, opening, closing)
-    shown = F.replace(F.regexp_replace(marked, UNSHOWN, " "), F.lit(f"<{MARK}"), F.lit("<"))
-    return F.when(F.contains(text, F.lit(MARK)), plain).otherwise(shown)
+
+    def marked_front(front: Column, rest: Column) -> Column:
+        marked = front
+        for opening, closing in UNSHOWN_ENDS:
+            marked = unclosed_marked(marked, opening, closing)
+        shown = F.replace(F.regexp_replace(marked, UNSHOWN, " "), F.lit(f"<{MARK}"), F.lit("<"))
+        return F.concat(shown, rest)
+
+    may_be_open = (
+        F.contains(behind(text, "-->"), F.lit("<!--"))
+        | behind(text, "</script").rlike("(?i)<script[ \t\r\n>]")
+        | behind(text, "</style").rlike("(?i)<style[ \t\r\n>]")
+        | behind(text, ">").rlike("(?i)</s(?:cript|tyle)")
+    )
+    marked = bind(text, lambda t: split_at(t, ">", marked_front))
+    return F.when(may_be_open & ~F.contains(text, F.lit(MARK)), marked).otherwise(plain)
+
+
+def blocks_split(text: Column) -> Column:
+    """Line ends for block tags. All end with ``>``: behind the last one there is nothing to try."""
+
+    def split(t: Column) -> Column:
+        plain = F.regexp_replace(t, BLOCK, "\n")
+        front_only = split_at(t, ">", lambda front, rest: F.concat(F.regexp_replace(front, BLOCK, "\n"), rest))
+        return F.when(F.contains(behind(t, ">"), F.lit("<")), front_only).otherwise(plain)
+
+    return bind(text, split)
 
 
 def lines_of(html: Column) -> Column:
     """The lines of a page that are not blank, spaces collapsed."""
-    text = closed_only(F.coalesce(html, F.lit("")), without_unshown)
-    text = closed_only(text, lambda t: F.regexp_replace(t, BLOCK, "\n"))
-    text = closed_only(text, lambda t: F.regexp_replace(t, TAG, ""))
+    text = blocks_split(without_unshown(F.coalesce(html, F.lit(""))))
+    text = F.regexp_replace(text, f"{TAG}|({OPEN_TAG})", "$1")
     for entity, letter in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(letter))
     lines = F.split(F.regexp_replace(text, SPACES, " "), "\n")
