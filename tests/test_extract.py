@@ -6,7 +6,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from statlake.operators.extract import captured, choose
+from statlake.operators.extract import captured, choose, tables
 from statlake.operators.extract.entries import stats_from_list
 from statlake.operators.extract.scripts import (
     cache_state_text,
@@ -139,6 +139,30 @@ def test_tables(spark):
     assert sorted(stats_of(twice)) == sorted(expected[:2] * 2 + expected[2:4] + expected[4:] * 2)
 
 
+def test_pages_of_one_layout_are_parsed_once(monkeypatch):
+    def page(a, b):
+        return f"<!-- c --><h2>{a}</h2><p><table class='x'>" + table([[a, b], [b, "&lt;x> "]]) + "<br/></table>end"
+
+    odd = ["<title>a<b></title>", "<a href='x>y'>", "<script>if (a<b && c>d) f('</p>')</script>", "</scr\u0131pt>", "<a b=c/>"]
+    expected = [read_page(page(a, "1") + o) for a in ("one", "two &amp; three", "") for o in odd]
+    parsed = []
+    monkeypatch.setattr(tables._Tolerant, "feed", lambda self, html: parsed.append(html))
+    pages = [read_page(page(str(i), "")) for i in range(1_000)]
+    assert parsed == []
+    monkeypatch.undo()
+    assert [read_page(page(a, "1") + o) for a in ("one", "two &amp; three", "") for o in odd] == expected
+    for html in [page("&amp;x", "y"), page("", " "), page("a", "b") + "<title>&amp;</title><h2>&amp;</h2>", *odd]:
+        plain = tables._Page(html)
+        slow = tables._Page.__new__(tables._Page)
+        slow._start()
+        parser = tables._Tolerant(slow)
+        parser.feed(html)
+        parser.close()
+        slow.finish()
+        assert read_page(html) == read_page(html) == tables._Layout(plain).read(plain.texts) == tables._Layout(slow).read(slow.texts)
+    assert pages[7]["sections"][0]["rows"] != pages[8]["sections"][0]["rows"]
+
+
 def test_read_page_counts():
     page = read_page(table([["a", "b"]]) + "<table><tr><td>x</td></tr></table></p><br><p>open")
     assert (page["tables"], page["body_rows"]) == (2, 1)
