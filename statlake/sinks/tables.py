@@ -13,6 +13,8 @@ from statlake.session import move_path, next_state, remove_path
 # Target size of silver files, and their partition column.
 SILVER_FILE_BYTES = 512 * 1024 * 1024
 SILVER_PARTITION = "season"
+# Files a task of a silver write keeps open at once; rows of more partitions are sorted by Spark.
+SILVER_WRITERS = 16
 
 
 @dataclass(frozen=True)
@@ -60,19 +62,25 @@ def write_silver(
 
     The rebalance lets AQE join small and split large partitions, so a season with a large share
     of the rows becomes many files written by many tasks. ``only_touched`` replaces just the
-    partitions that ``df`` has rows for.
+    partitions that ``df`` has rows for. A task has few seasons and writes them side by side: to write
+    them in turn Spark would sort all its rows, which are several times the target size in memory.
     """
     spark = df.sparkSession
-    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(file_bytes))
+    wanted = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(file_bytes),
+        "spark.sql.maxConcurrentOutputFileWriters": str(SILVER_WRITERS),
+    }
+    before = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         writer = df.hint("rebalance", partition).write.mode("overwrite").partitionBy(partition)
         writer.option(
             "partitionOverwriteMode", "dynamic" if only_touched else "static"
         ).parquet(path)
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def write_state(document: DataFrame, path: str) -> None:

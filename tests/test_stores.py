@@ -39,6 +39,28 @@ def test_jsonl_keeps_nulls_and_text(spark, tmp_path):
         sinks.write_feed(spark.createDataFrame([("é", None)], "a string, b string"), path)
 
 
+def test_silver_writes_seasons_side_by_side(spark, tmp_path):
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before, path = spark.conf.get(key), str(tmp_path / "silver")
+    rows = spark.range(0, 4_000, numPartitions=4).selectExpr(
+        "id", f"if(id % 50 = 0, null, cast(id % {2 * sinks.SILVER_WRITERS + 9} as string)) AS season"
+    )
+    written = []
+    real = type(rows).hint
+
+    def hinted(df, *args):
+        out = real(df, *args)
+        written.append(spark.conf.get(key))
+        return out
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(rows), "hint", hinted)
+        sinks.write_silver(rows, path)
+    assert written == [str(sinks.SILVER_WRITERS)] and spark.conf.get(key) == before
+    stored = spark.read.schema("id bigint, season string").parquet(path)
+    assert sorted(map(str, stored.collect())) == sorted(map(str, rows.collect()))
+
+
 def test_silver_rewrites_only_touched_seasons(spark, tmp_path):
     path = str(tmp_path / "silver")
     rows = spark.createDataFrame([("1", "a"), ("2", "b")], "id string, season string")
