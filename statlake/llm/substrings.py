@@ -65,10 +65,12 @@ def later_places(buckets: int, fan: int) -> Callable[[pa.Table], pa.Table]:
     def later(table: pa.Table) -> pa.Table:
         ids, starts, rest = unpack_group(table, True, KEPT_BYTES)
         order = np.argsort(rest)
-        runs = equal_runs(rest[order])
-        sizes = np.diff(np.r_[runs, len(order)])
-        several = np.repeat(sizes > 1, sizes)
-        order, rank = order[several], np.repeat(np.arange(len(runs)), sizes)[several]
+        sizes = np.diff(np.r_[equal_runs(rest[order]), len(order)])
+        del rest
+        several = sizes > 1
+        order = order[np.repeat(several, sizes)]
+        sizes = sizes[several]
+        rank = np.repeat(np.arange(len(sizes)), sizes)
         ids, starts = ids[order], starts[order]
         order = np.lexsort((starts, ids, rank))
         ids, starts, rank = ids[order], starts[order], rank[order]

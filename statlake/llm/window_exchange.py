@@ -126,9 +126,15 @@ def packed_windows(
 
 
 def unpack_group(table: pa.Table, with_starts: bool, kept: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(id, start, rest) of all windows of a bucket."""
-    found = [unpack(raw.as_buffer().to_pybytes(), with_starts, kept) for raw in table.column("packed")]
-    return tuple(np.concatenate(column) for column in zip(*found, strict=True))
+    """(id, start, rest) of all windows of a bucket, put where they stay value by value."""
+    packed = table.column("packed")
+    counts = [int(np.frombuffer(raw.as_buffer(), np.uint32, 2)[1]) for raw in packed]
+    whole = tuple(np.empty(sum(counts), kind) for kind in (np.int64, np.int64, np.uint64))
+    ends = np.cumsum(counts).tolist()
+    for raw, count, end in zip(packed, counts, ends, strict=True):
+        for column, part in zip(whole, unpack(raw.as_buffer().to_pybytes(), with_starts, kept), strict=True):
+            column[end - count : end] = part
+    return whole
 
 
 def equal_runs(order_key: np.ndarray) -> np.ndarray:

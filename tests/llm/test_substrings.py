@@ -1,8 +1,13 @@
 import hashlib
 import random
 import re
+import tracemalloc
+
+import numpy as np
+import pyarrow as pa
 
 from statlake.llm.substrings import remove_substrings, repeated_windows
+from statlake.llm.window_exchange import pack, unpack, unpack_group
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -76,3 +81,22 @@ def test_rounds_bring_the_same_places(spark):
     ]
     assert len(found[0]) > 90 and found[0].keys() == found[1].keys() == found[2].keys()
     assert all({*memoryview(f[i]).cast("I")} == {*memoryview(found[0][i]).cast("I")} for f in found for i in f)
+
+
+def test_windows_of_a_bucket_are_held_once():
+    rng = np.random.default_rng(7)
+    n, blocks = 4_000, 100
+    raws = []
+    for block in range(blocks):
+        text = np.sort(rng.integers(0, 20, n))
+        ids = np.arange(20, dtype=np.int64) + 20 * block
+        raws.append(pack(ids, text, np.arange(n), rng.integers(0, 1 << 50, n).astype(np.uint64), 7))
+    table = pa.table({"packed": pa.array(raws, pa.binary())})
+    tracemalloc.start()
+    found = unpack_group(table, True, 7)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    one_by_one = [unpack(raw, True, 7) for raw in raws]
+    for column, parts in zip(found, zip(*one_by_one, strict=True), strict=True):
+        assert np.array_equal(column, np.concatenate(parts))
+    assert peak < 1.3 * sum(column.nbytes for column in found)
