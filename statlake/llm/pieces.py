@@ -1,10 +1,12 @@
 """SentencePiece BPE encoding by a merge-type prefix table, and decoding.
 
 Because every merge yields a piece of the vocabulary with a fixed score, each prefix of a text has one
-possible last piece: a piece that ends there (found by an automaton over all pieces) and that may stand
-behind the last piece of the prefix in front of it. Whether two pieces may stand side by side is tested
-by merging the pair alone, once per pair. The table of last pieces is filled from left to right and the
-ids are read off backwards, in time linear in the text.
+possible last piece: a piece that ends there and that may stand behind the last piece of the prefix in
+front of it. Whether two pieces may stand side by side is found by taking back the merges next to their
+border, once per pair. So a row of pieces of which all neighbours may stand side by side is the true one:
+the longest pieces from the left on, with shorter ones where two do not fit. Where a letter has no piece,
+the runs between such letters are read by a table of last pieces, filled from left to right, and the ids
+are read off backwards. Both take time linear in the text.
 
 No piece has a space mark behind another letter, so texts fall apart in front of each run of spaces;
 such words are encoded one by one, with a bounded cache per worker. Words with several space marks (their
@@ -32,7 +34,7 @@ from sentencepiece import sentencepiece_model_pb2
 from statlake.llm.blocks import Cache, text_blocks
 
 SPACE = "▁"
-CACHED_WORDS, CACHED_RUNS, CACHED_LETTERS = 200_000, 120_000, 48
+CACHED_WORDS, CACHED_RUNS, CACHED_LETTERS = 400_000, 60_000, 48
 CACHED_PAIRS = 300_000
 WORD = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n")
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6  # types of pieces in a model file
@@ -83,13 +85,44 @@ class PieceBpe:
         for piece in self.valid:
             self.automaton.add_word(piece, (len(piece), self.ids[piece]))
         self.automaton.make_automaton()
+        self.id_texts = [str(i) for i in range(len(self.pieces))]
+        self.sizes = [len(piece) for piece in self.pieces]
+        self.shorter = [self.next_shorter(piece) for piece in self.pieces]
+        self.plain = self.learn_merges()
         self.pairs = Cache(CACHED_PAIRS)
         self.words = Entries(self.entry, CACHED_WORDS)
         self.runs = Entries(self.run_ids, CACHED_RUNS)
 
-    def merged(self, text: str) -> list[str]:
-        """The pieces of a text by merging the best neighbours, the left ones first."""
+    def next_shorter(self, piece: str) -> int:
+        """The longest piece that a piece begins with and is not, or -1."""
+        fronts = (piece[:end] for end in range(len(piece) - 1, 0, -1))
+        return next((self.ids[front] for front in fronts if front in self.valid), -1)
+
+    def learn_merges(self) -> bool:
+        """What each piece is merged from, and when; whether no piece is merged before its parts.
+
+        Pieces with several space marks are left out: they share one score.
+        """
+        self.parts: dict[int, tuple[int, int]] = {}
+        self.joined: dict[int, int] = {}
+        made = [p for p in self.valid if len(p) > 1 and not p.startswith(SPACE * 2)]
+        made.sort(key=lambda p: -self.scores[p])
+        self.turn = [-1] * len(self.pieces)
+        for turn, piece in enumerate(made):
+            self.turn[self.ids[piece]] = turn
+        distinct = len({self.scores[p] for p in made}) == len(made)
+        for piece in made:
+            a, b = self.merged(piece, until=2)
+            left, right, whole = self.ids[a], self.ids[b], self.ids[piece]
+            self.parts[whole] = left, right
+            self.joined[left << 20 | right] = turn = self.turn[whole]
+            distinct &= self.turn[left] < turn > self.turn[right]
+        return distinct
+
+    def merged(self, text: str, until: int = 1) -> list[str]:
+        """The pieces of a text by merging the best neighbours, the left ones first, down to ``until`` of them."""
         symbols = list(text)
+        left_over = len(symbols)
         if len(symbols) < 2:
             return symbols
         following = list(range(1, len(symbols) + 1))
@@ -104,11 +137,12 @@ class PieceBpe:
 
         for i in range(len(symbols) - 1):
             offer(i, i + 1)
-        while queue:
+        while queue and left_over > until:
             _, left, right, both = heapq.heappop(queue)
             if not symbols[left] or not symbols[right] or symbols[left] + symbols[right] != both:
                 continue
             symbols[left], symbols[right] = both, ""
+            left_over -= 1
             after = following[left] = following[right]
             if after < len(symbols):
                 leading[after] = left
@@ -123,11 +157,72 @@ class PieceBpe:
         known = self.pairs.get(key)
         if known is None:
             a, b = self.pieces[left], self.pieces[right]
-            known = a + b not in self.valid and self.merged(a + b) == [a, b]
+            if self.plain and not (a + b).startswith(SPACE * 2):
+                known = self.stay(left, right)
+            else:
+                known = a + b not in self.valid and self.merged(a + b) == [a, b]
             self.pairs.room(1)
             self.pairs[key] = known
         return known
 
+    def stay(self, left: int, right: int) -> bool:
+        """Whether no merge crosses the border of two pieces: their merges next to it are taken back, the last
+        one first, and what then stands side by side must not have had its turn before."""
+        joined, turn, parts, limit = self.joined, self.turn, self.parts, len(self.pieces)
+        while joined.get(left << 20 | right, limit) >= limit:
+            if turn[left] > turn[right]:
+                limit = turn[left]
+                left = parts[left][1]
+            elif turn[right] >= 0:
+                limit = turn[right] + 1  # of equal merges the left one is first
+                right = parts[right][0]
+            else:
+                return True
+        return False
+
+    def by_longest(self, word: str) -> list[int] | None:
+        """The ids of a word by its longest pieces from the left on, shorter ones where two do not stay side by
+        side. Pieces that all stay are the true ones, and a prefix has no other; None where a letter has no piece."""
+        ids, at, before, pairs = [], 0, -1, self.pairs
+        for end, (size, piece) in self.automaton.iter_long(word):
+            if end + 1 - size != at:
+                return None
+            if before >= 0:
+                known = pairs.get(before << 20 | piece)
+                if not known and (known is not None or not self.fit(before, piece)):
+                    return self.by_shorter(word, ids, at, piece)
+            ids.append(piece)
+            at, before = end + 1, piece
+        return ids if at == len(word) else None
+
+    def by_shorter(self, word: str, ids: list[int], at: int, piece: int) -> list[int] | None:
+        """``by_longest`` from a piece on that does not stay behind those found. A place that nothing can follow is
+        never reached again, so the time is linear in the word."""
+        sizes, shorter, pairs, longest, dead = self.sizes, self.shorter, self.pairs, self.automaton.iter_long, set()
+        while True:
+            end = at + sizes[piece]
+            fits = end not in dead
+            if fits and ids:
+                fits = pairs.get(ids[-1] << 20 | piece)
+                if fits is None:
+                    fits = self.fit(ids[-1], piece)
+            if fits:
+                ids.append(piece)
+                at = end
+                if at == len(word):
+                    return ids
+                last, (size, piece) = next(longest(word, at), (-1, (0, -1)))
+                if last + 1 - size != at:
+                    return None
+                continue
+            piece = shorter[piece]
+            while piece < 0:
+                dead.add(at)
+                if not ids:
+                    return None
+                at -= sizes[ids[-1]]
+                piece = shorter[ids.pop()]
+
     def by_table(self, run: str) -> list[int]:
         """The ids of a run of letters that are pieces, by its prefix table."""
         last: list[int] = [-1] * (len(run) + 1)
@@ -161,7 +256,10 @@ class PieceBpe:
         return self.by_table(run)
 
     def word_ids(self, word: str) -> list[int]:
-        """The ids of a word. No merge crosses two letters that stand together in no piece."""
+        """The ids of a word. Where letters have no piece, no merge crosses two that stand together in none."""
+        found = None if word.startswith(SPACE * 2) else self.by_longest(word)
+        if found is not None:
+            return found
         ids, start, neighbours = [], 0, self.neighbours
         for at in range(1, len(word)):
             if word[at - 1 : at + 1] not in neighbours:
@@ -189,8 +287,13 @@ class PieceBpe:
 
     def entry(self, word: str) -> tuple[str, bytes]:
         """What a word adds to a text: its ids as text, and what they decode to."""
+        texts = self.id_texts
+        if not word.startswith(SPACE * 2):
+            ids = self.by_longest(word)
+            if ids is not None:
+                return ",".join([texts[i] for i in ids]), word.replace(SPACE, " ").encode()
         ids = self.word_ids(word)
-        return ",".join(map(str, ids)), self.decoded(ids)
+        return ",".join([texts[i] for i in ids]), self.decoded(ids)
 
     def digests(self, texts: list[str | None]) -> list[tuple[int, str, str]]:
         """Of each text the number of ids, and the SHA-256 of its ids and of their decoded text."""

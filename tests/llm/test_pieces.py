@@ -38,6 +38,23 @@ def test_odd_texts_against_the_library(own, library):
         assert own.decode(ids) == library.decode(ids)
 
 
+def test_words_without_a_table(own, library, monkeypatch):
+    """Words whose letters all have pieces need neither the prefix table nor merges of pairs."""
+
+    def unwanted(*_):
+        raise AssertionError("by table or by merging")
+
+    rng = random.Random(5)
+    parts = ["the", "an", "re", "ing", "ble", "tion", "ou", "er", "sh", "wh", "aa", "a", "aaa", "ly", "Th", ".", "ﬁ", "é"]
+    words = ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 30))) for _ in range(5000)]
+    words = [w for w in words if all(letter in own.ids for letter in w)]
+    monkeypatch.setattr(own, "by_table", unwanted)
+    monkeypatch.setattr(own, "merged", unwanted)
+    assert len(words) > 1000
+    for word in words:
+        assert own.encode(word) == library.encode(word)
+
+
 def test_any_ids_decode_as_in_the_library(own, library):
     rng = random.Random(3)
     for _ in range(4000):
