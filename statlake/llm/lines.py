@@ -32,15 +32,30 @@ SENT_BYTES, SALTS = 8 << 20, 64
 HOST = "^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 UNSHOWN = "(?is)<script[ \t\r\n>].*?</script[^>]*>|<style[ \t\r\n>].*?</style[^>]*>|<!--.*?-->"
 UNSHOWN_ENDS = (("script[ \t\r\n>]", "</script"), ("style[ \t\r\n>]", "</style"), ("!--", "-->"))
+# The same matches by patterns that only Java reads, which take a text in long steps and keep no way back.
+_TO_END = {name: f"[^<]*+(?:<(?!/{name})[^<]*+)*+</{name}" for name in ("script", "style")}
+_SHUT = (
+    f"s(?:cript[ \t\r\n>]{_TO_END['script']}|tyle[ \t\r\n>]{_TO_END['style']})[^>]*+>|!--[^-]*+(?:-(?!->)[^-]*+)*+-->"
+)
+UNSHOWN_JAVA = f"(?i)<(?:{_SHUT})"
+# A page in which all that opens is closed, read once from left to right.
+ALL_SHUT = f"(?i)\\A[^<]*+(?:<(?:{_SHUT}|(?!s(?:cript|tyle)[ \t\r\n>]|!--))[^<]*+)*+\\z"
 MARK = "\ufdd0\u0001\ufdd1"  # noncharacters
 BLOCK_TAGS = (
     "p|div|li|ul|ol|dl|dt|dd|h[1-6]|table|tr|td|th|br|hr|article|section|aside|nav|header|footer|main|"
     "title|head|body|html|form|blockquote|pre|address|figure|figcaption|option|select|button"
 )
 BLOCK = f"(?i)</?(?:{BLOCK_TAGS})(?:[ \t\r\n/][^>]*)?>"
+# The same tags by their first letters.
+BLOCK_JAVA = (
+    "(?i)</?+(?:p(?:re)?|d(?:iv|[ldt])|li|ul|h(?:[1-6r]|ead(?:er)?|tml)|t(?:able|[rdh]|itle)|b(?:r|ody|lockquote|utton)|"
+    "o(?:l|ption)|a(?:rticle|side|ddress)|se(?:ction|lect)|f(?:ooter|orm|ig(?:ure|caption))|nav|main)"
+    "(?:[ \t\r\n/][^>]*+)?>"
+)
 TAG = "<[^>]*>"
 OPEN_TAG = "<[^>]*+\\z"  # stays; taken as one so that nothing within it is tried
 SPACES = "[ \t\r\f ]+"
+SPACES_JAVA = "[ \t\r\f ]{2,}+|[\t\r\f ]"  # all but a single space
 ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
 
 
@@ -76,31 +91,25 @@ def without_unshown(text: Column) -> Column:
     Where something may be open to the end, the patterns see what lies before the last ``>``, with open
     ones marked; both ways give the same. A text that holds ``MARK`` itself is not marked.
     """
-    plain = F.regexp_replace(text, UNSHOWN, " ")
+    plain = F.regexp_replace(text, UNSHOWN_JAVA, " ")
 
     def marked_front(front: Column, rest: Column) -> Column:
         marked = front
         for opening, closing in UNSHOWN_ENDS:
             marked = unclosed_marked(marked, opening, closing)
-        shown = F.replace(F.regexp_replace(marked, UNSHOWN, " "), F.lit(f"<{MARK}"), F.lit("<"))
+        shown = F.replace(F.regexp_replace(marked, UNSHOWN_JAVA, " "), F.lit(f"<{MARK}"), F.lit("<"))
         return F.concat(shown, rest)
 
-    may_be_open = (
-        F.contains(behind(text, "-->"), F.lit("<!--"))
-        | behind(text, "</script").rlike("(?i)<script[ \t\r\n>]")
-        | behind(text, "</style").rlike("(?i)<style[ \t\r\n>]")
-        | behind(text, ">").rlike("(?i)</s(?:cript|tyle)")
-    )
     marked = bind(text, lambda t: split_at(t, ">", marked_front))
-    return F.when(may_be_open & ~F.contains(text, F.lit(MARK)), marked).otherwise(plain)
+    return F.when(~text.rlike(ALL_SHUT) & ~F.contains(text, F.lit(MARK)), marked).otherwise(plain)
 
 
 def blocks_split(text: Column) -> Column:
     """Line ends for block tags. All end with ``>``: behind the last one there is nothing to try."""
 
     def split(t: Column) -> Column:
-        plain = F.regexp_replace(t, BLOCK, "\n")
-        front_only = split_at(t, ">", lambda front, rest: F.concat(F.regexp_replace(front, BLOCK, "\n"), rest))
+        plain = F.regexp_replace(t, BLOCK_JAVA, "\n")
+        front_only = split_at(t, ">", lambda front, rest: F.concat(F.regexp_replace(front, BLOCK_JAVA, "\n"), rest))
         return F.when(F.contains(behind(t, ">"), F.lit("<")), front_only).otherwise(plain)
 
     return bind(text, split)
@@ -112,8 +121,8 @@ def lines_of(html: Column) -> Column:
     text = F.regexp_replace(text, f"{TAG}|({OPEN_TAG})", "$1")
     for entity, letter in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(letter))
-    lines = F.split(F.regexp_replace(text, SPACES, " "), "\n")
-    return F.filter(F.transform(lines, lambda line: F.trim(line)), lambda line: line != "")
+    text = F.trim(F.regexp_replace(text, SPACES_JAVA, " "), F.lit(" \n"))
+    return F.filter(F.split(text, " ?+\n[ \n]*+"), lambda line: line != "")
 
 
 def boilerplate(pages: DataFrame, ratio: float, min_pages: int) -> DataFrame:

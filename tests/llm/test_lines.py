@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
-from statlake.llm.lines import BLOCK, TAG, UNSHOWN, drop_boilerplate, lines_of
+from statlake.llm.lines import ALL_SHUT, BLOCK, BLOCK_JAVA, BLOCK_TAGS, TAG, UNSHOWN, UNSHOWN_JAVA, drop_boilerplate, lines_of
 
 
 def page(*lines):
@@ -77,3 +77,28 @@ def test_openings_that_nothing_closes(spark):
     started = time.perf_counter()
     assert long.repartition(8).select(F.sum(F.size(lines_of(F.col("html"))))).first()[0] > 0
     assert time.perf_counter() - started < 2 * long.count()
+
+
+def test_patterns_of_java_match_what_those_of_sql_match(spark):
+    """Every block tag, and names that only begin like one; spaces of all kinds at line ends."""
+    names = [*BLOCK_TAGS.replace("h[1-6]", "h1|h3|h6").split("|"), "h7", "h", "pr", "prex", "heade", "se", "figur", "b", "o", "x"]
+    pages = [f"a<{shut}{name.upper() if i % 2 else name}{tail}>b" for i, name in enumerate(names) for shut in ("", "/", "//")
+             for tail in ("", " x='1'", "/", "\n", "-x", "x")]
+    pages += [f"<{name} a>x < y </{name}y <!-- - -- - -->z" * 2 for name in ("script", "STYLE", "scripts", "style\t")]
+    pages += ["a \t\r\n \u00a0 b\u00a0\n\n \n c\fd  e ", " \n ", "", "\u00a0", "\t\n\t"]
+    frame = spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "i int, html string")
+    html = F.col("html")
+    pairs = [(BLOCK, BLOCK_JAVA), (UNSHOWN, UNSHOWN_JAVA)]
+    same = [F.regexp_replace(html, sql, "|") == F.regexp_replace(html, java, "|") for sql, java in pairs]
+    assert frame.where(~(same[0] & same[1])).count() == 0
+    for row in frame.select("i", lines_of(html).alias("lines")).collect():
+        text = re.sub(TAG, "", re.sub(BLOCK, "\n", re.sub(UNSHOWN, " ", pages[row.i])))
+        lines = (re.sub("[ \t\r\f\u00a0]+", " ", line).strip(" ") for line in text.split("\n"))
+        assert row.lines == [line for line in lines if line]
+
+
+def test_pages_with_all_closed_are_known_in_one_reading(spark):
+    """A page of long scripts and comments, all closed, goes by the plain patterns."""
+    closed = "<script >" + "<" * 300_000 + "</script><!-- " + "- " * 100_000 + "--><p>x < y</p>"
+    frame = spark.createDataFrame([(closed, True), (closed + "<!-- ", False), (closed + "</script", True)], "html string, shut boolean")
+    assert frame.where(F.col("html").rlike(ALL_SHUT) != F.col("shut")).count() == 0
