@@ -1,10 +1,11 @@
 """Line dedup by site: lines that too large a part of a host's pages has are boilerplate and go.
 
-A page's lines are its text between block tags. For each host and line the pages that have the line are
+A page's lines are its text between block tags; they are made once and kept below spark.checkpoint.dir with
+the other columns, without the HTML. For each host and line the pages that have the line are
 counted, with map-side partials, and divided by the host's pages. A host's boilerplate is a short list
 (of lines beyond ``ratio`` there are at most 1 / ratio times as many as a page of the host has on
 average) and is joined to the pages by host as one value. All lists together are measured: up to
-``SENT_BYTES`` they go to every task and the pages stay where they are; beyond that both sides meet by
+``SENT_BYTES`` they go to every task and the lines stay where they are; beyond that both sides meet by
 host and one of ``SALTS`` parts, so that a hot host is spread.
 
 Cases: a NULL URL or one without a host has the host ''; a NULL or empty page has no lines. A line that
@@ -128,8 +129,8 @@ def lines_of(html: Column) -> Column:
 def boilerplate(pages: DataFrame, ratio: float, min_pages: int) -> DataFrame:
     """(host, common): for each host that has any, the lines that go. ``pages`` has host and lines."""
     totals = pages.groupBy("host").agg(F.count("*").alias("pages"))
-    # Outer, with a filter behind it: a plain explode has Spark test the array's size at the scan, and
-    # with it parse every page once more.
+    # Outer, with a filter behind it: of lines that are not stored, a plain explode has Spark test the array's
+    # size at the scan, and with it parse every page once more.
     own = pages.select("host", F.explode_outer(F.array_distinct("lines")).alias("line"))
     own = own.where(F.col("line").isNotNull())
     counts = own.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
@@ -157,7 +158,8 @@ def drop_boilerplate(
 ) -> DataFrame:
     """``pages`` without the HTML, with host, n_lines, lines (those kept) and n_dropped."""
     parsed = pages.withColumn("host", host_of(F.col(url))).withColumn("lines", lines_of(F.col(html)))
-    parsed = parsed.drop(html, "common", "n_lines", "n_dropped")
+    # The lines are read twice, and to make them costs far more than to keep them.
+    parsed = scratch_table(parsed.drop(html, "common", "n_lines", "n_dropped"), "lines")
     common = scratch_table(boilerplate(parsed.select("host", "lines"), ratio, min_pages), "boilerplate")
     kept = F.filter("lines", lambda line: ~F.array_contains(F.col("common"), line))
     joined = with_common(parsed, common, sent_bytes).select(*parsed.columns, "common")

@@ -102,3 +102,18 @@ def test_pages_with_all_closed_are_known_in_one_reading(spark):
     closed = "<script >" + "<" * 300_000 + "</script><!-- " + "- " * 100_000 + "--><p>x < y</p>"
     frame = spark.createDataFrame([(closed, True), (closed + "<!-- ", False), (closed + "</script", True)], "html string, shut boolean")
     assert frame.where(F.col("html").rlike(ALL_SHUT) != F.col("shut")).count() == 0
+
+
+def test_pages_are_read_into_lines_once(spark):
+    rows = [(i, "http://a.b/", f"<p>Menu</p><p>own {i}</p>") for i in range(9)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(html):
+        read.add(1)
+        return html
+
+    got = drop_boilerplate(frame.withColumn("html", counted("html"))).collect()
+    assert sorted(r.lines for r in got) == [[f"own {i}"] for i in range(9)]
+    assert read.value == len(rows)
