@@ -30,7 +30,7 @@ smallest number. An empty table gives an empty result. Columns other than id and
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -61,9 +61,13 @@ IDF_SHARE = 0.5
 SLACK = 0.15
 BLOCK_TEXTS = 1024  # of those with equal value in a band that are compared in one task at a time
 KEPT_BYTES = 8  # 32 bits of the hash, and how often the text has the shingle
-# The pairs of a text within two blocks in order of agreement, (from, below, only the best of all blocks); in the
-# end all pairs of unlike classes have been compared.
-ROUNDS = ((0, 1, True), (0, 8, False), (8, None, False))
+BLOCK_BYTES = 4 << 20  # of packed shingles in a block, where blocks hold them
+# The pairs of a text within two blocks in order of agreement, (from, below, only the best of all blocks), that
+# are made into rows; the last round compares all others where the blocks are.
+ROUNDS = ((0, 1, True), (0, 8, False))
+FEW_PAIRS = 2_000  # that are compared one by one
+ELEMENTS = 1 << 11  # columns of the matrices that are multiplied at a time
+MARGIN = 1e-4  # of similarity, above what the matrices' single precision loses
 PAIR_BYTES = 6  # of a shingle's hash, to compare two texts by
 NO_ID = np.iinfo(np.int64).min
 FOLD = np.frombuffer(LOWER, np.uint8)
@@ -277,6 +281,112 @@ def agreeing(left: np.ndarray, right: np.ndarray, least: float) -> tuple[np.ndar
     return np.concatenate(rows), np.concatenate(columns), np.concatenate(counts)
 
 
+def shared_weights(left: list[bytes], right: list[bytes], idf: np.ndarray) -> np.ndarray:
+    """The weight that each of the left packed texts shares with each of the right ones, in single precision.
+
+    What a shingle adds for two texts is its weight times the lesser number; so each number that occurs is an
+    element of its own, which the texts with that number or a greater one have.
+    """
+    both = np.zeros((len(left), len(right)), np.float32)
+    owner, key, times, code = [], [], [], []
+    for place, raw in enumerate([*left, *right]):
+        n = int(np.frombuffer(raw, np.uint32, 1)[0])
+        part, at = from_planes(raw, n, 4, "<u8", PAIR_BYTES)
+        key.append(part)
+        part, at = from_planes(raw, n, at, "<u4")
+        times.append(part.astype(np.int64))
+        code.append(from_planes(raw, n, at, "u1")[0])
+        owner.append(np.full(n, place, np.int64))
+    owner, key, times, code = (np.concatenate(x) for x in (owner, key, times, code))
+    order = np.lexsort((times, key))
+    owner, key, times, code = owner[order], key[order], times[order], code[order]
+    first = equal_runs(key) if len(key) else np.zeros(0, np.int64)
+    sizes = np.diff(np.r_[first, len(key)])
+    of_left = np.add.reduceat((owner < len(left)).astype(np.int64), first) if len(first) else first
+    keep = np.repeat((of_left > 0) & (of_left < sizes), sizes)
+    owner, key, times, code = owner[keep], key[keep], times[keep], code[keep]
+    if not len(key):
+        return both
+    element = equal_runs_of(key, times)
+    number = np.cumsum(element) - 1
+    at = np.flatnonzero(element)
+    opens = np.r_[True, key[at][1:] != key[at][:-1]]
+    weight = (np.where(opens, times[at], np.diff(times[at], prepend=0)) * idf[code[at]]).astype(np.float32)
+    lowest = np.maximum.accumulate(np.where(opens, np.arange(len(at)), 0))[number]
+    for low in range(0, len(at), ELEMENTS):
+        high = min(low + ELEMENTS, len(at))
+        has = np.flatnonzero((lowest < high) & (number >= low))
+        a, b = np.maximum(lowest[has], low), np.minimum(number[has], high - 1)
+        columns = np.zeros((len(left) + len(right), high - low + 1), np.float32)
+        np.add.at(columns, (owner[has], a - low), 1)
+        np.add.at(columns, (owner[has], b - low + 1), -1)
+        columns = np.cumsum(columns, axis=1)[:, :-1]
+        both += (columns[: len(left)] * weight[low:high]) @ columns[len(left) :].T
+    return both
+
+
+def equal_runs_of(*keys: np.ndarray) -> np.ndarray:
+    """Of sorted rows, whether each one is unlike the one before."""
+    new = np.ones(len(keys[0]), bool)
+    new[1:] = False
+    for key in keys:
+        new[1:] |= key[1:] != key[:-1]
+    return new
+
+
+def blocks_of(compared: Callable[[pa.Table, np.ndarray], pa.RecordBatch]):
+    """Calls ``compared`` with rows sorted by value, i and j, and with the ends of the groups among them."""
+    keys = ("value", "i", "j")
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def cut(table: pa.Table) -> pa.RecordBatch:
+            new = equal_runs_of(*(table.column(c).to_numpy() for c in keys))
+            return compared(table, np.r_[np.flatnonzero(new), len(table)])
+
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not len(batch):
+                continue
+            # The last group may go on in the next batch.
+            ends = [held[-1].slice(len(held[-1]) - 1)] if held else []
+            new = equal_runs_of(*(pa.Table.from_batches([*ends, batch]).column(c).to_numpy() for c in keys))
+            starts = np.flatnonzero(new[len(ends) :])
+            if len(starts) and (held or starts[-1]):
+                yield cut(pa.Table.from_batches([*held, batch.slice(0, starts[-1])]))
+                held = []
+            held.append(batch.slice(starts[-1]) if len(starts) else batch)
+        if held:
+            yield cut(pa.Table.from_batches(held))
+
+    return each
+
+
+def sides_of(table: pa.Table, start: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """The rows of block i and of block j of a group, without those that have no text of an unlike class."""
+    block, now = (table.column(c).to_numpy() for c in ("block", "now"))
+    i, j = (table.column(c)[start].as_py() for c in ("i", "j"))
+    left = start + np.flatnonzero(block[start:end] == i)
+    right = start + np.flatnonzero(block[start:end] == j)
+    if len(right) and (now[right] == now[right[0]]).all():
+        left = left[now[left] != now[right[0]]]
+    return left, right
+
+
+def unlike_pairs(table: pa.Table, own: np.ndarray, left: np.ndarray, right: np.ndarray, least: float):
+    """Rows x and y that agree often enough and were of unlike classes ``before``, and their agreement."""
+    ids, before = (table.column(c).to_numpy() for c in ("id", "before"))
+    x, y, same = agreeing(own[left], own[right], least)
+    x, y = left[x], right[y]
+    one = len(left) and len(right) and (table.column("i")[int(left[0])] == table.column("j")[int(left[0])])
+    keep = before[x] != before[y]
+    keep &= ids[x] < ids[y] if one else ids[x] != ids[y]
+    return x[keep], y[keep], same[keep]
+
+
+def signatures_of(table: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(len(table), BANDS * ROWS)
+
+
 def pairs_of_blocks(least: float, low: int, high: int | None):
     """Of rows sorted by value, i and j: the agreeing pairs of blocks i and j of unlike ``before`` and ``now``.
 
@@ -284,90 +394,93 @@ def pairs_of_blocks(least: float, low: int, high: int | None):
     does not depend on ``now``.
     """
 
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def compared(table: pa.Table) -> pa.RecordBatch:
-            keys = [table.column(c).to_numpy() for c in ("value", "i", "j")]
-            block, ids, before, now = (table.column(c).to_numpy() for c in ("block", "id", "before", "now"))
-            raw = b"".join(table.column("signature").to_pylist())
-            own = np.frombuffer(raw, np.uint8).reshape(len(ids), BANDS * ROWS)
-            change = np.zeros(len(ids) - 1, bool)
-            for key in keys:
-                change |= key[1:] != key[:-1]
-            cuts = np.r_[0, np.flatnonzero(change) + 1, len(ids)]
-            made = [[np.zeros(0, np.int64)] for _ in range(3)]
-            for start, end in zip(cuts, cuts[1:], strict=False):
-                i, j = keys[1][start], keys[2][start]
-                left = start + np.flatnonzero(block[start:end] == i)
-                right = start + np.flatnonzero(block[start:end] == j)
-                if not len(left) or not len(right):
-                    continue
-                if (now[right] == now[right[0]]).all():
-                    left = left[now[left] != now[right[0]]]
-                x, y, same = agreeing(own[left], own[right], least)
-                x, y = left[x], right[y]
-                keep = before[x] != before[y]
-                keep &= ids[x] < ids[y] if i == j else ids[x] != ids[y]
-                x, y, same = x[keep], y[keep], same[keep]
-                order = np.lexsort((ids[y], -same, x))
-                x, y, same = x[order], y[order], same[order]
-                first = equal_runs(x) if len(x) else np.zeros(0, int)
-                rank = np.arange(len(x)) - np.repeat(first, np.diff(np.r_[first, len(x)]))
-                keep = (now[x] != now[y]) & (rank >= low)
-                if high is not None:
-                    keep &= rank < high
-                for column, part in zip(made, (ids[x], ids[y], same), strict=True):
-                    column.append(part[keep])
-            text, other, same = (np.concatenate(column) for column in made)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in (text, np.minimum(text, other), np.maximum(text, other), same)],
-                ["text", "a", "b", "same"],
-            )
+    def compared(table: pa.Table, cuts: np.ndarray) -> pa.RecordBatch:
+        ids, now = (table.column(c).to_numpy() for c in ("id", "now"))
+        own = signatures_of(table)
+        made = [[np.zeros(0, np.int64)] for _ in range(3)]
+        for start, end in zip(cuts, cuts[1:], strict=False):
+            left, right = sides_of(table, start, end)
+            x, y, same = unlike_pairs(table, own, left, right, least)
+            order = np.lexsort((ids[y], -same, x))
+            x, y, same = x[order], y[order], same[order]
+            first = equal_runs(x) if len(x) else np.zeros(0, int)
+            rank = np.arange(len(x)) - np.repeat(first, np.diff(np.r_[first, len(x)]))
+            keep = (now[x] != now[y]) & (rank >= low)
+            if high is not None:
+                keep &= rank < high
+            for column, part in zip(made, (ids[x], ids[y], same), strict=True):
+                column.append(part[keep])
+        text, other, same = (np.concatenate(column) for column in made)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, pa.int64()) for c in (text, np.minimum(text, other), np.maximum(text, other), same)],
+            ["text", "a", "b", "same"],
+        )
 
-        held: pa.Table | None = None
-        for batch in batches:
-            if not len(batch):
-                continue
-            table = pa.Table.from_batches([batch])
-            table = table if held is None else pa.concat_tables([held, table])
-            # The last group may go on in the next batch.
-            keys = [table.column(c).to_numpy() for c in ("value", "i", "j")]
-            last = len(table) - 1
-            inside = np.ones(len(table), bool)
-            for key in keys:
-                inside &= key == key[last]
-            start = int(np.argmax(inside))
-            if start:
-                yield compared(table.slice(0, start))
-            held = table.slice(start).combine_chunks()
-        if held is not None:
-            yield compared(held)
+    return blocks_of(compared)
 
-    return pairs
 
+def links_of_blocks(least: float, threshold: float, idf: np.ndarray):
+    """Of rows sorted by value, i and j: the links between blocks i and j of unlike ``before`` and ``now``.
 
-def pairs_among(
-    members: DataFrame, sampled: DataFrame, least: float, ranks: tuple[int, int | None] = (0, None), best: bool = False
-) -> DataFrame:
-    """(a, b) of the members (value, id) of equal value whose samples agree often enough.
+    Two texts are compared where the first value is that both have, in the order of the bands.
+    """
 
-    With columns ``before`` and ``now``, the classes of the members at the first and at this round, only
-    pairs of unlike classes. Those outside the largest class of a value meet all others of the value; those
-    of the largest do not meet each other. ``best``: only the pair of each text that agrees most.
+    def compared(table: pa.Table, cuts: np.ndarray) -> pa.RecordBatch:
+        ids, now, value, weight = (table.column(c).to_numpy() for c in ("id", "now", "value", "weight"))
+        own, packed = signatures_of(table), table.column("packed")
+        bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(len(table), -1)
+        raw = lambda row: packed[int(row)].as_py()
+        found = []
+        for start, end in zip(cuts, cuts[1:], strict=False):
+            left, right = sides_of(table, start, end)
+            x, y, _ = unlike_pairs(table, own, left, right, least)
+            keep = now[x] != now[y]
+            x, y = x[keep], y[keep]
+            keep = np.ones(len(x), bool)
+            for at in range(0, len(x), 1 << 16):
+                part = slice(at, at + (1 << 16))
+                same = bands[x[part]] == bands[y[part]]
+                first = np.argmax(same, axis=1)
+                keep[part] = bands[x[part], first] == value[x[part]]
+            x, y = x[keep], y[keep]
+            if len(x) > FEW_PAIRS:
+                (of_x, x_at), (of_y, y_at) = (np.unique(side, return_inverse=True) for side in (x, y))
+                both = shared_weights([raw(r) for r in of_x], [raw(r) for r in of_y], idf)[x_at, y_at]
+                near = both >= (threshold - MARGIN) * (weight[x] + weight[y] - both)
+                x, y = x[near], y[near]
+            found += [
+                (min(ids[a], ids[b]), max(ids[a], ids[b]))
+                for a, b in zip(x, y, strict=True)
+                if similarity(raw(a), weight[a], raw(b), weight[b], idf) >= threshold
+            ]
+        pairs = np.array(found, np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+    return blocks_of(compared)
+
+
+def block_rows(members: DataFrame, sampled: DataFrame, *own: str) -> DataFrame:
+    """The members (value, id, before, now) once for each pair of blocks (i, j) of their value that they are in.
+
+    Only values of unlike classes. Those outside the largest class of a value meet all others of the value;
+    those of the largest do not meet each other. The columns ``own`` of ``sampled`` come along.
     """
-    if "now" not in members.columns:
-        members = members.withColumn("before", F.col("id")).withColumn("now", F.col("id"))
+    given = sampled.select("id", *own)
+    size = F.length("packed") if "packed" in own else F.lit(0)
+    members = members.join(sampled.select("id", size.alias("bytes")), "id") if "packed" in own else members.withColumn("bytes", size)
     counts = members.groupBy("value", "before").agg(
-        F.count("*").alias("n"), F.min("now").alias("least"), F.max("now").alias("most")
+        F.count("*").alias("n"), F.sum("bytes").alias("bytes"), F.min("now").alias("least"), F.max("now").alias("most")
     )
     sizes = counts.groupBy("value").agg(
-        F.sum("n").alias("n"), F.max(F.struct("n", "before")).alias("main"), F.min("least").alias("x"), F.max("most").alias("y")
-    )
-    parts = lambda n: F.ceil(n / BLOCK_TEXTS).cast("int")
+        F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), F.max(F.struct("n", "before", "bytes")).alias("main"),
+        F.min("least").alias("x"), F.max("most").alias("y"),
+    )
+    parts = lambda n, size: F.ceil(F.greatest(n / BLOCK_TEXTS, size / BLOCK_BYTES)).cast("int")
     sizes = sizes.where("n > main.n AND x <> y").select(
         "value",
         F.col("main.before").alias("main"),
-        parts(F.col("n") - F.col("main.n")).alias("few"),
-        parts(F.col("main.n")).alias("many"),
+        parts(F.col("n") - F.col("main.n"), F.col("bytes") - F.col("main.bytes")).alias("few"),
+        parts(F.col("main.n"), F.col("main.bytes")).alias("many"),
     )
     inner = F.col("before") == F.col("main")
     slot = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
@@ -376,13 +489,26 @@ def pairs_among(
         .withColumn("block", F.when(inner, F.col("few") + slot("many")).otherwise(slot("few")))
         .withColumn("last", F.col("few") - 1 + F.when(inner, 0).otherwise(F.col("many")))
         .select("value", "id", "before", "now", "block", "last")
-        .join(sampled.select("id", "signature"), "id")
+        .join(given, "id")
     )
-    columns = ["block", "id", "before", "now", "signature"]
+    columns = ["block", "id", "before", "now", *own]
     both = placed.select("value", *columns, F.explode(F.sequence(F.lit(0), "last")).alias("other"))
     keys = ["value", "i", "j"]
     both = both.select("value", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), *columns)
-    rows = both.repartition(*keys).sortWithinPartitions(*keys)
+    return both.repartition(*keys).sortWithinPartitions(*keys)
+
+
+def pairs_among(
+    members: DataFrame, sampled: DataFrame, least: float, ranks: tuple[int, int | None] = (0, None), best: bool = False
+) -> DataFrame:
+    """(a, b) of the members (value, id) of equal value whose samples agree often enough.
+
+    With columns ``before`` and ``now``, the classes of the members at the first and at this round, only
+    pairs of unlike classes. ``best``: only the pair of each text that agrees most.
+    """
+    if "now" not in members.columns:
+        members = members.withColumn("before", F.col("id")).withColumn("now", F.col("id"))
+    rows = block_rows(members, sampled, "signature")
     found = rows.mapInArrow(pairs_of_blocks(least, *ranks), "text long, a long, b long, same long")
     if best:
         top = F.max(F.struct("same", "a", "b"))
@@ -390,6 +516,18 @@ def pairs_among(
     return found.select("a", "b").distinct()
 
 
+def links_among(
+    members: DataFrame, sampled: DataFrame, least: float, n_texts: int, threshold: float
+) -> DataFrame:
+    """(a, b) of the members (value, id, before, now) of equal value and unlike classes that are similar.
+
+    Samples that agree seldom are passed over, as in ``pairs_among``.
+    """
+    rows = block_rows(members, sampled, "signature", "bands", "weight", "packed")
+    found = rows.mapInArrow(links_of_blocks(least, threshold, weights_of_codes(n_texts)), "a long, b long")
+    return found.distinct()
+
+
 def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     """``labels`` (id, label) after more links (a, b); ids without a label are classes of their own."""
     ends = links.select(F.explode(F.array("a", "b")).alias("id")).distinct()
@@ -430,14 +568,19 @@ def classes_of(sampled: DataFrame, n_texts: int, threshold: float) -> tuple[Data
     named = named.select("value", "id", F.coalesce("label", "id").alias("before"))
     apart = named.groupBy("value").agg(F.min("before").alias("x"), F.max("before").alias("y")).where("x <> y")
     left = scratch_table(named.join(apart.select("value"), "value", "left_semi"), "left")
-    for low, high, best in ROUNDS:
+    for ranks in (*ROUNDS, None):
         now = left.join(labels, "id", "left").select(
             "value", "id", "before", F.coalesce("label", "id").alias("now")
         )
-        others = pairs_among(now, sampled, least, (low, high), best)
-        found = rated(others.join(tested, ["a", "b"], "left_anti"))
-        tested = tested.unionByName(found)
-        more = found.where(F.col("similarity") >= threshold).select("a", "b")
+        if ranks is None:
+            # Those that were tested are passed over too: what was similar is in one class now.
+            more = scratch_table(links_among(now, sampled, least, n_texts, threshold), "near-pairs")
+        else:
+            low, high, best = ranks
+            others = pairs_among(now, sampled, least, (low, high), best)
+            found = rated(others.join(tested, ["a", "b"], "left_anti"))
+            tested = tested.unionByName(found)
+            more = found.where(F.col("similarity") >= threshold).select("a", "b")
         if not more.isEmpty():
             links = links.unionByName(more)
             labels = merged(labels, more)

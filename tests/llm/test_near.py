@@ -171,6 +171,48 @@ def test_copies_of_copies_behind_one_head(spark, monkeypatch):
         assert links <= want and classes(links) == classes(want)
 
 
+def test_shared_weights_of_blocks(monkeypatch):
+    rng = np.random.default_rng(5)
+    idf = near.weights_of_codes(100)
+    texts = []
+    for _ in range(40):
+        keys = np.sort(rng.choice(60, rng.integers(1, 50), replace=False)).astype(np.uint64)
+        times = rng.choice([1, 1, 1, 2, 5, 90], len(keys)).astype(np.uint32)
+        packed = np.array([len(keys)], np.uint32).tobytes() + planes(keys, near.PAIR_BYTES)
+        packed += planes(times) + (keys % 7 + 8).astype(np.uint8).tobytes()
+        texts.append((packed, float((times * idf[(keys % 7 + 8).astype(int)]).sum())))
+    left, right = texts[:25], texts[15:]
+    for elements in (1 << 11, 3):
+        monkeypatch.setattr(near, "ELEMENTS", elements)
+        both = near.shared_weights([raw for raw, _ in left], [raw for raw, _ in right], idf)
+        for i, a in enumerate(left):
+            for j, b in enumerate(right):
+                want = near.similarity(*a, *b, idf)
+                assert abs(both[i, j] / (a[1] + b[1] - both[i, j]) - want) < near.MARGIN / 10
+
+
+def test_pairs_below_the_threshold_make_no_rows(spark, monkeypatch):
+    # Of one value, 120 texts of which any two are like each other in 0.74, and two that are links.
+    sets = {i: set(range(85)) | {100 + 15 * i + k for k in range(15)} for i in range(120)}
+    sets[120] = set(sets[119]) - {0}
+    sampled = sampled_texts(spark, sets, {i: [7, 9] for i in sets})
+    made = []
+    verified = near.verified
+
+    def counted(pairs, *rest):
+        made.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(near, "verified", counted)
+    monkeypatch.setattr(near, "FEW_PAIRS", 50)
+    for size, length in ((1024, 4 << 20), (50, 4 << 20), (1024, 20_000)):
+        made.clear()
+        monkeypatch.setattr(near, "BLOCK_TEXTS", size)
+        monkeypatch.setattr(near, "BLOCK_BYTES", length)
+        assert {tuple(r) for r in near.links_of(sampled, 121, 0.8).collect()} == {(119, 120)}
+        assert sum(made) < 121 * 30  # 7,260 pairs
+
+
 def test_few_pairs_at_the_threshold_are_passed_over():
     n, p = near.BANDS * near.ROWS, near.THRESHOLD
     fewest = math.ceil((p - near.SLACK) * n - 1e-9)
