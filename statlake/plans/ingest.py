@@ -12,6 +12,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from statlake.functions.text import strip
 from statlake.operators.joins import only_listed
 from statlake.operators.possessions import flatten_possessions
 from statlake.operators.upsert import clean_ids
@@ -27,9 +28,9 @@ from statlake.plans.ledger import (
     written_through,
 )
 from statlake.plans.windows import WINDOW_DAYS, resume_windows
-from statlake.session import remove_path
+from statlake.session import remove_path, scratch_dir
 from statlake.sinks.tables import write_bronze, write_state
-from statlake.sources.landed import games_between
+from statlake.sources.landed import games_between, in_range
 from statlake.sources.state import read_state, state_document, state_rows
 
 RUN_LOG_SCHEMA = (
@@ -101,16 +102,77 @@ RESULT_SCHEMA = "source string, processed_to string, run_ts string, error string
 SOURCES_AT_ONCE = 8
 
 
+STAGED_FROM = 3  # windows; with fewer the possessions are read as they are
+Day = datetime.date
+
+
+class StagedPossessions:
+    """Possessions dealt to the windows of a run, so that a window does not read those of all others.
+
+    The games of all windows are listed and joined to the possessions once; what a window's games may have is a
+    folder of its own below the shared folder. A window whose games are not all on its list (a source may give
+    other games when it is read again), or could not be listed or dealt, reads all possessions.
+    """
+
+    def __init__(self, spark: SparkSession, possessions: Callable[[], DataFrame]):
+        self.spark, self.possessions = spark, possessions
+        self.path = scratch_dir(spark, "staged-possessions")
+        self.listed: DataFrame | None = None
+        self.dealt: DataFrame | None = None
+
+    def deal(self, games: dict[str, Callable[[], DataFrame]], parts: dict[str, dict[str, tuple[Day, Day]]]) -> None:
+        """``parts``: the part of each window of each source."""
+        paths = []
+        for n, (source, windows) in enumerate(parts.items()):
+            try:
+                self.list_games(games[source](), windows).write.parquet(f"{self.path}/ids/{n}")
+                paths.append(f"{self.path}/ids/{n}")
+            except Exception:  # the source's own windows will say what is wrong
+                continue
+        if not paths:
+            return
+        try:
+            listed = self.spark.read.schema("game_id string, part string").parquet(*paths)
+            nested = self.possessions()
+            rows = nested.select(F.trim(F.col("game_id").cast("string")).alias("game_id"), F.struct("*").alias("nested"))
+            dealt = rows.join(listed, "game_id").select("part", "nested").hint("rebalance", "part")
+            dealt.write.partitionBy("part").parquet(f"{self.path}/rows")
+            schema = dealt.select("nested", "part").schema
+            self.dealt = self.spark.read.schema(schema).parquet(f"{self.path}/rows")
+            self.listed = listed
+        except Exception:
+            self.dealt = self.listed = None
+
+    @staticmethod
+    def list_games(games: DataFrame, windows: dict[str, tuple[Day, Day]]) -> DataFrame:
+        """(game_id, part) of the games of the windows, each once."""
+        own = [F.when(in_range(games, "game_date", str(a), str(b)), F.lit(part)) for part, (a, b) in windows.items()]
+        listed = games.select(strip("game_id").alias("game_id"), F.explode(F.array_compact(F.array(*own))).alias("part"))
+        return listed.where("game_id <> ''").distinct()
+
+    def of(self, part: str, games: DataFrame) -> DataFrame:
+        """All that the games of a part may have."""
+        if self.dealt is None:
+            return self.possessions()
+        known = self.listed.where(F.col("part") == part)
+        if not game_ids(games).join(known, "game_id", "left_anti").isEmpty():
+            return self.possessions()
+        return self.dealt.where(F.col("part") == part).select("nested.*")
+
+
 def load_window(
-    spark: SparkSession, frame: DataFrame, possessions: Callable[[], DataFrame], root: str,
-    source: str, window: tuple[datetime.date, datetime.date], part: str,
+    spark: SparkSession, frame: DataFrame, possessions: Callable[[str, DataFrame], DataFrame], root: str,
+    source: str, window: tuple[Day, Day], part: str,
 ) -> int:
-    """Games and possessions of one window of one source into its part; how many games."""
+    """Games and possessions of one window of one source into its part; how many games.
+
+    ``possessions`` gives those of a part and its games.
+    """
     own = games_between(frame, str(window[0]), str(window[1])).withColumn("source", F.lit(source))
     games = write_bronze(own, root, GAMES, part)
     if games.written:
         ids = spark.read.parquet(games.path)
-        flat = listed_possessions(possessions(), ids).withColumn("source", F.lit(source))
+        flat = listed_possessions(possessions(part, ids), ids).withColumn("source", F.lit(source))
         write_bronze(flat, root, POSSESSIONS, part)
     return games.rows
 
@@ -142,8 +204,8 @@ def run_resumed(
     once and never written again, whatever becomes of the windows behind it, of other sources or of
     the driver; what a window left unfinished is removed before it is repeated. A source whose
     window fails goes no further in this run and counts an error. Sources are independent of each
-    other and their jobs run side by side. The windows are a short list on the driver. Gives the
-    results by source.
+    other and their jobs run side by side. The windows are a short list on the driver. The possessions
+    are dealt to the windows once, so they are not read by each of them. Gives the results by source.
     """
     ledger_path = ledger_path or f"{state_path}.ledger"
     ledger = read_ledger(spark, ledger_path)
@@ -154,16 +216,20 @@ def run_resumed(
     windows: dict[str, list[tuple[datetime.date, datetime.date]]] = {}
     for w in planned.where(F.col("source").isin(list(games))).orderBy("source", "window_start").collect():
         windows.setdefault(w["source"], []).append((w["window_start"], w["window_end"]))
+    part_of = lambda source, window: f"{run_ts}_{path_key(source)}_{window[0]}"
+    staged = StagedPossessions(spark, possessions)
+    if sum(map(len, windows.values())) >= STAGED_FROM:
+        staged.deal(games, {s: {part_of(s, w): w for w in own} for s, own in windows.items()})
 
     def load(source: str) -> tuple:
         frame, done = None, None
         for window in windows[source]:
-            part = f"{run_ts}_{path_key(source)}_{window[0]}"
+            part = part_of(source, window)
             note = partial(append_event, spark, ledger_path, source, window, run_ts)
             try:
                 note(STARTED, part)
                 frame = games[source]() if frame is None else frame
-                n = load_window(spark, frame, possessions, root, source, window, part)
+                n = load_window(spark, frame, staged.of, root, source, window, part)
             except Exception as exc:
                 note(FAILED, part, error=exc)
                 return source, done, run_ts, (str(exc).splitlines() or [""])[0], type(exc).__name__
@@ -174,5 +240,6 @@ def run_resumed(
     with ThreadPoolExecutor(SOURCES_AT_ONCE) as pool:
         jobs = [pool.submit(inheritable_thread_target(spark)(partial(load, s))) for s in windows]
         results = [job.result() for job in jobs]
+    remove_path(spark, staged.path)
     save_state(spark, state_path, ledger_path)
     return spark.createDataFrame(results, RESULT_SCHEMA)

@@ -24,7 +24,7 @@ def read_games(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return lower_columns(spark.read.format(fmt).load(path))
 
 
-def _in_range(df: DataFrame, column: str, start: str, end: str) -> Column:
+def in_range(df: DataFrame, column: str, start: str, end: str) -> Column:
     """The column between two days, said in its own type so that the scan can use it."""
     kind = dict(df.dtypes)[column]
     c, first, last = F.col(column), F.lit(start).cast("date"), F.lit(end).cast("date")
@@ -48,7 +48,7 @@ def games_between(
     the season partitions.
     """
     wanted = F.col(season_col).isin(season_list(start, end) if seasons is None else seasons)
-    rows = games.where(wanted & _in_range(games, date_col, start, end))
+    rows = games.where(wanted & in_range(games, date_col, start, end))
     if "game_id" not in games.columns:
         return rows
     order = order_by or (date_col, *(c for c in games.columns if c not in ("game_id", date_col)))

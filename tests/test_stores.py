@@ -438,3 +438,54 @@ def test_written_windows_count_up_to_the_first_gap(spark):
     rows += [("c", d(1), d(2), "r", ledger.FAILED, "p", 0, "no", "E")]
     got = ledger.written_through(spark.createDataFrame(rows, ledger.EVENT_SCHEMA)).collect()
     assert {r["source"]: r["written_to"].day for r in got} == {"a": 9, "b": 8}
+
+
+def _nested(spark, n):
+    rows = [(f" {i}", [(i, f"0{k}:00") for k in range(i % 3)]) for i in range(n)]
+    return spark.createDataFrame(rows, "game_id string, possessions array<struct<number: int, start_time: string>>")
+
+
+def test_possessions_are_read_once_for_all_windows(spark, tmp_path):
+    root, state = str(tmp_path / "lake"), str(tmp_path / "state")
+    _new_state(spark, state, ["a", "b c"])
+    asked = []
+
+    def possessions():
+        asked.append(1)
+        return _nested(spark, 30)
+
+    games = {s: lambda: _games(spark) for s in ("a", "b c")}
+    results = ingest.run_resumed(spark, state, games, possessions, root, "r1", days=10).collect()
+    assert [r["error"] for r in results] == [None, None] and len(asked) == 1
+    rows = spark.read.parquet(f"{root}/possessions").collect()
+    want = sorted((s, str(i)) for s in games for i in range(30) for _ in range(i % 3))
+    assert sorted((r["source"], r["game_id"]) for r in rows) == want
+    parts = {(r["run_ts"], r["game_id"]) for r in rows}
+    assert parts == {(r["run_ts"], r["game_id"]) for r in spark.read.parquet(f"{root}/games").collect() if int(r["game_id"]) % 3}
+
+
+def test_possessions_of_games_that_were_not_listed(spark, tmp_path):
+    """One source gives more games when it is read again, one cannot be listed, one fails in a window."""
+    root, state = str(tmp_path / "lake"), str(tmp_path / "state")
+    _new_state(spark, state, ["a", "b", "c"])
+    read, first = [], []
+
+    def grows():
+        read.append(1)
+        return _games(spark, 30 if len(read) > 1 else 5)
+
+    def late():
+        first.append(1)
+        if len(first) == 1:
+            raise ValueError("not yet")
+        return _games(spark)
+
+    bad = F.when(F.col("game_date") >= "2024-01-11", F.raise_error(F.lit("broken"))).otherwise(F.col("game_id"))
+    games = {"a": grows, "b": late, "c": lambda: _games(spark).withColumn("game_id", bad)}
+    results = ingest.run_resumed(spark, state, games, lambda: _nested(spark, 30), root, "r1", days=10)
+    assert {r["source"]: (r["processed_to"], bool(r["error"])) for r in results.collect()} == {
+        "a": ("2024-01-30", False), "b": ("2024-01-30", False), "c": ("2024-01-10", True),
+    }
+    rows = spark.read.parquet(f"{root}/possessions").where("source <> 'c' OR game_id < 10").collect()
+    want = [(s, str(i)) for s, n in (("a", 30), ("b", 30), ("c", 10)) for i in range(n) for _ in range(i % 3)]
+    assert sorted((r["source"], r["game_id"]) for r in rows) == sorted(want)
