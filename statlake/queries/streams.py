@@ -25,7 +25,8 @@ def event_stream(spark, sf, in_order=False):
         place = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.lit(first).cast("timestamp"))) * 5
                         / (int((last - first).total_seconds() * 1e6) + 1))
         for k in range(5):  # one after the other: a stream takes files by their age
-            events.where(place == k).coalesce(1).write.mode("append").parquet(path)
+            # Not coalesced, which would read the whole table in one task for each file.
+            events.where(place == k).repartition(1).write.mode("append").parquet(path)
     else:
         events.repartition(5, F.col("event_id") % 997).write.parquet(path)
     return spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", 1).parquet(path)

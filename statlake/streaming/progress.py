@@ -43,6 +43,9 @@ def start_progress(
 
     def each(batch: DataFrame, batch_id: int) -> None:
         spark, current = batch.sparkSession, None
+        # A batch may be one file, which one task reads; what is to be folded is spread by all of its order, since
+        # a key may be hot.
+        batch = batch.repartition(spark.sparkContext.defaultParallelism, *PROGRESS_KEY, *order_by)
         batch = batch.persist()  # its keys, their blocks and the fold read it
         if batch_id > 0:
             touched = batch.select(*PROGRESS_KEY).distinct()

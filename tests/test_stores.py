@@ -489,3 +489,23 @@ def test_possessions_of_games_that_were_not_listed(spark, tmp_path):
     rows = spark.read.parquet(f"{root}/possessions").where("source <> 'c' OR game_id < 10").collect()
     want = [(s, str(i)) for s, n in (("a", 30), ("b", 30), ("c", 10)) for i in range(n) for _ in range(i % 3)]
     assert sorted((r["source"], r["game_id"]) for r in rows) == sorted(want)
+
+
+def test_a_batch_of_one_file_is_folded_by_several_tasks(spark, tmp_path, monkeypatch):
+    from statlake.streaming import progress as stream_progress
+
+    schema = ("player_id string, season string, op string, ts timestamp, seq bigint, player_slug string, "
+              "player_name string, url string, source string, n bigint, error string")
+    rows = [("hot", "2023-24", "success", datetime.datetime(2024, 1, 1), i, "s", "n", "u", "x", 1, None) for i in range(200)]
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "log"))
+    real, seen = stream_progress.fold_progress, []
+
+    def fold(batch, *rest):
+        seen.append([n for n in batch.groupBy(F.spark_partition_id()).count().collect()])
+        return real(batch, *rest)
+
+    monkeypatch.setattr(stream_progress, "fold_progress", fold)
+    stream = spark.readStream.schema(schema).parquet(str(tmp_path / "log"))
+    stream_progress.start_progress(stream, str(tmp_path / "out"), str(tmp_path / "checkpoint")).awaitTermination()
+    assert len(seen) == 1 and len(seen[0]) > 1
+    assert stream_progress.read_progress(spark, str(tmp_path / "out")).first()["stat_count"] == 200
