@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from statlake.functions.jsontext import bind, first_filled, is_json, json_document
 from statlake.functions.text import as_column, text_or_null
-from statlake.operators.extract.entries import stats_from_list
+from statlake.operators.extract.entries import NAME_FIELDS, stats_from_list
 from statlake.operators.extract.objects import count_named, has_named
 from statlake.operators.extract.scripts import extraction
 from statlake.operators.ordered import first_rows_per_key
@@ -170,17 +170,21 @@ def best_captured(
     """Per page the extraction of the response with most stats; ties go to the earliest.
 
     An aggregate, so that each task sends one candidate per page and a page with very many
-    responses never meets in one task as a whole.
+    responses never meets in one task as a whole. Responses without stats, often nearly all, are gone
+    before it: a body that names no field of a stat's name is not parsed (a backslash may hide one), and
+    only of bodies with stats is it asked whether all of the text is JSON.
     """
-    parsed = responses.where(is_json("body")).select(
-        *keys, order, extract_captured("body", falsy_chain).alias("captured")
+    named = responses.where(_contains_any(F.col("body"), [*NAME_FIELDS, "\\"]))
+    found = F.filter(
+        F.array(extract_captured("body", falsy_chain)),
+        lambda x: (F.size(x["stats"]) > 0) & is_json("body"),
+    )
+    # The outer form, as in explode_stats: no filter that names the extraction reaches the scan.
+    parsed = named.select(*keys, order, F.explode_outer(found).alias("captured"))
+    rank = F.struct(F.size("captured.stats"), -F.col(order))
+    return parsed.where(F.col("captured").isNotNull()).groupBy(*keys).agg(
+        F.max_by("captured", rank).alias("captured")
     )
-    # A response without stats has no rank and so never wins; the filter comes after the
-    # aggregate, since one before it would be pushed down and extract every body twice.
-    n = F.size("captured.stats")
-    rank = F.when(n > 0, F.struct(n, -F.col(order)))
-    best = parsed.groupBy(*keys).agg(F.max_by("captured", rank).alias("captured"))
-    return best.where(F.col("captured").isNotNull())
 
 
 def capture_summary(

@@ -123,14 +123,15 @@ def extract_pages(
 
 def with_identity(extracted: DataFrame, pattern: str = PROFILE_PATH) -> DataFrame:
     """One row per page with who it is about: as the seed says, else the URL, else the payload."""
-    url = parse_profile_url("url", pattern)
+    # A column of its own, so that a URL is parsed once and not for each part.
+    named = extracted.withColumn("_named", parse_profile_url("url", pattern))
 
     def given(name: str) -> Column:
         if name in extracted.columns:
-            return F.coalesce(text_or_null(F.col(name).cast("string")), url[name])
-        return url[name]
+            return F.coalesce(text_or_null(F.col(name).cast("string")), F.col("_named")[name])
+        return F.col("_named")[name]
 
-    return extracted.select(
+    return named.select(
         "page_id",
         "url",
         F.coalesce(given("player_id"), text_or_null(F.col("extracted.player_id"))).alias(
@@ -147,8 +148,13 @@ def with_identity(extracted: DataFrame, pattern: str = PROFILE_PATH) -> DataFram
 
 def stat_rows(extracted: DataFrame, run_ts: Column, pattern: str = PROFILE_PATH) -> DataFrame:
     """One row per stat."""
+    return identified_rows(with_identity(extracted, pattern), run_ts)
+
+
+def identified_rows(identified: DataFrame, run_ts: Column) -> DataFrame:
+    """One row per stat, of pages ``with_identity``."""
     rows = explode_stats(
-        with_identity(extracted, pattern),
+        identified,
         [
             "page_id",
             "player_id",

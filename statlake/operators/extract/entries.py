@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statlake.functions.jsontext import first_filled, is_list, is_object, list_items, text_map
-from statlake.functions.text import DEFAULT_CATEGORY, cell_text, text_or_null
+from statlake.functions.text import CELL_MISSING, DEFAULT_CATEGORY, text_or_null
 
 # The field names under which a stat entry may hold each part, in order.
 NAME_FIELDS = ["name", "statName", "stat_name", "label", "metric"]
@@ -40,21 +40,26 @@ def no_stats() -> Column:
     return F.array().cast(STAT_ARRAY)
 
 
+def _field(entry: Column, name: str) -> Column:
+    """A field that is not empty; named twice, since to read a field costs less than ``text_or_null``."""
+    return F.when(entry[name] != "", entry[name])
+
+
 def _choose(entry: Column, fields: Sequence[str], falsy_chain: bool) -> Column:
     """First field with a value. ``falsy_chain`` also passes over 0 and false, and then takes
     the last field as it is, which is how old rows were read."""
-    values = [entry[f] for f in fields]
     if falsy_chain:
+        values = [entry[f] for f in fields]
         return F.coalesce(first_filled(values[:-1]), values[-1])
-    return F.coalesce(*[text_or_null(v) for v in values])
+    return F.coalesce(*[_field(entry, f) for f in fields])
 
 
 def stat_from_entry(
     entry: Column, category: Column | None = None, falsy_chain: bool = False
 ) -> Column:
     """Stat struct from an entry struct; NULL for an entry without a name."""
-    name = F.coalesce(*[text_or_null(entry[f]) for f in NAME_FIELDS])
-    labels = [text_or_null(entry[f]) for f in CATEGORY_FIELDS]
+    name = F.coalesce(*[_field(entry, f) for f in NAME_FIELDS])
+    labels = [_field(entry, f) for f in CATEGORY_FIELDS]
     if category is not None:
         labels.insert(0, text_or_null(category))
     return F.when(
@@ -106,19 +111,24 @@ def stats_from_json(stats_json: Column, falsy_chain: bool = False) -> Column:
 
 
 def stat_from_cells(cells: Column, category: Column) -> Column:
-    """Stat struct from the cell texts of one table row.
+    """Stat struct from the cell texts of one table row, which have no white space at their ends.
 
     NULL for fewer than two cells, for an empty first cell and for a heading row.
     """
-    name = cell_text(F.get(cells, F.lit(0)))
+
+    def cell(i: int) -> Column:
+        text = F.get(cells, F.lit(i))
+        return F.when(~text.isin(CELL_MISSING), text)
+
+    name = cell(0)
     usable = (F.size(cells) >= 2) & name.isNotNull() & ~F.upper(name).isin(HEADER_CELLS)
     return F.when(
         usable,
         F.struct(
             name.alias("statistic_name"),
-            cell_text(F.get(cells, F.lit(1))).alias("value"),
-            cell_text(F.get(cells, F.lit(2))).alias("percentile"),
-            cell_text(F.get(cells, F.lit(3))).alias("grade"),
+            cell(1).alias("value"),
+            cell(2).alias("percentile"),
+            cell(3).alias("grade"),
             category.alias("statistic_category"),
         ),
     )

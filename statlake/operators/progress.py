@@ -253,6 +253,45 @@ def fold_progress(
     return folded.select(*PROGRESS_COLUMNS)
 
 
+def fold_tries(
+    tries: DataFrame, order_by: Sequence[str] = ("ts", "seq"), current: DataFrame | None = None
+) -> DataFrame:
+    """The fold of a log in which each try is started and at once completed or failed.
+
+    ``tries`` has the key, the order columns, ``ts``, the event fields and ``done``; ``current`` is as in
+    ``fold_progress``, which gives the same rows for the two events of each try. With nothing between
+    the two and no reset, only the first and the last try, the last done one and their number count:
+    one grouping with partials, in which a hot key costs no more than any other.
+    """
+    order_by, ts = list(order_by), F.col("ts").cast("timestamp")
+    log = with_keys(tries, PROGRESS_KEY).select(
+        *PROGRESS_KEY, F.lit(1).alias("_age"), *order_by, *EVENT_FIELDS,
+        F.when(F.col("done"), SUCCESS).otherwise(FAILED).alias("status"),
+        F.lit(1).cast("bigint").alias("attempts"),
+        ts.alias("last_attempt"), ts.alias("completed_at"), ts.alias("created_at"),
+        F.coalesce("done", F.lit(False)).alias("_sets"),
+    )
+    if current is not None:
+        old = _as_events(current, order_by, tries)
+        log = log.unionByName(old.withColumn("_sets", F.lit(True)).select(*log.columns))
+    ord_ = order_struct(["_age", *order_by])
+    error = F.when((F.col("_age") == 0) | ~F.col("_sets"), F.col("error"))
+    rows = log.groupBy(*PROGRESS_KEY).agg(
+        F.max_by(F.struct("status", "url", error.alias("error"), "last_attempt"), ord_).alias("_last"),
+        F.max_by(F.struct("source", "n", "completed_at"), F.when(F.col("_sets"), ord_)).alias("_done"),
+        F.max_by("player_slug", F.when(F.col("player_slug").isNotNull(), ord_)).alias("player_slug"),
+        F.max_by("player_name", F.when(F.col("player_name").isNotNull(), ord_)).alias("player_name"),
+        F.min_by("created_at", ord_).alias("created_at"),
+        F.coalesce(F.sum("attempts"), F.lit(0)).alias("attempts"),
+    )
+    return rows.select(
+        *PROGRESS_KEY, "player_slug", "player_name", "_last.status", "_last.url",
+        F.col("_done.source").alias("extraction_source"),
+        F.coalesce(F.col("_done.n"), F.lit(0)).cast("bigint").alias("stat_count"),
+        "_last.error", "attempts", "_last.last_attempt", "_done.completed_at", "created_at",
+    ).select(*PROGRESS_COLUMNS)
+
+
 def success_upserts(
     rows: DataFrame, order_by: Sequence[str], keys: Sequence[str] = PROGRESS_KEY,
     count: Column | None = None,

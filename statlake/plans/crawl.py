@@ -9,10 +9,16 @@ from pyspark.sql import functions as F
 
 from statlake.functions.text import text_or_null
 from statlake.functions.urls import PROFILE_PATH
-from statlake.operators.extract.choose import PRIORITY, extract_pages, stat_rows, with_identity
+from statlake.operators.extract.choose import (
+    PRIORITY,
+    extract_pages,
+    identified_rows,
+    stat_rows,
+    with_identity,
+)
 from statlake.operators.joins import skip_completed
 from statlake.operators.normalize import normalize_stats
-from statlake.operators.progress import fold_progress
+from statlake.operators.progress import fold_tries
 from statlake.operators.upsert import (
     STAT_IDENTITY,
     STAT_KEY,
@@ -136,6 +142,24 @@ def progress_events(
     )
 
 
+def progress_tries(identified: DataFrame, run_ts: Column) -> DataFrame:
+    """One row per page ``with_identity``, ``n_stats`` and a key: both ``progress_events`` of it as one try."""
+    n = F.col("n_stats")
+    return identified.select(
+        "player_id",
+        "season",
+        run_ts.cast("timestamp").alias("ts"),
+        F.col("page_id").alias("seq"),
+        "player_slug",
+        F.lit(None).cast("string").alias("player_name"),
+        "url",
+        F.when(n > 0, F.col("source")).alias("source"),
+        F.when(n > 0, n).cast("bigint").alias("n"),
+        F.when(n == 0, F.lit(NO_STATS)).alias("error"),
+        (n > 0).alias("done"),
+    ).where((F.col("player_id") != "") & (F.col("season") != ""))
+
+
 def clean_rows(
     pages: DataFrame, run_ts: Column, responses: DataFrame | None = None,
     pattern: str = PROFILE_PATH, priority: list[str] | None = None,
@@ -155,8 +179,8 @@ def run_crawl(
 
     ``progress`` and ``stats`` are the tables of the run before; the new ones go to ``out``,
     which must be a new place. With ``stats`` as a path that table is brought up to date where it is,
-    season by season. What was extracted is written once to the shared folder, and the
-    three outputs are made from that table: a lost executor costs a stage and not the extraction.
+    season by season. What was extracted, and who it is about, is written once to the shared folder, and
+    the outputs are made from that table: a lost executor costs a stage and not the extraction.
     """
     stamp = F.lit(run_ts).cast("timestamp")
     todo = None if seeds is None else seeds_to_do(seeds, progress)
@@ -166,10 +190,10 @@ def run_crawl(
         # Joined after the HTML has been read where it lies, so that no page moves.
         found = found.join(todo, "url")
     staged = scratch_dir(spark, "extracted")
-    found.write.parquet(staged)
-    extracted = spark.read.parquet(staged)
+    with_identity(found, pattern).withColumn("n_stats", F.size("stats")).write.parquet(staged)
+    identified = spark.read.parquet(staged)
 
-    rows = normalize_stats(stat_rows(extracted, stamp, pattern))
+    rows = normalize_stats(identified_rows(identified, stamp))
     place = stats if isinstance(stats, str) else f"{out}/stats"
     result = CrawlOutput(f"{out}/export", place, f"{out}/progress", f"{out}/rejected")
     write_jsonl(rows.select(*EXPORT_COLUMNS), result.export)
@@ -183,8 +207,7 @@ def run_crawl(
 
     write_stats(valid, stats, place)
 
-    events = progress_events(extracted, stamp, pattern)
-    folded = fold_progress(events, order_by=["ts", "seq"], current=progress)
+    folded = fold_tries(progress_tries(identified, stamp), order_by=["ts", "seq"], current=progress)
     folded.write.parquet(result.progress)
     remove_path(spark, staged)
     return result

@@ -80,7 +80,7 @@ def _crawl(spark, sf):
         F.regexp_extract("url", "/([0-9]{4}-[0-9]{4})/", 1).alias("season"),
     ).distinct()
     # A second seed for each URL, which does not know the player; and pages of no seed.
-    seeds = seeds.unionByName(seeds.withColumn("player_id", F.lit(None).cast("string")))
+    seeds = seeds.withColumn("player_id", F.explode(F.array("player_id", F.lit(None).cast("string"))))
     strange = pages.where("page_id % 7 = 0").withColumns(
         {"page_id": -F.col("page_id"), "url": F.concat("url", F.lit("/extra"))}
     )

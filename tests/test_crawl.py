@@ -7,8 +7,12 @@ import re
 
 from pyspark.sql import functions as F
 
-from statlake.operators.extract.choose import extract_pages
-from statlake.plans.crawl import likely_pages, run_crawl, seeds_to_do
+from statlake.operators.extract.captured import best_captured
+from statlake.operators.extract.choose import extract_pages, with_identity
+from statlake.operators.extract.tables import read_page, read_pages
+from statlake.operators.progress import fold_progress, fold_tries
+from statlake.plans import crawl
+from statlake.plans.crawl import likely_pages, progress_events, progress_tries, run_crawl, seeds_to_do
 
 URL = "https://h/player-profiles/2024-2025/a-b/"
 SEEDS = "url string, player_id string, player_slug string, season string"
@@ -76,3 +80,59 @@ def test_rejects_and_touched_seasons(spark, tmp_path):
     ]
     progress = spark.read.parquet(again.progress).collect()
     assert [(r["player_id"], r["status"]) for r in progress] == [("3", "success")]
+
+
+def test_tries_fold_as_their_events(spark):
+    rows = [(i, f"{URL}{i % 7}", page(i, i % 3) if i % 5 else "<p>loading</p>") for i in range(60)]
+    rows += [(i, f"{URL}{i}x?a", page(i)) for i in range(90, 93)]
+    read = extract_pages(pages_of(spark, rows)).localCheckpoint()
+    tries = with_identity(read).withColumn("n_stats", F.size("stats"))
+    current = slow = None
+    for day, part in (("2024-01-01", "page_id % 2 = 0"), ("2024-01-02", "page_id % 2 = 1 and page_id % 7 < 4")):
+        stamp = F.lit(day).cast("timestamp")
+        current = fold_tries(progress_tries(tries.where(part), stamp), current=current).localCheckpoint()
+        slow = fold_progress(progress_events(read.where(part), stamp), current=slow).localCheckpoint()
+        assert current.schema.names == slow.schema.names and current.count() > 3
+        assert sorted(map(str, current.collect())) == sorted(map(str, slow.collect()))
+
+
+def test_fold_of_tries_keeps_rows_without_a_new_try(spark):
+    first = spark.createDataFrame([("p", "s", 1, "a")], "player_id string, season string, seq long, player_slug string")
+    nothing = {c: F.lit(None).cast("string") for c in ("player_name", "url", "source", "error")}
+    done = {"ts": F.lit("2024-01-01").cast("timestamp"), "n": F.lit(2).cast("long"), "done": F.lit(True)}
+    row = fold_tries(first.withColumns({**nothing, **done}))
+    again = fold_tries(first.withColumns({**nothing, **done}).where("seq > 1"), current=row)
+    assert again.collect() == row.collect() and row.first()["attempts"] == 1 and row.first()["stat_count"] == 2
+
+
+def test_extraction_is_kept_with_identity(spark, tmp_path, monkeypatch):
+    kept = []
+    monkeypatch.setattr(crawl, "remove_path", lambda _, path: kept.append(path))
+    run_crawl(spark, pages_of(spark, [(1, f"{URL}1", page(1, 2))]), str(tmp_path / "one"), "2024-01-01 07:00:00")
+    row = spark.read.parquet(kept[0]).first()
+    assert (row["player_id"], row["season"], row["player_slug"], row["n_stats"]) == ("1", "2024-2025", "a-b", 2)
+
+
+def test_responses_without_names_are_not_parsed(spark):
+    named = '{"stats":[{"n\\u0061me":"a","value":1}]}'
+    bodies = ['{"stats":[]}', named, named + "x", '{"stats":[{"value":1}]}', '{"stats":[{"label":"b"},{"metric":"c"}]}', None, "name"]
+    rows = [(i % 2, i, b) for i, b in enumerate(bodies)]
+    best = best_captured(spark.createDataFrame(rows, "page_id long, seq long, body string"))
+    got = {r["page_id"]: [s["statistic_name"] for s in r["captured"]["stats"]] for r in best.collect()}
+    assert got == {0: ["b", "c"], 1: ["a"]}
+    plan = best._jdf.queryExecution().optimizedPlan().toString()
+    below = plan.split("Generate ")[-1].split("\n", 1)[1]
+    assert "Contains" in below or "contains" in below
+    assert "json" not in below
+
+
+def test_pages_are_read_into_flat_columns():
+    table = '<h1 class="player-name">A</h1><h2>B &amp; C</h2><table><tr><td>x</td></tr><tr><td> 1 <b>2</b></td><td></td></tr></table>'
+    pages = [table, None, "<p>a > b", table.replace("x", "y"), "<table>", table, ""]
+    got = read_pages(pages)
+    got.validate(full=True)
+    assert got.to_pylist() == [None if p is None else read_page(p) for p in pages]
+    assert got[5].as_py() == {
+        "player_name": "A", "tables": 1, "body_rows": 0,
+        "sections": [{"node": 2, "first": 0, "category": "B & C", "rows": [["12", ""]]}],
+    }
