@@ -183,7 +183,12 @@ def run_crawl(
     the outputs are made from that table: a lost executor costs a stage and not the extraction.
     """
     stamp = F.lit(run_ts).cast("timestamp")
-    todo = None if seeds is None else seeds_to_do(seeds, progress)
+    todo = None
+    if seeds is not None:
+        # Used by the filter of pages and by the join behind it.
+        asked = scratch_dir(spark, "seeds")
+        seeds_to_do(seeds, progress).write.parquet(asked)
+        todo = spark.read.parquet(asked)
     read = pages if todo is None else likely_pages(pages, todo)
     found = extract_pages(read, responses, priority or PRIORITY)
     if todo is not None:
@@ -210,6 +215,8 @@ def run_crawl(
     folded = fold_tries(progress_tries(identified, stamp), order_by=["ts", "seq"], current=progress)
     folded.write.parquet(result.progress)
     remove_path(spark, staged)
+    if todo is not None:
+        remove_path(spark, asked)
     return result
 
 
