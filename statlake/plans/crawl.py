@@ -201,14 +201,14 @@ def run_crawl(
     rows = normalize_stats(identified_rows(identified, stamp))
     place = stats if isinstance(stats, str) else f"{out}/stats"
     result = CrawlOutput(f"{out}/export", place, f"{out}/progress", f"{out}/rejected")
-    write_jsonl(rows.select(*EXPORT_COLUMNS), result.export)
+    write_jsonl(rows.select(*EXPORT_COLUMNS), result.export, compression="gzip")
 
     valid, invalid = split_by_key(rows, STAT_KEY)
     rejected = invalid.select("page_id", F.col("page_url").alias("url"), F.lit(NO_KEY).alias("reason"))
     if seeds is not None:
         unnamed = pages.select("page_id", "url").join(seeds.select("url"), "url", "left_anti")
         rejected = rejected.unionByName(unnamed.withColumn("reason", F.lit(NO_SEED)))
-    write_jsonl(rejected, result.rejected)
+    write_jsonl(rejected, result.rejected, compression="gzip")
 
     write_stats(valid, stats, place)
 

@@ -1,6 +1,7 @@
 """The crawl job: which pages are read, what moves, what is rejected and replaced."""
 
 import contextlib
+import gzip
 import io
 import json
 import re
@@ -82,6 +83,21 @@ def test_rejects_and_touched_seasons(spark, tmp_path):
     assert [(r["player_id"], r["status"]) for r in progress] == [("3", "success")]
 
 
+def test_json_lines_of_a_run_are_compressed(spark, tmp_path):
+    rows = [(i, f"{URL}{i}", page("é", 40)) for i in range(50)]
+    out = run_crawl(spark, pages_of(spark, [*rows, (50, "https://h/none", page(1))]), str(tmp_path / "one"), "2024-01-01 07:00:00")
+    stored, lines = 0, {}
+    for name in ("export", "rejected"):
+        files = [f for f in (tmp_path / "one" / name).glob("part*") if f.stat().st_size]
+        assert files and all(f.name.endswith(".json.gz") for f in files)
+        stored += sum(f.stat().st_size for f in files)
+        lines[name] = [line for f in files for line in gzip.open(f, "rt", encoding="utf-8").read().splitlines()]
+    assert len(lines["export"]) == 2001 and stored < sum(map(len, lines["export"])) / 10
+    assert sum('"value":"é"' in line and '"player_name":null' in line for line in lines["export"]) == 2000
+    assert [json.loads(line)["page_id"] for line in lines["rejected"]] == [50]
+    assert spark.read.json(out.export).count() == 2001
+
+
 def test_tries_fold_as_their_events(spark):
     rows = [(i, f"{URL}{i % 7}", page(i, i % 3) if i % 5 else "<p>loading</p>") for i in range(60)]
     rows += [(i, f"{URL}{i}x?a", page(i)) for i in range(90, 93)]
