@@ -28,7 +28,7 @@ from statlake.operators.upsert import (
     upsert_into,
     upsert_stats,
 )
-from statlake.session import remove_path, scratch_dir
+from statlake.session import RELEASED_SHUFFLES, remove_path, scratch_dir, settings
 from statlake.sinks.tables import write_jsonl, write_silver
 
 NO_STATS = "No stats found"
@@ -180,44 +180,48 @@ def run_crawl(
     ``progress`` and ``stats`` are the tables of the run before; the new ones go to ``out``,
     which must be a new place. With ``stats`` as a path that table is brought up to date where it is,
     season by season. What was extracted, and who it is about, is written once to the shared folder, and
-    the outputs are made from that table: a lost executor costs a stage and not the extraction.
+    the outputs are made from that table: a lost executor costs a stage and not the extraction. Each output's
+    shuffle files go when it is written.
     """
-    stamp = F.lit(run_ts).cast("timestamp")
-    todo = None
-    if seeds is not None:
-        # Used by the filter of pages and by the join behind it.
-        asked = scratch_dir(spark, "seeds")
-        seeds_to_do(seeds, progress).write.parquet(asked)
-        todo = spark.read.parquet(asked)
-    read = pages if todo is None else likely_pages(pages, todo)
-    found = extract_pages(read, responses, priority or PRIORITY)
-    if todo is not None:
-        # Joined after the HTML has been read where it lies, so that no page moves.
-        found = found.join(todo, "url")
-    staged = scratch_dir(spark, "extracted")
-    with_identity(found, pattern).withColumn("n_stats", F.size("stats")).write.parquet(staged)
-    identified = spark.read.parquet(staged)
-
-    rows = normalize_stats(identified_rows(identified, stamp))
-    place = stats if isinstance(stats, str) else f"{out}/stats"
-    result = CrawlOutput(f"{out}/export", place, f"{out}/progress", f"{out}/rejected")
-    write_jsonl(rows.select(*EXPORT_COLUMNS), result.export, compression="gzip")
-
-    valid, invalid = split_by_key(rows, STAT_KEY)
-    rejected = invalid.select("page_id", F.col("page_url").alias("url"), F.lit(NO_KEY).alias("reason"))
-    if seeds is not None:
-        unnamed = pages.select("page_id", "url").join(seeds.select("url"), "url", "left_anti")
-        rejected = rejected.unionByName(unnamed.withColumn("reason", F.lit(NO_SEED)))
-    write_jsonl(rejected, result.rejected, compression="gzip")
-
-    write_stats(valid, stats, place)
-
-    folded = fold_tries(progress_tries(identified, stamp), order_by=["ts", "seq"], current=progress)
-    folded.write.parquet(result.progress)
-    remove_path(spark, staged)
-    if todo is not None:
-        remove_path(spark, asked)
-    return result
+    with settings(spark, RELEASED_SHUFFLES):
+        stamp = F.lit(run_ts).cast("timestamp")
+        todo = None
+        if seeds is not None:
+            # Used by the filter of pages and by the join behind it.
+            asked = scratch_dir(spark, "seeds")
+            seeds_to_do(seeds, progress).write.parquet(asked)
+            todo = spark.read.parquet(asked)
+        read = pages if todo is None else likely_pages(pages, todo)
+        found = extract_pages(read, responses, priority or PRIORITY)
+        if todo is not None:
+            # Joined after the HTML has been read where it lies, so that no page moves.
+            found = found.join(todo, "url")
+        staged = scratch_dir(spark, "extracted")
+        with_identity(found, pattern).withColumn("n_stats", F.size("stats")).write.parquet(staged)
+        if todo is not None:
+            remove_path(spark, asked)
+        identified = spark.read.parquet(staged)
+
+        rows = normalize_stats(identified_rows(identified, stamp))
+        place = stats if isinstance(stats, str) else f"{out}/stats"
+        result = CrawlOutput(f"{out}/export", place, f"{out}/progress", f"{out}/rejected")
+        write_jsonl(rows.select(*EXPORT_COLUMNS), result.export, compression="gzip")
+
+        valid, invalid = split_by_key(rows, STAT_KEY)
+        rejected = invalid.select(
+            "page_id", F.col("page_url").alias("url"), F.lit(NO_KEY).alias("reason")
+        )
+        if seeds is not None:
+            unnamed = pages.select("page_id", "url").join(seeds.select("url"), "url", "left_anti")
+            rejected = rejected.unionByName(unnamed.withColumn("reason", F.lit(NO_SEED)))
+        write_jsonl(rejected, result.rejected, compression="gzip")
+
+        write_stats(valid, stats, place)
+
+        folded = fold_tries(progress_tries(identified, stamp), order_by=["ts", "seq"], current=progress)
+        folded.write.parquet(result.progress)
+        remove_path(spark, staged)
+        return result
 
 
 def write_stats(valid: DataFrame, stats: DataFrame | str | None, place: str) -> None:

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -19,6 +21,10 @@ DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+# Shuffle files of a query go when it ends. Else they stay until the driver's garbage collector finds
+# them unused, and a job of several outputs holds the files of all of them.
+RELEASED_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
 
 def local_session(cores: int | str = 8, app: str = "statlake", **conf: str) -> SparkSession:
     """A local session for tests and benches; on a cluster use the session you are given."""
@@ -36,6 +42,22 @@ def local_session(cores: int | str = 8, app: str = "statlake", **conf: str) -> S
     return spark
 
 
+@contextmanager
+def settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
+    """Session settings for what runs inside; what was set before is set again."""
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors can reach: ``spark.checkpoint.dir``.
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from statlake.session import move_path, next_state, remove_path
+from statlake.session import move_path, next_state, remove_path, settings
 
 # Target size of silver files, and their partition column.
 SILVER_FILE_BYTES = 512 * 1024 * 1024
@@ -72,22 +72,15 @@ def write_silver(
     partitions that ``df`` has rows for. A task has few seasons and writes them side by side: to write
     them in turn Spark would sort all its rows, which are several times the target size in memory.
     """
-    spark = df.sparkSession
     wanted = {
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(file_bytes),
         "spark.sql.maxConcurrentOutputFileWriters": str(SILVER_WRITERS),
     }
-    before = {key: spark.conf.get(key) for key in wanted}
-    for key, value in wanted.items():
-        spark.conf.set(key, value)
-    try:
+    with settings(df.sparkSession, wanted):
         writer = df.hint("rebalance", partition).write.mode("overwrite").partitionBy(partition)
         writer.option(
             "partitionOverwriteMode", "dynamic" if only_touched else "static"
         ).parquet(path)
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
 
 
 def write_state(document: DataFrame, path: str) -> None:

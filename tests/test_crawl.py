@@ -4,7 +4,9 @@ import contextlib
 import gzip
 import io
 import json
+import pathlib
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from statlake.operators.extract.tables import read_page, read_pages
 from statlake.operators.progress import fold_progress, fold_tries
 from statlake.plans import crawl
 from statlake.plans.crawl import likely_pages, progress_events, progress_tries, run_crawl, seeds_to_do
+from statlake.session import RELEASED_SHUFFLES, settings
 
 URL = "https://h/player-profiles/2024-2025/a-b/"
 SEEDS = "url string, player_id string, player_slug string, season string"
@@ -98,6 +101,35 @@ def test_json_lines_of_a_run_are_compressed(spark, tmp_path):
     assert spark.read.json(out.export).count() == 2001
 
 
+def shuffle_files(spark):
+    disks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {f for top in disks.localDirsString() for f in pathlib.Path(top).rglob("shuffle_*")}
+
+
+def test_shuffle_files_go_with_their_output(spark, tmp_path):
+    key = next(iter(RELEASED_SHUFFLES))
+    before, was = shuffle_files(spark), spark.conf.get(key)
+    pages = pages_of(spark, [(i, f"{URL}{i}", page(i)) for i in range(20)])
+    out = run_crawl(spark, pages, str(tmp_path / "one"), "2024-01-01 07:00:00")
+    seeds = spark.createDataFrame([(f"{URL}{i}", None, None, None) for i in range(5)], SEEDS)
+    progress = spark.read.parquet(out.progress).where("player_id > 2")
+    run_crawl(spark, pages, str(tmp_path / "two"), "2024-01-02 07:00:00", None, seeds, progress, out.stats)
+    until = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < until:  # they are removed in the background
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before and spark.conf.get(key) == was
+    assert spark.read.parquet(out.stats).count() == 20
+
+
+def test_settings_are_put_back(spark):
+    key, new = "spark.sql.shuffle.partitions", "spark.statlake.test"
+    was = spark.conf.get(key)
+    with contextlib.suppress(ValueError), settings(spark, {key: "3", new: "x"}):
+        assert (spark.conf.get(key), spark.conf.get(new)) == ("3", "x")
+        raise ValueError
+    assert spark.conf.get(key) == was and spark.conf.get(new, None) is None
+
+
 def test_tries_fold_as_their_events(spark):
     rows = [(i, f"{URL}{i % 7}", page(i, i % 3) if i % 5 else "<p>loading</p>") for i in range(60)]
     rows += [(i, f"{URL}{i}x?a", page(i)) for i in range(90, 93)]
