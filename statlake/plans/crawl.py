@@ -34,6 +34,8 @@ from statlake.sinks.tables import write_jsonl, write_silver
 NO_STATS = "No stats found"
 NO_KEY, NO_SEED = "No player, season or statistic", "No seed names this page"
 MANY_SEASONS = 1_000  # beyond so many the seasons are joined instead of named in the plan
+# Shuffled bytes a task of the merge is given; its sort holds some ten times as much in memory.
+SORTED_BYTES = 16 * 1024 * 1024
 ARRIVAL = ["extracted_at", "page_id", "stat_pos"]
 EXPORT_COLUMNS = [
     "player_id",
@@ -228,24 +230,28 @@ def write_stats(valid: DataFrame, stats: DataFrame | str | None, place: str) ->
     """Merge rows into the stat table at ``place``.
 
     With the path of a table only the seasons that ``valid`` has rows for are read and replaced.
-    The merged rows are written to the shared folder first, since a table cannot be read while
-    it is replaced; a run that breaks in between can be repeated.
+    The merged rows are written to the shared folder first: a table cannot be read while it is replaced,
+    tasks of the silver write's size would sort far more rows than memory holds, and the shuffle files of the
+    merge go before those of the silver write come. A run that breaks in between can be repeated.
     """
     spark = valid.sparkSession
     if stats is None:
-        write_silver(upsert_stats(valid, ARRIVAL), place)
-        return
-    if isinstance(stats, DataFrame):
-        write_silver(upsert_into(stats, valid, STAT_KEY, ARRIVAL, STAT_IDENTITY, STAT_MEASURES), place)
-        return
-    touched = valid.select("season").distinct()
-    few = [r["season"] for r in touched.limit(MANY_SEASONS + 1).collect()]
-    old = spark.read.parquet(stats).withColumn("season", F.col("season").cast("string"))
-    if len(few) <= MANY_SEASONS:
-        old = old.where(F.col("season").isin(few))
+        merged = upsert_stats(valid, ARRIVAL)
     else:
-        old = old.join(touched, "season", "left_semi")
+        old = stats if isinstance(stats, DataFrame) else touched_seasons(valid, stats)
+        merged = upsert_into(old, valid, STAT_KEY, ARRIVAL, STAT_IDENTITY, STAT_MEASURES)
     staged = scratch_dir(spark, "stats")
-    upsert_into(old, valid, STAT_KEY, ARRIVAL, STAT_IDENTITY, STAT_MEASURES).write.parquet(staged)
-    write_silver(spark.read.parquet(staged), place, only_touched=True)
+    with settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SORTED_BYTES)}):
+        merged.write.parquet(staged)
+    write_silver(spark.read.parquet(staged), place, only_touched=isinstance(stats, str))
     remove_path(spark, staged)
+
+
+def touched_seasons(valid: DataFrame, stats: str) -> DataFrame:
+    """The rows of the stat table whose seasons ``valid`` has rows for."""
+    touched = valid.select("season").distinct()
+    few = [r["season"] for r in touched.limit(MANY_SEASONS + 1).collect()]
+    old = valid.sparkSession.read.parquet(stats).withColumn("season", F.col("season").cast("string"))
+    if len(few) <= MANY_SEASONS:
+        return old.where(F.col("season").isin(few))
+    return old.join(touched, "season", "left_semi")

@@ -15,7 +15,15 @@ from statlake.operators.extract.choose import extract_pages, with_identity
 from statlake.operators.extract.tables import read_page, read_pages
 from statlake.operators.progress import fold_progress, fold_tries
 from statlake.plans import crawl
-from statlake.plans.crawl import likely_pages, progress_events, progress_tries, run_crawl, seeds_to_do
+from statlake.plans.crawl import (
+    clean_rows,
+    likely_pages,
+    progress_events,
+    progress_tries,
+    run_crawl,
+    seeds_to_do,
+    write_stats,
+)
 from statlake.session import RELEASED_SHUFFLES, settings
 
 URL = "https://h/player-profiles/2024-2025/a-b/"
@@ -121,6 +129,26 @@ def test_shuffle_files_go_with_their_output(spark, tmp_path):
     assert spark.read.parquet(out.stats).count() == 20
 
 
+def test_stat_rows_are_merged_before_the_silver_write(spark, tmp_path, monkeypatch):
+    plans, write = [], crawl.write_silver
+
+    def written(df, *args, **kept):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        write(df, *args, **kept)
+
+    def rows(day, ids):
+        return clean_rows(pages_of(spark, [(day * 10 + i, f"{URL}{i}", page(day)) for i in ids]), F.lit(f"2024-01-0{day}"))
+
+    monkeypatch.setattr(crawl, "write_silver", written)
+    place, other = str(tmp_path / "stats"), str(tmp_path / "other")
+    write_stats(rows(1, [1, 2]), None, place)
+    write_stats(rows(2, [2, 3]), place, place)
+    write_stats(rows(3, [3, 4]), spark.read.parquet(place), other)
+    got = {path: {(r["player_id"], r["value"]) for r in spark.read.parquet(path).collect()} for path in (place, other)}
+    assert got == {place: {("1", "1"), ("2", "2"), ("3", "2")}, other: {("1", "1"), ("2", "2"), ("3", "3"), ("4", "3")}}
+    assert len(plans) == 3 and not any("Aggregate" in plan for plan in plans)
+
+
 def test_settings_are_put_back(spark):
     key, new = "spark.sql.shuffle.partitions", "spark.statlake.test"
     was = spark.conf.get(key)
