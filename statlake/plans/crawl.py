@@ -28,7 +28,13 @@ from statlake.operators.upsert import (
     upsert_into,
     upsert_stats,
 )
-from statlake.session import RELEASED_SHUFFLES, remove_path, scratch_dir, settings
+from statlake.session import (
+    RELEASED_SHUFFLES,
+    remove_path,
+    scratch_dir,
+    settings,
+    staged_rows,
+)
 from statlake.sinks.tables import write_jsonl, write_silver
 
 NO_STATS = "No stats found"
@@ -234,17 +240,14 @@ def write_stats(valid: DataFrame, stats: DataFrame | str | None, place: str) ->
     tasks of the silver write's size would sort far more rows than memory holds, and the shuffle files of the
     merge go before those of the silver write come. A run that breaks in between can be repeated.
     """
-    spark = valid.sparkSession
     if stats is None:
         merged = upsert_stats(valid, ARRIVAL)
     else:
         old = stats if isinstance(stats, DataFrame) else touched_seasons(valid, stats)
         merged = upsert_into(old, valid, STAT_KEY, ARRIVAL, STAT_IDENTITY, STAT_MEASURES)
-    staged = scratch_dir(spark, "stats")
-    with settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SORTED_BYTES)}):
-        merged.write.parquet(staged)
-    write_silver(spark.read.parquet(staged), place, only_touched=isinstance(stats, str))
-    remove_path(spark, staged)
+    sized = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SORTED_BYTES)}
+    with settings(valid.sparkSession, sized), staged_rows(merged, "stats") as rows:
+        write_silver(rows, place, only_touched=isinstance(stats, str))
 
 
 def touched_seasons(valid: DataFrame, stats: str) -> DataFrame:

@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that the operators rely on. Sizes are left to the cluster: AQE coalesces and splits
 # shuffle partitions from the real sizes, and broadcasts only what it has measured to be small.
@@ -80,6 +80,16 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def staged_rows(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``df`` written below the shared folder, for what runs inside; kept if that fails, else removed."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, label)
+    df.write.parquet(path)
+    yield spark.read.parquet(path)
+    remove_path(spark, path)
+
+
 def path_exists(spark: SparkSession, pattern: str) -> bool:
     """Whether anything matches a path, which may hold wildcards, in its own file system."""
     path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
